@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.plans import staging
+from riskmart.plans import intermediate, staging
 from riskmart.sources import fixtures
 
 
@@ -31,14 +31,25 @@ class Layers:
     def stg(self) -> dict[str, DataFrame]:
         return staging.build_staging(self.sources, self.as_of)
 
+    @cached_property
+    def int(self) -> dict[str, DataFrame]:
+        return intermediate.build_intermediate(self.stg, self.as_of)
+
+
+def _layer(layer: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: getattr(Layers(spark, sf_dir), layer)[name]
+
 
-def _stg(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: Layers(spark, sf_dir).stg[name]
+STAGING = ["stg_customers", "stg_contracts", "stg_payments", "stg_app_events", "stg_proposals",
+           "stg_collections"]
+INTERMEDIATE = ["int_customer_credit_profile", "int_customer_digital_behavior", "int_payment_performance",
+                "int_acquisition_quality"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for name in ["stg_customers", "stg_contracts", "stg_payments", "stg_app_events",
-                 "stg_proposals", "stg_collections"]:
-        q[name] = _stg(name)
+    for name in STAGING:
+        q[name] = _layer("stg", name)
+    for name in INTERMEDIATE:
+        q[name] = _layer("int", name)
     return q
