@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.plans import intermediate, staging
+from riskmart.plans import intermediate, marts, staging
 from riskmart.sources import fixtures
 
 
@@ -35,6 +35,34 @@ class Layers:
     def int(self) -> dict[str, DataFrame]:
         return intermediate.build_intermediate(self.stg, self.as_of)
 
+    @cached_property
+    def mart(self) -> "_LazyMarts":
+        return _LazyMarts(self)
+
+
+class _LazyMarts:
+    """Marts built on first access: ranking passes checkpoint eagerly, so build only what is used."""
+
+    def __init__(self, layers: Layers):
+        self._l = layers
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            stg, inter, as_of = self._l.stg, self._l.int, self._l.as_of
+            builders = {
+                "fct_credit_score": lambda: marts.fct_credit_score(
+                    inter["int_customer_credit_profile"], inter["int_customer_digital_behavior"],
+                    stg["stg_customers"]),
+                "fct_customer_ltv": lambda: marts.fct_customer_ltv(
+                    inter["int_customer_credit_profile"], inter["int_acquisition_quality"]),
+                "fct_portfolio_health": lambda: marts.fct_portfolio_health(stg["stg_payments"], stg["stg_contracts"]),
+                "fct_collection_efficiency": lambda: marts.fct_collection_efficiency(stg["stg_collections"]),
+                "fct_risk_segments": lambda: marts.fct_risk_segments(stg["stg_payments"], stg["stg_customers"], as_of),
+            }
+            self._built[name] = builders[name]()
+        return self._built[name]
+
 
 def _layer(layer: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: getattr(Layers(spark, sf_dir), layer)[name]
@@ -44,6 +72,8 @@ STAGING = ["stg_customers", "stg_contracts", "stg_payments", "stg_app_events", "
            "stg_collections"]
 INTERMEDIATE = ["int_customer_credit_profile", "int_customer_digital_behavior", "int_payment_performance",
                 "int_acquisition_quality"]
+MARTS = ["fct_credit_score", "fct_customer_ltv", "fct_portfolio_health", "fct_collection_efficiency",
+         "fct_risk_segments"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -52,4 +82,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[name] = _layer("stg", name)
     for name in INTERMEDIATE:
         q[name] = _layer("int", name)
+    for name in MARTS:
+        q[name] = _layer("mart", name)
     return q
