@@ -11,7 +11,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.plans import intermediate, marts, staging
+from riskmart.operators import quality
+from riskmart.pipeline import with_audit
+from riskmart.plans import intermediate, marts, reports, staging, summaries
 from riskmart.sources import fixtures
 
 
@@ -84,4 +86,64 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[name] = _layer("int", name)
     for name in MARTS:
         q[name] = _layer("mart", name)
+    q["dq_results"] = dq_results
+    q["quality_report"] = lambda spark, sf_dir: _quality_report(Layers(spark, sf_dir))
+    q["dataset_report"] = lambda spark, sf_dir: summaries.dataset_report(Layers(spark, sf_dir).sources)
+    for name, fn in _report_queries().items():
+        q[name] = (lambda f: lambda spark, sf_dir: f(Layers(spark, sf_dir)))(fn)
     return q
+
+
+def _report_queries() -> dict[str, Callable[[Layers], DataFrame]]:
+    since, min_c = fixtures.REPORT_SINCE, fixtures.MIN_MONTH_CONTRACTS
+    m = lambda l, n: l.mart[n]
+    return {
+        "portfolio_kpis": lambda l: reports.portfolio_kpis(l.stg["stg_contracts"]),
+        "default_rate": lambda l: reports.default_rate(m(l, "fct_portfolio_health"), since),
+        "active_customers": lambda l: reports.active_customers(l.stg["stg_customers"]),
+        "ltv_summary": lambda l: reports.ltv_summary(m(l, "fct_customer_ltv")),
+        "monthly_default": lambda l: reports.monthly_default(m(l, "fct_portfolio_health"), since),
+        "product_risk": lambda l: reports.product_risk(l.int["int_payment_performance"]),
+        "exposure_monthly": lambda l: reports.exposure_monthly(m(l, "fct_portfolio_health"), since),
+        "score_dist_detail": lambda l: reports.score_dist_detail(m(l, "fct_credit_score")),
+        "score_buckets": lambda l: reports.score_buckets(m(l, "fct_credit_score")),
+        "optimal_collection": lambda l: reports.optimal_collection(m(l, "fct_collection_efficiency")),
+        "score_distribution": lambda l: reports.score_distribution(m(l, "fct_credit_score")),
+        "risk_tier_summary": lambda l: reports.risk_tier_summary(m(l, "fct_credit_score")),
+        "channel_risk": lambda l: reports.channel_risk(l.int["int_acquisition_quality"]),
+        "alerts_detail": lambda l: reports.alerts_detail(m(l, "fct_credit_score")),
+        "vintage_analysis": lambda l: reports.vintage_analysis(l.stg["stg_contracts"]),
+        "collection_eff": lambda l: reports.collection_eff(m(l, "fct_collection_efficiency")),
+        "rfm_overview": lambda l: reports.rfm_overview(m(l, "fct_risk_segments")),
+        "ltv_by_segment_channel": lambda l: reports.ltv_by_segment_channel(m(l, "fct_customer_ltv")),
+        "ltv_segment_summary": lambda l: reports.ltv_segment_summary(m(l, "fct_customer_ltv")),
+        "digital_by_segment": lambda l: reports.digital_by_segment(
+            m(l, "fct_risk_segments"), l.int["int_customer_digital_behavior"]),
+        "header_kpis": lambda l: reports.header_kpis(m(l, "fct_credit_score"), m(l, "fct_portfolio_health"), min_c),
+        "monthly_line": lambda l: reports.monthly_line(m(l, "fct_portfolio_health"), min_c),
+        "product_bars": lambda l: reports.product_bars(l.int["int_payment_performance"]),
+        "alert_count": lambda l: reports.alert_count(m(l, "fct_credit_score")),
+        "tier_distribution": lambda l: reports.tier_distribution(m(l, "fct_credit_score")),
+        "channel_risk_dashboard": lambda l: reports.channel_risk_dashboard(l.int["int_acquisition_quality"]),
+        "top_alerts": lambda l: reports.top_alerts(m(l, "fct_credit_score")),
+        "segment_counts": lambda l: reports.segment_counts(m(l, "fct_risk_segments")),
+        "ltv_by_segment": lambda l: reports.ltv_by_segment(m(l, "fct_customer_ltv")),
+        "channel_quality": lambda l: reports.channel_quality(l.int["int_acquisition_quality"]),
+        "score_histogram": lambda l: reports.score_histogram(m(l, "fct_credit_score")),
+        "top_at_risk": lambda l: reports.top_at_risk(m(l, "fct_credit_score")),
+        "channel_by_ltv": lambda l: reports.channel_by_ltv(l.int["int_acquisition_quality"]),
+        "best_collection_window": lambda l: reports.best_collection_window(m(l, "fct_collection_efficiency")),
+    }
+
+
+def _quality_report(l: Layers) -> DataFrame:
+    return summaries.quality_report(l.stg["stg_customers"], l.stg["stg_payments"], l.stg["stg_contracts"])
+
+
+def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 120 data tests over every model (audit columns added as the writer would)."""
+    l = Layers(spark, sf_dir)
+    models = {n: with_audit(df) for n, df in l.stg.items()}
+    models.update({n: with_audit(df) for n, df in l.int.items()})
+    models.update({n: with_audit(l.mart[n]) for n in MARTS})
+    return quality.run_checks(models)
