@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.operators import quality
 from riskmart.pipeline import with_audit
-from riskmart.plans import intermediate, marts, reports, staging, summaries
+from riskmart.plans import features, intermediate, marts, reports, staging, summaries
 from riskmart.sources import fixtures
 
 
@@ -89,6 +89,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dq_results"] = dq_results
     q["quality_report"] = lambda spark, sf_dir: _quality_report(Layers(spark, sf_dir))
     q["dataset_report"] = lambda spark, sf_dir: summaries.dataset_report(Layers(spark, sf_dir).sources)
+    q["ml_default_features"] = lambda spark, sf_dir: _default_features(Layers(spark, sf_dir))
+    q["ml_alert_features"] = lambda spark, sf_dir: _alert_features(Layers(spark, sf_dir))
     for name, fn in _report_queries().items():
         q[name] = (lambda f: lambda spark, sf_dir: f(Layers(spark, sf_dir)))(fn)
     return q
@@ -136,6 +138,15 @@ def _report_queries() -> dict[str, Callable[[Layers], DataFrame]]:
     }
 
 
+def _default_features(l: Layers) -> DataFrame:
+    return features.default_features(l.stg, fixtures.ML_CUTOFF, fixtures.ML_LABEL_END, fixtures.ML_RECENT_START,
+                                     fixtures.ML_EVENT_START, fixtures.ML_EVENT_END)
+
+
+def _alert_features(l: Layers) -> DataFrame:
+    return features.alert_features(l.mart["fct_credit_score"], l.stg["stg_customers"])
+
+
 def _quality_report(l: Layers) -> DataFrame:
     return summaries.quality_report(l.stg["stg_customers"], l.stg["stg_payments"], l.stg["stg_contracts"])
 
