@@ -91,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dataset_report"] = lambda spark, sf_dir: summaries.dataset_report(Layers(spark, sf_dir).sources)
     q["ml_default_features"] = lambda spark, sf_dir: _default_features(Layers(spark, sf_dir))
     q["ml_alert_features"] = lambda spark, sf_dir: _alert_features(Layers(spark, sf_dir))
+    q.update(_ml_queries())
     for name, fn in _report_queries().items():
         q[name] = (lambda f: lambda spark, sf_dir: f(Layers(spark, sf_dir)))(fn)
     return q
@@ -138,6 +139,44 @@ def _report_queries() -> dict[str, Callable[[Layers], DataFrame]]:
     }
 
 
+def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Training/scoring steps.  No SQL oracle exists for them (rows-only check)."""
+    from riskmart.learn import train
+
+    num, cat = features.DEFAULT_NUMERIC, features.CATEGORICAL
+    anum = features.ALERT_NUMERIC
+
+    def split(spark, sf_dir):
+        f = _default_features(Layers(spark, sf_dir))
+        return train.stratified_split(f, "target").select("customer_id", "target", "split")
+
+    def model_metrics(spark, sf_dir):
+        results, _ = train.train_default_models(_default_features(Layers(spark, sf_dir)), num, cat)
+        return train.metrics_frame(spark, results)
+
+    def linear_attr(spark, sf_dir):
+        f = _default_features(Layers(spark, sf_dir))
+        results, test = train.train_default_models(f, num, cat)
+        lr = next(r for r in results if r.name == "LogisticRegression")
+        return train.linear_attribution(lr, test, num, cat)
+
+    def alert_metrics(spark, sf_dir):
+        trained, _ = train.train_alert_model(_alert_features(Layers(spark, sf_dir)), anum, cat)
+        return train.metrics_frame(spark, [trained])
+
+    def importance(spark, sf_dir):
+        trained, _ = train.train_alert_model(_alert_features(Layers(spark, sf_dir)), anum, cat)
+        return train.importance_frame(spark, train.forest_importances(trained, anum, cat))
+
+    def batch_scores(spark, sf_dir):
+        f = _alert_features(Layers(spark, sf_dir))
+        trained, _ = train.train_alert_model(f, anum, cat)
+        return train.score(trained.model, f)
+
+    return {"ml_split": split, "model_metrics": model_metrics, "ml_linear_attribution": linear_attr,
+            "ml_alert_metrics": alert_metrics, "feature_importance": importance, "ml_batch_scores": batch_scores}
+
+
 def _default_features(l: Layers) -> DataFrame:
     return features.default_features(l.stg, fixtures.ML_CUTOFF, fixtures.ML_LABEL_END, fixtures.ML_RECENT_START,
                                      fixtures.ML_EVENT_START, fixtures.ML_EVENT_END)
