@@ -3,10 +3,14 @@ from riskmart.functions.expr import (  # noqa: F401
     dec_avg,
     dec_sum,
     flag,
+    from_units,
     int_avg,
     lit_date,
     pct,
     rnd,
+    round_half_away,
     safe_div,
     sum_flag,
+    to_units,
+    units_sum,
 )

@@ -1,13 +1,15 @@
 """Column-expression helpers shared by every model.
 
-All helpers return built-in Catalyst expressions (no UDFs), so they stay inside whole-stage
-codegen.  Two rules make results exact and engine-independent:
-
-* ``rnd`` rounds half away from zero on the binary value, scaled by ``10**n``
-  (``round(x * 10**n) / 10**n``).  Spark's ``round`` on a double goes through the decimal
-  string instead and would flip some last-digit halves.
-* Money and rates are summed as decimals and only then cast to double, so sums do not depend
-  on the order in which partitions are combined.
+All helpers return built-in Catalyst expressions (no UDFs) on primitive types, so they stay
+inside whole-stage codegen.  Two rules make results exact and engine-independent:
+
+* ``rnd`` rounds half away from zero on the binary value scaled by ``10**n``
+  (``round(x * 10**n) / 10**n``) with plain double arithmetic.  Spark's own ``round`` on a
+  double builds a BigDecimal per row from the decimal string, which is slow and flips some
+  last-digit halves.
+* Money and rates are summed as integer units (cents, basis points) in a ``long`` and
+  divided once at the end, so sums do not depend on the order in which partitions are
+  combined, and no slow wide-decimal buffer is used.
 """
 
 from __future__ import annotations
@@ -22,10 +24,34 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def round_half_away(x) -> Column:
+    """Nearest integer (as double), ties away from zero, exact for |x| < 2**52."""
+    x = _c(x).cast("double")
+    a = F.abs(x)
+    r = F.floor(a + F.lit(0.5)).cast("double")
+    # a + 0.5 can round up for the largest double below .5; r - a is exact here
+    r = F.when(r - a > F.lit(0.5), r - F.lit(1.0)).otherwise(r)
+    return F.when(x < 0, -r).otherwise(r)
+
+
 def rnd(x, n: int) -> Column:
-    """round(x, n) on a double, half away from zero, binary-scaled."""
+    """round(x, n) on a double, half away from zero, binary-scaled (never returns -0.0)."""
     scale = F.lit(float(10 ** n))
-    return F.round(_c(x).cast("double") * scale, 0) / scale
+    return round_half_away(_c(x).cast("double") * scale) / scale + F.lit(0.0)
+
+
+def to_units(x, scale: int = 2) -> Column:
+    """A decimal-grid double as integer units of 10**-scale (e.g. cents), as BIGINT."""
+    return round_half_away(_c(x).cast("double") * F.lit(float(10 ** scale))).cast("long")
+
+
+def units_sum(x, scale: int = 2) -> Column:
+    """Exact sum in integer units (BIGINT) — combine further with ``F.sum`` and ``from_units``."""
+    return F.sum(to_units(x, scale))
+
+
+def from_units(units, scale: int = 2) -> Column:
+    return _c(units).cast("double") / F.lit(float(10 ** scale))
 
 
 def flag(cond: Column) -> Column:
@@ -39,8 +65,8 @@ def sum_flag(x) -> Column:
 
 
 def dec_sum(x, scale: int = 2) -> Column:
-    """Order-independent sum of a double whose values carry at most ``scale`` decimals."""
-    return F.sum(_c(x).cast(f"decimal(18,{scale})")).cast("double")
+    """Order-independent exact sum of a double whose values carry at most ``scale`` decimals."""
+    return from_units(units_sum(x, scale), scale)
 
 
 def dec_avg(x, scale: int = 2) -> Column:

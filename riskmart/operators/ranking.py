@@ -7,9 +7,9 @@
    sampled on the composite key, so even a value that holds a third of all rows is spread
    over several partitions by its tie-break.
 2. ``sortWithinPartitions`` on the same key; each task numbers its rows locally.
-3. ``checkpoint()`` to the session's checkpoint folder: the sampled range bounds and the
-   local numbers become fixed facts, so a lost executor cannot re-derive different bounds
-   between the two reads below.
+3. The numbered rows are written as a table in the session's checkpoint folder: the sampled
+   range bounds and the local numbers become fixed facts, so a lost executor cannot re-derive
+   different bounds between the two reads below.
 4. One row per partition (count, first/last value) — at most ``n_partitions`` rows — gives
    each partition its global offset; that small table is broadcast back (map-side join).
 
@@ -20,6 +20,7 @@ the local group start, and the per-partition table carries the straddling part.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -90,7 +91,11 @@ def _ranked(df: DataFrame, order: Sequence[Column], group_col: str | None,
                                                  T.StructField("_lfirst", T.LongType(), False)])
         s = s.mapInPandas(_group_start_scan(group_col), schema)
     s = s.withColumn("_pid", F.spark_partition_id())
-    return s.checkpoint(eager=True)
+    # cut the lineage with a table in the checkpoint folder: one job (an eager reliable
+    # checkpoint() would compute the sorted partitions twice); _pid/_lrn are plain columns now
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/riskmart-rank-{uuid.uuid4().hex}"
+    s.write.parquet(path)
+    return df.sparkSession.read.schema(s.schema).parquet(path)
 
 
 def _partition_offsets(ranked: DataFrame, group_col: str | None) -> DataFrame:

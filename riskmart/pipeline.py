@@ -10,7 +10,9 @@ fail raises ``QualityGateError`` before anything downstream runs.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,16 +50,31 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
+_LOCK = threading.Lock()
+
+
 def _timed(res: RunResult, name: str, fn):
     t0 = time.perf_counter()
     out = fn()
-    res.timings[name] = round(time.perf_counter() - t0, 3)
+    with _LOCK:
+        res.timings[name] = round(time.perf_counter() - t0, 3)
     return out
 
 
+def _parallel(jobs: dict, max_workers: int) -> dict:
+    """Submit independent Spark jobs from a thread pool so their stages share the cluster.
+
+    Models of one layer do not depend on each other; running them concurrently overlaps the
+    small jobs' scheduling latency and keeps all executors busy.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None = None,
         src_dir: str | None = None, as_of: dt.date | None = None, gate: bool = True,
-        retries: int = 1) -> RunResult:
+        retries: int = 1, parallelism: int = 5) -> RunResult:
     """Build every layer under ``out_dir`` (``staging`` views, ``intermediate`` and ``marts`` tables).
 
     Pass either native ``src_dir`` Parquet files or ready ``sources`` DataFrames.
@@ -88,10 +105,10 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         quality.gate(stg_checks, "staging")
         checks.append(stg_checks)
 
-    inter_df = intermediate.build_intermediate(stg, as_of)
-    for name in INTERMEDIATE:
-        attempt(name, lambda n=name: write_table(with_audit(inter_df[n]), f"{out}/intermediate/{n}"))
-    inter = {n: spark.read.parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE}
+    inter_df = {n: with_audit(df) for n, df in intermediate.build_intermediate(stg, as_of).items()}
+    _parallel({n: (lambda n=n: attempt(n, lambda: write_table(inter_df[n], f"{out}/intermediate/{n}")))
+               for n in INTERMEDIATE}, parallelism)
+    inter = {n: spark.read.schema(inter_df[n].schema).parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE}
     if gate:
         int_checks = attempt("test_intermediate", lambda: quality.run_checks(inter).cache())
         quality.gate(int_checks, "intermediate")
@@ -108,9 +125,15 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         "fct_collection_efficiency": lambda: marts.fct_collection_efficiency(stg["stg_collections"]),
         "fct_risk_segments": lambda: marts.fct_risk_segments(stg["stg_payments"], stg["stg_customers"], as_of),
     }
-    for name in MARTS:
-        attempt(name, lambda n=name: write_table(with_audit(builders[n]()), f"{out}/marts/{n}"))
-    mart_tables = {n: spark.read.parquet(f"{out}/marts/{n}") for n in MARTS}
+    schemas: dict = {}
+
+    def build_mart(n):
+        df = with_audit(builders[n]())
+        schemas[n] = df.schema
+        write_table(df, f"{out}/marts/{n}")
+
+    _parallel({n: (lambda n=n: attempt(n, lambda: build_mart(n))) for n in MARTS}, parallelism)
+    mart_tables = {n: spark.read.schema(schemas[n]).parquet(f"{out}/marts/{n}") for n in MARTS}
     if gate:
         mart_checks = attempt("test_marts", lambda: quality.run_checks(mart_tables).cache())
         quality.gate(mart_checks, "marts")

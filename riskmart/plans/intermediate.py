@@ -8,12 +8,11 @@ and only the customer dimension is shuffled to meet them.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, dec_sum, flag, int_avg, lit_date, pct, rnd, safe_div, sum_flag
+from riskmart.functions import (dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, safe_div,
+                                sum_flag, to_units, units_sum)
 
 
 
@@ -98,8 +97,8 @@ def int_customer_digital_behavior(customers: DataFrame, events: DataFrame) -> Da
     prev = F.col("prev_month_events")
     total = F.col("events_total")
     trend = (F.when(prev.isNull(), "new")
-             .when(total > prev * F.lit(Decimal("1.1")), "growing")
-             .when(total < prev * F.lit(Decimal("0.5")), "declining")
+             .when(total * 10 > prev * 11, "growing")      # total > 1.1 * prev, exact in integers
+             .when(total * 2 < prev, "declining")          # total < 0.5 * prev
              .otherwise("stable"))
     scored = monthly.select(
         "customer_id", "event_month", "logins_count", "payment_events", "offer_events", "active_days",
@@ -129,7 +128,7 @@ def int_payment_performance(payments: DataFrame, contracts: DataFrame) -> DataFr
     # a few dozen months x 4 products: the window below works on the already-aggregated table
     w = Window.partitionBy("due_year", "product_type")
     rate = F.col("default_rate_pct")
-    year_avg = (F.sum(rate.cast("decimal(18,2)")).over(w).cast("double")
+    year_avg = (from_units(F.sum(to_units(rate, 2)).over(w), 2)
                 / F.nullif(F.count(rate).over(w).cast("double"), F.lit(0.0)))
     return monthly.select(
         "*",
@@ -149,17 +148,17 @@ def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments
     contract_agg = contracts.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_contracts"),
         sum_flag("is_defaulted").alias("defaulted_contracts"),
-        F.sum(F.col("principal_amount").cast("decimal(18,2)")).alias("total_principal"),
+        units_sum("principal_amount").alias("total_principal"),
         rnd(dec_avg("interest_rate", 4), 4).alias("avg_interest_rate"),
         rnd(dec_avg("completion_rate", 4), 4).alias("avg_completion_rate"),
         rnd(int_avg("installments_total"), 1).alias("avg_term_months"),
     )
     payment_agg = payments.groupBy("customer_id").agg(
-        F.sum(F.coalesce(F.col("amount_due"), F.lit(0.0)).cast("decimal(18,2)")).alias("total_due"),
-        F.sum(F.coalesce(F.col("amount_paid"), F.lit(0.0)).cast("decimal(18,2)")).alias("total_paid"),
+        units_sum(F.coalesce(F.col("amount_due"), F.lit(0.0))).alias("total_due"),
+        units_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0))).alias("total_paid"),
     )
     c = customers.select("customer_id", "acquisition_channel", "customer_segment", "income_declared")
-    zero_dec = F.lit(0).cast("decimal(28,2)")
+    zero_units = F.lit(0).cast("long")  # money below is in cents
     cl = (c.join(proposal_agg, "customer_id", "left")
            .join(contract_agg, "customer_id", "left")
            .join(payment_agg, "customer_id", "left")
@@ -168,17 +167,17 @@ def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments
                    F.coalesce("approved_proposals", F.lit(0)).alias("approved_proposals"),
                    F.coalesce("total_contracts", F.lit(0)).alias("total_contracts"),
                    F.coalesce("defaulted_contracts", F.lit(0)).alias("defaulted_contracts"),
-                   F.coalesce("total_principal", zero_dec).alias("total_principal"),
+                   F.coalesce("total_principal", zero_units).alias("total_principal"),
                    "avg_interest_rate", "avg_completion_rate", "avg_term_months",
-                   F.coalesce("total_paid", zero_dec).alias("total_paid")))
+                   F.coalesce("total_paid", zero_units).alias("total_paid")))
     payback = F.when(F.col("avg_term_months").isNotNull(),
                      F.col("avg_term_months") * F.coalesce(F.col("avg_completion_rate"), F.lit(0.0)))
     return cl.groupBy("acquisition_channel").agg(
         F.countDistinct("customer_id").alias("total_customers"),
         pct(F.sum("approved_proposals"), F.sum("total_proposals"), 2).alias("approval_rate_pct"),
         pct(F.sum("defaulted_contracts"), F.sum("total_contracts"), 2).alias("default_rate_pct"),
-        rnd(safe_div(F.sum("total_principal").cast("double"), F.sum("total_contracts")), 2).alias("avg_ticket"),
-        rnd(safe_div(F.sum("total_paid").cast("double"),
+        rnd(safe_div(from_units(F.sum("total_principal")), F.sum("total_contracts")), 2).alias("avg_ticket"),
+        rnd(safe_div(from_units(F.sum("total_paid")),
                      F.countDistinct(F.when(F.col("total_contracts") > 0, F.col("customer_id")))), 2)
          .alias("avg_ltv"),
         rnd(dec_avg(payback, 5), 1).alias("avg_payback_months"),

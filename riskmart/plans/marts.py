@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, dec_sum, flag, int_avg, lit_date, pct, rnd, sum_flag
+from riskmart.functions import dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, sum_flag, units_sum
 from riskmart.operators.ranking import dist_ntile, dist_percent_rank
 
 # Age-group score of the profile component.
@@ -110,24 +110,26 @@ def fct_portfolio_health(payments: DataFrame, contracts: DataFrame) -> DataFrame
     j = p.join(c, p["contract_id"] == c["c_contract_id"], "left")
     # step 1: one row per (contract, month).  Grouping on the payment-side key keeps the
     # join's hash partitioning, so this aggregation adds no shuffle.
-    per_contract = j.groupBy("contract_id", "c_contract_id", "due_month", "due_month_num", "due_year").agg(
+    # product_type depends on the contract alone; as a key it keeps the hash aggregate
+    # (a string max() would force a sort-based aggregate)
+    per_contract = j.groupBy("contract_id", "c_contract_id", "product_type", "due_month", "due_month_num",
+                             "due_year").agg(
         F.count(F.lit(1)).alias("n_rows"),
         sum_flag("is_defaulted").alias("n_defaulted"),
         # exposure counts the principal once per payment row (the reference's fan-out)
-        F.sum(F.col("principal_amount").cast("decimal(18,2)")).alias("exposure"),
-        F.sum(F.col("amount_due").cast("decimal(18,2)")).alias("due"),
-        F.max(flag(F.col("lateness_bucket") == "90+_days")).alias("any_90plus"),
-        F.max("product_type").alias("product_type"),
+        units_sum("principal_amount").alias("exposure"),   # cents
+        units_sum("amount_due").alias("due"),
+        F.max(F.when(F.col("lateness_bucket") == "90+_days", 1).otherwise(0)).alias("any_90plus"),
     )
     # step 2: months (small): plain sums replace four count(distinct ...)
     cid = F.col("c_contract_id")
     contracts_n = F.count(cid)
     monthly = per_contract.groupBy(F.col("due_month").alias("mes"), "due_month_num", "due_year").agg(
         contracts_n.alias("total_active_contracts"),
-        rnd(F.sum("exposure").cast("double"), 2).alias("total_exposure"),
-        F.sum("due").cast("double").alias("total_amount_due"),
+        rnd(from_units(F.sum("exposure")), 2).alias("total_exposure"),
+        from_units(F.sum("due")).alias("total_amount_due"),
         pct(F.sum("n_defaulted"), F.sum("n_rows"), 2).alias("default_rate"),
-        pct(F.count(F.when(F.col("any_90plus"), cid)), contracts_n, 2).alias("npl_ratio"),
+        pct(F.count(F.when(F.col("any_90plus") == 1, cid)), contracts_n, 2).alias("npl_ratio"),
         pct(F.count(F.when(F.col("product_type") == "personal_loan", cid)), contracts_n, 1)
          .alias("pct_personal_loan"),
         pct(F.count(F.when(F.col("product_type") == "vehicle_financing", cid)), contracts_n, 1)

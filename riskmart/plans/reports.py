@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, int_avg, lit_date, rnd, safe_div
+from riskmart.functions import dec_avg, dec_sum, int_avg, lit_date, rnd, safe_div
 
 # Reference parameters (the fixture family passes its own values, see ``sources.fixtures``).
 SINCE = dt.date(2023, 1, 1)
@@ -35,7 +35,7 @@ def _share(count_col: str = "n") -> Column:
 def portfolio_kpis(stg_contracts: DataFrame) -> DataFrame:
     c = stg_contracts.where(F.col("status") == "active")
     return c.agg(
-        rnd(F.sum(F.col("principal_amount").cast("decimal(18,2)")).cast("double") / F.lit(1e9), 2).alias("carteira_bi"),
+        rnd(dec_sum("principal_amount") / F.lit(1e9), 2).alias("carteira_bi"),
         F.countDistinct("customer_id").alias("total_contratos"),
         rnd(dec_avg("interest_rate", 4) * F.lit(100.0), 2).alias("taxa_media_pct"),
     )

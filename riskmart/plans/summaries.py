@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import int_avg, rnd, safe_div
+from riskmart.functions import dec_avg, int_avg, rnd, safe_div, to_units
 
 
 def _count_when(cond) -> F.Column:
@@ -55,13 +55,12 @@ def dataset_report(sources: dict[str, DataFrame]) -> DataFrame:
     parts.append(_metric(pay, "default_geral", rnd(safe_div(_count_when(is_def), F.count(F.lit(1))) * 100.0, 4)))
     janfev = pay.where(F.month(F.col("due_date").cast("date")).isin(1, 2))
     parts.append(_metric(janfev, "default_janfev", rnd(safe_div(_count_when(is_def), F.count(F.lit(1))) * 100.0, 4)))
-    principal = F.col("principal_amount").cast("decimal(18,2)")
-    parts.append(_metric(cont, "avg_ticket",
-                         rnd(safe_div(F.sum(principal).cast("double"), F.count(principal)), 4)))
-    # mean of principal * term / 12 * (1 + rate), summed exactly in decimals
-    value = principal * F.col("installments_total").cast("decimal(10,0)") * (
-        F.lit(1).cast("decimal(1,0)") + F.col("interest_rate").cast("decimal(18,4)"))
-    parts.append(_metric(cont, "ltv", rnd(safe_div(F.sum(value).cast("double"),
+    parts.append(_metric(cont, "avg_ticket", rnd(dec_avg("principal_amount", 2), 4)))
+    # mean of principal * term / 12 * (1 + rate): cents x term x (1 + rate in 1e-4 units) is an
+    # exact integer per row; summed as decimal(38,0) so the total cannot overflow
+    value = (to_units("principal_amount", 2) * F.col("installments_total").cast("long")
+             * (F.lit(10000) + to_units("interest_rate", 4))).cast("decimal(38,0)")
+    parts.append(_metric(cont, "ltv", rnd(safe_div(F.sum(value).cast("double") / F.lit(1e6),
                                                    F.count(value) * F.lit(12.0)), 4)))
     # tiny tables below: one row per channel / product (domain-bounded)
     top = cust.groupBy("acquisition_channel").count()

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from riskmart.sources.schemas import SOURCE_TABLES, column_names
 
 
@@ -25,20 +23,20 @@ def read_sources(spark: SparkSession, src_dir: str, tables=SOURCE_TABLES) -> dic
 
 
 def validate_sources(spark: SparkSession, src_dir: str, tables=SOURCE_TABLES) -> DataFrame:
-    """One row per source file: table, file path, file size.  Raises if a table has no file.
+    """One row per source table: table, path, bytes.  Raises listing every missing table.
 
-    Uses the Parquet ``_metadata`` column, so only footers are touched, never the data pages.
+    Only file-system metadata is read (Hadoop FileSystem API), no data and no Spark job.
     """
-    frames = []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows, missing = [], []
     for t in tables:
-        try:
-            df = spark.read.parquet(source_path(src_dir, t))
-        except Exception as exc:  # AnalysisException: path does not exist
-            raise MissingSourceError(f"source table '{t}' not found under {src_dir}") from exc
-        frames.append(df.select(F.lit(t).alias("table_name"),
-                                F.col("_metadata.file_path").alias("file_path"),
-                                F.col("_metadata.file_size").alias("file_size")).distinct())
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        path = jvm.org.apache.hadoop.fs.Path(source_path(src_dir, t))
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            missing.append(t)
+            continue
+        rows.append((t, path.toString(), int(fs.getContentSummary(path).getLength())))
+    if missing:
+        raise MissingSourceError(f"source tables missing under {src_dir}: {missing}")
+    return spark.createDataFrame(rows, "table_name string, file_path string, file_size long")
