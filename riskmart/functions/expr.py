@@ -15,8 +15,10 @@ inside whole-stage codegen.  Two rules make results exact and engine-independent
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import threading
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,25 +26,75 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# The numeric helpers are session-scoped SQL functions: Catalyst inlines their bodies, so they
+# run inside whole-stage codegen like any built-in expression, while building a plan costs one
+# call per use instead of a dozen Column operations.
+_SQL_FUNCTIONS = [
+    # nearest integer, ties away from zero (exact for |x| < 2**52; r - 0.5 is exact)
+    ("rm_round_half_away", "x DOUBLE", "DOUBLE",
+     "CASE WHEN x < 0 THEN -(CASE WHEN floor(-x + 0.5D) - 0.5D > -x THEN floor(-x + 0.5D) - 1 ELSE floor(-x + 0.5D) END)"
+     " ELSE (CASE WHEN floor(x + 0.5D) - 0.5D > x THEN floor(x + 0.5D) - 1 ELSE floor(x + 0.5D) END) END"),
+    # round(x, n), binary-scaled, never -0.0
+    ("rm_rnd", "x DOUBLE, n INT", "DOUBLE", "rm_round_half_away(x * power(10, n)) / power(10, n) + 0.0D"),
+    # a decimal-grid double as integer units of 10**-s
+    ("rm_units", "x DOUBLE, s INT", "BIGINT", "CAST(rm_round_half_away(x * power(10, s)) AS BIGINT)"),
+    ("rm_from_units", "u BIGINT, s INT", "DOUBLE", "CAST(u AS DOUBLE) / power(10, s)"),
+    ("rm_safe_div", "a DOUBLE, b DOUBLE", "DOUBLE", "a / nullif(b, 0.0D)"),
+    ("rm_pct", "a DOUBLE, b DOUBLE, n INT", "DOUBLE", "rm_rnd(rm_safe_div(a, b) * 100.0D, n)"),
+]
+_REGISTERED: set[str] = set()
+_LOCK = threading.Lock()
+
+
+def register_sql_functions(spark: SparkSession) -> None:
+    """Create the helper SQL functions in ``spark`` (idempotent, once per session)."""
+    key = spark._jsparkSession.sessionUUID()
+    if key in _REGISTERED:
+        return
+    with _LOCK:
+        if key in _REGISTERED:
+            return
+        for name, params, ret, body in _SQL_FUNCTIONS:
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {ret} RETURN {body}")
+        _REGISTERED.add(key)
+
+
+def uses_sql_functions(*frames) -> None:
+    """Make sure the sessions of ``frames`` know the helper functions (call at a model's start)."""
+    for df in frames:
+        register_sql_functions(df.sparkSession)
+
+
+def model(fn):
+    """Decorator for model functions: registers the helper SQL functions in the session of the
+    first DataFrame argument (directly or inside a dict of DataFrames)."""
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        for a in list(args) + list(kwargs.values()):
+            frames = list(a.values()) if isinstance(a, dict) else [a]
+            df = next((f for f in frames if isinstance(f, DataFrame)), None)
+            if df is not None:
+                register_sql_functions(df.sparkSession)
+                break
+        return fn(*args, **kwargs)
+
+    return wrapper
+
+
 def round_half_away(x) -> Column:
     """Nearest integer (as double), ties away from zero, exact for |x| < 2**52."""
-    x = _c(x).cast("double")
-    a = F.abs(x)
-    r = F.floor(a + F.lit(0.5)).cast("double")
-    # a + 0.5 can round up for the largest double below .5; r - a is exact here
-    r = F.when(r - a > F.lit(0.5), r - F.lit(1.0)).otherwise(r)
-    return F.when(x < 0, -r).otherwise(r)
+    return F.call_function("rm_round_half_away", _c(x))
 
 
 def rnd(x, n: int) -> Column:
     """round(x, n) on a double, half away from zero, binary-scaled (never returns -0.0)."""
-    scale = F.lit(float(10 ** n))
-    return round_half_away(_c(x).cast("double") * scale) / scale + F.lit(0.0)
+    return F.call_function("rm_rnd", _c(x), F.lit(n))
 
 
 def to_units(x, scale: int = 2) -> Column:
     """A decimal-grid double as integer units of 10**-scale (e.g. cents), as BIGINT."""
-    return round_half_away(_c(x).cast("double") * F.lit(float(10 ** scale))).cast("long")
+    return F.call_function("rm_units", _c(x), F.lit(scale))
 
 
 def units_sum(x, scale: int = 2) -> Column:
@@ -51,12 +103,12 @@ def units_sum(x, scale: int = 2) -> Column:
 
 
 def from_units(units, scale: int = 2) -> Column:
-    return _c(units).cast("double") / F.lit(float(10 ** scale))
+    return F.call_function("rm_from_units", _c(units), F.lit(scale))
 
 
 def flag(cond: Column) -> Column:
     """``CASE WHEN cond THEN true ELSE false END`` (a null condition gives false)."""
-    return F.when(cond, F.lit(True)).otherwise(F.lit(False))
+    return F.coalesce(cond, F.lit(False))
 
 
 def sum_flag(x) -> Column:
@@ -72,23 +124,23 @@ def dec_sum(x, scale: int = 2) -> Column:
 def dec_avg(x, scale: int = 2) -> Column:
     """Average computed as exact decimal sum / count (null when no non-null value)."""
     c = _c(x)
-    return dec_sum(c, scale) / F.nullif(F.count(c).cast("double"), F.lit(0.0))
+    return safe_div(dec_sum(c, scale), F.count(c))
 
 
 def int_avg(x) -> Column:
     """Average of an integer column as exact sum / count."""
     c = _c(x)
-    return F.sum(c).cast("double") / F.nullif(F.count(c).cast("double"), F.lit(0.0))
+    return safe_div(F.sum(c), F.count(c))
 
 
 def safe_div(num, den) -> Column:
     """``num / nullif(den, 0)`` in double arithmetic."""
-    return _c(num).cast("double") / F.nullif(_c(den).cast("double"), F.lit(0.0))
+    return F.call_function("rm_safe_div", _c(num), _c(den))
 
 
 def pct(num, den, n: int) -> Column:
     """``round(num / nullif(den, 0) * 100, n)``."""
-    return rnd(safe_div(num, den) * F.lit(100.0), n)
+    return F.call_function("rm_pct", _c(num), _c(den), F.lit(n))
 
 
 def lit_date(d) -> Column:

@@ -11,10 +11,12 @@ Per model, every ``not_null`` and ``accepted_values`` check runs in **one** aggr
 (the accepted-value distincts are over low-cardinality columns, so partial aggregation keeps
 the shuffle tiny).  ``unique`` is a grouped count with map-side combine; ``relationships`` a
 left-anti join.  The result is a DataFrame ``(layer, model, column_name, test, failures)``.
+The checks are written as Spark SQL over temporary views: one statement per run.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -138,57 +140,74 @@ def count_checks(catalogue: dict[str, ModelTests] = CATALOGUE) -> int:
                for t in catalogue.values())
 
 
-def _rows(layer: str, model: str, items: list[tuple[str, str, str]], agg_row: DataFrame) -> DataFrame:
-    """Unpivot one wide aggregate row into (layer, model, column_name, test, failures) rows."""
-    structs = [F.struct(F.lit(layer).alias("layer"), F.lit(model).alias("model"), F.lit(col).alias("column_name"),
-                        F.lit(test).alias("test"), F.col(alias).cast("long").alias("failures"))
-               for col, test, alias in items]
-    return agg_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+def _q(name: str) -> str:
+    return f"`{name}`"
 
 
-def model_checks(model: str, df: DataFrame, tests: ModelTests,
-                 parents: dict[str, DataFrame] | None = None) -> list[DataFrame]:
-    out: list[DataFrame] = []
-    items, aggs = [], []
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+
+
+def checks_sql(model: str, view: str, tests: ModelTests, parent_views: dict[str, str]) -> str:
+    """Spark SQL for one model's checks: one aggregate pass (not_null + accepted_values, unpivoted
+    with ``stack``), a grouped count per unique key, an anti-join per relationship."""
+    parts = []
+    items = []
+    aggs = []
     for i, col in enumerate(tests.not_null):
-        alias = f"_nn{i}"
-        aggs.append(F.count_if(F.col(col).isNull()).alias(alias))
-        items.append((col, "not_null", alias))
+        aggs.append(f"count_if({_q(col)} IS NULL) AS _nn{i}")
+        items.append((col, "not_null", f"_nn{i}"))
     for i, (col, values) in enumerate(tests.accepted_values.items()):
-        alias = f"_av{i}"
-        c = F.col(col)
-        aggs.append(F.countDistinct(F.when(c.isNotNull() & ~c.isin(*values), c)).alias(alias))
-        items.append((col, "accepted_values", alias))
+        c = _q(col)
+        aggs.append(f"count(DISTINCT CASE WHEN {c} IS NOT NULL AND {c} NOT IN ({_sql_list(values)}) THEN {c} END) AS _av{i}")
+        items.append((col, "accepted_values", f"_av{i}"))
+    head = f"'{tests.layer}' AS layer, '{model}' AS model"
     if aggs:
-        out.append(_rows(tests.layer, model, items, df.agg(*aggs)))
+        stack = ", ".join(f"'{col}', '{test}', CAST({alias} AS BIGINT)" for col, test, alias in items)
+        parts.append(f"SELECT {head}, column_name, test, failures FROM "
+                     f"(SELECT stack({len(items)}, {stack}) AS (column_name, test, failures) "
+                     f"FROM (SELECT {', '.join(aggs)} FROM {view}))")
     for col in tests.unique:
-        dup = (df.where(F.col(col).isNotNull()).groupBy(col).count().where(F.col("count") > 1)
-                 .agg(F.count(F.lit(1)).alias("_u")))
-        out.append(_rows(tests.layer, model, [(col, "unique", "_u")], dup))
+        c = _q(col)
+        parts.append(f"SELECT {head}, '{col}' AS column_name, 'unique' AS test, count(*) AS failures FROM "
+                     f"(SELECT {c} FROM {view} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
     for col, (parent, key) in tests.relationships.items():
-        if parents is None or parent not in parents:
+        if parent not in parent_views:
             raise KeyError(f"relationships test on {model}.{col} needs model '{parent}'")
-        orphans = (df.select(col).where(F.col(col).isNotNull())
-                     .join(parents[parent].select(F.col(key).alias("_pk")), F.col(col) == F.col("_pk"), "left_anti")
-                     .agg(F.count(F.lit(1)).alias("_r")))
-        out.append(_rows(tests.layer, model, [(col, "relationships", "_r")], orphans))
-    return out
+        c = _q(col)
+        parts.append(f"SELECT {head}, '{col}' AS column_name, 'relationships' AS test, count(*) AS failures "
+                     f"FROM {view} ch LEFT ANTI JOIN {parent_views[parent]} pa ON ch.{c} = pa.{_q(key)} "
+                     f"WHERE ch.{c} IS NOT NULL")
+    return "\nUNION ALL\n".join(parts)
 
 
 def run_checks(models: dict[str, DataFrame], catalogue: dict[str, ModelTests] = CATALOGUE,
                parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All checks of the models present in ``models`` as one DataFrame."""
-    parents = {**models, **(parents or {})}
-    frames: list[DataFrame] = []
-    for model, tests in catalogue.items():
-        if model in models:
-            frames.extend(model_checks(model, models[model], tests, parents))
-    if not frames:
+    """All checks of the models present in ``models`` as one DataFrame
+    ``(layer, model, column_name, test, failures)``.
+
+    The checks are rendered as one Spark SQL statement over temporary views, so the whole
+    check plan is built and analysed once inside the JVM.
+    """
+    frames = {**(parents or {}), **models}
+    present = [m for m in catalogue if m in models]
+    if not present:
         raise ValueError("no model to check")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    spark = models[present[0]].sparkSession
+    tag = uuid.uuid4().hex[:12]
+    views = {}
+    needed = set(present) | {p for m in present for p, _ in catalogue[m].relationships.values()}
+    for m in needed:
+        if m not in frames:
+            raise KeyError(f"relationships test needs model '{m}'")
+        views[m] = f"dq_{tag}_{m}"
+        frames[m].createOrReplaceTempView(views[m])
+    try:
+        sql = "\nUNION ALL\n".join(checks_sql(m, views[m], catalogue[m], views) for m in present)
+        return spark.sql(sql)
+    finally:
+        for v in views.values():
+            spark.catalog.dropTempView(v)
 
 
 def gate(results: DataFrame, layer: str) -> None:

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, dec_sum, int_avg, lit_date, rnd, safe_div
+from riskmart.functions import model, dec_avg, dec_sum, int_avg, lit_date, rnd, safe_div
 
 # Reference parameters: cut-off, label window end, "recent" start and event window.
 CUTOFF = dt.date(2024, 6, 30)
@@ -38,6 +38,7 @@ def _count_when(cond) -> F.Column:
     return F.count(F.when(cond, 1))
 
 
+@model
 def default_features(stg: dict[str, DataFrame], cutoff=CUTOFF, label_end=LABEL_END,
                      recent_start=RECENT_START, event_start=EVENT_START, event_end=EVENT_END) -> DataFrame:
     """Point-in-time features at ``cutoff`` and the label "any payment due in
@@ -103,6 +104,7 @@ def default_features(stg: dict[str, DataFrame], cutoff=CUTOFF, label_end=LABEL_E
     return out.fillna(0)
 
 
+@model
 def alert_features(score: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """Second feature set (L7): the score mart plus declared income; label ``alert_30d``."""
     c = stg_customers.select("customer_id", F.col("income_declared").alias("_income"))

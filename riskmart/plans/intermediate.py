@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import (dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, safe_div,
+from riskmart.functions import (model, dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, safe_div,
                                 sum_flag, to_units, units_sum)
 
 
@@ -26,6 +26,7 @@ def _sorted_distinct_list(col: str, sep: str = ", ") -> F.Column:
     return F.when(F.size(s) > 0, F.array_join(s, sep))
 
 
+@model
 def int_customer_credit_profile(customers: DataFrame, contracts: DataFrame, payments: DataFrame,
                                 as_of=None) -> DataFrame:
     as_of = lit_date(as_of)
@@ -76,6 +77,7 @@ def int_customer_credit_profile(customers: DataFrame, contracts: DataFrame, paym
     )
 
 
+@model
 def int_customer_digital_behavior(customers: DataFrame, events: DataFrame) -> DataFrame:
     monthly = events.groupBy("customer_id", "event_month").agg(
         F.count(F.lit(1)).alias("events_total"),
@@ -111,6 +113,7 @@ def int_customer_digital_behavior(customers: DataFrame, events: DataFrame) -> Da
     return scored.join(c, "customer_id", "left")
 
 
+@model
 def int_payment_performance(payments: DataFrame, contracts: DataFrame) -> DataFrame:
     joined = payments.join(contracts.select("contract_id", "product_type"), "contract_id", "left")
     paid = dec_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0)))
@@ -137,6 +140,7 @@ def int_payment_performance(payments: DataFrame, contracts: DataFrame) -> DataFr
     )
 
 
+@model
 def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments: DataFrame,
                             proposals: DataFrame) -> DataFrame:
     proposal_agg = proposals.groupBy("customer_id").agg(
@@ -185,6 +189,7 @@ def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments
     )
 
 
+@model
 def build_intermediate(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     return {
         "int_customer_credit_profile": int_customer_credit_profile(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, sum_flag, units_sum
+from riskmart.functions import model, dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, sum_flag, units_sum
 from riskmart.operators.ranking import dist_ntile, dist_percent_rank
 
 # Age-group score of the profile component.
@@ -18,6 +18,7 @@ AGE_SCORES = {"18-25": 75, "26-35": 80, "36-45": 65, "46-60": 70, "60+": 72}
 AGE_SCORE_OTHER = 50
 
 
+@model
 def latest_behavior(behavior: DataFrame) -> DataFrame:
     """Latest active month per customer (``row_number() ... = 1`` as a grouped max_by)."""
     b = behavior.groupBy("customer_id").agg(
@@ -26,6 +27,7 @@ def latest_behavior(behavior: DataFrame) -> DataFrame:
     return b.select("customer_id", "b.app_engagement_score", "b.days_since_last_login", "b.trend_30d")
 
 
+@model
 def fct_credit_score(profile: DataFrame, behavior: DataFrame, customers: DataFrame) -> DataFrame:
     income = dist_percent_rank(customers.select("customer_id", "income_declared"), "income_declared",
                                ["customer_id"], "_prank").select(
@@ -75,6 +77,7 @@ def fct_credit_score(profile: DataFrame, behavior: DataFrame, customers: DataFra
     )
 
 
+@model
 def fct_customer_ltv(profile: DataFrame, acquisition: DataFrame) -> DataFrame:
     # one row per acquisition channel: bounded by the channel domain
     channel = acquisition.select(
@@ -103,6 +106,7 @@ def fct_customer_ltv(profile: DataFrame, acquisition: DataFrame) -> DataFrame:
     )
 
 
+@model
 def fct_portfolio_health(payments: DataFrame, contracts: DataFrame) -> DataFrame:
     c = contracts.select(F.col("contract_id").alias("c_contract_id"), "principal_amount", "product_type")
     p = payments.select("contract_id", "due_month", "due_year", "due_month_num", "is_defaulted",
@@ -144,6 +148,7 @@ def fct_portfolio_health(payments: DataFrame, contracts: DataFrame) -> DataFrame
     )
 
 
+@model
 def fct_collection_efficiency(collections: DataFrame) -> DataFrame:
     d = F.col("days_overdue_at_trigger")
     bucket = (F.when(d.between(1, 7), "early").when(d.between(8, 30), "mid")
@@ -169,6 +174,7 @@ def fct_collection_efficiency(collections: DataFrame) -> DataFrame:
                .withColumn("is_best_window", flag(F.col("trigger_bucket") == F.col("best_trigger_bucket"))))
 
 
+@model
 def rfm_segment(code):
     """Segment rule over the three-digit RFM code; the rule order matters (first match wins)."""
     return (F.when(code.isin("444", "443", "434", "344"), "champion")
@@ -178,6 +184,7 @@ def rfm_segment(code):
             .otherwise("promising"))
 
 
+@model
 def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
     as_of = lit_date(as_of)
     p = payments.where(F.col("payment_date").isNotNull() | (F.col("status") == "defaulted"))
@@ -208,6 +215,7 @@ def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None) ->
     )
 
 
+@model
 def build_marts(stg: dict[str, DataFrame], inter: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     return {
         "fct_credit_score": fct_credit_score(inter["int_customer_credit_profile"],

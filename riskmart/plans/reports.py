@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, dec_sum, int_avg, lit_date, rnd, safe_div
+from riskmart.functions import model, dec_avg, dec_sum, int_avg, lit_date, rnd, safe_div
 
 # Reference parameters (the fixture family passes its own values, see ``sources.fixtures``).
 SINCE = dt.date(2023, 1, 1)
@@ -41,6 +41,7 @@ def portfolio_kpis(stg_contracts: DataFrame) -> DataFrame:
     )
 
 
+@model
 def default_rate(portfolio: DataFrame, since=SINCE) -> DataFrame:
     p = portfolio.where(F.col("mes") >= lit_date(since))
     rate, peak = F.col("default_rate"), F.col("is_peak_month")
@@ -51,10 +52,12 @@ def default_rate(portfolio: DataFrame, since=SINCE) -> DataFrame:
     )
 
 
+@model
 def active_customers(stg_customers: DataFrame) -> DataFrame:
     return stg_customers.where(F.col("is_active")).agg(F.count(F.lit(1)).alias("clientes_ativos"))
 
 
+@model
 def ltv_summary(ltv: DataFrame) -> DataFrame:
     seg, v = F.col("ltv_segment"), F.col("realized_ltv")
     return ltv.agg(
@@ -64,12 +67,14 @@ def ltv_summary(ltv: DataFrame) -> DataFrame:
     )
 
 
+@model
 def monthly_default(portfolio: DataFrame, since=SINCE) -> DataFrame:
     return portfolio.where(F.col("mes") >= lit_date(since)).select(
         F.col("mes").cast("string").alias("mes"), "default_rate", "npl_ratio", "is_peak_month",
         F.when(F.col("is_peak_month"), F.col("default_rate")).alias("peak_rate"))
 
 
+@model
 def product_risk(performance: DataFrame) -> DataFrame:
     return performance.groupBy("product_type").agg(
         rnd(dec_avg("default_rate_pct", 2), 2).alias("default_rate"),
@@ -77,6 +82,7 @@ def product_risk(performance: DataFrame) -> DataFrame:
         F.sum("total_payments").alias("total_pagamentos"))
 
 
+@model
 def exposure_monthly(portfolio: DataFrame, since=SINCE) -> DataFrame:
     return portfolio.where(F.col("mes") >= lit_date(since)).select(
         F.col("mes").cast("string").alias("mes"),
@@ -90,12 +96,14 @@ def score_dist_detail(score: DataFrame, k: int = 500) -> DataFrame:
             .select("risk_tier", "credit_score", "alert_30d", "overall_default_rate", "app_engagement_score"))
 
 
+@model
 def score_buckets(score: DataFrame) -> DataFrame:
     bucket = (F.floor(F.col("credit_score") / F.lit(50.0)) * F.lit(50)).cast("double")
     return score.groupBy(bucket.alias("score_bucket")).agg(
         F.count(F.lit(1)).alias("clientes"), _count_when(F.col("alert_30d")).alias("em_alerta"))
 
 
+@model
 def optimal_collection(collection: DataFrame, k: int = 10) -> DataFrame:
     return (collection.orderBy(F.col("recovery_rate_pct").desc(), "channel_used", "trigger_bucket").limit(k)
             .select(F.col("trigger_bucket").alias("janela"), F.col("channel_used").alias("canal"),
@@ -112,6 +120,7 @@ def score_distribution(score: DataFrame) -> DataFrame:
     return g.select("faixa", F.col("n").alias("clientes"), _share().alias("pct"))
 
 
+@model
 def risk_tier_summary(score: DataFrame) -> DataFrame:
     g = score.groupBy("risk_tier").agg(
         F.count(F.lit(1)).alias("n"),
@@ -120,18 +129,21 @@ def risk_tier_summary(score: DataFrame) -> DataFrame:
     return g.select("risk_tier", F.col("n").alias("n_clientes"), _share().alias("pct"), "score_medio", "em_alerta")
 
 
+@model
 def channel_risk(acquisition: DataFrame) -> DataFrame:
     return acquisition.select(
         "acquisition_channel", rnd("default_rate_pct", 2).alias("inadimplencia"),
         rnd("avg_ltv", 0).alias("ltv_medio"), "total_customers", rnd("approval_rate_pct", 1).alias("taxa_aprovacao"))
 
 
+@model
 def alerts_detail(score: DataFrame, k: int = 100) -> DataFrame:
     return (score.where(F.col("alert_30d")).orderBy(F.col("credit_score").asc(), F.col("customer_id").asc()).limit(k)
             .select("customer_id", "risk_tier", "credit_score", "app_engagement_score", "overall_default_rate",
                     "acquisition_channel", "age_group", "avg_days_late"))
 
 
+@model
 def vintage_analysis(stg_contracts: DataFrame) -> DataFrame:
     cohort = F.date_trunc("quarter", F.col("contract_date")).cast("string")
     return stg_contracts.groupBy(cohort.alias("coorte_trimestre"), "product_type").agg(
@@ -139,6 +151,7 @@ def vintage_analysis(stg_contracts: DataFrame) -> DataFrame:
         rnd(safe_div(_count_when(F.col("is_defaulted")) * F.lit(100.0), F.count(F.lit(1))), 2).alias("default_rate"))
 
 
+@model
 def collection_eff(collection: DataFrame) -> DataFrame:
     return collection.select(
         F.col("channel_used").alias("canal"), F.col("trigger_bucket").alias("janela"),
@@ -157,6 +170,7 @@ def rfm_overview(segments: DataFrame) -> DataFrame:
                     "ticket_medio", "rfm_total_medio")
 
 
+@model
 def ltv_by_segment_channel(ltv: DataFrame, k: int = 20) -> DataFrame:
     g = ltv.groupBy("ltv_segment", "acquisition_channel").agg(
         F.count(F.lit(1)).alias("clientes"),
@@ -165,6 +179,7 @@ def ltv_by_segment_channel(ltv: DataFrame, k: int = 20) -> DataFrame:
     return g.orderBy(F.col("ltv_medio").desc(), "ltv_segment", "acquisition_channel").limit(k)
 
 
+@model
 def ltv_segment_summary(ltv: DataFrame) -> DataFrame:
     return ltv.groupBy("ltv_segment").agg(
         F.count(F.lit(1)).alias("clientes"),
@@ -173,6 +188,7 @@ def ltv_segment_summary(ltv: DataFrame) -> DataFrame:
         rnd(int_avg("total_contracts"), 1).alias("contratos_medio"))
 
 
+@model
 def digital_by_segment(segments: DataFrame, behavior: DataFrame) -> DataFrame:
     # behaviour rows of the latest month overall: equi-join on a one-row aggregate (broadcast)
     latest = behavior.agg(F.max("event_month").alias("_m"))
@@ -204,53 +220,63 @@ def header_kpis(score: DataFrame, portfolio: DataFrame, min_contracts: int = MIN
         F.count(F.when(F.col("alert_30d"), 1)).alias("alertas_30d"))
 
 
+@model
 def monthly_line(portfolio: DataFrame, min_contracts: int = MIN_MONTH_CONTRACTS) -> DataFrame:
     return portfolio.where(F.col("total_active_contracts") > min_contracts).select(
         F.date_format("mes", "yyyy-MM").alias("mes_str"), F.col("default_rate").alias("default_pct"),
         "is_peak_month")
 
 
+@model
 def product_bars(performance: DataFrame) -> DataFrame:
     return performance.where(F.col("product_type").isNotNull()).groupBy("product_type").agg(
         rnd(dec_avg("default_rate_pct", 2), 2).alias("default_pct"),
         F.count(F.lit(1)).alias("total_contratos"))
 
 
+@model
 def alert_count(score: DataFrame) -> DataFrame:
     return score.where(F.col("alert_30d")).agg(F.count(F.lit(1)).alias("total"))
 
 
+@model
 def tier_distribution(score: DataFrame) -> DataFrame:
     g = score.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"))
     return g.select("risk_tier", F.col("n").alias("clientes"), _share().alias("pct"))
 
 
+@model
 def channel_risk_dashboard(acquisition: DataFrame) -> DataFrame:
     return acquisition.select("acquisition_channel", rnd("default_rate_pct", 2).alias("default_pct"),
                               rnd("avg_ltv", 0).alias("ltv_medio"), "total_customers")
 
 
+@model
 def top_alerts(score: DataFrame, k: int = 20) -> DataFrame:
     return (score.where(F.col("alert_30d")).orderBy(F.col("credit_score").asc(), F.col("customer_id").asc()).limit(k)
             .select("customer_id", rnd("credit_score", 0).alias("score"), "risk_tier",
                     rnd("app_engagement_score", 1).alias("engagement")))
 
 
+@model
 def segment_counts(segments: DataFrame) -> DataFrame:
     return segments.groupBy("segment").agg(F.count(F.lit(1)).alias("clientes"))
 
 
+@model
 def ltv_by_segment(ltv: DataFrame) -> DataFrame:
     return ltv.groupBy("ltv_segment").agg(rnd(dec_avg("realized_ltv", 2), 0).alias("ltv_medio"),
                                           F.count(F.lit(1)).alias("clientes"))
 
 
+@model
 def channel_quality(acquisition: DataFrame) -> DataFrame:
     return acquisition.select("acquisition_channel", "total_customers",
                               rnd("approval_rate_pct", 1).alias("aprovacao_pct"),
                               rnd("default_rate_pct", 2).alias("default_pct"), rnd("avg_ltv", 0).alias("avg_ltv"))
 
 
+@model
 def score_histogram(score: DataFrame, bins: int = 50, lo: float = 0.0, hi: float = 1000.0) -> DataFrame:
     """Counts per (tier, equal-width score bin).  Scores are clamped to [0, 1000] by the mart, so
     the bin edges are fixed and no pass over the data is needed to find them."""
@@ -270,11 +296,13 @@ def top_at_risk(score: DataFrame, k: int = 10) -> DataFrame:
                     "avg_days_late"))
 
 
+@model
 def channel_by_ltv(acquisition: DataFrame) -> DataFrame:
     return acquisition.select("acquisition_channel", rnd("avg_ltv", 0).alias("ltv_medio"),
                               rnd("default_rate_pct", 2).alias("inadimplencia_pct"), "total_customers")
 
 
+@model
 def best_collection_window(collection: DataFrame) -> DataFrame:
     return collection.where(F.col("is_best_window")).select(
         "channel_used", "trigger_bucket", rnd("recovery_rate_pct", 2).alias("recuperacao_pct"),

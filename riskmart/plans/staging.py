@@ -2,150 +2,150 @@
 
 Pure projections — no shuffle.  They stay lazy (views); downstream models fuse them into their
 own scans, so Catalyst prunes columns and pushes filters straight into the Parquet reader.
-The audit columns ``_loaded_at`` / ``_source`` are added by the writer, not here.
+Each view is one ``selectExpr`` (Spark SQL expressions, parsed once in the JVM).  The audit
+columns ``_loaded_at`` / ``_source`` are added by the writer, not here.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from riskmart.functions import flag, lit_date, rnd
+from riskmart.functions import model
+
+
+def _date_sql(as_of) -> str:
+    if as_of is None:
+        return "current_date()"
+    if isinstance(as_of, dt.datetime):
+        as_of = as_of.date()
+    if isinstance(as_of, str):
+        as_of = dt.date.fromisoformat(as_of)
+    return f"DATE'{as_of.isoformat()}'"
 
 
+@model
 def stg_customers(raw: DataFrame, as_of=None) -> DataFrame:
-    as_of = lit_date(as_of)
-    birth = F.col("birth_date").cast("date")
-    return raw.select(
+    return raw.selectExpr(
         "customer_id", "name", "cpf_hash",
-        birth.alias("birth_date"),
+        "CAST(birth_date AS DATE) AS birth_date",
         "age_group", "acquisition_channel", "state", "city",
-        F.col("income_declared").cast("double").alias("income_declared"),
-        F.col("signup_date").cast("date").alias("signup_date"),
+        "CAST(income_declared AS DOUBLE) AS income_declared",
+        "CAST(signup_date AS DATE) AS signup_date",
         "customer_segment",
-        F.col("is_active").cast("boolean").alias("is_active"),
-        F.col("products_count").cast("int").alias("products_count"),
+        "CAST(is_active AS BOOLEAN) AS is_active",
+        "CAST(products_count AS INT) AS products_count",
         # year-boundary difference (not completed years)
-        (F.year(as_of) - F.year(birth)).alias("age"),
-        flag(F.col("income_declared") == 0).alias("has_zero_income"),
-        flag(F.col("products_count") >= 2).alias("is_multi_product"),
+        f"year({_date_sql(as_of)}) - year(CAST(birth_date AS DATE)) AS age",
+        "coalesce(income_declared = 0, false) AS has_zero_income",
+        "coalesce(products_count >= 2, false) AS is_multi_product",
     )
 
 
+@model
 def stg_contracts(raw: DataFrame, as_of=None) -> DataFrame:
-    as_of = lit_date(as_of)
-    total = F.col("installments_total").cast("int")
-    paid = F.col("installments_paid").cast("int")
-    return raw.select(
+    return raw.selectExpr(
         "contract_id", "customer_id", "product_type",
-        F.col("contract_date").cast("date").alias("contract_date"),
-        F.col("maturity_date").cast("date").alias("maturity_date"),
-        F.col("principal_amount").cast("double").alias("principal_amount"),
-        F.col("interest_rate").cast("double").alias("interest_rate"),
-        total.alias("installments_total"),
-        paid.alias("installments_paid"),
+        "CAST(contract_date AS DATE) AS contract_date",
+        "CAST(maturity_date AS DATE) AS maturity_date",
+        "CAST(principal_amount AS DOUBLE) AS principal_amount",
+        "CAST(interest_rate AS DOUBLE) AS interest_rate",
+        "CAST(installments_total AS INT) AS installments_total",
+        "CAST(installments_paid AS INT) AS installments_paid",
         "status", "collateral",
-        F.datediff(F.col("maturity_date").cast("date"), as_of).alias("days_to_maturity"),
-        rnd(paid.cast("double") / F.nullif(total.cast("double"), F.lit(0.0)), 4).alias("completion_rate"),
-        flag(F.col("status") == "defaulted").alias("is_defaulted"),
-        flag(F.col("status") == "active").alias("is_active_contract"),
-        flag(F.col("status") == "settled").alias("is_settled"),
-        flag(F.col("collateral") != "none").alias("has_collateral"),
+        f"datediff(CAST(maturity_date AS DATE), {_date_sql(as_of)}) AS days_to_maturity",
+        "rm_rnd(rm_safe_div(CAST(installments_paid AS DOUBLE), CAST(installments_total AS DOUBLE)), 4)"
+        " AS completion_rate",
+        "coalesce(status = 'defaulted', false) AS is_defaulted",
+        "coalesce(status = 'active', false) AS is_active_contract",
+        "coalesce(status = 'settled', false) AS is_settled",
+        "coalesce(collateral != 'none', false) AS has_collateral",
     )
 
 
+@model
 def stg_payments(raw: DataFrame) -> DataFrame:
-    due = F.col("due_date").cast("date")
-    late = F.col("days_late").cast("int")
-    bucket = (F.when(late <= 0, "on_time")
-              .when(late.between(1, 30), "1-30_days")
-              .when(late.between(31, 60), "31-60_days")
-              .when(late.between(61, 90), "61-90_days")
-              .otherwise("90+_days"))
-    return raw.select(
+    return raw.selectExpr(
         "payment_id", "contract_id", "customer_id",
-        due.alias("due_date"),
-        F.col("payment_date").cast("date").alias("payment_date"),
-        F.col("amount_due").cast("double").alias("amount_due"),
-        F.col("amount_paid").cast("double").alias("amount_paid"),
-        late.alias("days_late"),
+        "CAST(due_date AS DATE) AS due_date",
+        "CAST(payment_date AS DATE) AS payment_date",
+        "CAST(amount_due AS DOUBLE) AS amount_due",
+        "CAST(amount_paid AS DOUBLE) AS amount_paid",
+        "CAST(days_late AS INT) AS days_late",
         "payment_method", "status",
-        flag(late > 0).alias("is_late"),
-        flag(F.col("status") == "defaulted").alias("is_defaulted"),
-        bucket.alias("lateness_bucket"),
-        F.trunc(due, "month").alias("due_month"),
-        F.year(due).alias("due_year"),
-        F.month(due).alias("due_month_num"),
+        "coalesce(days_late > 0, false) AS is_late",
+        "coalesce(status = 'defaulted', false) AS is_defaulted",
+        """CASE WHEN days_late <= 0 THEN 'on_time'
+                WHEN days_late BETWEEN 1 AND 30 THEN '1-30_days'
+                WHEN days_late BETWEEN 31 AND 60 THEN '31-60_days'
+                WHEN days_late BETWEEN 61 AND 90 THEN '61-90_days'
+                ELSE '90+_days' END AS lateness_bucket""",
+        "trunc(CAST(due_date AS DATE), 'month') AS due_month",
+        "year(CAST(due_date AS DATE)) AS due_year",
+        "month(CAST(due_date AS DATE)) AS due_month_num",
     )
 
 
+@model
 def stg_app_events(raw: DataFrame) -> DataFrame:
-    ts = F.col("event_date")
-    day = ts.cast("date")
-    return raw.select(
-        "event_id", "customer_id",
-        ts.alias("event_date"),
-        "event_type", "channel",
-        F.col("session_duration_seconds").cast("int").alias("session_duration_seconds"),
-        day.alias("event_day"),
-        F.trunc(day, "month").alias("event_month"),
-        F.hour(ts).alias("event_hour"),
-        (F.dayofweek(day) - 1).alias("day_of_week"),  # Sunday = 0
-        F.year(day).alias("event_year"),
-        flag(F.col("event_type") == "make_payment").alias("is_payment_event"),
-        flag(F.col("event_type") == "login").alias("is_login_event"),
-        flag(F.col("event_type").isin("view_offer", "accept_offer", "reject_offer")).alias("is_offer_event"),
+    return raw.selectExpr(
+        "event_id", "customer_id", "event_date", "event_type", "channel",
+        "CAST(session_duration_seconds AS INT) AS session_duration_seconds",
+        "CAST(event_date AS DATE) AS event_day",
+        "trunc(CAST(event_date AS DATE), 'month') AS event_month",
+        "hour(event_date) AS event_hour",
+        "dayofweek(CAST(event_date AS DATE)) - 1 AS day_of_week",  # Sunday = 0
+        "year(CAST(event_date AS DATE)) AS event_year",
+        "coalesce(event_type = 'make_payment', false) AS is_payment_event",
+        "coalesce(event_type = 'login', false) AS is_login_event",
+        "coalesce(event_type IN ('view_offer', 'accept_offer', 'reject_offer'), false) AS is_offer_event",
     )
 
 
+@model
 def stg_proposals(raw: DataFrame) -> DataFrame:
-    score = F.col("bureau_score").cast("int")
-    requested = F.col("requested_amount").cast("double")
-    approved = F.col("approved_amount").cast("double")
-    band = (F.when(score.isNull(), "unknown")
-            .when(score < 300, "very_low")
-            .when(score.between(300, 499), "low")
-            .when(score.between(500, 699), "medium")
-            .when(score.between(700, 849), "high")
-            .otherwise("very_high"))
-    pdate = F.col("proposal_date").cast("date")
-    return raw.select(
+    return raw.selectExpr(
         "proposal_id", "customer_id",
-        pdate.alias("proposal_date"),
+        "CAST(proposal_date AS DATE) AS proposal_date",
         "product_type",
-        requested.alias("requested_amount"),
-        approved.alias("approved_amount"),
-        F.col("interest_rate_offered").cast("double").alias("interest_rate_offered"),
+        "CAST(requested_amount AS DOUBLE) AS requested_amount",
+        "CAST(approved_amount AS DOUBLE) AS approved_amount",
+        "CAST(interest_rate_offered AS DOUBLE) AS interest_rate_offered",
         "decision", "rejection_reason",
-        score.alias("bureau_score"),
-        flag(F.col("decision") == "approved").alias("is_approved"),
-        flag(F.col("decision") == "rejected").alias("is_rejected"),
-        flag(score.isNull()).alias("is_missing_bureau"),
-        F.when((F.col("decision") == "approved") & (requested > 0),
-               rnd(approved / requested, 4)).alias("approval_ratio"),
-        band.alias("bureau_score_band"),
-        F.trunc(pdate, "month").alias("proposal_month"),
+        "CAST(bureau_score AS INT) AS bureau_score",
+        "coalesce(decision = 'approved', false) AS is_approved",
+        "coalesce(decision = 'rejected', false) AS is_rejected",
+        "bureau_score IS NULL AS is_missing_bureau",
+        """CASE WHEN decision = 'approved' AND requested_amount > 0
+                THEN rm_rnd(CAST(approved_amount AS DOUBLE) / CAST(requested_amount AS DOUBLE), 4) END
+                AS approval_ratio""",
+        """CASE WHEN bureau_score IS NULL THEN 'unknown'
+                WHEN bureau_score < 300 THEN 'very_low'
+                WHEN bureau_score BETWEEN 300 AND 499 THEN 'low'
+                WHEN bureau_score BETWEEN 500 AND 699 THEN 'medium'
+                WHEN bureau_score BETWEEN 700 AND 849 THEN 'high'
+                ELSE 'very_high' END AS bureau_score_band""",
+        "trunc(CAST(proposal_date AS DATE), 'month') AS proposal_month",
     )
 
 
+@model
 def stg_collections(raw: DataFrame) -> DataFrame:
-    overdue = F.col("days_overdue_at_trigger").cast("int")
-    trig = F.col("trigger_date").cast("date")
-    bucket = (F.when(overdue.between(1, 3), "early_1_3d")
-              .when(overdue.between(4, 30), "early_4_30d")
-              .when(overdue.between(31, 90), "mid_31_90d")
-              .otherwise("late_90plus"))
-    return raw.select(
+    return raw.selectExpr(
         "collection_id", "contract_id", "customer_id",
-        trig.alias("trigger_date"),
-        overdue.alias("days_overdue_at_trigger"),
+        "CAST(trigger_date AS DATE) AS trigger_date",
+        "CAST(days_overdue_at_trigger AS INT) AS days_overdue_at_trigger",
         "channel_used", "outcome",
-        F.col("recovery_amount").cast("double").alias("recovery_amount"),
-        F.col("resolution_days").cast("int").alias("resolution_days"),
-        flag(F.col("outcome").isin("paid", "renegotiated")).alias("is_recovered"),
-        flag(F.col("outcome").isNull()).alias("is_missing_outcome"),
-        bucket.alias("overdue_bucket"),
-        F.trunc(trig, "month").alias("trigger_month"),
+        "CAST(recovery_amount AS DOUBLE) AS recovery_amount",
+        "CAST(resolution_days AS INT) AS resolution_days",
+        "coalesce(outcome IN ('paid', 'renegotiated'), false) AS is_recovered",
+        "outcome IS NULL AS is_missing_outcome",
+        """CASE WHEN days_overdue_at_trigger BETWEEN 1 AND 3 THEN 'early_1_3d'
+                WHEN days_overdue_at_trigger BETWEEN 4 AND 30 THEN 'early_4_30d'
+                WHEN days_overdue_at_trigger BETWEEN 31 AND 90 THEN 'mid_31_90d'
+                ELSE 'late_90plus' END AS overdue_bucket""",
+        "trunc(CAST(trigger_date AS DATE), 'month') AS trigger_month",
     )
 
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import dec_avg, int_avg, rnd, safe_div, to_units
+from riskmart.functions import model, dec_avg, int_avg, rnd, safe_div, to_units
 
 
 def _count_when(cond) -> F.Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
 
 
+@model
 def quality_report(stg_customers: DataFrame, stg_payments: DataFrame, stg_contracts: DataFrame) -> DataFrame:
     """``(source, n, defaults, zero_income, avg_days_late, default_pct)``, one row per table."""
     null_l, null_d = F.lit(None).cast("long"), F.lit(None).cast("double")
@@ -43,6 +44,7 @@ def _metric(df: DataFrame, name: str, num=None, text=None) -> DataFrame:
                   (text if text is not None else F.lit(None)).cast("string").alias("value_text"))
 
 
+@model
 def dataset_report(sources: dict[str, DataFrame]) -> DataFrame:
     """Row counts and headline statistics of the six source tables: ``(metric, value_num, value_text)``.
 

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskmart.functions import register_sql_functions
 from riskmart.operators import quality
 from riskmart.pipeline import with_audit
 from riskmart.plans import features, intermediate, marts, reports, staging, summaries
@@ -22,6 +23,7 @@ class Layers:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=fixtures.AS_OF):
         self.spark = spark
+        register_sql_functions(spark)
         self.sf_dir = sf_dir
         self.as_of = as_of
 

@@ -32,6 +32,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    from riskmart.functions import register_sql_functions
+
+    register_sql_functions(spark)
     return spark
 
 
