@@ -28,7 +28,9 @@ def _c(x) -> Column:
 
 # The numeric helpers are session-scoped SQL functions: Catalyst inlines their bodies, so they
 # run inside whole-stage codegen like any built-in expression, while building a plan costs one
-# call per use instead of a dozen Column operations.
+# call per use instead of a dozen Column operations.  Their arguments are evaluated for every
+# row (in a projection below any enclosing CASE), so arguments must never raise: divide with
+# rm_safe_div, never with a bare ``/`` guarded only by an outer CASE.
 _SQL_FUNCTIONS = [
     # nearest integer, ties away from zero (exact for |x| < 2**52; r - 0.5 is exact)
     ("rm_round_half_away", "x DOUBLE", "DOUBLE",

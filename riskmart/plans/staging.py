@@ -118,7 +118,7 @@ def stg_proposals(raw: DataFrame) -> DataFrame:
         "coalesce(decision = 'rejected', false) AS is_rejected",
         "bureau_score IS NULL AS is_missing_bureau",
         """CASE WHEN decision = 'approved' AND requested_amount > 0
-                THEN rm_rnd(CAST(approved_amount AS DOUBLE) / CAST(requested_amount AS DOUBLE), 4) END
+                THEN rm_rnd(rm_safe_div(approved_amount, requested_amount), 4) END
                 AS approval_ratio""",
         """CASE WHEN bureau_score IS NULL THEN 'unknown'
                 WHEN bureau_score < 300 THEN 'very_low'

@@ -6,6 +6,7 @@ grows with those tables.  ``Layers`` builds each model lazily and only once per
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import cached_property
 
@@ -44,6 +45,20 @@ class Layers:
         return _LazyMarts(self)
 
 
+_CACHE: dict[tuple[str, str], Layers] = {}
+_CACHE_LOCK = threading.Lock()
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The lazily built models of ``sf_dir`` for this session, shared by all queries of a process
+    (marts that need ranking passes are built once)."""
+    key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
+    with _CACHE_LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = Layers(spark, sf_dir)
+        return _CACHE[key]
+
+
 class _LazyMarts:
     """Marts built on first access: ranking passes checkpoint eagerly, so build only what is used."""
 
@@ -69,7 +84,7 @@ class _LazyMarts:
 
 
 def _layer(layer: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: getattr(Layers(spark, sf_dir), layer)[name]
+    return lambda spark, sf_dir: getattr(layers(spark, sf_dir), layer)[name]
 
 
 STAGING = ["stg_customers", "stg_contracts", "stg_payments", "stg_app_events", "stg_proposals",
@@ -89,13 +104,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in MARTS:
         q[name] = _layer("mart", name)
     q["dq_results"] = dq_results
-    q["quality_report"] = lambda spark, sf_dir: _quality_report(Layers(spark, sf_dir))
-    q["dataset_report"] = lambda spark, sf_dir: summaries.dataset_report(Layers(spark, sf_dir).sources)
-    q["ml_default_features"] = lambda spark, sf_dir: _default_features(Layers(spark, sf_dir))
-    q["ml_alert_features"] = lambda spark, sf_dir: _alert_features(Layers(spark, sf_dir))
+    q["quality_report"] = lambda spark, sf_dir: _quality_report(layers(spark, sf_dir))
+    q["dataset_report"] = lambda spark, sf_dir: summaries.dataset_report(layers(spark, sf_dir).sources)
+    q["ml_default_features"] = lambda spark, sf_dir: _default_features(layers(spark, sf_dir))
+    q["ml_alert_features"] = lambda spark, sf_dir: _alert_features(layers(spark, sf_dir))
     q.update(_ml_queries())
     for name, fn in _report_queries().items():
-        q[name] = (lambda f: lambda spark, sf_dir: f(Layers(spark, sf_dir)))(fn)
+        q[name] = (lambda f: lambda spark, sf_dir: f(layers(spark, sf_dir)))(fn)
     return q
 
 
@@ -149,29 +164,29 @@ def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     anum = features.ALERT_NUMERIC
 
     def split(spark, sf_dir):
-        f = _default_features(Layers(spark, sf_dir))
+        f = _default_features(layers(spark, sf_dir))
         return train.stratified_split(f, "target").select("customer_id", "target", "split")
 
     def model_metrics(spark, sf_dir):
-        results, _ = train.train_default_models(_default_features(Layers(spark, sf_dir)), num, cat)
+        results, _ = train.train_default_models(_default_features(layers(spark, sf_dir)), num, cat)
         return train.metrics_frame(spark, results)
 
     def linear_attr(spark, sf_dir):
-        f = _default_features(Layers(spark, sf_dir))
+        f = _default_features(layers(spark, sf_dir))
         results, test = train.train_default_models(f, num, cat)
         lr = next(r for r in results if r.name == "LogisticRegression")
         return train.linear_attribution(lr, test, num, cat)
 
     def alert_metrics(spark, sf_dir):
-        trained, _ = train.train_alert_model(_alert_features(Layers(spark, sf_dir)), anum, cat)
+        trained, _ = train.train_alert_model(_alert_features(layers(spark, sf_dir)), anum, cat)
         return train.metrics_frame(spark, [trained])
 
     def importance(spark, sf_dir):
-        trained, _ = train.train_alert_model(_alert_features(Layers(spark, sf_dir)), anum, cat)
+        trained, _ = train.train_alert_model(_alert_features(layers(spark, sf_dir)), anum, cat)
         return train.importance_frame(spark, train.forest_importances(trained, anum, cat))
 
     def batch_scores(spark, sf_dir):
-        f = _alert_features(Layers(spark, sf_dir))
+        f = _alert_features(layers(spark, sf_dir))
         trained, _ = train.train_alert_model(f, anum, cat)
         return train.score(trained.model, f)
 
@@ -194,7 +209,7 @@ def _quality_report(l: Layers) -> DataFrame:
 
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 120 data tests over every model (audit columns added as the writer would)."""
-    l = Layers(spark, sf_dir)
+    l = layers(spark, sf_dir)
     models = {n: with_audit(df) for n, df in l.stg.items()}
     models.update({n: with_audit(df) for n, df in l.int.items()})
     models.update({n: with_audit(l.mart[n]) for n in MARTS})
