@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming operator — no watermark, window, stateful operator or late-data
+rule; its schedule is a daily batch.  Nothing is re-expressed here.  If a stream is ever
+wanted, ``int_customer_digital_behavior`` (per customer x month aggregates plus a lag) is the
+natural candidate for Structured Streaming with a monthly event-time window.
+"""
