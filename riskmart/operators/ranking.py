@@ -20,7 +20,6 @@ the local group start, and the per-partition table carries the straddling part.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.session import ensure_checkpoint_dir
+from riskmart.session import checkpoint_table, ensure_checkpoint_dir
 
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id = (partition << 33) + local index
 
@@ -91,11 +90,8 @@ def _ranked(df: DataFrame, order: Sequence[Column], group_col: str | None,
                                                  T.StructField("_lfirst", T.LongType(), False)])
         s = s.mapInPandas(_group_start_scan(group_col), schema)
     s = s.withColumn("_pid", F.spark_partition_id())
-    # cut the lineage with a table in the checkpoint folder: one job (an eager reliable
-    # checkpoint() would compute the sorted partitions twice); _pid/_lrn are plain columns now
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/riskmart-rank-{uuid.uuid4().hex}"
-    s.write.parquet(path)
-    return df.sparkSession.read.schema(s.schema).parquet(path)
+    # cut the lineage with a table in the checkpoint folder; _pid/_lrn are plain columns now
+    return checkpoint_table(s, "riskmart-rank")
 
 
 def _partition_offsets(ranked: DataFrame, group_col: str | None) -> DataFrame:

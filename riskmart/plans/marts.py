@@ -7,11 +7,14 @@ size is fixed by a value domain (one row per acquisition channel; channel x trig
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.functions import model, dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, sum_flag, units_sum
 from riskmart.operators.ranking import dist_ntile, dist_percent_rank
+from riskmart.session import checkpoint_table
 
 # Age-group score of the profile component.
 AGE_SCORES = {"18-25": 75, "26-35": 80, "36-45": 65, "46-60": 70, "60+": 72}
@@ -196,11 +199,23 @@ def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None) ->
         F.count(F.lit(1)).alias("total_payments"),
         sum_flag("is_defaulted").alias("total_defaults"),
     )
+    # one row per customer, written once: the three quartile passes below read it concurrently
+    agg = checkpoint_table(agg, "riskmart-rfm")
     cid = F.col("customer_id").asc()
-    # three global quartiles, chained so each pass carries the whole (narrow) row: no join-back
-    r = dist_ntile(agg, 4, [F.col("days_since_last_payment").desc_nulls_last(), cid], "_r")
-    f = dist_ntile(r, 4, [F.col("on_time_rate_pct").asc_nulls_last(), cid], "f_score")
-    m = dist_ntile(f, 4, [F.col("avg_amount_paid").asc_nulls_last(), cid], "m_score")
+    passes = {
+        "_r": (F.col("days_since_last_payment").desc_nulls_last(), "days_since_last_payment"),
+        "f_score": (F.col("on_time_rate_pct").asc_nulls_last(), "on_time_rate_pct"),
+        "m_score": (F.col("avg_amount_paid").asc_nulls_last(), "avg_amount_paid"),
+    }
+
+    def quartile(out, spec):
+        order, metric = spec
+        return dist_ntile(agg.select("customer_id", metric), 4, [order, cid], out).select("customer_id", out)
+
+    # three independent global quartiles over narrow (id, metric) rows, run as concurrent jobs
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        q = dict(zip(passes, pool.map(lambda kv: quartile(*kv), passes.items())))
+    m = agg.join(q["_r"], "customer_id").join(q["f_score"], "customer_id").join(q["m_score"], "customer_id")
     # R keeps the reference's direction: 5 - ntile over recency DESC gives 4 to the oldest payers
     scored = m.withColumn("r_score", (F.lit(5) - F.col("_r")).cast("int"))
     code = F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"), F.col("m_score").cast("string"))

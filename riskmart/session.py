@@ -8,8 +8,9 @@ session that has none (tests, the bench, the driver smoke check) gets a fresh sc
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +66,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="riskmart-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def checkpoint_table(df: DataFrame, prefix: str = "riskmart") -> DataFrame:
+    """Write ``df`` as a Parquet table in the session's checkpoint folder and read it back.
+
+    Cuts the lineage in one job (an eager ``checkpoint()`` computes the plan twice): later reads
+    see fixed data even if an executor is lost and upstream stages would be recomputed.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
