@@ -72,6 +72,11 @@ def _parallel(jobs: dict, max_workers: int) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
+def _tested(checks: DataFrame, layer: str) -> DataFrame:
+    quality.gate(checks, layer)  # runs the checks; raises QualityGateError on any failure
+    return checks
+
+
 def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None = None,
         src_dir: str | None = None, as_of: dt.date | None = None, gate: bool = True,
         retries: int = 1, parallelism: int = 5) -> RunResult:
@@ -85,7 +90,7 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         if src_dir is None:
             raise ValueError("give sources or src_dir")
         _timed(res, "validate_sources", lambda: validate_sources(spark, src_dir).collect())
-        sources = read_sources(spark, src_dir)
+        sources = _timed(res, "read_sources", lambda: read_sources(spark, src_dir))
 
     def attempt(name, fn):
         for i in range(retries + 1):
@@ -97,21 +102,36 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
                 if i == retries:
                     raise
 
-    stg = staging.build_staging(sources, as_of)
+    stg = _timed(res, "build_staging", lambda: staging.build_staging(sources, as_of))
     stg_audited = {n: with_audit(df, f"{n[4:]}.parquet") for n, df in stg.items()}
     checks = []
     if gate:
-        stg_checks = attempt("test_staging", lambda: quality.run_checks(stg_audited).cache())
-        quality.gate(stg_checks, "staging")
+        stg_checks = attempt("test_staging", lambda: _tested(quality.run_checks(stg_audited).cache(), "staging"))
         checks.append(stg_checks)
 
-    inter_df = {n: with_audit(df) for n, df in intermediate.build_intermediate(stg, as_of).items()}
-    _parallel({n: (lambda n=n: attempt(n, lambda: write_table(inter_df[n], f"{out}/intermediate/{n}")))
-               for n in INTERMEDIATE}, parallelism)
-    inter = {n: spark.read.schema(inter_df[n].schema).parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE}
+    # each model's plan is built inside its own worker, so plan construction overlaps execution
+    inter_builders = {
+        "int_customer_credit_profile": lambda: intermediate.int_customer_credit_profile(
+            stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], as_of),
+        "int_customer_digital_behavior": lambda: intermediate.int_customer_digital_behavior(
+            stg["stg_customers"], stg["stg_app_events"]),
+        "int_payment_performance": lambda: intermediate.int_payment_performance(
+            stg["stg_payments"], stg["stg_contracts"]),
+        "int_acquisition_quality": lambda: intermediate.int_acquisition_quality(
+            stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], stg["stg_proposals"]),
+    }
+    inter_schemas: dict = {}
+
+    def build_inter(n):
+        df = with_audit(inter_builders[n]())
+        inter_schemas[n] = df.schema
+        write_table(df, f"{out}/intermediate/{n}")
+
+    _parallel({n: (lambda n=n: attempt(n, lambda: build_inter(n))) for n in INTERMEDIATE}, parallelism)
+    inter = _timed(res, "read_intermediate", lambda: {
+        n: spark.read.schema(inter_schemas[n]).parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE})
     if gate:
-        int_checks = attempt("test_intermediate", lambda: quality.run_checks(inter).cache())
-        quality.gate(int_checks, "intermediate")
+        int_checks = attempt("test_intermediate", lambda: _tested(quality.run_checks(inter).cache(), "intermediate"))
         checks.append(int_checks)
 
     inter_clean = {n: df.drop("_loaded_at") for n, df in inter.items()}
@@ -133,10 +153,10 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         write_table(df, f"{out}/marts/{n}")
 
     _parallel({n: (lambda n=n: attempt(n, lambda: build_mart(n))) for n in MARTS}, parallelism)
-    mart_tables = {n: spark.read.schema(schemas[n]).parquet(f"{out}/marts/{n}") for n in MARTS}
+    mart_tables = _timed(res, "read_marts", lambda: {
+        n: spark.read.schema(schemas[n]).parquet(f"{out}/marts/{n}") for n in MARTS})
     if gate:
-        mart_checks = attempt("test_marts", lambda: quality.run_checks(mart_tables).cache())
-        quality.gate(mart_checks, "marts")
+        mart_checks = attempt("test_marts", lambda: _tested(quality.run_checks(mart_tables).cache(), "marts"))
         checks.append(mart_checks)
 
     report = summaries.quality_report(stg["stg_customers"], stg["stg_payments"], stg["stg_contracts"])
