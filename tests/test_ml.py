@@ -67,3 +67,21 @@ def test_run_records_append(spark):
     assert (v1, v2) == (1, 2)
     runs = spark.read.parquet(f"{d}/ml_runs").collect()
     assert runs[0]["params"]["n_estimators"] == "100" and runs[0]["metrics"]["auc_roc"] == 0.9
+
+
+def test_alert_job_writes_artefacts_and_records(spark):
+    from riskmart.learn import jobs
+
+    out = tempfile.mkdtemp(prefix="riskmart-job-")
+    feats = _alert_features(Layers(spark, SF01))
+    res = jobs.alert_job(spark, feats, out)
+    assert res.version == 1
+    imp = spark.read.option("header", True).csv(f"{out}/feature_importances")
+    names = train.feature_names(res.best.model, features.ALERT_NUMERIC, features.CATEGORICAL)
+    assert sorted(r["feature"] for r in imp.collect()) == sorted(names)
+    metrics = jobs.read_metrics(spark, f"{out}/alert_metrics").first()
+    assert metrics["model_name"] == "RandomForest" and 0.0 <= metrics["auc_roc"] <= 1.0
+    loaded = train.load_model(res.model_path)
+    assert train.score(loaded, feats).count() == feats.count()
+    runs = spark.read.parquet(f"{out}/ml_runs").collect()
+    assert len(runs) == 1 and runs[0]["tags"]["target"] == "alert_30d"
