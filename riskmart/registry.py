@@ -44,6 +44,20 @@ class Layers:
     def mart(self) -> "_LazyMarts":
         return _LazyMarts(self)
 
+    @cached_property
+    def default_models(self):
+        """Trained future-default candidates (best first) and their test split, trained once."""
+        from riskmart.learn import train
+
+        return train.train_default_models(_default_features(self), features.DEFAULT_NUMERIC, features.CATEGORICAL)
+
+    @cached_property
+    def alert_model(self):
+        """The alert_30d forest and its test split, trained once."""
+        from riskmart.learn import train
+
+        return train.train_alert_model(_alert_features(self), features.ALERT_NUMERIC, features.CATEGORICAL)
+
 
 _CACHE: dict[tuple[str, str], Layers] = {}
 _CACHE_LOCK = threading.Lock()
@@ -168,27 +182,26 @@ def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return train.stratified_split(f, "target").select("customer_id", "target", "split")
 
     def model_metrics(spark, sf_dir):
-        results, _ = train.train_default_models(_default_features(layers(spark, sf_dir)), num, cat)
+        results, _ = layers(spark, sf_dir).default_models
         return train.metrics_frame(spark, results)
 
     def linear_attr(spark, sf_dir):
-        f = _default_features(layers(spark, sf_dir))
-        results, test = train.train_default_models(f, num, cat)
+        results, test = layers(spark, sf_dir).default_models
         lr = next(r for r in results if r.name == "LogisticRegression")
         return train.linear_attribution(lr, test, num, cat)
 
     def alert_metrics(spark, sf_dir):
-        trained, _ = train.train_alert_model(_alert_features(layers(spark, sf_dir)), anum, cat)
+        trained, _ = layers(spark, sf_dir).alert_model
         return train.metrics_frame(spark, [trained])
 
     def importance(spark, sf_dir):
-        trained, _ = train.train_alert_model(_alert_features(layers(spark, sf_dir)), anum, cat)
+        trained, _ = layers(spark, sf_dir).alert_model
         return train.importance_frame(spark, train.forest_importances(trained, anum, cat))
 
     def batch_scores(spark, sf_dir):
-        f = _alert_features(layers(spark, sf_dir))
-        trained, _ = train.train_alert_model(f, anum, cat)
-        return train.score(trained.model, f)
+        l = layers(spark, sf_dir)
+        trained, _ = l.alert_model
+        return train.score(trained.model, _alert_features(l))
 
     return {"ml_split": split, "model_metrics": model_metrics, "ml_linear_attribution": linear_attr,
             "ml_alert_metrics": alert_metrics, "feature_importance": importance, "ml_batch_scores": batch_scores}
