@@ -68,8 +68,8 @@ def with_weights(df: DataFrame, label_col: str, weights: dict[int, float]) -> Da
 # ---- L9 preprocessing ------------------------------------------------------------------------
 def preprocessing_stages(numeric: list[str], categorical: list[str]) -> list:
     """Standardised numerics + one-hot categoricals (unseen category -> all zeros)."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-           for c in categorical]
+    idx = [StringIndexer(inputCols=list(categorical), outputCols=[f"{c}__idx" for c in categorical],
+                         handleInvalid="keep", stringOrderType="alphabetAsc")]  # one pass for all columns
     # 'keep' adds one slot for unseen values as the last index; dropLast drops exactly that slot
     ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                         outputCols=[f"{c}__ohe" for c in categorical], dropLast=True)
@@ -80,10 +80,16 @@ def preprocessing_stages(numeric: list[str], categorical: list[str]) -> list:
 
 
 def feature_names(model: PipelineModel, numeric: list[str], categorical: list[str]) -> list[str]:
-    labels = {s.getInputCol(): list(s.labels) for s in model.stages if hasattr(s, "labels")}
+    indexer = next(s for s in model.stages if hasattr(s, "labelsArray"))
+    labels = dict(zip(indexer.getInputCols(), (list(a) for a in indexer.labelsArray)))
     return list(numeric) + [f"{c}_{v}" for c in categorical for v in labels[c]]
 
 
+def fit_with_prep(prep: PipelineModel, train_prepped: DataFrame, classifier) -> PipelineModel:
+    """Fit ``classifier`` on already-transformed rows and return prep + classifier as one model."""
+    return PipelineModel(stages=list(prep.stages) + [classifier.fit(train_prepped)])
+
+
 # ---- L11/L12 models ------------------------------------------------------------------------
 def logistic(n_train: int, max_iter: int = 500, tol: float = 1e-4) -> LogisticRegression:
     # L2 with C = 1 on a weighted sum of losses == regParam 1/sum(w) on Spark's weighted mean;
@@ -145,18 +151,22 @@ def train_default_models(features: DataFrame, numeric: list[str], categorical: l
     train = with_weights(train, label_col, weights).persist()
     test = with_weights(test, label_col, weights).persist()
     n_train = train.count()
-    prep = preprocessing_stages(numeric, categorical)
+    # the preprocessing is fitted once and shared by both candidates
+    prep = Pipeline(stages=preprocessing_stages(numeric, categorical)).fit(train)
+    train_prepped = prep.transform(train).persist()
     candidates = {
         "LogisticRegression": (logistic(n_train), {"max_iter": 500, "class_weight": "balanced"}),
         "RandomForest": (forest(100, 6), {"n_estimators": 100, "max_depth": 6, "class_weight": "balanced"}),
     }
     results: list[Trained] = []
     for name, (clf, params) in candidates.items():
-        model = Pipeline(stages=prep + [clf]).fit(train)
+        model = fit_with_prep(prep, train_prepped, clf)
         results.append(Trained(name, model, evaluate(model.transform(test)), params))
     for r in list(results):
         if r.metrics["auc_roc"] > guard_auc:
-            model = Pipeline(stages=prep + [forest(50, 4)]).fit(_noisy(train, numeric))
+            # noise goes on the raw numerics, so this candidate fits its own preprocessing
+            model = Pipeline(stages=preprocessing_stages(numeric, categorical) + [forest(50, 4)]).fit(
+                _noisy(train, numeric))
             results.append(Trained(r.name + "_reduced", model, evaluate(model.transform(test)),
                                    {"n_estimators": 50, "max_depth": 4, "noise": 0.05}))
     results.sort(key=lambda t: t.metrics["f1_score"], reverse=True)
