@@ -150,23 +150,34 @@ def _sql_list(values) -> str:
 
 def checks_sql(model: str, view: str, tests: ModelTests, parent_views: dict[str, str]) -> str:
     """Spark SQL for one model's checks: one aggregate pass (not_null + accepted_values, unpivoted
-    with ``stack``), a grouped count per unique key, an anti-join per relationship."""
+    with ``stack``), a grouped count per unique key, an anti-join per relationship.
+
+    The accepted-value columns are low-cardinality enums: the pass first groups by them (partial
+    aggregation leaves a few dozen rows per task) and counts distinct offending values on that
+    small table, so no ``Expand`` multiplies the fact rows."""
     parts = []
     items = []
-    aggs = []
-    for i, col in enumerate(tests.not_null):
-        aggs.append(f"count_if({_q(col)} IS NULL) AS _nn{i}")
-        items.append((col, "not_null", f"_nn{i}"))
+    head = f"'{tests.layer}' AS layer, '{model}' AS model"
+    av_cols = list(tests.accepted_values)
+    inner = [f"count_if({_q(col)} IS NULL) AS _nn{i}" for i, col in enumerate(tests.not_null)]
+    outer = [f"coalesce(sum(_nn{i}), 0) AS _nn{i}" for i in range(len(tests.not_null))]
+    items += [(col, "not_null", f"_nn{i}") for i, col in enumerate(tests.not_null)]
     for i, (col, values) in enumerate(tests.accepted_values.items()):
         c = _q(col)
-        aggs.append(f"count(DISTINCT CASE WHEN {c} IS NOT NULL AND {c} NOT IN ({_sql_list(values)}) THEN {c} END) AS _av{i}")
+        outer.append(f"count(DISTINCT CASE WHEN {c} IS NOT NULL AND {c} NOT IN ({_sql_list(values)}) THEN {c} END)"
+                     f" AS _av{i}")
         items.append((col, "accepted_values", f"_av{i}"))
-    head = f"'{tests.layer}' AS layer, '{model}' AS model"
-    if aggs:
+    if items:
+        if av_cols:
+            keys = ", ".join(_q(c) for c in av_cols)
+            source = f"(SELECT {keys}{''.join(', ' + a for a in inner)} FROM {view} GROUP BY {keys})"
+        else:
+            outer = [f"count_if({_q(col)} IS NULL) AS _nn{i}" for i, col in enumerate(tests.not_null)]
+            source = view
         stack = ", ".join(f"'{col}', '{test}', CAST({alias} AS BIGINT)" for col, test, alias in items)
         parts.append(f"SELECT {head}, column_name, test, failures FROM "
                      f"(SELECT stack({len(items)}, {stack}) AS (column_name, test, failures) "
-                     f"FROM (SELECT {', '.join(aggs)} FROM {view}))")
+                     f"FROM (SELECT {', '.join(outer)} FROM {source}))")
     for col in tests.unique:
         c = _q(col)
         parts.append(f"SELECT {head}, '{col}' AS column_name, 'unique' AS test, count(*) AS failures FROM "
