@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+
 from riskmart.sources.schemas import SOURCE_TABLES, column_names
 
 
