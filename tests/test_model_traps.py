@@ -87,3 +87,37 @@ def test_collection_buckets_and_tied_best_window(spark):
     # early and bad both recover 100 %: the tie goes to the first bucket name ('bad')
     assert got["early"]["best_trigger_bucket"] == "bad" and got["bad"]["is_best_window"]
     assert got["mid"]["avg_resolution_days"] == 5.0 and got["mid"]["recovery_rate_pct"] == 50.0
+
+
+def test_credit_score_tier_boundaries_alerts_and_defaults(spark):
+    # every customer: same income (percentile 0), age 18-25 (75 points), 2 products (75 points),
+    # so the score is 150 + payment component + digital component
+    cases = {  # id: (overall_default_rate, engagement or None for 'no events', expected raw sum)
+        1: (1.0, 19.6, 199), 2: (1.0, 20.0, 200), 3: (1.0, 99.6, 399), 4: (1.0, 100.0, 400),
+        5: (0.5025, 100.0, 599), 6: (0.5, 100.0, 600), 7: (0.0025, 100.0, 799), 8: (0.0, 100.0, 800),
+        9: (1.0, 29.0, 223), 10: (1.0, 30.0, 225), 11: (1.0, None, 150),
+    }
+    prof = spark.createDataFrame(
+        [(i, "starter", "organic", "18-25", 2, True, 1, odr, 0.0, 0.0, 10.0, 5.0) for i, (odr, _, _) in cases.items()]
+        + [(12, "starter", "organic", "unknown", 2, True, 1, 0.0, 0.0, 0.0, 10.0, 5.0)],
+        "customer_id int, customer_segment string, acquisition_channel string, age_group string, "
+        "products_count int, is_multi_product boolean, total_contracts long, overall_default_rate double, "
+        "avg_days_late double, best_payment_streak double, total_debt double, total_paid double")
+    beh = spark.createDataFrame(
+        [(i, D(2024, 1, 1), eng - 10 if eng else 0.0, 3, "stable") for i, (_, eng, _) in cases.items() if eng]
+        + [(i, D(2024, 2, 1), eng, 5, "growing") for i, (_, eng, _) in cases.items() if eng],  # latest month wins
+        "customer_id int, event_month date, app_engagement_score double, days_since_last_login int, trend_30d string")
+    cust = spark.createDataFrame([(i, 1000.0) for i in range(1, 13)], "customer_id int, income_declared double")
+    got = {r["customer_id"]: r for r in marts.fct_credit_score(prof, beh, cust).collect()}
+    tier = {199: "very_high", 200: "high", 399: "high", 400: "medium", 599: "medium", 600: "low", 799: "low",
+            800: "very_low", 223: "high", 225: "high", 150: "very_high"}
+    for i, (_, eng, total) in cases.items():
+        r = got[i]
+        assert r["credit_score"] == total, i
+        assert r["risk_tier"] == tier[total], i
+        assert r["alert_30d"] == (total < 400 and (eng or 0.0) < 30), i
+    assert got[9]["alert_30d"] and not got[10]["alert_30d"]
+    assert (got[11]["app_engagement_score"], got[11]["days_since_last_login"], got[11]["trend_30d"]) == (0.0, 30, "stable")
+    assert got[1]["trend_30d"] == "growing" and got[1]["days_since_last_login"] == 5
+    assert got[12]["component_profile"] == 50.0 and got[1]["component_profile"] == 75.0
+    assert got[1]["income_pct"] == 0.0
