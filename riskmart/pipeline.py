@@ -109,16 +109,39 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         stg_checks = attempt("test_staging", lambda: _tested(quality.run_checks(stg_audited).cache(), "staging"))
         checks.append(stg_checks)
 
+    # The credit profile and the acquisition model share one per-customer pass over contracts
+    # and one over payments: the first of the two to need them computes and keeps them.
+    facts: dict[str, DataFrame] = {}
+    facts_lock = threading.Lock()
+
+    def shared_facts() -> tuple[DataFrame, DataFrame]:
+        with facts_lock:
+            if not facts:
+                for key, df in [("contracts", intermediate.customer_contract_facts(stg["stg_contracts"])),
+                                ("payments", intermediate.customer_payment_facts(stg["stg_payments"], as_of))]:
+                    df = df.persist()
+                    df.count()
+                    facts[key] = df
+            return facts["contracts"], facts["payments"]
+
+    def profile():
+        cf, pf = shared_facts()
+        return intermediate.int_customer_credit_profile(
+            stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], as_of, cf, pf)
+
+    def acquisition():
+        cf, pf = shared_facts()
+        return intermediate.int_acquisition_quality(
+            stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], stg["stg_proposals"], cf, pf)
+
     # each model's plan is built inside its own worker, so plan construction overlaps execution
     inter_builders = {
-        "int_customer_credit_profile": lambda: intermediate.int_customer_credit_profile(
-            stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], as_of),
+        "int_customer_credit_profile": profile,
         "int_customer_digital_behavior": lambda: intermediate.int_customer_digital_behavior(
             stg["stg_customers"], stg["stg_app_events"]),
         "int_payment_performance": lambda: intermediate.int_payment_performance(
             stg["stg_payments"], stg["stg_contracts"]),
-        "int_acquisition_quality": lambda: intermediate.int_acquisition_quality(
-            stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], stg["stg_proposals"]),
+        "int_acquisition_quality": acquisition,
     }
     inter_schemas: dict = {}
 
@@ -128,6 +151,8 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         write_table(df, f"{out}/intermediate/{n}")
 
     _parallel({n: (lambda n=n: attempt(n, lambda: build_inter(n))) for n in INTERMEDIATE}, parallelism)
+    for df in facts.values():
+        df.unpersist()
     inter = _timed(res, "read_intermediate", lambda: {
         n: spark.read.schema(inter_schemas[n]).parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE})
     if gate:

@@ -27,29 +27,63 @@ def _sorted_distinct_list(col: str, sep: str = ", ") -> F.Column:
 
 
 @model
-def int_customer_credit_profile(customers: DataFrame, contracts: DataFrame, payments: DataFrame,
-                                as_of=None) -> DataFrame:
-    as_of = lit_date(as_of)
-    contract_agg = contracts.groupBy("customer_id").agg(
+def customer_contract_facts(contracts: DataFrame) -> DataFrame:
+    """Per-customer contract aggregates used by the credit profile and the acquisition model.
+
+    Sums are exact integer units (cents, 1e-4) with their counts, so every average derived from
+    them is the same exact sum / count either model would compute on its own."""
+    return contracts.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_contracts"),
         _count_when(F.col("is_active_contract")).alias("active_contracts"),
         _count_when(F.col("is_defaulted")).alias("defaulted_contracts"),
-        dec_sum("principal_amount").alias("total_debt"),
-        dec_sum(F.when(F.col("is_settled"), F.col("principal_amount")).otherwise(F.lit(0.0))).alias("settled_debt"),
-        rnd(dec_avg("interest_rate", 4), 4).alias("avg_interest_rate"),
+        units_sum("principal_amount").alias("principal_units"),
+        units_sum(F.when(F.col("is_settled"), F.col("principal_amount")).otherwise(F.lit(0.0))).alias("settled_units"),
+        units_sum("interest_rate", 4).alias("rate_units"),
+        F.count("interest_rate").alias("rate_n"),
+        units_sum("completion_rate", 4).alias("completion_units"),
+        F.count("completion_rate").alias("completion_n"),
+        F.sum("installments_total").alias("term_sum"),
+        F.count("installments_total").alias("term_n"),
         F.max("contract_date").alias("last_contract_date"),
         _sorted_distinct_list("product_type").alias("product_types"),
     )
-    window_start = F.trunc(F.add_months(as_of, -12), "month")
-    in_window = F.col("due_month") >= window_start
-    payment_agg = payments.groupBy("customer_id").agg(
+
+
+@model
+def customer_payment_facts(payments: DataFrame, as_of=None) -> DataFrame:
+    """Per-customer payment aggregates used by the credit profile and the acquisition model."""
+    as_of = lit_date(as_of)
+    in_window = F.col("due_month") >= F.trunc(F.add_months(as_of, -12), "month")
+    return payments.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_payments"),
         sum_flag("is_defaulted").alias("defaulted_payments"),
-        dec_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0))).alias("total_paid"),
-        rnd(int_avg(F.coalesce(F.col("days_late"), F.lit(0))), 1).alias("avg_days_late"),
+        units_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0))).alias("paid_units"),
+        units_sum(F.coalesce(F.col("amount_due"), F.lit(0.0))).alias("due_units"),
+        F.sum(F.coalesce(F.col("days_late"), F.lit(0))).alias("days_late_sum"),
         _count_when(in_window & ~F.col("is_defaulted")).alias("on_time_last_12m"),
         _count_when(in_window).alias("total_last_12m"),
     )
+
+
+@model
+def int_customer_credit_profile(customers: DataFrame, contracts: DataFrame, payments: DataFrame,
+                                as_of=None, contract_facts: DataFrame | None = None,
+                                payment_facts: DataFrame | None = None) -> DataFrame:
+    """Credit profile per customer.  ``contract_facts`` / ``payment_facts`` may be passed
+    pre-computed (the pipeline shares them with ``int_acquisition_quality``)."""
+    cf = contract_facts if contract_facts is not None else customer_contract_facts(contracts)
+    pf = payment_facts if payment_facts is not None else customer_payment_facts(payments, as_of)
+    contract_agg = cf.select(
+        "customer_id", "total_contracts", "active_contracts", "defaulted_contracts",
+        from_units("principal_units").alias("total_debt"),
+        from_units("settled_units").alias("settled_debt"),
+        rnd(safe_div(from_units("rate_units", 4), "rate_n"), 4).alias("avg_interest_rate"),
+        "last_contract_date", "product_types")
+    payment_agg = pf.select(
+        "customer_id", "total_payments", "defaulted_payments",
+        from_units("paid_units").alias("total_paid"),
+        rnd(safe_div("days_late_sum", "total_payments"), 1).alias("avg_days_late"),
+        "on_time_last_12m", "total_last_12m")
     c = customers.select("customer_id", "customer_segment", "acquisition_channel", "age_group",
                          "products_count", "is_multi_product", "income_declared")
     j = c.join(contract_agg, "customer_id", "left").join(payment_agg, "customer_id", "left")
@@ -142,25 +176,24 @@ def int_payment_performance(payments: DataFrame, contracts: DataFrame) -> DataFr
 
 @model
 def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments: DataFrame,
-                            proposals: DataFrame) -> DataFrame:
+                            proposals: DataFrame, contract_facts: DataFrame | None = None,
+                            payment_facts: DataFrame | None = None) -> DataFrame:
     proposal_agg = proposals.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_proposals"),
         sum_flag("is_approved").alias("approved_proposals"),
         sum_flag("is_rejected").alias("rejected_proposals"),
         dec_sum(F.coalesce(F.col("approved_amount"), F.lit(0.0))).alias("total_approved_amount"),
     )
-    contract_agg = contracts.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("total_contracts"),
-        sum_flag("is_defaulted").alias("defaulted_contracts"),
-        units_sum("principal_amount").alias("total_principal"),
-        rnd(dec_avg("interest_rate", 4), 4).alias("avg_interest_rate"),
-        rnd(dec_avg("completion_rate", 4), 4).alias("avg_completion_rate"),
-        rnd(int_avg("installments_total"), 1).alias("avg_term_months"),
-    )
-    payment_agg = payments.groupBy("customer_id").agg(
-        units_sum(F.coalesce(F.col("amount_due"), F.lit(0.0))).alias("total_due"),
-        units_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0))).alias("total_paid"),
-    )
+    cf = contract_facts if contract_facts is not None else customer_contract_facts(contracts)
+    pf = payment_facts if payment_facts is not None else customer_payment_facts(payments)
+    contract_agg = cf.select(
+        "customer_id", "total_contracts", "defaulted_contracts",
+        F.col("principal_units").alias("total_principal"),  # cents
+        rnd(safe_div(from_units("rate_units", 4), "rate_n"), 4).alias("avg_interest_rate"),
+        rnd(safe_div(from_units("completion_units", 4), "completion_n"), 4).alias("avg_completion_rate"),
+        rnd(safe_div("term_sum", "term_n"), 1).alias("avg_term_months"))
+    payment_agg = pf.select("customer_id", F.col("due_units").alias("total_due"),
+                            F.col("paid_units").alias("total_paid"))  # cents
     c = customers.select("customer_id", "acquisition_channel", "customer_segment", "income_declared")
     zero_units = F.lit(0).cast("long")  # money below is in cents
     cl = (c.join(proposal_agg, "customer_id", "left")
@@ -191,6 +224,7 @@ def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments
 
 @model
 def build_intermediate(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
+    """The four intermediate models as lazy DataFrames (each computes its own facts)."""
     return {
         "int_customer_credit_profile": int_customer_credit_profile(
             stg["stg_customers"], stg["stg_contracts"], stg["stg_payments"], as_of),
