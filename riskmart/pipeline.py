@@ -114,14 +114,19 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
     facts: dict[str, DataFrame] = {}
     facts_lock = threading.Lock()
 
+    def materialised(df: DataFrame) -> DataFrame:
+        df = df.persist()
+        df.count()
+        return df
+
     def shared_facts() -> tuple[DataFrame, DataFrame]:
         with facts_lock:
             if not facts:
-                for key, df in [("contracts", intermediate.customer_contract_facts(stg["stg_contracts"])),
-                                ("payments", intermediate.customer_payment_facts(stg["stg_payments"], as_of))]:
-                    df = df.persist()
-                    df.count()
-                    facts[key] = df
+                facts.update(_parallel({
+                    "contracts": lambda: materialised(intermediate.customer_contract_facts(stg["stg_contracts"])),
+                    "payments": lambda: materialised(
+                        intermediate.customer_payment_facts(stg["stg_payments"], as_of)),
+                }, 2))
             return facts["contracts"], facts["payments"]
 
     def profile():
