@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import mixing, sharding, warc
+from riskmart.llm import mixing, quality, secret_scan, sharding, warc
 from riskmart.llm.common import table
 
 
@@ -16,6 +16,21 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = secret_scan.RULES
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), rules)
+    return found.select(
+        "doc_id", *[secret_scan.count_of(i).alias(f"n_{r.kind}") for i, r in enumerate(secret_scan.BASE_RULES)],
+        F.sha2(secret_scan.listed(len(secret_scan.BASE_RULES), rules), 256).alias("base_sha256"),
+        secret_scan.listed(len(rules), rules).alias("spans"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -30,6 +45,8 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_secrets": op2_secrets,
+        "op4_quality": op4_quality,
         "op6_warc": op6_warc,
         "op10_shards": op10_shards,
     }
