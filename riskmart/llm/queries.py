@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import mixing, quality, secret_scan, sharding, warc
+from riskmart.llm import mixing, packing, quality, secret_scan, sharding, warc
 from riskmart.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -47,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_secrets": op2_secrets,
         "op4_quality": op4_quality,
+        "op5_pack": op5_pack,
         "op6_warc": op6_warc,
         "op10_shards": op10_shards,
     }
