@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import mixing, packing, quality, secret_scan, sharding, warc
+from riskmart.llm import langid, mixing, packing, quality, secret_scan, sharding, warc
 from riskmart.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(len(rules), rules).alias("spans"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, table(spark, sf_dir, "labels")).select(
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_secrets": op2_secrets,
+        "op3_language": op3_language,
         "op4_quality": op4_quality,
         "op5_pack": op5_pack,
         "op6_warc": op6_warc,
