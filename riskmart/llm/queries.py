@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, mixing, packing, quality, secret_scan, sharding, warc
+from riskmart.llm import langid, mixing, packing, quality, secret_scan, sharding, vptree, warc
 from riskmart.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -58,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": op4_quality,
         "op5_pack": op5_pack,
         "op6_warc": op6_warc,
+        "op8_neighbours": op8_neighbours,
         "op10_shards": op10_shards,
     }
 
@@ -111,5 +116,20 @@ FROM p JOIN f USING (h)
 """
 
 
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(
+           range(1, len(q.e) + 1), lambda i: (v.e[i] - q.e[i]) * (v.e[i] - q.e[i])), lambda a, b: a + b)) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op6_warc": OP6_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op6_warc": OP6_SQL, "op8_neighbours": OP8_SQL}
