@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, mixing, packing, quality, secret_scan, sharding, vptree, warc
+from riskmart.llm import langid, minhash, mixing, packing, quality, secret_scan, sharding, vptree, warc
 from riskmart.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": op4_quality,
         "op5_pack": op5_pack,
         "op6_warc": op6_warc,
+        "op7_near_duplicates": op7_near_duplicates,
         "op8_neighbours": op8_neighbours,
         "op10_shards": op10_shards,
     }
