@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, minhash, mixing, packing, quality, secret_scan, sharding, vptree, warc
+from riskmart.llm import langid, minhash, mixing, packing, quality, secret_scan, sharding, suffix, vptree, warc
 from riskmart.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_warc": op6_warc,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_neighbours": op8_neighbours,
+        "op9_repeats": op9_repeats,
         "op10_shards": op10_shards,
     }
 
