@@ -7,18 +7,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import mixing
+from riskmart.llm import minhash, mixing, packing, quality, secret_scan
 from riskmart.llm.common import table
 from riskmart.session import ensure_checkpoint_dir
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or the n-gram ratio reject go."""
+    return quality.keep(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return minhash.keep(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; all documents stay."""
+    return secret_scan.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mix the sources to their target weights: a row per copy that the mix takes."""
     return mixing.take(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, packed into sequences."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("secret_scan", secrets),
     ("mix_sources", mix_sources),
+    ("pack", pack),
 ]
 
 #: SQL cannot express the stages; tests hold them against brute force.
