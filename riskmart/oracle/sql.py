@@ -85,8 +85,7 @@ SELECT o_orderkey AS contract_id, o_custkey AS customer_id,
             ELSE 'active' END AS status,
        CASE WHEN o_orderpriority = '2-HIGH' THEN 'vehicle' WHEN o_orderkey % 9 = 0 THEN 'property'
             ELSE 'none' END AS collateral
-FROM orders
-WHERE o_custkey % 25 <> 7
+FROM (SELECT * REPLACE (CASE WHEN o_custkey % 25 = 7 THEN o_custkey - 1 ELSE o_custkey END AS o_custkey) FROM orders)
 """)
 
 frag("src_payment_base", """
@@ -149,7 +148,7 @@ FROM (
         SELECT pb.*,
                CAST(1 + (3 * q) % (CASE WHEN q % 4 = 0 THEN 7 WHEN q % 4 = 1 THEN 30 ELSE 179 END) AS INTEGER) AS d
         FROM src_payment_base pb
-        WHERE contract_status = 'defaulted' AND q % 3 <> 2
+        WHERE contract_status = 'defaulted'
     ) b
 ) x
 """)
@@ -186,99 +185,74 @@ FROM orders
 """)
 
 # --------------------------------------------------------------------------------------
-# Staging (I1–I6)
+# Staging (I1–I6): the native columns and what is derived from them.  Bands are read from a
+# list by the number of limits that a value is above.
 # --------------------------------------------------------------------------------------
+def _is(column: str, value: str) -> str:
+    """True where the column has the value, false otherwise (null included)."""
+    return f"({column} IS NOT DISTINCT FROM '{value}')"
+
+
+def _band(column: str, limits: list[int], labels: list[str]) -> str:
+    above = " + ".join(f"({column} > {x})::INTEGER" for x in limits)
+    return f"{labels!r}[1 + {above}]"
+
+
 frag("stg_customers", f"""
-SELECT customer_id, name, cpf_hash, CAST(birth_date AS DATE) AS birth_date, age_group, acquisition_channel,
-       state, city, CAST(income_declared AS DOUBLE) AS income_declared, CAST(signup_date AS DATE) AS signup_date,
-       customer_segment, CAST(is_active AS BOOLEAN) AS is_active, CAST(products_count AS INTEGER) AS products_count,
-       CAST(date_diff('year', CAST(birth_date AS DATE), {AS_OF}) AS INTEGER) AS age,
-       CASE WHEN income_declared = 0 THEN true ELSE false END AS has_zero_income,
-       CASE WHEN products_count >= 2 THEN true ELSE false END AS is_multi_product
-FROM src_customers
+SELECT src.*, (year({AS_OF}) - year(birth_date))::INTEGER AS age,
+       income_declared IS NOT DISTINCT FROM 0 AS has_zero_income,
+       coalesce(products_count, 0) > 1 AS is_multi_product
+FROM src_customers src
 """)
 
 frag("stg_contracts", f"""
-SELECT contract_id, customer_id, product_type,
-       CAST(contract_date AS DATE) AS contract_date, CAST(maturity_date AS DATE) AS maturity_date,
-       CAST(principal_amount AS DOUBLE) AS principal_amount, CAST(interest_rate AS DOUBLE) AS interest_rate,
-       CAST(installments_total AS INTEGER) AS installments_total,
-       CAST(installments_paid AS INTEGER) AS installments_paid,
-       status, collateral,
-       CAST(date_diff('day', {AS_OF}, CAST(maturity_date AS DATE)) AS INTEGER) AS days_to_maturity,
-       round(CAST(installments_paid AS DOUBLE) / nullif(CAST(installments_total AS DOUBLE), 0), 4) AS completion_rate,
-       CASE WHEN status = 'defaulted' THEN true ELSE false END AS is_defaulted,
-       CASE WHEN status = 'active' THEN true ELSE false END AS is_active_contract,
-       CASE WHEN status = 'settled' THEN true ELSE false END AS is_settled,
-       CASE WHEN collateral != 'none' THEN true ELSE false END AS has_collateral
-FROM src_contracts
+SELECT src.*, (maturity_date - {AS_OF})::INTEGER AS days_to_maturity,
+       round(installments_paid / nullif(installments_total::DOUBLE, 0), 4) AS completion_rate,
+       {_is('status', 'defaulted')} AS is_defaulted, {_is('status', 'active')} AS is_active_contract,
+       {_is('status', 'settled')} AS is_settled,
+       collateral IS NOT NULL AND NOT {_is('collateral', 'none')} AS has_collateral
+FROM src_contracts src
 """)
 
-frag("stg_payments", """
-SELECT payment_id, contract_id, customer_id,
-       CAST(due_date AS DATE) AS due_date, CAST(payment_date AS DATE) AS payment_date,
-       CAST(amount_due AS DOUBLE) AS amount_due, CAST(amount_paid AS DOUBLE) AS amount_paid,
-       CAST(days_late AS INTEGER) AS days_late, payment_method, status,
-       CASE WHEN days_late > 0 THEN true ELSE false END AS is_late,
-       CASE WHEN status = 'defaulted' THEN true ELSE false END AS is_defaulted,
-       CASE WHEN days_late <= 0 THEN 'on_time'
-            WHEN days_late BETWEEN 1 AND 30 THEN '1-30_days'
-            WHEN days_late BETWEEN 31 AND 60 THEN '31-60_days'
-            WHEN days_late BETWEEN 61 AND 90 THEN '61-90_days'
-            ELSE '90+_days' END AS lateness_bucket,
-       CAST(date_trunc('month', CAST(due_date AS DATE)) AS DATE) AS due_month,
-       CAST(extract('year' FROM CAST(due_date AS DATE)) AS INTEGER) AS due_year,
-       CAST(extract('month' FROM CAST(due_date AS DATE)) AS INTEGER) AS due_month_num
-FROM src_payments
+frag("stg_payments", f"""
+SELECT src.*, coalesce(days_late, 0) > 0 AS is_late, {_is('status', 'defaulted')} AS is_defaulted,
+       coalesce({_band('days_late', [0, 30, 60, 90],
+                       ['on_time', '1-30_days', '31-60_days', '61-90_days', '90+_days'])}, '90+_days')
+           AS lateness_bucket,
+       make_date(year(due_date), month(due_date), 1) AS due_month,
+       year(due_date)::INTEGER AS due_year, month(due_date)::INTEGER AS due_month_num
+FROM src_payments src
 """)
 
-frag("stg_app_events", """
-SELECT event_id, customer_id, event_date, event_type, channel,
-       CAST(session_duration_seconds AS INTEGER) AS session_duration_seconds,
-       CAST(event_date AS DATE) AS event_day,
-       CAST(date_trunc('month', CAST(event_date AS DATE)) AS DATE) AS event_month,
-       CAST(extract('hour' FROM event_date) AS INTEGER) AS event_hour,
-       CAST(extract('dow' FROM CAST(event_date AS DATE)) AS INTEGER) AS day_of_week,
-       CAST(extract('year' FROM CAST(event_date AS DATE)) AS INTEGER) AS event_year,
-       CASE WHEN event_type = 'make_payment' THEN true ELSE false END AS is_payment_event,
-       CASE WHEN event_type = 'login' THEN true ELSE false END AS is_login_event,
-       CASE WHEN event_type IN ('view_offer', 'accept_offer', 'reject_offer') THEN true ELSE false END
-            AS is_offer_event
-FROM src_app_events
+frag("stg_app_events", f"""
+SELECT src.*, event_date::DATE AS event_day,
+       make_date(year(event_date), month(event_date), 1) AS event_month,
+       hour(event_date)::INTEGER AS event_hour, dayofweek(event_date)::INTEGER AS day_of_week,
+       year(event_date)::INTEGER AS event_year,
+       {_is('event_type', 'make_payment')} AS is_payment_event, {_is('event_type', 'login')} AS is_login_event,
+       coalesce(list_contains(['view_offer', 'accept_offer', 'reject_offer'], event_type), false) AS is_offer_event
+FROM src_app_events src
 """)
 
-frag("stg_proposals", """
-SELECT proposal_id, customer_id, CAST(proposal_date AS DATE) AS proposal_date, product_type,
-       CAST(requested_amount AS DOUBLE) AS requested_amount, CAST(approved_amount AS DOUBLE) AS approved_amount,
-       CAST(interest_rate_offered AS DOUBLE) AS interest_rate_offered, decision, rejection_reason,
-       CAST(bureau_score AS INTEGER) AS bureau_score,
-       CASE WHEN decision = 'approved' THEN true ELSE false END AS is_approved,
-       CASE WHEN decision = 'rejected' THEN true ELSE false END AS is_rejected,
-       CASE WHEN bureau_score IS NULL THEN true ELSE false END AS is_missing_bureau,
-       CASE WHEN decision = 'approved' AND requested_amount > 0
-            THEN round(approved_amount / requested_amount, 4) ELSE NULL END AS approval_ratio,
-       CASE WHEN bureau_score IS NULL THEN 'unknown'
-            WHEN bureau_score < 300 THEN 'very_low'
-            WHEN bureau_score BETWEEN 300 AND 499 THEN 'low'
-            WHEN bureau_score BETWEEN 500 AND 699 THEN 'medium'
-            WHEN bureau_score BETWEEN 700 AND 849 THEN 'high'
-            ELSE 'very_high' END AS bureau_score_band,
-       CAST(date_trunc('month', CAST(proposal_date AS DATE)) AS DATE) AS proposal_month
-FROM src_proposals
+frag("stg_proposals", f"""
+SELECT src.*, {_is('decision', 'approved')} AS is_approved, {_is('decision', 'rejected')} AS is_rejected,
+       bureau_score IS NULL AS is_missing_bureau,
+       CASE WHEN {_is('decision', 'approved')} AND requested_amount > 0
+            THEN round(approved_amount / requested_amount, 4) END AS approval_ratio,
+       coalesce({_band('bureau_score', [299, 499, 699, 849],
+                       ['very_low', 'low', 'medium', 'high', 'very_high'])}, 'unknown') AS bureau_score_band,
+       make_date(year(proposal_date), month(proposal_date), 1) AS proposal_month
+FROM src_proposals src
 """)
 
-frag("stg_collections", """
-SELECT collection_id, contract_id, customer_id, CAST(trigger_date AS DATE) AS trigger_date,
-       CAST(days_overdue_at_trigger AS INTEGER) AS days_overdue_at_trigger, channel_used, outcome,
-       CAST(recovery_amount AS DOUBLE) AS recovery_amount, CAST(resolution_days AS INTEGER) AS resolution_days,
-       CASE WHEN outcome IN ('paid', 'renegotiated') THEN true ELSE false END AS is_recovered,
-       CASE WHEN outcome IS NULL THEN true ELSE false END AS is_missing_outcome,
-       CASE WHEN days_overdue_at_trigger BETWEEN 1 AND 3 THEN 'early_1_3d'
-            WHEN days_overdue_at_trigger BETWEEN 4 AND 30 THEN 'early_4_30d'
-            WHEN days_overdue_at_trigger BETWEEN 31 AND 90 THEN 'mid_31_90d'
+frag("stg_collections", f"""
+SELECT src.*, {_is('outcome', 'paid')} OR {_is('outcome', 'renegotiated')} AS is_recovered,
+       outcome IS NULL AS is_missing_outcome,
+       CASE WHEN days_overdue_at_trigger BETWEEN 1 AND 90
+            THEN {_band('days_overdue_at_trigger', [3, 30], ['early_1_3d', 'early_4_30d', 'mid_31_90d'])}
             ELSE 'late_90plus' END AS overdue_bucket,
-       CAST(date_trunc('month', CAST(trigger_date AS DATE)) AS DATE) AS trigger_month
-FROM src_collections
+       make_date(year(trigger_date), month(trigger_date), 1) AS trigger_month
+FROM src_collections src
 """)
 
 

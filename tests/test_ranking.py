@@ -22,37 +22,50 @@ CASES = [(0, 3, 0.0), (1, 1, 0.0), (2, 1, 0.5), (3, 2, 0.0), (4, 4, 0.0), (5, 2,
          (7, 3, 0.0), (10, 1, 0.0), (101, 5, 0.1), (2000, 7, 0.05), (3000, 3000, 0.0)]
 
 
+def _order(ascending):
+    return [F.col("v").asc_nulls_last() if ascending else F.col("v").desc_nulls_last(), F.col("id").asc()]
+
+
 @pytest.mark.parametrize("n,distinct,nulls", CASES)
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_ntile_matches_window(spark, n, distinct, nulls, parts):
-    df = _data(spark, n, distinct, nulls, seed=n * 31 + parts)
-    order = [F.col("v").asc_nulls_last(), F.col("id").asc()]
-    got = dist_ntile(df, 4, order, "q", num_partitions=parts)
-    exp = df.withColumn("q_exp", F.ntile(4).over(Window.orderBy(*order)))
-    bad = got.join(exp, "id").where(F.col("q") != F.col("q_exp")).count()
+@pytest.mark.parametrize("ascending", [True, False])
+def test_ntile_matches_window(spark, n, distinct, nulls, ascending):
+    df = _data(spark, n, distinct, nulls, seed=n * 31)
+    got = df.withColumn("q", dist_ntile(df, 4, "v", "id", ascending))
+    exp = df.withColumn("q_exp", F.ntile(4).over(Window.orderBy(*_order(ascending))))
     assert got.count() == n
-    assert bad == 0
+    assert got.join(exp, "id").where(F.col("q") != F.col("q_exp")).count() == 0
 
 
 @pytest.mark.parametrize("n,distinct,nulls", CASES)
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_percent_rank_matches_window(spark, n, distinct, nulls, parts):
-    df = _data(spark, n, distinct, nulls, seed=n * 17 + parts)
-    got = dist_percent_rank(df, "v", ["id"], "pr", num_partitions=parts)
-    exp = df.withColumn("pr_exp", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last())))
-    bad = got.join(exp, "id").where(F.col("pr") != F.col("pr_exp")).count()
+@pytest.mark.parametrize("ascending", [True, False])
+def test_percent_rank_matches_window(spark, n, distinct, nulls, ascending):
+    df = _data(spark, n, distinct, nulls, seed=n * 17)
+    got = dist_percent_rank(df, "v", "pr", ascending)
+    exp = df.withColumn("pr_exp", F.percent_rank().over(Window.orderBy(_order(ascending)[0])))
     assert got.count() == n
-    assert bad == 0
+    assert got.join(exp, "id").where(F.col("pr") != F.col("pr_exp")).count() == 0
+
 
+def test_nan_and_null_are_values_of_their_own(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, float("nan")), (4, None)], "id long, v double")
+    got = {r["id"]: (r["pr"], r["q"]) for r in dist_percent_rank(df, "v", "pr").withColumn(
+        "q", dist_ntile(df, 4, "v", "id")).collect()}
+    assert got == {1: (0.0, 1), 2: (1 / 3, 2), 3: (2 / 3, 3), 4: (1.0, 4)}
 
-def test_descending_ntile_and_hot_value(spark):
-    # one value holds a third of all rows: it must still spread over several partitions
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_hot_value_over_many_ranges(spark, ascending):
     rows = [(i, 7.0 if i % 3 == 0 else float(i)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "id long, v double")
-    order = [F.col("v").desc_nulls_last(), F.col("id").asc()]
-    got = dist_ntile(df, 4, order, "q", num_partitions=8)
-    exp = df.withColumn("q_exp", F.ntile(4).over(Window.orderBy(*order)))
+    df = spark.createDataFrame(rows, "id long, v double").repartition(16)
+    exp = df.select("id", F.ntile(4).over(Window.orderBy(*_order(ascending))).alias("q_exp"),
+                    F.row_number().over(Window.orderBy(*_order(ascending))).alias("rn_exp"))
+    got = df.withColumn("q", dist_ntile(df, 4, "v", "id", ascending))
     assert got.join(exp, "id").where(F.col("q") != F.col("q_exp")).count() == 0
-    rn = dist_row_number(df, order, num_partitions=8)
-    per_part = rn.where(F.col("v") == 7.0).select(F.spark_partition_id().alias("p")).distinct().count()
-    assert per_part >= 2
+    rn = dist_row_number(df, _order(ascending))
+    assert rn.join(exp, "id").where(F.col("_rn") != F.col("rn_exp")).count() == 0
+
+
+def test_tile_is_assigned_without_a_join(spark):
+    df = _data(spark, 200, 9, 0.1, seed=5)
+    plan = df.withColumn("q", dist_ntile(df, 4, "v", "id"))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
