@@ -1,5 +1,4 @@
 from riskmart.functions.expr import (  # noqa: F401
-    as_date,
     dec_avg,
     dec_sum,
     flag,
@@ -15,5 +14,5 @@ from riskmart.functions.expr import (  # noqa: F401
     sum_flag,
     to_units,
     units_sum,
-    uses_sql_functions,
+    wide_sum,
 )

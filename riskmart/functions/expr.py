@@ -7,8 +7,9 @@ inside whole-stage codegen.  Two rules make results exact and engine-independent
   (``round(x * 10**n) / 10**n``) with plain double arithmetic.  Spark's own ``round`` on a
   double builds a BigDecimal per row from the decimal string, which is slow and flips some
   last-digit halves.
-* Money and rates are summed as integer units (cents, basis points) in a ``long`` and
-  divided once at the end, so sums do not depend on the order in which partitions are
+* Money and rates are summed as integer units (cents, basis points) in a ``long`` (sums of
+  sums in a wide decimal) and divided once at the end; a value with more digits than its
+  column's unit raises an error.  So sums do not depend on the order in which partitions are
   combined, and no slow wide-decimal buffer is used.
 """
 
@@ -39,7 +40,12 @@ _SQL_FUNCTIONS = [
     # round(x, n), binary-scaled, never -0.0
     ("rm_rnd", "x DOUBLE, n INT", "DOUBLE", "rm_round_half_away(x * power(10, n)) / power(10, n) + 0.0D"),
     # a decimal-grid double as integer units of 10**-s
-    ("rm_units", "x DOUBLE, s INT", "BIGINT", "CAST(rm_round_half_away(x * power(10, s)) AS BIGINT)"),
+    # a value off the grid is an error: rounding it before a sum would lose its digits
+    ("rm_units", "x DOUBLE, s INT", "BIGINT",
+     "CASE WHEN abs(x * power(10, s) - rm_round_half_away(x * power(10, s)))"
+     " > greatest(0.001D, abs(x) * power(10, s) * 1e-12D)"
+     " THEN CAST(raise_error(concat('more decimals than the ', s, ' of its column: ', x)) AS BIGINT)"
+     " ELSE CAST(rm_round_half_away(x * power(10, s)) AS BIGINT) END"),
     ("rm_from_units", "u BIGINT, s INT", "DOUBLE", "CAST(u AS DOUBLE) / power(10, s)"),
     ("rm_safe_div", "a DOUBLE, b DOUBLE", "DOUBLE", "a / nullif(b, 0.0D)"),
     ("rm_pct", "a DOUBLE, b DOUBLE, n INT", "DOUBLE", "rm_rnd(rm_safe_div(a, b) * 100.0D, n)"),
@@ -61,12 +67,6 @@ def register_sql_functions(spark: SparkSession) -> None:
         _REGISTERED.add(key)
 
 
-def uses_sql_functions(*frames) -> None:
-    """Make sure the sessions of ``frames`` know the helper functions (call at a model's start)."""
-    for df in frames:
-        register_sql_functions(df.sparkSession)
-
-
 def model(fn):
     """Decorator for model functions: registers the helper SQL functions in the session of the
     first DataFrame argument (directly or inside a dict of DataFrames)."""
@@ -108,6 +108,11 @@ def from_units(units, scale: int = 2) -> Column:
     return F.call_function("rm_from_units", _c(units), F.lit(scale))
 
 
+def wide_sum(units, scale: int = 2) -> Column:
+    """Sum of sums in integer units, as a double: widened first, so that it cannot overflow."""
+    return F.sum(_c(units).cast("decimal(38,0)")).cast("double") / F.lit(float(10 ** scale))
+
+
 def flag(cond: Column) -> Column:
     """``CASE WHEN cond THEN true ELSE false END`` (a null condition gives false)."""
     return F.coalesce(cond, F.lit(False))
@@ -156,7 +161,3 @@ def lit_date(d) -> Column:
     if isinstance(d, str):
         d = _dt.date.fromisoformat(d)
     return F.lit(d)
-
-
-def as_date(x) -> Column:
-    return _c(x).cast("date")

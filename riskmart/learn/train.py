@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 import uuid
 from dataclasses import dataclass, field
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.operators.ranking import dist_row_number
+from riskmart.session import checkpoint_table
 
 SEED = 42
 LABEL, WEIGHT, FEATURES = "label", "class_weight", "features"
@@ -34,21 +36,28 @@ def stratified_split(df: DataFrame, label_col: str, key: str = "customer_id", te
     """Adds ``split`` ('train'/'test'): within each class, the rows with the highest seeded hash
     of ``key`` — ceil(test_fraction * class size) of them — form the test set.
 
-    Exact per-class proportions without collecting a class into one task: rows are numbered by
-    the distributed ranking over (label, hash, key); class sizes are a two-row aggregate.
+    Exact per-class proportions without collecting a class into one task: (label, hash, key) is
+    numbered by the distributed ranking, and every row is compared with the last training row of
+    its class.  The hash is md5 of "key:seed", which other engines have as well.
     """
-    h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    base = df.withColumn("_lbl", F.col(label_col).cast("int")).withColumn("_h", h)
-    ranked = dist_row_number(base, [F.col("_lbl").asc(), F.col("_h").asc(), F.col(key).asc()])
-    sizes = base.groupBy("_lbl").agg(F.count(F.lit(1)).alias("_nc"))
-    before = Window.orderBy("_lbl").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per class: bounded by the label domain
-    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
-    pos = F.col("_rn") - F.col("_start")
-    n_train = F.col("_nc") - F.ceil(F.col("_nc") * F.lit(test_fraction))
-    return (ranked.join(F.broadcast(sizes), "_lbl")
-            .withColumn("split", F.when(pos <= n_train, "train").otherwise("test"))
-            .drop("_lbl", "_h", "_rn", "_n", "_nc", "_start"))
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    base = df.withColumn("_lbl", F.col(label_col).cast("int"))
+    # only (label, hash, key) is sorted; of each class one row reaches the driver, the last training row
+    order = base.select("_lbl", h.alias("_h"), F.col(key).cast("string").alias("_k"))
+    ranked = checkpoint_table(dist_row_number(order, [F.col("_lbl").asc(), F.col("_h").asc(), F.col("_k").asc()]),
+                              "riskmart-split")
+    sizes = {r["_lbl"]: r["n"] for r in ranked.groupBy("_lbl").agg(F.count(F.lit(1)).alias("n")).collect()}
+    start, cuts = 0, {}
+    for label in sorted(sizes, key=lambda x: (x is not None, x)):
+        cuts[label] = start + sizes[label] - math.ceil(sizes[label] * test_fraction)
+        start += sizes[label]
+    last = {r["_lbl"]: r for r in ranked.filter(F.col("_rn").isin(list(cuts.values()))).collect()}
+    in_train = F.lit(False)
+    for label, row in last.items():
+        if row["_rn"] == cuts[label]:
+            in_train = in_train | (F.col("_lbl").eqNullSafe(F.lit(label)) & (
+                (F.col("_h") < row["_h"]) | ((F.col("_h") == row["_h"]) & (F.col(key).cast("string") <= row["_k"]))))
+    return base.withColumn("_h", h).withColumn("split", F.when(in_train, "train").otherwise("test")).drop("_lbl", "_h")
 
 
 def balanced_weights(train: DataFrame, label_col: str) -> dict[int, float]:
@@ -98,28 +107,54 @@ def logistic(n_train: int, max_iter: int = 500, tol: float = 1e-4) -> LogisticRe
                               regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False)
 
 
-def forest(num_trees: int, max_depth: int, seed: int = SEED) -> RandomForestClassifier:
+def forest(num_trees: int, max_depth: int, seed: int = SEED, max_bins: int = 256) -> RandomForestClassifier:
+    """``max_bins`` is the number of split candidates of a numeric feature; Spark also takes its thresholds from a
+    sample of about max(max_bins ** 2, 10 000) rows."""
     return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, numTrees=num_trees,
-                                  maxDepth=max_depth, seed=seed)
+                                  maxDepth=max_depth, seed=seed, maxBins=max_bins)
 
 
 # ---- L14 metrics ---------------------------------------------------------------------------
 def evaluate(pred: DataFrame) -> dict[str, float]:
-    """accuracy, precision / recall / F1 of the positive class, ROC AUC of P(class 1)."""
+    """accuracy, precision / recall / F1 of the positive class, exact ROC AUC of P(class 1)."""
     y, p = F.col(LABEL), F.col("prediction")
     c = pred.agg(F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
                  F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn")).first()
-    tp, fp, fn, tn = (int(c[k]) for k in ("tp", "fp", "fn", "tn"))
+    tp, fp, fn, tn = (int(c[k] or 0) for k in ("tp", "fp", "fn", "tn"))
     precision = tp / (tp + fp) if tp + fp else 0.0
     recall = tp / (tp + fn) if tp + fn else 0.0
     f1 = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
     n = tp + fp + fn + tn
+    # numBins=0: every distinct score is a point of the curve
     auc = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol=LABEL,
-                                        metricName="areaUnderROC").evaluate(pred)
+                                        metricName="areaUnderROC", numBins=0).evaluate(pred)
     return {"accuracy": (tp + tn) / n if n else 0.0, "precision": precision, "recall": recall, "f1_score": f1,
             "auc_roc": auc}
 
 
+#: Names of the classes in the report.
+CLASS_NAMES = {0: "no_default", 1: "default"}
+
+
+def class_report(pred: DataFrame) -> DataFrame:
+    """Per class and averaged (macro: plain, weighted: by support): precision, recall, F1, support."""
+    cells = pred.groupBy(F.col(LABEL).cast("int").alias("y"), F.col("prediction").cast("int").alias("p")).count()
+    n = {(r["y"], r["p"]): int(r["count"]) for r in cells.collect()}  # classes squared
+    rows = []
+    for k, name in CLASS_NAMES.items():
+        hit, said = n.get((k, k), 0), sum(v for (_, p), v in n.items() if p == k)
+        support = sum(v for (y, _), v in n.items() if y == k)
+        precision, recall = (hit / x if x else 0.0 for x in (said, support))
+        f1 = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
+        rows.append((name, precision, recall, f1, support))
+    total = sum(r[4] for r in rows)
+    for name, weights in (("macro avg", [1] * len(rows)), ("weighted avg", [r[4] for r in rows])):
+        mean = [sum(w * r[i] for w, r in zip(weights, rows)) / (sum(weights) or 1) for i in (1, 2, 3)]
+        rows.append((name, *mean, total))
+    return pred.sparkSession.createDataFrame(
+        rows, "class string, precision double, recall double, f1_score double, support long")
+
+
 @dataclass
 class Trained:
     name: str
@@ -141,9 +176,11 @@ def train_default_models(features: DataFrame, numeric: list[str], categorical: l
                          label_col: str = "target", guard_auc: float = 0.90) -> tuple[list[Trained], DataFrame]:
     """L8–L15 for the future-default label: logistic + forest 100x6, the overfit guard, best by F1.
 
-    Returns the trained candidates (best first) and the test split (with label/weight columns).
+    Returns the trained candidates (best first) and the test split (with label/weight columns),
+    which is kept in memory for the caller to unpersist.
     """
-    split = stratified_split(features, label_col)
+    # the features are evaluated once: the split and everything after it read this table
+    split = stratified_split(checkpoint_table(features, "riskmart-features"), label_col)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     weights = balanced_weights(train, label_col)
@@ -170,13 +207,15 @@ def train_default_models(features: DataFrame, numeric: list[str], categorical: l
             results.append(Trained(r.name + "_reduced", model, evaluate(model.transform(test)),
                                    {"n_estimators": 50, "max_depth": 4, "noise": 0.05}))
     results.sort(key=lambda t: t.metrics["f1_score"], reverse=True)
+    train_prepped.unpersist()
+    train.unpersist()
     return results, test
 
 
 def train_alert_model(features: DataFrame, numeric: list[str], categorical: list[str],
                       label_col: str = "alert_30d") -> tuple[Trained, DataFrame]:
     """Forest 100x8 on the score-mart features, label ``alert_30d`` (the second training job)."""
-    split = stratified_split(features, label_col)
+    split = stratified_split(checkpoint_table(features, "riskmart-features"), label_col)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     weights = balanced_weights(train, label_col)
@@ -184,7 +223,9 @@ def train_alert_model(features: DataFrame, numeric: list[str], categorical: list
     test = with_weights(test, label_col, weights).persist()
     model = Pipeline(stages=preprocessing_stages(numeric, categorical) + [forest(100, 8)]).fit(train)
     params = {"n_estimators": 100, "max_depth": 8, "class_weight": "balanced", "random_state": SEED}
-    return Trained("RandomForest", model, evaluate(model.transform(test)), params), test
+    out = Trained("RandomForest", model, evaluate(model.transform(test)), params)
+    train.unpersist()
+    return out, test
 
 
 # ---- L16 / L17 explanations ------------------------------------------------------------------
@@ -208,6 +249,14 @@ def forest_importances(trained: Trained, numeric: list[str], categorical: list[s
     return sorted(zip(names, rf.featureImportances.toArray().tolist()), key=lambda t: -t[1])
 
 
+def top_features(trained: Trained, test: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """(feature, importance) of a trained candidate: the linear attribution, or a forest's own importances."""
+    if hasattr(trained.model.stages[-1], "coefficients"):
+        return linear_attribution(trained, test, numeric, categorical)
+    pairs = forest_importances(trained, numeric, categorical)
+    return importance_frame(test.sparkSession, pairs).select("feature", "importance")
+
+
 def importance_frame(spark: SparkSession, pairs: list[tuple[str, float]]) -> DataFrame:
     """(feature, importance, ranking) with ``rank() over (order by importance desc)`` (K9)."""
     df = spark.createDataFrame([(f, float(v)) for f, v in pairs], "feature string, importance double")
@@ -261,13 +310,17 @@ def log_run(spark: SparkSession, runs_path: str, run_name: str, params: dict, me
     return run_id
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def register_version(spark: SparkSession, versions_path: str, name: str, model_path: str, run_id: str) -> int:
     """Append ``(name, max(version)+1, path, run_id)`` to ``ml_model_versions``."""
-    try:
+    prev = 0
+    if path_exists(spark, versions_path):  # a table that cannot be read is an error, not a first version
         prev = (spark.read.parquet(versions_path).where(F.col("name") == name)
                 .agg(F.max("version")).first()[0]) or 0
-    except Exception:  # noqa: BLE001  (first version: table does not exist yet)
-        prev = 0
     version = int(prev) + 1
     spark.createDataFrame([(name, version, model_path, run_id)],
                           "name string, version int, model_path string, run_id string") \

@@ -1,169 +1,115 @@
 """Distributed global ranking: ``row_number``, ``ntile`` and ``percent_rank`` over a total order.
 
-``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task
-(``Exchange SinglePartition``).  Here instead:
-
-1. ``repartitionByRange`` on the full sort key (value + unique tie-break).  Range bounds are
-   sampled on the composite key, so even a value that holds a third of all rows is spread
-   over several partitions by its tie-break.
-2. ``sortWithinPartitions`` on the same key; each task numbers its rows locally.
-3. The numbered rows are written as a table in the session's checkpoint folder: the sampled
-   range bounds and the local numbers become fixed facts, so a lost executor cannot re-derive
-   different bounds between the two reads below.
-4. One row per partition (count, first/last value) — at most ``n_partitions`` rows — gives
-   each partition its global offset; that small table is broadcast back (map-side join).
-
-``percent_rank`` also needs, per row, where its tie group starts.  A group can straddle
-partitions, so each task scans its sorted rows once (``mapInPandas``, Arrow batches) to find
-the local group start, and the per-partition table carries the straddling part.
+``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task.  Here instead:
+
+* ``dist_row_number`` range-sorts the rows (AQE sizes the ranges), writes them to the checkpoint folder, so that the
+  sampled bounds are fixed, and gives each partition its offset from a table with one row per partition.
+* ``percent_rank`` depends on the value alone: values are counted (a value that many rows share is combined before the
+  shuffle), the distinct values are numbered as above with their counts, and each row looks its value up.
+* ``ntile`` needs only the last row of each tile.  The counts of the values tell which value holds it; only the rows of
+  these few values are numbered; then every row finds its tile by comparing itself with the k - 1 last rows.
+
+Values order as in Spark: NaN is larger than any number, nulls come last in either direction.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskmart.session import checkpoint_table, ensure_checkpoint_dir
 
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id = (partition << 33) + local index
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _group_start_scan(value_col: str):
-    """Per sorted partition: local row index and the local index where its value group starts."""
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pos = 0
-        have_prev = False
-        prev_val = None
-        prev_null = False
-        prev_start = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            lrn = np.arange(pos, pos + n, dtype=np.int64)
-            v = pdf[value_col]
-            isnull = v.isna().to_numpy()
-            vals = v.to_numpy()
-            new = np.ones(n, dtype=bool)
-            if n > 1:
-                same = (vals[1:] == vals[:-1]) | (isnull[1:] & isnull[:-1])
-                new[1:] = ~same
-            if have_prev:
-                first_same = (isnull[0] and prev_null) or (not isnull[0] and not prev_null and vals[0] == prev_val)
-                new[0] = not first_same
-            starts = np.where(new, lrn, -1)
-            if not new[0]:
-                starts[0] = prev_start
-            starts = np.maximum.accumulate(starts)
-            out = pdf.copy()
-            out["_lrn"] = lrn
-            out["_lfirst"] = starts
-            yield out
-            pos += n
-            have_prev = True
-            prev_val, prev_null, prev_start = vals[-1], bool(isnull[-1]), int(starts[-1])
-
-    return scan
-
-
-def _ranked(df: DataFrame, order: Sequence[Column], group_col: str | None,
-            num_partitions: int | None) -> DataFrame:
+def _range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The globally sorted rows as a table, with ``_pid`` (range) and ``_lrn`` (place in it, from 0)."""
     ensure_checkpoint_dir(df.sparkSession)
-    nparts = _num_partitions(df, num_partitions)
-    s = df.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
-    if group_col is None:
-        s = s.withColumn("_lrn", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)))
-    else:
-        schema = T.StructType(s.schema.fields + [T.StructField("_lrn", T.LongType(), False),
-                                                 T.StructField("_lfirst", T.LongType(), False)])
-        s = s.mapInPandas(_group_start_scan(group_col), schema)
-    s = s.withColumn("_pid", F.spark_partition_id())
-    # cut the lineage with a table in the checkpoint folder; _pid/_lrn are plain columns now
-    return checkpoint_table(s, "riskmart-rank")
-
-
-def _partition_offsets(ranked: DataFrame, group_col: str | None) -> DataFrame:
-    """One row per non-empty partition: _pid, _off (rows before it), _n (all rows)[, _carry]."""
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    if group_col is not None:
-        v = F.col(group_col)
-        aggs += [F.min_by(v, F.col("_lrn")).alias("_first_val"),
-                 F.max_by(v, F.col("_lrn")).alias("_last_val"),
-                 F.max_by(F.col("_lfirst"), F.col("_lrn")).alias("_last_start")]
-    # at most n_partitions rows from here on: a single-task window is fine
-    s = ranked.groupBy("_pid").agg(*aggs)
+    gid = F.monotonically_increasing_id()
+    s = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_gid", gid)
+    s = s.withColumns({"_pid": F.shiftright("_gid", 33), "_lrn": F.col("_gid").bitwiseAND(F.lit(_LOCAL_BITS))})
+    return checkpoint_table(s.drop("_gid"), "riskmart-rank")
+
+
+def _offsets(ranked: DataFrame, size: Column) -> DataFrame:
+    """One row per range: ``_pid``, ``_off`` (total size of the ranges before it), ``_n`` (total size)."""
+    s = ranked.groupBy("_pid").agg(F.sum(size).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    s = (s.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long"))
-          .withColumn("_n", F.sum("_cnt").over(Window.partitionBy()).cast("long")))
-    if group_col is None:
-        return s.select("_pid", "_off", "_n")
-    # rows of a partition's first value that sit at the end of earlier partitions
-    tail = s.select(F.col("_pid").alias("_q"), F.col("_last_val").alias("_tv"),
-                    (F.col("_cnt") - F.col("_last_start")).alias("_tail"))
-    carry = (s.select("_pid", "_first_val")
-             .join(tail, F.col("_first_val").eqNullSafe(F.col("_tv")) & (F.col("_q") < F.col("_pid")))
-             .groupBy("_pid").agg(F.sum("_tail").alias("_carry")))
-    return (s.join(carry, "_pid", "left")
-            .select("_pid", "_off", "_n", F.coalesce("_carry", F.lit(0)).cast("long").alias("_carry")))
-
-
-def dist_row_number(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
+    return s.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off"),
+                    F.sum("_cnt").over(Window.partitionBy()).cast("long").alias("_n"))
+
+
+def dist_row_number(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Adds ``_rn`` (1-based position in ``order``) and ``_n`` (row count).
 
     ``order`` must be a total order (end it with a unique key).
     """
-    ranked = _ranked(df, order, None, num_partitions)
-    offs = _partition_offsets(ranked, None)
-    return (ranked.join(F.broadcast(offs), "_pid")
+    ranked = _range_sorted(df, order)
+    return (ranked.join(_offsets(ranked, F.lit(1)), "_pid")
             .withColumn("_rn", F.col("_off") + F.col("_lrn") + 1)
             .drop("_pid", "_lrn", "_off"))
 
 
-def ntile_expr(k: int, rn: Column, n: Column) -> Column:
-    """SQL ``ntile(k)`` from a 1-based row number and the row count."""
-    # integer arithmetic carried in doubles is exact below 2**53 rows
-    r = n % k
-    b = ((n - r) / F.lit(float(k))).cast("long")
-    big = r * (b + 1)
-    first = F.floor((rn - 1) / (b + 1)).cast("long") + 1
-    rest = r + F.floor((rn - 1 - big) / F.greatest(b, F.lit(1))).cast("long") + 1
-    return F.when(rn <= big, first).otherwise(rest).cast("int")
+def value_starts(df: DataFrame, value_col: str, ascending: bool = True) -> DataFrame:
+    """One row per distinct value: ``value_col``, ``_size`` (rows with it), ``_before`` (rows before them), ``_n``."""
+    v = F.col(value_col)
+    counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_size"))
+    ranked = _range_sorted(counts, [v.asc_nulls_last() if ascending else v.desc_nulls_last()])
+    inside = Window.partitionBy("_pid").orderBy("_lrn").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("_size").over(inside), F.lit(0))
+    return (ranked.withColumn("_in", within).join(_offsets(ranked, F.col("_size")), "_pid")
+            .select(value_col, "_size", (F.col("_off") + F.col("_in")).alias("_before"), "_n"))
+
 
+def dist_percent_rank(df: DataFrame, value_col: str, out_col: str, ascending: bool = True) -> DataFrame:
+    """``percent_rank() OVER (ORDER BY value_col)`` with nulls last, as ``out_col`` (double)."""
+    starts = value_starts(df, value_col, ascending)
+    rank = F.when(F.col("_n") > 1, F.col("_before").cast("double") / (F.col("_n") - 1).cast("double")).otherwise(0.0)
+    starts = starts.select(F.col(value_col).alias("_value"), rank.alias(out_col))
+    return df.join(starts, F.col(value_col).eqNullSafe(F.col("_value"))).drop("_value")
 
-def dist_ntile(df: DataFrame, k: int, order: Sequence[Column], out_col: str,
-               num_partitions: int | None = None) -> DataFrame:
-    """``ntile(k) OVER (ORDER BY order)`` as column ``out_col`` (order must be total)."""
-    ranked = dist_row_number(df, order, num_partitions)
-    return ranked.withColumn(out_col, ntile_expr(k, F.col("_rn"), F.col("_n"))).drop("_rn", "_n")
 
+def tile_ends(n: int, k: int) -> list[int]:
+    """1-based number of the last row of each tile but the last: the first n % k tiles have one row more."""
+    b, r = divmod(n, k)
+    return [t * b + min(t, r) for t in range(1, k)]
 
-def dist_percent_rank(df: DataFrame, value_col: str, tie_cols: Sequence[str], out_col: str,
-                      ascending: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """``percent_rank() OVER (ORDER BY value_col)`` with nulls last, as ``out_col`` (double).
 
-    ``tie_cols`` (a unique key) only spreads large tie groups over partitions; rows of one
-    value get the same rank whatever their tie-break.
+def dist_ntile(df: DataFrame, k: int, value_col: str, id_col: str, ascending: bool = True) -> Column:
+    """``ntile(k) OVER (ORDER BY value_col, id_col)``, nulls last, as an expression over the rows of ``df``.
+
+    ``id_col`` must be unique.  Only the k - 1 last rows of the tiles reach the driver.
     """
-    v = F.col(value_col)
-    first = v.asc_nulls_last() if ascending else v.desc_nulls_last()
-    order = [first] + [F.col(c).asc() for c in tie_cols]
-    ranked = _ranked(df, order, value_col, num_partitions)
-    offs = _partition_offsets(ranked, value_col)
-    start = F.when(F.col("_lfirst") == 0, F.col("_off") - F.col("_carry")).otherwise(
-        F.col("_off") + F.col("_lfirst"))  # rows strictly before the row's tie group
-    prank = F.when(F.col("_n") > 1, start.cast("double") / (F.col("_n") - 1).cast("double")).otherwise(F.lit(0.0))
-    return (ranked.join(F.broadcast(offs), "_pid")
-            .withColumn(out_col, prank)
-            .drop("_pid", "_lrn", "_lfirst", "_off", "_n", "_carry"))
+    v, i = F.col(value_col), F.col(id_col)
+    starts = checkpoint_table(value_starts(df, value_col, ascending), "riskmart-rank")
+    first = starts.first()
+    if first is None:
+        return F.lit(1)
+    ends = tile_ends(first["_n"], k)
+    holds = F.lit(False)
+    for e in set(ends):
+        holds = holds | ((F.col("_before") < e) & (F.col("_before") + F.col("_size") >= e))
+    values = starts.filter(holds).withColumnRenamed(value_col, "_value")
+    # the rows of at most k - 1 values; a hot value is spread over ranges by its ids
+    rows = df.select(value_col, id_col).join(values, v.eqNullSafe(F.col("_value")))
+    numbered = dist_row_number(rows.drop("_n", "_value"), [F.col("_before").asc(), i.asc()])
+    # numbers run through the chosen values, so each value's first number is taken off again
+    base = Window.orderBy("_before").rowsBetween(Window.unboundedPreceding, -1)
+    skipped = values.select("_before", F.coalesce(F.sum("_size").over(base), F.lit(0)).alias("_skipped"))
+    place = F.col("_before") + F.col("_rn") - F.col("_skipped")
+    last = {r["_place"]: r for r in numbered.join(skipped, "_before").withColumn("_place", place).filter(
+        F.col("_place").isin(sorted(set(ends)))).select("_place", value_col, id_col).collect()}
+    kinds = df.select(value_col, id_col).schema
+    tile = F.lit(1)
+    for e in ends:
+        r = last[e]
+        at, key = (F.lit(r[c]).cast(kinds[c].dataType) for c in (value_col, id_col))
+        if r[value_col] is None:
+            behind = v.isNull() & (i > key)
+        else:
+            beyond = (v > at) if ascending else (v < at)
+            behind = v.isNull() | beyond | ((v == at) & (i > key))
+        tile = tile + F.when(behind, 1).otherwise(0)
+    return tile.cast("int")

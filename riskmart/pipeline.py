@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from riskmart.operators import quality
 from riskmart.plans import intermediate, marts, staging, summaries
+from riskmart.session import checkpoint_table
 from riskmart.sources import read_sources, validate_sources
 
 # Layer -> models, in dependency order.
@@ -112,6 +113,7 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
     # The credit profile and the acquisition model share one per-customer pass over contracts
     # and one over payments: the first of the two to need them computes and keeps them.
     facts: dict[str, DataFrame] = {}
+    shared: dict[str, DataFrame] = {}
     facts_lock = threading.Lock()
 
     def materialised(df: DataFrame) -> DataFrame:
@@ -129,6 +131,16 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
                 }, 2))
             return facts["contracts"], facts["payments"]
 
+    months_lock = threading.Lock()
+
+    def shared_months() -> DataFrame:
+        """One row per contract and month, for the payment performance and the portfolio mart."""
+        with months_lock:
+            if "months" not in shared:
+                shared["months"] = checkpoint_table(
+                    intermediate.contract_months(stg["stg_payments"], stg["stg_contracts"]), "riskmart-months")
+            return shared["months"]
+
     def profile():
         cf, pf = shared_facts()
         return intermediate.int_customer_credit_profile(
@@ -145,7 +157,7 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         "int_customer_digital_behavior": lambda: intermediate.int_customer_digital_behavior(
             stg["stg_customers"], stg["stg_app_events"]),
         "int_payment_performance": lambda: intermediate.int_payment_performance(
-            stg["stg_payments"], stg["stg_contracts"]),
+            stg["stg_payments"], stg["stg_contracts"], shared_months()),
         "int_acquisition_quality": acquisition,
     }
     inter_schemas: dict = {}
@@ -155,9 +167,11 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         inter_schemas[n] = df.schema
         write_table(df, f"{out}/intermediate/{n}")
 
-    _parallel({n: (lambda n=n: attempt(n, lambda: build_inter(n))) for n in INTERMEDIATE}, parallelism)
-    for df in facts.values():
-        df.unpersist()
+    try:
+        _parallel({n: (lambda n=n: attempt(n, lambda: build_inter(n))) for n in INTERMEDIATE}, parallelism)
+    finally:
+        for df in facts.values():
+            df.unpersist()
     inter = _timed(res, "read_intermediate", lambda: {
         n: spark.read.schema(inter_schemas[n]).parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE})
     if gate:
@@ -171,7 +185,8 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
             stg["stg_customers"]),
         "fct_customer_ltv": lambda: marts.fct_customer_ltv(
             inter_clean["int_customer_credit_profile"], inter_clean["int_acquisition_quality"]),
-        "fct_portfolio_health": lambda: marts.fct_portfolio_health(stg["stg_payments"], stg["stg_contracts"]),
+        "fct_portfolio_health": lambda: marts.fct_portfolio_health(
+            stg["stg_payments"], stg["stg_contracts"], shared_months()),
         "fct_collection_efficiency": lambda: marts.fct_collection_efficiency(stg["stg_collections"]),
         "fct_risk_segments": lambda: marts.fct_risk_segments(stg["stg_payments"], stg["stg_customers"], as_of),
     }

@@ -1,9 +1,9 @@
 """Intermediate tables.
 
-Shape of every model: aggregate each fact table to the customer (or month) grain first, then
-join the small aggregates — never join facts to facts before aggregating.  All per-customer
-aggregates hash-partition on ``customer_id``, so the joins that follow reuse that partitioning
-and only the customer dimension is shuffled to meet them.
+Shape of every model: aggregate each fact table first, then join the small aggregates.  Payments
+are brought to one row per contract and month before they meet their contract, and both models
+that need the product read that table.  All per-customer aggregates hash-partition on
+``customer_id``, so the joins that follow reuse that partitioning.
 """
 
 from __future__ import annotations
@@ -11,28 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import (model, dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, safe_div,
-                                sum_flag, to_units, units_sum)
-
-
+from riskmart.functions import (model, dec_avg, flag, from_units, int_avg, lit_date, pct, rnd, safe_div, sum_flag,
+                                to_units, units_sum, wide_sum)
 
 
 def _count_when(cond) -> F.Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
 
 
-def _sorted_distinct_list(col: str, sep: str = ", ") -> F.Column:
-    s = F.array_sort(F.collect_set(col))
-    return F.when(F.size(s) > 0, F.array_join(s, sep))
-
-
 @model
 def customer_contract_facts(contracts: DataFrame) -> DataFrame:
     """Per-customer contract aggregates used by the credit profile and the acquisition model.
 
     Sums are exact integer units (cents, 1e-4) with their counts, so every average derived from
     them is the same exact sum / count either model would compute on its own."""
-    return contracts.groupBy("customer_id").agg(
+    # first per customer and product, with plain buffers; then the few products of a customer
+    by_product = contracts.groupBy("customer_id", "product_type").agg(
         F.count(F.lit(1)).alias("total_contracts"),
         _count_when(F.col("is_active_contract")).alias("active_contracts"),
         _count_when(F.col("is_defaulted")).alias("defaulted_contracts"),
@@ -45,8 +39,12 @@ def customer_contract_facts(contracts: DataFrame) -> DataFrame:
         F.sum("installments_total").alias("term_sum"),
         F.count("installments_total").alias("term_n"),
         F.max("contract_date").alias("last_contract_date"),
-        _sorted_distinct_list("product_type").alias("product_types"),
     )
+    added = [c for c in by_product.columns if c not in ("customer_id", "product_type", "last_contract_date")]
+    products = F.array_sort(F.collect_list("product_type"))  # leaves nulls out
+    return by_product.groupBy("customer_id").agg(
+        *[F.sum(c).alias(c) for c in added], F.max("last_contract_date").alias("last_contract_date"),
+        F.when(F.size(products) > 0, F.array_join(products, ", ")).alias("product_types"))
 
 
 @model
@@ -113,13 +111,23 @@ def int_customer_credit_profile(customers: DataFrame, contracts: DataFrame, paym
 
 @model
 def int_customer_digital_behavior(customers: DataFrame, events: DataFrame) -> DataFrame:
-    monthly = events.groupBy("customer_id", "event_month").agg(
-        F.count(F.lit(1)).alias("events_total"),
-        sum_flag("is_login_event").alias("logins_count"),
-        sum_flag("is_payment_event").alias("payment_events"),
-        sum_flag("is_offer_event").alias("offer_events"),
-        F.countDistinct("event_day").alias("active_days"),
-        rnd(int_avg("session_duration_seconds"), 0).alias("avg_session_seconds"),
+    # days first (combined before the shuffle), then one exchange by customer that the months, the
+    # previous month and the join all reuse
+    days = events.groupBy("customer_id", "event_month", "event_day").agg(
+        F.count(F.lit(1)).alias("n"),
+        sum_flag("is_login_event").alias("logins"),
+        sum_flag("is_payment_event").alias("payments"),
+        sum_flag("is_offer_event").alias("offers"),
+        F.sum("session_duration_seconds").alias("seconds"),
+        F.count("session_duration_seconds").alias("timed"),
+    ).repartition("customer_id")
+    monthly = days.groupBy("customer_id", "event_month").agg(
+        F.sum("n").alias("events_total"),
+        F.sum("logins").alias("logins_count"),
+        F.sum("payments").alias("payment_events"),
+        F.sum("offers").alias("offer_events"),
+        F.count("event_day").alias("active_days"),
+        rnd(safe_div(F.sum("seconds"), F.sum("timed")), 0).alias("avg_session_seconds"),
         F.max("event_day").alias("last_event_day"),
     )
     # previous *active* month of the same customer (months without events are skipped);
@@ -148,18 +156,40 @@ def int_customer_digital_behavior(customers: DataFrame, events: DataFrame) -> Da
 
 
 @model
-def int_payment_performance(payments: DataFrame, contracts: DataFrame) -> DataFrame:
-    joined = payments.join(contracts.select("contract_id", "product_type"), "contract_id", "left")
-    paid = dec_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0)))
-    due = dec_sum(F.coalesce(F.col("amount_due"), F.lit(0.0)))
-    monthly = joined.groupBy("due_month", "due_year", "due_month_num", "product_type").agg(
-        F.count(F.lit(1)).alias("total_payments"),
-        sum_flag("is_defaulted").alias("defaulted_count"),
-        sum_flag("is_late").alias("late_count"),
+def contract_months(payments: DataFrame, contracts: DataFrame) -> DataFrame:
+    """One row per contract and month of its payments, with the contract's product and principal.
+
+    ``int_payment_performance`` and ``fct_portfolio_health`` both add it up, so the payments are
+    shuffled by contract once.  Money is in cents."""
+    by_month = payments.groupBy("contract_id", "due_month", "due_year", "due_month_num").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        sum_flag("is_defaulted").alias("n_defaulted"),
+        sum_flag("is_late").alias("n_late"),
+        units_sum(F.coalesce(F.col("amount_due"), F.lit(0.0))).alias("due_units"),
+        units_sum(F.coalesce(F.col("amount_paid"), F.lit(0.0))).alias("paid_units"),
+        F.sum(F.when(F.col("days_late") > 0, F.col("days_late"))).alias("days_sum"),
+        _count_when(F.col("days_late") > 0).alias("days_n"),
+        F.max(F.when(F.col("lateness_bucket") == "90+_days", 1).otherwise(0)).alias("any_90plus"),
+    ).repartition("contract_id")
+    c = contracts.select(F.col("contract_id").alias("known_contract"), "product_type",
+                         to_units("principal_amount").alias("principal_units"))
+    return by_month.join(c, by_month["contract_id"] == c["known_contract"], "left")
+
+
+@model
+def int_payment_performance(payments: DataFrame, contracts: DataFrame,
+                            months: DataFrame | None = None) -> DataFrame:
+    """``months`` may be the ready ``contract_months`` table."""
+    months = contract_months(payments, contracts) if months is None else months
+    paid, due = wide_sum("paid_units"), wide_sum("due_units")
+    monthly = months.groupBy("due_month", "due_year", "due_month_num", "product_type").agg(
+        F.sum("n_rows").alias("total_payments"),
+        F.sum("n_defaulted").alias("defaulted_count"),
+        F.sum("n_late").alias("late_count"),
         due.alias("total_amount_due"),
         paid.alias("total_amount_paid"),
-        rnd(int_avg(F.when(F.col("days_late") > 0, F.col("days_late"))), 1).alias("avg_days_late"),
-        pct(sum_flag("is_defaulted"), F.count(F.lit(1)), 2).alias("default_rate_pct"),
+        rnd(safe_div(F.sum("days_sum"), F.sum("days_n")), 1).alias("avg_days_late"),
+        pct(F.sum("n_defaulted"), F.sum("n_rows"), 2).alias("default_rate_pct"),
         pct(paid, due, 2).alias("recovery_rate_pct"),
     )
     # a few dozen months x 4 products: the window below works on the already-aggregated table
@@ -181,48 +211,43 @@ def int_acquisition_quality(customers: DataFrame, contracts: DataFrame, payments
     proposal_agg = proposals.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_proposals"),
         sum_flag("is_approved").alias("approved_proposals"),
-        sum_flag("is_rejected").alias("rejected_proposals"),
-        dec_sum(F.coalesce(F.col("approved_amount"), F.lit(0.0))).alias("total_approved_amount"),
     )
     cf = contract_facts if contract_facts is not None else customer_contract_facts(contracts)
     pf = payment_facts if payment_facts is not None else customer_payment_facts(payments)
     contract_agg = cf.select(
         "customer_id", "total_contracts", "defaulted_contracts",
         F.col("principal_units").alias("total_principal"),  # cents
-        rnd(safe_div(from_units("rate_units", 4), "rate_n"), 4).alias("avg_interest_rate"),
         rnd(safe_div(from_units("completion_units", 4), "completion_n"), 4).alias("avg_completion_rate"),
         rnd(safe_div("term_sum", "term_n"), 1).alias("avg_term_months"))
-    payment_agg = pf.select("customer_id", F.col("due_units").alias("total_due"),
-                            F.col("paid_units").alias("total_paid"))  # cents
-    c = customers.select("customer_id", "acquisition_channel", "customer_segment", "income_declared")
+    payment_agg = pf.select("customer_id", F.col("paid_units").alias("total_paid"))  # cents
+    c = customers.select("customer_id", "acquisition_channel", "income_declared")
     zero_units = F.lit(0).cast("long")  # money below is in cents
     cl = (c.join(proposal_agg, "customer_id", "left")
            .join(contract_agg, "customer_id", "left")
            .join(payment_agg, "customer_id", "left")
-           .select("customer_id", "acquisition_channel", "customer_segment", "income_declared",
+           .select("customer_id", "acquisition_channel", "income_declared",
                    F.coalesce("total_proposals", F.lit(0)).alias("total_proposals"),
                    F.coalesce("approved_proposals", F.lit(0)).alias("approved_proposals"),
                    F.coalesce("total_contracts", F.lit(0)).alias("total_contracts"),
                    F.coalesce("defaulted_contracts", F.lit(0)).alias("defaulted_contracts"),
                    F.coalesce("total_principal", zero_units).alias("total_principal"),
-                   "avg_interest_rate", "avg_completion_rate", "avg_term_months",
+                   "avg_completion_rate", "avg_term_months",
                    F.coalesce("total_paid", zero_units).alias("total_paid")))
     payback = F.when(F.col("avg_term_months").isNotNull(),
                      F.col("avg_term_months") * F.coalesce(F.col("avg_completion_rate"), F.lit(0.0)))
     return cl.groupBy("acquisition_channel").agg(
-        F.countDistinct("customer_id").alias("total_customers"),
+        # rows are one per customer already (a tested key), so plain counts do
+        F.count("customer_id").alias("total_customers"),
         pct(F.sum("approved_proposals"), F.sum("total_proposals"), 2).alias("approval_rate_pct"),
         pct(F.sum("defaulted_contracts"), F.sum("total_contracts"), 2).alias("default_rate_pct"),
-        rnd(safe_div(from_units(F.sum("total_principal")), F.sum("total_contracts")), 2).alias("avg_ticket"),
-        rnd(safe_div(from_units(F.sum("total_paid")),
-                     F.countDistinct(F.when(F.col("total_contracts") > 0, F.col("customer_id")))), 2)
+        rnd(safe_div(wide_sum("total_principal"), F.sum("total_contracts")), 2).alias("avg_ticket"),
+        rnd(safe_div(wide_sum("total_paid"), F.count(F.when(F.col("total_contracts") > 0, F.col("customer_id")))), 2)
          .alias("avg_ltv"),
         rnd(dec_avg(payback, 5), 1).alias("avg_payback_months"),
         rnd(dec_avg("income_declared", 2), 2).alias("avg_income"),
     )
 
 
-@model
 def build_intermediate(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     """The four intermediate models as lazy DataFrames (each computes its own facts)."""
     return {

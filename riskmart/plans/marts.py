@@ -1,8 +1,7 @@
 """Marts (I11–I15).
 
 Global orderings (income percentile, LTV quartile, R/F/M quartiles) use the distributed
-ranking operator instead of a single-partition window.  The only broadcasts are tables whose
-size is fixed by a value domain (one row per acquisition channel; channel x trigger bucket).
+ranking operator instead of a single-partition window.
 """
 
 from __future__ import annotations
@@ -12,8 +11,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import model, dec_avg, dec_sum, flag, from_units, int_avg, lit_date, pct, rnd, sum_flag, units_sum
+from riskmart.functions import model, dec_avg, dec_sum, flag, int_avg, lit_date, pct, rnd, sum_flag, wide_sum
 from riskmart.operators.ranking import dist_ntile, dist_percent_rank
+from riskmart.plans.intermediate import contract_months
 from riskmart.session import checkpoint_table
 
 # Age-group score of the profile component.
@@ -23,17 +23,15 @@ AGE_SCORE_OTHER = 50
 
 @model
 def latest_behavior(behavior: DataFrame) -> DataFrame:
-    """Latest active month per customer (``row_number() ... = 1`` as a grouped max_by)."""
-    b = behavior.groupBy("customer_id").agg(
-        F.max_by(F.struct("app_engagement_score", "days_since_last_login", "trend_30d"),
-                 F.col("event_month")).alias("b"))
-    return b.select("customer_id", "b.app_engagement_score", "b.days_since_last_login", "b.trend_30d")
+    """Latest active month per customer: the months join back on (customer, month), one row per pair."""
+    latest = behavior.groupBy("customer_id").agg(F.max("event_month").alias("event_month"))
+    return behavior.join(latest, ["customer_id", "event_month"], "left_semi").select(
+        "customer_id", "app_engagement_score", "days_since_last_login", "trend_30d")
 
 
 @model
 def fct_credit_score(profile: DataFrame, behavior: DataFrame, customers: DataFrame) -> DataFrame:
-    income = dist_percent_rank(customers.select("customer_id", "income_declared"), "income_declared",
-                               ["customer_id"], "_prank").select(
+    income = dist_percent_rank(customers.select("customer_id", "income_declared"), "income_declared", "_prank").select(
         "customer_id", (F.col("_prank") * F.lit(100.0)).alias("income_pct"))
     # profile carries the customer's age_group already (it is built from the same customers)
     j = (profile.join(latest_behavior(behavior), "customer_id", "left")
@@ -91,13 +89,15 @@ def fct_customer_ltv(profile: DataFrame, acquisition: DataFrame) -> DataFrame:
     net = F.col("total_paid") - F.col("total_debt")
     calc = (profile.select("customer_id", "customer_segment", "acquisition_channel", "total_debt", "total_paid",
                            "total_contracts", "active_contracts", "avg_interest_rate")
-            .join(F.broadcast(channel), "acquisition_channel", "left")
+            .join(channel, "acquisition_channel", "left")
             .select("customer_id", "customer_segment", "acquisition_channel", "total_contracts",
                     "active_contracts", "total_debt", "total_paid", "avg_interest_rate",
                     rnd(net, 2).alias("realized_ltv"),
                     rnd(net * F.lit(1.2), 2).alias("projected_ltv_12m"),
                     "channel_avg_ltv", "channel_default_rate", "channel_avg_ticket"))
-    q = dist_ntile(calc, 4, [F.col("realized_ltv").asc_nulls_last(), F.col("customer_id").asc()], "ltv_quartile")
+    # written once: the quartile borders and the result both read it
+    calc = checkpoint_table(calc, "riskmart-ltv")
+    q = calc.withColumn("ltv_quartile", dist_ntile(calc, 4, "realized_ltv", "customer_id"))
     seg = (F.when(F.col("ltv_quartile") == 1, "low").when(F.col("ltv_quartile") == 2, "medium")
            .when(F.col("ltv_quartile") == 3, "high").when(F.col("ltv_quartile") == 4, "champion"))
     return q.select(
@@ -110,31 +110,17 @@ def fct_customer_ltv(profile: DataFrame, acquisition: DataFrame) -> DataFrame:
 
 
 @model
-def fct_portfolio_health(payments: DataFrame, contracts: DataFrame) -> DataFrame:
-    c = contracts.select(F.col("contract_id").alias("c_contract_id"), "principal_amount", "product_type")
-    p = payments.select("contract_id", "due_month", "due_year", "due_month_num", "is_defaulted",
-                        "lateness_bucket", "amount_due")
-    j = p.join(c, p["contract_id"] == c["c_contract_id"], "left")
-    # step 1: one row per (contract, month).  Grouping on the payment-side key keeps the
-    # join's hash partitioning, so this aggregation adds no shuffle.
-    # product_type depends on the contract alone; as a key it keeps the hash aggregate
-    # (a string max() would force a sort-based aggregate)
-    per_contract = j.groupBy("contract_id", "c_contract_id", "product_type", "due_month", "due_month_num",
-                             "due_year").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        sum_flag("is_defaulted").alias("n_defaulted"),
-        # exposure counts the principal once per payment row (the reference's fan-out)
-        units_sum("principal_amount").alias("exposure"),   # cents
-        units_sum("amount_due").alias("due"),
-        F.max(F.when(F.col("lateness_bucket") == "90+_days", 1).otherwise(0)).alias("any_90plus"),
-    )
-    # step 2: months (small): plain sums replace four count(distinct ...)
-    cid = F.col("c_contract_id")
+def fct_portfolio_health(payments: DataFrame, contracts: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    """``months`` may be the ready ``contract_months`` table."""
+    per_contract = contract_months(payments, contracts) if months is None else months
+    # a contract has one row per month: plain sums replace four count(distinct ...)
+    cid = F.col("known_contract")
     contracts_n = F.count(cid)
     monthly = per_contract.groupBy(F.col("due_month").alias("mes"), "due_month_num", "due_year").agg(
         contracts_n.alias("total_active_contracts"),
-        rnd(from_units(F.sum("exposure")), 2).alias("total_exposure"),
-        from_units(F.sum("due")).alias("total_amount_due"),
+        # exposure counts the principal once per payment row (the fixed rule's fan-out)
+        rnd(wide_sum(F.col("principal_units") * F.col("n_rows")), 2).alias("total_exposure"),
+        wide_sum("due_units").alias("total_amount_due"),
         pct(F.sum("n_defaulted"), F.sum("n_rows"), 2).alias("default_rate"),
         pct(F.count(F.when(F.col("any_90plus") == 1, cid)), contracts_n, 2).alias("npl_ratio"),
         pct(F.count(F.when(F.col("product_type") == "personal_loan", cid)), contracts_n, 1)
@@ -173,11 +159,10 @@ def fct_collection_efficiency(collections: DataFrame) -> DataFrame:
     best = (agg.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
                .select("channel_used", F.col("trigger_bucket").alias("best_trigger_bucket"),
                        F.col("recovery_rate_pct").alias("best_recovery_rate")))
-    return (agg.join(F.broadcast(best), "channel_used", "left")
+    return (agg.join(best, "channel_used", "left")
                .withColumn("is_best_window", flag(F.col("trigger_bucket") == F.col("best_trigger_bucket"))))
 
 
-@model
 def rfm_segment(code):
     """Segment rule over the three-digit RFM code; the rule order matters (first match wins)."""
     return (F.when(code.isin("444", "443", "434", "344"), "champion")
@@ -188,7 +173,8 @@ def rfm_segment(code):
 
 
 @model
-def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
+def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None,
+                      recent_is_best: bool = False) -> DataFrame:
     as_of = lit_date(as_of)
     p = payments.where(F.col("payment_date").isNotNull() | (F.col("status") == "defaulted"))
     agg = p.groupBy("customer_id").agg(
@@ -199,25 +185,16 @@ def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None) ->
         F.count(F.lit(1)).alias("total_payments"),
         sum_flag("is_defaulted").alias("total_defaults"),
     )
-    # one row per customer, written once: the three quartile passes below read it concurrently
+    # one row per customer, written once: the borders of the three quartiles are found concurrently
     agg = checkpoint_table(agg, "riskmart-rfm")
-    cid = F.col("customer_id").asc()
-    passes = {
-        "_r": (F.col("days_since_last_payment").desc_nulls_last(), "days_since_last_payment"),
-        "f_score": (F.col("on_time_rate_pct").asc_nulls_last(), "on_time_rate_pct"),
-        "m_score": (F.col("avg_amount_paid").asc_nulls_last(), "avg_amount_paid"),
-    }
-
-    def quartile(out, spec):
-        order, metric = spec
-        return dist_ntile(agg.select("customer_id", metric), 4, [order, cid], out).select("customer_id", out)
-
-    # three independent global quartiles over narrow (id, metric) rows, run as concurrent jobs
+    passes = {"_r": ("days_since_last_payment", False), "f_score": ("on_time_rate_pct", True),
+              "m_score": ("avg_amount_paid", True)}
     with ThreadPoolExecutor(max_workers=3) as pool:
-        q = dict(zip(passes, pool.map(lambda kv: quartile(*kv), passes.items())))
-    m = agg.join(q["_r"], "customer_id").join(q["f_score"], "customer_id").join(q["m_score"], "customer_id")
-    # R keeps the reference's direction: 5 - ntile over recency DESC gives 4 to the oldest payers
-    scored = m.withColumn("r_score", (F.lit(5) - F.col("_r")).cast("int"))
+        tiles = pool.map(lambda p: dist_ntile(agg, 4, p[0], "customer_id", p[1]), passes.values())
+        m = agg.withColumns(dict(zip(passes, tiles)))
+    # by default R keeps the fixed direction: 5 - ntile over recency DESC gives 4 to the oldest payers
+    r = F.col("_r") if recent_is_best else F.lit(5) - F.col("_r")
+    scored = m.withColumn("r_score", r.cast("int"))
     code = F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"), F.col("m_score").cast("string"))
     scored = scored.withColumn("rfm_score", code).withColumn(
         "rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
@@ -228,15 +205,3 @@ def fct_risk_segments(payments: DataFrame, customers: DataFrame, as_of=None) ->
         "days_since_last_payment", "on_time_rate_pct", "avg_amount_paid", "total_payments", "total_defaults",
         "r_score", "f_score", "m_score", "rfm_score", "rfm_total", "segment",
     )
-
-
-@model
-def build_marts(stg: dict[str, DataFrame], inter: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    return {
-        "fct_credit_score": fct_credit_score(inter["int_customer_credit_profile"],
-                                             inter["int_customer_digital_behavior"], stg["stg_customers"]),
-        "fct_customer_ltv": fct_customer_ltv(inter["int_customer_credit_profile"], inter["int_acquisition_quality"]),
-        "fct_portfolio_health": fct_portfolio_health(stg["stg_payments"], stg["stg_contracts"]),
-        "fct_collection_efficiency": fct_collection_efficiency(stg["stg_collections"]),
-        "fct_risk_segments": fct_risk_segments(stg["stg_payments"], stg["stg_customers"], as_of),
-    }

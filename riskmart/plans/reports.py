@@ -3,9 +3,9 @@
 Every report reads whole tables; Catalyst prunes each scan to the handful of columns used and
 pushes the filters into the reader.  Shares of a total (``count * 100 / sum(count) over ()``)
 are computed on the already-grouped table, whose size is fixed by a value domain (tiers,
-segments, buckets), so that window is tiny.  Top-k reports order by a total key (the id as
-last tie-break) so that ``limit`` is deterministic.  Result column names follow the
-reference's dashboards.
+segments, buckets), so that window is tiny.  Every report with more than one row is ordered; names
+or ids break ties, so that the order and ``limit`` are deterministic.  Result column names and
+band labels are fixed values.
 """
 
 from __future__ import annotations
@@ -15,10 +15,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions import model, dec_avg, dec_sum, int_avg, lit_date, rnd, safe_div
+from riskmart.functions import model, dec_avg, int_avg, lit_date, rnd, safe_div, to_units, wide_sum
 
 # Reference parameters (the fixture family passes its own values, see ``sources.fixtures``).
 SINCE = dt.date(2023, 1, 1)
+# Labels of peak and other months.
+PERIODS = {True: "Jan/Fev (Pico)", False: "Normal"}
 MIN_MONTH_CONTRACTS = 1000
 
 
@@ -32,10 +34,11 @@ def _share(count_col: str = "n") -> Column:
 
 
 # ---- index page --------------------------------------------------------------------------
+@model
 def portfolio_kpis(stg_contracts: DataFrame) -> DataFrame:
     c = stg_contracts.where(F.col("status") == "active")
     return c.agg(
-        rnd(dec_sum("principal_amount") / F.lit(1e9), 2).alias("carteira_bi"),
+        rnd(wide_sum(to_units("principal_amount")) / F.lit(1e9), 2).alias("carteira_bi"),
         F.countDistinct("customer_id").alias("total_contratos"),
         rnd(dec_avg("interest_rate", 4) * F.lit(100.0), 2).alias("taxa_media_pct"),
     )
@@ -69,28 +72,32 @@ def ltv_summary(ltv: DataFrame) -> DataFrame:
 
 @model
 def monthly_default(portfolio: DataFrame, since=SINCE) -> DataFrame:
-    return portfolio.where(F.col("mes") >= lit_date(since)).select(
+    out = portfolio.where(F.col("mes") >= lit_date(since)).select(
         F.col("mes").cast("string").alias("mes"), "default_rate", "npl_ratio", "is_peak_month",
         F.when(F.col("is_peak_month"), F.col("default_rate")).alias("peak_rate"))
+    return out.orderBy("mes")
 
 
 @model
 def product_risk(performance: DataFrame) -> DataFrame:
-    return performance.groupBy("product_type").agg(
+    out = performance.groupBy("product_type").agg(
         rnd(dec_avg("default_rate_pct", 2), 2).alias("default_rate"),
         rnd(dec_avg("recovery_rate_pct", 2), 2).alias("recovery_rate"),
         F.sum("total_payments").alias("total_pagamentos"))
+    return out.orderBy(F.col("default_rate").desc(), "product_type")
 
 
 @model
 def exposure_monthly(portfolio: DataFrame, since=SINCE) -> DataFrame:
-    return portfolio.where(F.col("mes") >= lit_date(since)).select(
+    out = portfolio.where(F.col("mes") >= lit_date(since)).select(
         F.col("mes").cast("string").alias("mes"),
         rnd(F.col("total_exposure") / F.lit(1e6), 1).alias("exposicao_mm"),
         "total_active_contracts", "is_peak_month")
+    return out.orderBy("mes")
 
 
 # ---- predictions page ----------------------------------------------------------------------
+@model
 def score_dist_detail(score: DataFrame, k: int = 500) -> DataFrame:
     return (score.orderBy(F.col("credit_score").asc(), F.col("customer_id").asc()).limit(k)
             .select("risk_tier", "credit_score", "alert_30d", "overall_default_rate", "app_engagement_score"))
@@ -99,8 +106,9 @@ def score_dist_detail(score: DataFrame, k: int = 500) -> DataFrame:
 @model
 def score_buckets(score: DataFrame) -> DataFrame:
     bucket = (F.floor(F.col("credit_score") / F.lit(50.0)) * F.lit(50)).cast("double")
-    return score.groupBy(bucket.alias("score_bucket")).agg(
+    out = score.groupBy(bucket.alias("score_bucket")).agg(
         F.count(F.lit(1)).alias("clientes"), _count_when(F.col("alert_30d")).alias("em_alerta"))
+    return out.orderBy("score_bucket")
 
 
 @model
@@ -112,12 +120,14 @@ def optimal_collection(collection: DataFrame, k: int = 10) -> DataFrame:
 
 
 # ---- risk page -----------------------------------------------------------------------------
+@model
 def score_distribution(score: DataFrame) -> DataFrame:
     s = F.col("credit_score")
     band = (F.when(s < 200, "0-200").when(s < 400, "200-400").when(s < 600, "400-600")
             .when(s < 800, "600-800").otherwise("800-1000"))
     g = score.groupBy(band.alias("faixa")).agg(F.count(F.lit(1)).alias("n"))
-    return g.select("faixa", F.col("n").alias("clientes"), _share().alias("pct"))
+    out = g.select("faixa", F.col("n").alias("clientes"), _share().alias("pct"))
+    return out.orderBy("faixa")
 
 
 @model
@@ -126,14 +136,16 @@ def risk_tier_summary(score: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         rnd(int_avg("credit_score"), 0).alias("score_medio"),
         _count_when(F.col("alert_30d")).alias("em_alerta"))
-    return g.select("risk_tier", F.col("n").alias("n_clientes"), _share().alias("pct"), "score_medio", "em_alerta")
+    out = g.select("risk_tier", F.col("n").alias("n_clientes"), _share().alias("pct"), "score_medio", "em_alerta")
+    return out.orderBy(F.col("score_medio").desc(), "risk_tier")
 
 
 @model
 def channel_risk(acquisition: DataFrame) -> DataFrame:
-    return acquisition.select(
+    out = acquisition.select(
         "acquisition_channel", rnd("default_rate_pct", 2).alias("inadimplencia"),
         rnd("avg_ltv", 0).alias("ltv_medio"), "total_customers", rnd("approval_rate_pct", 1).alias("taxa_aprovacao"))
+    return out.orderBy(F.col("inadimplencia").desc(), "acquisition_channel")
 
 
 @model
@@ -146,28 +158,32 @@ def alerts_detail(score: DataFrame, k: int = 100) -> DataFrame:
 @model
 def vintage_analysis(stg_contracts: DataFrame) -> DataFrame:
     cohort = F.date_trunc("quarter", F.col("contract_date")).cast("string")
-    return stg_contracts.groupBy(cohort.alias("coorte_trimestre"), "product_type").agg(
+    out = stg_contracts.groupBy(cohort.alias("coorte_trimestre"), "product_type").agg(
         F.count(F.lit(1)).alias("contratos"),
         rnd(safe_div(_count_when(F.col("is_defaulted")) * F.lit(100.0), F.count(F.lit(1))), 2).alias("default_rate"))
+    return out.orderBy("coorte_trimestre", "product_type")
 
 
 @model
 def collection_eff(collection: DataFrame) -> DataFrame:
-    return collection.select(
+    out = collection.select(
         F.col("channel_used").alias("canal"), F.col("trigger_bucket").alias("janela"),
         F.col("recovery_rate_pct").alias("recuperacao_pct"), F.col("avg_resolution_days").alias("dias_resolucao"),
         F.col("total_actions").alias("acoes"), F.col("is_best_window").alias("melhor_janela"))
+    return out.orderBy(F.col("recuperacao_pct").desc(), "canal", "janela")
 
 
 # ---- segments page -------------------------------------------------------------------------
+@model
 def rfm_overview(segments: DataFrame) -> DataFrame:
     g = segments.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n"),
         rnd(dec_avg("on_time_rate_pct", 1), 1).alias("pontualidade_media"),
         rnd(dec_avg("avg_amount_paid", 2), 0).alias("ticket_medio"),
         rnd(int_avg(F.col("r_score") + F.col("f_score") + F.col("m_score")), 1).alias("rfm_total_medio"))
-    return g.select("segment", F.col("n").alias("clientes"), _share().alias("pct"), "pontualidade_media",
+    out = g.select("segment", F.col("n").alias("clientes"), _share().alias("pct"), "pontualidade_media",
                     "ticket_medio", "rfm_total_medio")
+    return out.orderBy(F.col("rfm_total_medio").desc(), "segment")
 
 
 @model
@@ -181,28 +197,31 @@ def ltv_by_segment_channel(ltv: DataFrame, k: int = 20) -> DataFrame:
 
 @model
 def ltv_segment_summary(ltv: DataFrame) -> DataFrame:
-    return ltv.groupBy("ltv_segment").agg(
+    out = ltv.groupBy("ltv_segment").agg(
         F.count(F.lit(1)).alias("clientes"),
         rnd(dec_avg("realized_ltv", 2), 0).alias("ltv_realizado"),
         rnd(dec_avg("projected_ltv_12m", 2), 0).alias("ltv_projetado"),
         rnd(int_avg("total_contracts"), 1).alias("contratos_medio"))
+    return out.orderBy(F.col("ltv_realizado").desc(), "ltv_segment")
 
 
 @model
 def digital_by_segment(segments: DataFrame, behavior: DataFrame) -> DataFrame:
-    # behaviour rows of the latest month overall: equi-join on a one-row aggregate (broadcast)
+    # behaviour rows of the latest month overall
     latest = behavior.agg(F.max("event_month").alias("_m"))
-    db = (behavior.join(F.broadcast(latest), F.col("event_month") == F.col("_m"))
+    db = (behavior.join(latest, F.col("event_month") == F.col("_m"))
           .select("customer_id", "app_engagement_score", "logins_count", "payment_events", "trend_30d"))
     j = segments.select("customer_id", "segment").join(db, "customer_id", "left")
-    return j.groupBy("segment").agg(
+    out = j.groupBy("segment").agg(
         rnd(int_avg("app_engagement_score"), 1).alias("engajamento_medio"),
         rnd(int_avg("logins_count"), 1).alias("logins_mensais"),
         rnd(int_avg("payment_events"), 1).alias("pagamentos_app"),
         F.count(F.when(F.col("trend_30d") == "declining", 1)).alias("tendencia_queda"))
+    return out.orderBy(F.col("engajamento_medio").desc(), "segment")
 
 
 # ---- dashboard -----------------------------------------------------------------------------
+@model
 def header_kpis(score: DataFrame, portfolio: DataFrame, min_contracts: int = MIN_MONTH_CONTRACTS) -> DataFrame:
     """Four scalar KPIs in one pass over a tagged union of the two marts (no join needed)."""
     s = score.select(F.col("customer_id"), F.col("alert_30d"), F.lit(None).cast("date").alias("mes"),
@@ -222,16 +241,18 @@ def header_kpis(score: DataFrame, portfolio: DataFrame, min_contracts: int = MIN
 
 @model
 def monthly_line(portfolio: DataFrame, min_contracts: int = MIN_MONTH_CONTRACTS) -> DataFrame:
-    return portfolio.where(F.col("total_active_contracts") > min_contracts).select(
+    out = portfolio.where(F.col("total_active_contracts") > min_contracts).select(
         F.date_format("mes", "yyyy-MM").alias("mes_str"), F.col("default_rate").alias("default_pct"),
-        "is_peak_month")
+        "is_peak_month", F.when(F.col("is_peak_month"), PERIODS[True]).otherwise(PERIODS[False]).alias("cor"))
+    return out.orderBy("mes_str")
 
 
 @model
 def product_bars(performance: DataFrame) -> DataFrame:
-    return performance.where(F.col("product_type").isNotNull()).groupBy("product_type").agg(
+    out = performance.where(F.col("product_type").isNotNull()).groupBy("product_type").agg(
         rnd(dec_avg("default_rate_pct", 2), 2).alias("default_pct"),
         F.count(F.lit(1)).alias("total_contratos"))
+    return out.orderBy(F.col("default_pct").desc(), "product_type")
 
 
 @model
@@ -242,13 +263,15 @@ def alert_count(score: DataFrame) -> DataFrame:
 @model
 def tier_distribution(score: DataFrame) -> DataFrame:
     g = score.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"))
-    return g.select("risk_tier", F.col("n").alias("clientes"), _share().alias("pct"))
+    out = g.select("risk_tier", F.col("n").alias("clientes"), _share().alias("pct"))
+    return out.orderBy(F.col("clientes").desc(), "risk_tier")
 
 
 @model
 def channel_risk_dashboard(acquisition: DataFrame) -> DataFrame:
-    return acquisition.select("acquisition_channel", rnd("default_rate_pct", 2).alias("default_pct"),
+    out = acquisition.select("acquisition_channel", rnd("default_rate_pct", 2).alias("default_pct"),
                               rnd("avg_ltv", 0).alias("ltv_medio"), "total_customers")
+    return out.orderBy(F.col("default_pct").desc(), "acquisition_channel")
 
 
 @model
@@ -260,20 +283,23 @@ def top_alerts(score: DataFrame, k: int = 20) -> DataFrame:
 
 @model
 def segment_counts(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("segment").agg(F.count(F.lit(1)).alias("clientes"))
+    out = segments.groupBy("segment").agg(F.count(F.lit(1)).alias("clientes"))
+    return out.orderBy(F.col("clientes").desc(), "segment")
 
 
 @model
 def ltv_by_segment(ltv: DataFrame) -> DataFrame:
-    return ltv.groupBy("ltv_segment").agg(rnd(dec_avg("realized_ltv", 2), 0).alias("ltv_medio"),
+    out = ltv.groupBy("ltv_segment").agg(rnd(dec_avg("realized_ltv", 2), 0).alias("ltv_medio"),
                                           F.count(F.lit(1)).alias("clientes"))
+    return out.orderBy(F.col("ltv_medio").desc(), "ltv_segment")
 
 
 @model
 def channel_quality(acquisition: DataFrame) -> DataFrame:
-    return acquisition.select("acquisition_channel", "total_customers",
+    out = acquisition.select("acquisition_channel", "total_customers",
                               rnd("approval_rate_pct", 1).alias("aprovacao_pct"),
                               rnd("default_rate_pct", 2).alias("default_pct"), rnd("avg_ltv", 0).alias("avg_ltv"))
+    return out.orderBy("default_pct", "acquisition_channel")
 
 
 @model
@@ -290,6 +316,7 @@ def score_histogram(score: DataFrame, bins: int = 50, lo: float = 0.0, hi: float
 
 
 # ---- preset questions ----------------------------------------------------------------------
+@model
 def top_at_risk(score: DataFrame, k: int = 10) -> DataFrame:
     return (score.where(F.col("alert_30d")).orderBy(F.col("credit_score").asc(), F.col("customer_id").asc()).limit(k)
             .select("customer_id", "credit_score", "risk_tier", "overall_default_rate", "app_engagement_score",
@@ -298,12 +325,14 @@ def top_at_risk(score: DataFrame, k: int = 10) -> DataFrame:
 
 @model
 def channel_by_ltv(acquisition: DataFrame) -> DataFrame:
-    return acquisition.select("acquisition_channel", rnd("avg_ltv", 0).alias("ltv_medio"),
+    out = acquisition.select("acquisition_channel", rnd("avg_ltv", 0).alias("ltv_medio"),
                               rnd("default_rate_pct", 2).alias("inadimplencia_pct"), "total_customers")
+    return out.orderBy(F.col("ltv_medio").desc(), "acquisition_channel")
 
 
 @model
 def best_collection_window(collection: DataFrame) -> DataFrame:
-    return collection.where(F.col("is_best_window")).select(
+    out = collection.where(F.col("is_best_window")).select(
         "channel_used", "trigger_bucket", rnd("recovery_rate_pct", 2).alias("recuperacao_pct"),
         rnd("avg_resolution_days", 1).alias("dias_medio"))
+    return out.orderBy(F.col("recuperacao_pct").desc(), "channel_used", "trigger_bucket")

@@ -59,18 +59,29 @@ class Layers:
         return train.train_alert_model(_alert_features(self), features.ALERT_NUMERIC, features.CATEGORICAL)
 
 
-_CACHE: dict[tuple[str, str], Layers] = {}
+_CACHE: dict[tuple, Layers] = {}
 _CACHE_LOCK = threading.Lock()
+#: Folders whose built models are remembered.
+CACHED_FOLDERS = 2
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of the files in a folder: changed files are not served from the cache."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """The lazily built models of ``sf_dir`` for this session, shared by all queries of a process
-    (marts that need ranking passes are built once)."""
-    key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
+    """The lazily built models of ``sf_dir`` for this session, shared by the queries of a process
+    (marts that need ranking passes are built once); the last folders only."""
+    key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), _files(spark, sf_dir))
     with _CACHE_LOCK:
-        if key not in _CACHE:
-            _CACHE[key] = Layers(spark, sf_dir)
-        return _CACHE[key]
+        found = _CACHE.pop(key, None) or Layers(spark, sf_dir)
+        _CACHE[key] = found
+        while len(_CACHE) > CACHED_FOLDERS:
+            _CACHE.pop(next(iter(_CACHE)))
+        return found
 
 
 class _LazyMarts:
@@ -79,8 +90,13 @@ class _LazyMarts:
     def __init__(self, layers: Layers):
         self._l = layers
         self._built: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
+        with self._lock:
+            return self._get(name)
+
+    def _get(self, name: str) -> DataFrame:
         if name not in self._built:
             stg, inter, as_of = self._l.stg, self._l.int, self._l.as_of
             builders = {
@@ -181,6 +197,11 @@ def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f = _default_features(layers(spark, sf_dir))
         return train.stratified_split(f, "target").select("customer_id", "target", "split")
 
+    def class_weights(spark, sf_dir):
+        f = train.stratified_split(_default_features(layers(spark, sf_dir)), "target").where("split = 'train'")
+        weights = train.balanced_weights(f, "target")
+        return spark.createDataFrame([(k, float(v)) for k, v in sorted(weights.items())], "target int, weight double")
+
     def model_metrics(spark, sf_dir):
         results, _ = layers(spark, sf_dir).default_models
         return train.metrics_frame(spark, results)
@@ -203,7 +224,7 @@ def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trained, _ = l.alert_model
         return train.score(trained.model, _alert_features(l))
 
-    return {"ml_split": split, "model_metrics": model_metrics, "ml_linear_attribution": linear_attr,
+    return {"ml_split": split, "ml_class_weights": class_weights, "model_metrics": model_metrics, "ml_linear_attribution": linear_attr,
             "ml_alert_metrics": alert_metrics, "feature_importance": importance, "ml_batch_scores": batch_scores}
 
 

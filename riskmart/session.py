@@ -7,6 +7,7 @@ session that has none (tests, the bench, the driver smoke check) gets a fresh sc
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,8 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    # local and local[n] run everything in one process; local-cluster[...] does not
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared checkpoint folder for the cluster")
     path = tempfile.mkdtemp(prefix="riskmart-ckpt-")
