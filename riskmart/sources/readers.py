@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.sources.schemas import SOURCE_TABLES, column_names
+from riskmart.sources.schemas import SOURCE_TABLES, column_names, wrong_types
 
 
 class MissingSourceError(RuntimeError):
     pass
 
 
+class WrongSourceError(RuntimeError):
+    pass
+
+
 def source_path(src_dir: str, table: str) -> str:
     return f"{src_dir.rstrip('/')}/{table}.parquet"
 
@@ -18,9 +22,14 @@ def source_path(src_dir: str, table: str) -> str:
 def read_sources(spark: SparkSession, src_dir: str, tables=SOURCE_TABLES) -> dict[str, DataFrame]:
     """Lazily scan each native table (only the contract columns; staging casts the types).
 
-    Column pruning and filters of downstream models reach these scans through Catalyst.
+    Column pruning and filters of downstream models reach these scans through Catalyst.  A file
+    that does not fit the declared types is refused here rather than cast to nulls later.
     """
-    return {t: spark.read.parquet(source_path(src_dir, t)).select(*column_names(t)) for t in tables}
+    frames = {t: spark.read.parquet(source_path(src_dir, t)) for t in tables}
+    wrong = {t: bad for t, df in frames.items() if (bad := wrong_types(t, df.schema))}
+    if wrong:
+        raise WrongSourceError(f"source tables under {src_dir} do not fit the contract: {wrong}")
+    return {t: df.select(*column_names(t)) for t, df in frames.items()}
 
 
 def validate_sources(spark: SparkSession, src_dir: str, tables=SOURCE_TABLES) -> DataFrame:

@@ -60,5 +60,27 @@ NATIVE_COLUMNS: dict[str, list[tuple[str, T.DataType | None]]] = {
 }
 
 
+# Types of a file that staging turns into the declared one without loss of meaning.
+ACCEPTED: dict[type, tuple[type, ...]] = {
+    T.StringType: (T.StringType,),
+    T.BooleanType: (T.BooleanType,),
+    T.DateType: (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType),
+    T.IntegerType: (T.IntegralType, T.DoubleType),  # whole numbers beside nulls are often written as doubles
+    T.DoubleType: (T.NumericType,),
+}
+
+
+def wrong_types(table: str, schema: T.StructType) -> list[str]:
+    """The columns of a file that are missing or have a type that does not fit the contract."""
+    found = {f.name: f.dataType for f in schema.fields}
+    wrong = []
+    for name, declared in NATIVE_COLUMNS[table]:
+        if name not in found:
+            wrong.append(f"{name} is missing")
+        elif declared is not None and not isinstance(found[name], ACCEPTED[type(declared)]):
+            wrong.append(f"{name} is {found[name].simpleString()}, not {declared.simpleString()}")
+    return wrong
+
+
 def column_names(table: str) -> list[str]:
     return [c for c, _ in NATIVE_COLUMNS[table]]

@@ -1,14 +1,18 @@
 """ML: exact stratified split, balanced weights, training bounds, persistence round trip."""
 
+import random
 import tempfile
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from conftest import SF01
-from riskmart.learn import train
+from conftest import SF001, SF01
+from riskmart.functions import dec_sum, register_sql_functions, wide_sum
+from riskmart.learn import jobs, train
 from riskmart.plans import features
 from riskmart.registry import Layers, _alert_features, _default_features
+from riskmart.sources import fixtures
 
 
 def test_split_is_exact_per_class_and_disjoint(spark):
@@ -85,3 +89,58 @@ def test_alert_job_writes_artefacts_and_records(spark):
     assert train.score(loaded, feats).count() == feats.count()
     runs = spark.read.parquet(f"{out}/ml_runs").collect()
     assert len(runs) == 1 and runs[0]["tags"]["target"] == "alert_30d"
+
+
+def test_auc_is_exact_on_many_scores(spark):
+    rng = random.Random(1)
+    rows = [(float(rng.random() < 0.3), rng.random()) for _ in range(5000)]
+    ranks = {s: i + 1 for i, s in enumerate(sorted(s for _, s in rows))}
+    pos = [s for y, s in rows if y == 1]
+    exact = (sum(ranks[s] for s in pos) - len(pos) * (len(pos) + 1) / 2) / (len(pos) * (len(rows) - len(pos)))
+    df = spark.createDataFrame([(y, float(s > 0.5), Vectors.dense([1 - s, s])) for y, s in rows],
+                               ["label", "prediction", "probability"])
+    assert abs(train.evaluate(df)["auc_roc"] - exact) < 1e-12
+
+
+def test_class_report_by_hand(spark):
+    df = spark.createDataFrame([(0.0, 0.0)] * 6 + [(0.0, 1.0)] * 2 + [(1.0, 1.0)] * 3 + [(1.0, 0.0)], ["label", "prediction"])
+    got = {r["class"]: tuple(r)[1:] for r in train.class_report(df).collect()}
+    assert got["no_default"] == pytest.approx((6 / 7, 0.75, 0.8, 8))
+    assert got["default"] == pytest.approx((0.6, 0.75, 2 / 3, 4))
+    assert got["macro avg"][3] == got["weighted avg"][3] == 12
+    assert got["weighted avg"][0] == pytest.approx((8 * 6 / 7 + 4 * 0.6) / 12)
+
+
+def test_off_grid_money_is_an_error_and_wide_sums_hold(spark):
+    register_sql_functions(spark)
+    off = spark.createDataFrame([(0.014,)] * 3, "x double")
+    with pytest.raises(Exception, match="more decimals"):
+        off.agg(dec_sum("x")).collect()
+    cents = spark.createDataFrame([(9 * 10 ** 18,)] * 4, "u long")
+    assert cents.agg(wide_sum("u")).first()[0] == 3.6e17
+
+
+def test_default_job_with_forced_guard_writes_all_records(spark, tmp_path):
+    feats = _default_features(Layers(spark, SF001))
+    out = f"file://{tmp_path}/job"
+    got = jobs.default_job(spark, feats, out, cutoff=fixtures.ML_CUTOFF, label_end=fixtures.ML_LABEL_END, guard_auc=0.0)
+    metrics = jobs.read_metrics(spark, f"{out}/model_metrics").first().asDict()
+    assert metrics["leakage_corrected"] is True and metrics["cutoff_date"] == "2000-12-31"
+    assert metrics["target_window"] == "2001-01-01 to 2001-03-31"
+    assert metrics["train_samples"] + metrics["test_samples"] == feats.count()
+    assert len(metrics["top_features"]) == 10
+    assert {"no_default", "default", "macro avg", "weighted avg"} == {
+        r["class"] for r in spark.read.json(f"{out}/class_report").collect()}
+    runs = spark.read.parquet(f"{out}/ml_runs").first()
+    assert int(runs["params"]["candidates"]) == 4  # both candidates and, the guard being 0, both reduced ones
+    assert got.version == 1
+    assert jobs.train.register_version(spark, f"{out}/ml_model_versions", "credit_default", "p", "r") == 2
+    prep = train.load_model(f"{out}/models/credit_default_preprocessing")
+    assert train.FEATURES in prep.transform(feats).columns
+
+
+def test_top_features_of_a_winning_forest(spark, alert):
+    feats, trained = alert
+    test = train.with_weights(feats.withColumn("label", F.lit(0.0)), "alert_30d", {0: 1.0, 1: 1.0})
+    top = train.top_features(trained, test, features.ALERT_NUMERIC, features.CATEGORICAL).collect()
+    assert abs(sum(r["importance"] for r in top) - 1.0) < 1e-6

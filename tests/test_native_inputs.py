@@ -2,11 +2,13 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from riskmart import pipeline
 from riskmart.sources import fixtures
+from riskmart.sources.readers import WrongSourceError, read_sources
 from riskmart.sources.schemas import column_names
 
 ID_COLS = {"customer_id": "c-", "contract_id": "k-", "payment_id": "p-", "event_id": "e-", "proposal_id": "q-",
@@ -34,3 +36,13 @@ def test_pipeline_from_native_files_with_string_ids(spark):
     assert diff.count() == 0 and score.count() == ref.count()
     segs = spark.read.parquet(f"{out}/marts/fct_risk_segments")
     assert segs.select("r_score", "f_score", "m_score").agg(F.min("r_score"), F.max("m_score")).first() == (1, 4)
+
+
+def test_wrongly_typed_and_incomplete_files_are_refused(spark):
+    src = tempfile.mkdtemp(prefix="riskmart-wrong-")
+    people = fixtures.fixture_sources(spark, SF001)["customers"].select(*column_names("customers"))
+    people.withColumn("income_declared", F.lit("a lot")).drop("city").write.parquet(f"{src}/customers.parquet")
+    with pytest.raises(WrongSourceError, match="city is missing.*income_declared is string|income_declared is string.*city"):
+        read_sources(spark, src, ["customers"])
+    people.withColumn("birth_date", F.col("birth_date").cast("timestamp")).write.parquet(f"{src}/ok/customers.parquet")
+    assert read_sources(spark, f"{src}/ok", ["customers"])["customers"].columns == column_names("customers")
