@@ -38,7 +38,8 @@ from riskmart.session import checkpoint_table
 
 LENGTH = 400
 DIGIT = 128
-LOCAL = 4096
+#: Different occurrences of an anchor that one task sorts (some 600 bytes each).
+LOCAL = 1 << 16
 #: Bytes hashed at once in a Python worker.
 CHUNK = 1 << 20
 #: Base of the polynomial hash, its inverse mod 2**64, and multipliers for mixing.
@@ -266,10 +267,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT, lo
     groups = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("different"), F.min("n").alias("least"))
     groups = groups.filter("different > 1 and least = 1")
     wanted = classes.join(groups, "seed").select("one.*", "seed", "around", "n", "different")
-    sides = checkpoint_table(contexts(docs, wanted, length, digit), "suffix")
-    large = groups.filter(F.col("different") > local).select("seed")
-    parts = exact_spans(sides.join(large, "seed", "left_anti"), length, digit).union(
-        counted_spans(sides.join(large, "seed", "left_semi"), length, digit))
+    wanted = checkpoint_table(wanted, "suffix")
+    parts = exact_spans(contexts(docs, wanted.filter(F.col("different") <= local), length, digit), length, digit)
+    large = wanted.filter(F.col("different") > local)
+    if not large.isEmpty():
+        parts = parts.union(counted_spans(contexts(docs, large, length, digit), length, digit))
     return whole.union(parts).distinct().groupBy(*KEY).agg(
         F.collect_list(F.struct("first", "end")).alias("spans"))  # at most two for each anchor of a text
 
