@@ -27,8 +27,20 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BLANK_RUN))
 
 
-def range_prefix(df: DataFrame, order: list[str], value: str | None = None, before: str = "_before") -> DataFrame:
-    """Globally range-sort ``df`` and add ``before``: the sum of ``value`` (rows, if None) in all earlier rows.
+def id_text(col: str = "doc_id") -> Column:
+    """An id as text, for the way through pandas, where whole numbers beside nulls would become floats."""
+    return F.col(col).cast("string").alias(col)
+
+
+def id_back(df: DataFrame, like: DataFrame, col: str = "doc_id") -> DataFrame:
+    """``df`` with ``col`` in the type that it has in ``like``."""
+    return df.withColumn(col, F.col(col).cast(like.schema[col].dataType))
+
+
+def range_prefix(df: DataFrame, order: list[str], value: str | None = None, before: str = "_before",
+                 row: str | None = None) -> DataFrame:
+    """Globally range-sort ``df`` and add ``before``: the sum of ``value`` (rows, if None) in all earlier rows; and
+    ``row``, if named: a number of each row that is stored with it.
 
     The sorted rows are written to the shared checkpoint folder, so that the partition borders stay fixed; then each
     partition's total is summed over the partitions before it (a table with one row per partition), and the running
@@ -48,4 +60,4 @@ def range_prefix(df: DataFrame, order: list[str], value: str | None = None, befo
         Window.partitionBy("_pid").orderBy("_gid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (fixed.withColumn("_inside", inside).join(base, "_pid")
             .withColumn(before, (F.col("_base") + F.col("_inside")).cast("long"))
-            .drop("_pid", "_gid", "_base", "_inside"))
+            .withColumnRenamed("_gid", row or "_gid").drop("_pid", "_gid", "_base", "_inside"))

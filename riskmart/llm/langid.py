@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import text_of
+from riskmart.llm.common import id_back, id_text, text_of
 from riskmart.session import checkpoint_table
 
 ORDER = 4
@@ -268,11 +268,11 @@ def predict(docs: DataFrame, model: dict, evidence: int = EVIDENCE) -> DataFrame
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "fold": batch["fold"],
                                 "lang_pred": best, "score": share, "cross_entropy": entropy})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "lang", fold(F.col("doc_id")).cast("int").alias("fold"),
+    rows = docs.select(id_text(), "lang", fold(F.col("doc_id")).cast("int").alias("fold"),
                        letters(text_of()).alias("text"))
-    return rows.mapInPandas(
-        score, f"doc_id {kind}, lang string, fold int, lang_pred string, score double, cross_entropy double")
+    scored = rows.mapInPandas(
+        score, "doc_id string, lang string, fold int, lang_pred string, score double, cross_entropy double")
+    return id_back(scored, docs)
 
 
 def identify(docs: DataFrame, bits: int = BITS, evidence: int = EVIDENCE, reject: float = REJECT) -> DataFrame:

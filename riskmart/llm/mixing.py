@@ -68,8 +68,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = M
     order = Window.orderBy("nosource", "source").rowsBetween(Window.unboundedPreceding, -1)
     targets = checkpoint_table(targets.withColumn("nosource", F.col("source").isNull()).withColumn(
         "source_base", F.coalesce(F.sum("source_size").over(order), F.lit(0))).drop("nosource"), "mix")
-    queue = range_prefix(slim, ["nosource", "source", "place", "key", "size"], "size")
-    queue = (queue.withColumn("rid", F.monotonically_increasing_id()).alias("q")
+    queue = range_prefix(slim, ["nosource", "source", "place", "key", "size"], "size", row="rid")
+    queue = (queue.alias("q")
              .join(targets.alias("t"), F.col("q.source").eqNullSafe(F.col("t.source")))
              .select("q.rid", "q.doc_id", "q.source", "q.size", "q.key", "q.place", "t.source_size", "t.target",
                      (F.col("q._before") - F.col("t.source_base")).alias("start")))

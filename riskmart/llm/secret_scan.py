@@ -226,7 +226,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     """``docs`` with every secret span replaced by ``mark`` (overlapping spans by one); ``n_chars``, where there is one,
     follows the text."""
     cols = docs.columns
-    found = scan(docs, rules)
+    found = scan(docs.select(F.struct(*cols).alias("row"), text_of().alias("text")), rules)
     text = F.col("text")
     kept = F.aggregate(
         F.col("secrets"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -236,8 +236,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
                 acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
             .otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    found = found.withColumn("text", F.when(F.size("secrets") > 0, kept).otherwise(text))
+    found = found.withColumn("clean", F.when(F.size("secrets") > 0, kept))
+    changed = {"text": F.coalesce("clean", F.col("row.text"))}
     if "n_chars" in cols:
-        found = found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast(
-            dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return found.select(*cols)
+        changed["n_chars"] = F.coalesce(F.length("clean").cast(dict(docs.dtypes)["n_chars"]), F.col("row.n_chars"))
+    return found.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in cols])

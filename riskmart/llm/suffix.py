@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import text_of
+from riskmart.llm.common import id_back, id_text, text_of
 from riskmart.session import checkpoint_table
 
 LENGTH = 400
@@ -308,8 +308,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT, lo
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield out if keep_bytes else out.drop(columns="kept")
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", *_text_keys(), text_of().alias("text")).join(spans, KEY, "left")
-    return rows.select("doc_id", "text", "spans").mapInPandas(
-        cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    rows = docs.select(id_text(), *_text_keys(), text_of().alias("text")).join(spans, KEY, "left")
+    done = rows.select("doc_id", "text", "spans").mapInPandas(
+        cut, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
         + ", kept binary" * keep_bytes)
+    return id_back(done, docs)
