@@ -9,11 +9,12 @@ similarity of 0.85 has, in the order of the hash, 85 of 100 values in both, so f
 (the share of such pairs without any is below one in a million for k = 48, and none for sets small enough to be
 retained whole); a passage that many otherwise different documents share hardly ever fills a run.
 
-Lists give candidates without expanding a list into its pairs.  First every node meets the hub of each of its lists:
-the member most of whose runs are shared, the most typical one.  Then, in lists whose members are still in several
-components, members are dealt into groups of about ``group`` by a hash of list and node, and in a group the members of
-different components meet (a list with fewer members is one group).  A node is in up to k - 3 lists and meets other
-members in each.  Candidates whose sizes allow the similarity are estimated on the bottom-k sketch of their union;
+Lists give candidates without expanding a long list into its pairs.  First every node meets the hub of each of its
+lists: the most typical member, whose runs are shared most.  The links so found make components.  In lists whose members
+are still in several components, all pairs between components meet where there are at most ``small`` members; in longer
+ones the members outside meet the medoid of the largest component (of a text and its copies, as a rule, the text that
+the copies were made from) and one more hub.  Linked documents that both are far from a medoid differ from it in the
+same places, and runs through these places make shorter lists without it.  Candidates whose sizes allow the similarity are estimated on the bottom-k sketch of their union;
 those not far below the threshold are confirmed on the full sets.  Links make the components.
 
 Defined results: a null or blank text has the empty set: it is linked with nothing and kept; rows that repeat doc_id and
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import text_of
@@ -38,7 +39,7 @@ SHINGLE = 5
 K = 48
 RUN = 4
 PERCENT = 85
-GROUP = 16
+SMALL = 16
 #: Standard errors by which the estimate may fall short of the threshold before a candidate is dropped.
 SLACK = 5.0
 #: Hashes of words that a Python worker remembers; beyond it, it forgets all and starts again.
@@ -129,19 +130,19 @@ def run_keys(sketch: Column, n: Column) -> Column:
 
 
 def inverted_lists(nodes: DataFrame) -> DataFrame:
-    """(run, node, n, typical, members, hub) for each member of a list with two nodes or more.
+    """(run, node, n, members, typical, hub) for each member of a list with two nodes or more.
 
-    ``typical`` is the number of such lists that hold the node, and a list's hub is its member with most.
+    ``typical`` adds up the members of all lists that hold the node: of the copies of a text, that with the fewest
+    changes of its own has most.  A list's hub is its most typical member.
     """
     runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("run"))
     shared = runs.groupBy("run").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    members = checkpoint_table(runs.join(shared.select("run"), "run").distinct(), "near")
-    typical = members.groupBy("node").agg(F.count(F.lit(1)).alias("typical"))
-    members = members.join(typical, "node")
-    hubs = members.groupBy("run").agg(
-        F.count(F.lit(1)).alias("members"), F.max(F.struct("typical", "node")).alias("hub"))
-    return checkpoint_table(members.join(hubs, "run").select(
-        "run", "node", "n", "members", F.col("hub.node").alias("hub")), "near")
+    rows = checkpoint_table(runs.join(shared.select("run"), "run").distinct(), "near")
+    rows = rows.join(rows.groupBy("run").agg(F.count(F.lit(1)).alias("members")), "run")
+    rows = checkpoint_table(rows.join(rows.groupBy("node").agg(F.sum("members").alias("typical")), "node"), "near")
+    hubs = rows.groupBy("run").agg(F.max(F.struct("typical", "node")).alias("hub"))
+    return checkpoint_table(rows.join(hubs, "run").select(
+        "run", "node", "n", "members", "typical", F.col("hub.node").alias("hub")), "near")
 
 
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -155,18 +156,48 @@ def hub_candidates(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFram
     return _pairs(rows.distinct().join(sizes.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y"), percent)
 
 
-def group_candidates(lists: DataFrame, component: DataFrame, percent: int, group: int) -> DataFrame:
-    """Pairs of members of different components that share a group of a list."""
+def medoids(component: DataFrame, sets: DataFrame, small: int) -> DataFrame:
+    """(component, size, medoid) of the components with more than ``small`` nodes: the member that differs least from
+    all members together.
+
+    The differences to all members add up from the numbers of members that hold each shingle: one that d of m hold
+    counts m - d if the member has it and d if not.  So it takes two aggregates over the members' shingles.
+    """
+    sizes = component.groupBy("component").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > small)
+    held = sets.join(component.join(sizes, "component"), "node").select(
+        "component", "size", "node", F.explode("shingles").alias("shingle"))
+    holders = held.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("holders"))
+    differs = held.join(holders, ["component", "shingle"]).groupBy("component", "size", "node").agg(
+        F.sum(F.col("size") - 2 * F.col("holders")).alias("differs"))
+    return differs.groupBy("component", "size").agg(F.min(F.struct("differs", "node")).alias("best")).select(
+        "component", "size", F.col("best.node").alias("medoid"))
+
+
+def open_candidates(lists: DataFrame, nodes: DataFrame, component: DataFrame, middle: DataFrame, percent: int,
+                    small: int) -> DataFrame:
+    """Pairs of members of different components of a list: all of them in lists of at most ``small`` members; in longer
+    ones each member meets the medoid of the largest component in the list, and the most typical member outside the
+    first hub's component."""
     rows = lists.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_lists = rows.groupBy("run").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("run")
-    parts = F.ceil(F.col("members") / group)
-    rows = rows.join(open_lists, "run").select("run", F.when(
-        parts > 1, F.pmod(F.xxhash64("run", "node"), parts)).otherwise(0).alias("part"), "node", "n", "component")
-    x = rows.select("run", "part", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    y = rows.select("run", "part", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    met = x.join(y, ["run", "part"]).filter("x < y and cx <> cy")
-    return _pairs(met, percent)
+    rows = rows.join(middle, "component", "left")
+    bounds = rows.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.max(F.when(F.col("node") == F.col("hub"), F.col("component"))).alias("first"),
+                                     F.max(F.struct("size", "component", "medoid")).alias("largest"))
+    rows = rows.join(bounds.filter("lo <> hi").select("run", "first", "largest"), "run")
+    few = rows.filter(F.col("members") <= small)
+    x = few.select("run", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    y = few.select("run", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+    met = x.join(y, "run").filter("x < y and cx <> cy").select("x", "y", "nx", "ny")
+    many = rows.filter(F.col("members") > small)
+    own = [F.col("node").alias("x"), F.col("n").alias("nx")]
+    second = many.filter("component <> first").groupBy("run").agg(
+        F.max(F.struct("typical", "node", "component")).alias("top"))
+    outside = many.join(second, "run").filter("component <> top.component").select(*own, F.col("top.node").alias("y"))
+    centre = rows.filter("largest.medoid is not null and component <> largest.component").select(
+        *own, F.col("largest.medoid").alias("y"))
+    size = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"))
+    star = outside.union(centre).distinct().join(size, "y").select("x", "y", "nx", "ny")
+    return _pairs(met.union(star), percent)
 
 
 def similar_sketches(pairs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
@@ -190,7 +221,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K, group: int = GROUP) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K, small: int = SMALL) -> DataFrame:
     """doc_id, key, n_shingles, component_id, kept for each row; ``percent`` must be at least 80."""
     if percent < 80:
         raise ValueError("runs of retained values find similarities of 80 % or more")
@@ -208,9 +239,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K, group:
 
     by_hub = links(hub_candidates(lists, candidates, percent))
     component = checkpoint_table(connected_components(by_hub), "near")
-    by_group = links(group_candidates(lists, component, percent, group))
+    middle = checkpoint_table(medoids(component, sets, small), "near")
+    more = links(open_candidates(lists, candidates, component, middle, percent, small))
     star = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    component = connected_components(star.union(by_group))
+    component = connected_components(star.union(more))
     member = nodes.select("node", "first_id").join(component, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -223,6 +255,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K, group:
 
 def keep(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id; all columns stay."""
-    found = near_duplicates(docs, **options).filter("kept").select(F.col("key").alias("_key")).distinct()
-    rows = docs.withColumn("_key", row_key()).join(found, "_key", "left_semi")
-    return rows.dropDuplicates(["_key"]).drop("_key")
+    cols = docs.columns
+    found = near_duplicates(docs.select("doc_id", "text"), **options).filter("kept").select("key").distinct()
+    rows = docs.select(F.struct(*cols).alias("row"), row_key().alias("key")).join(found, "key", "left_semi")
+    return rows.dropDuplicates(["key"]).select(*[F.col("row").getField(c).alias(c) for c in cols])
