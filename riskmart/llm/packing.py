@@ -23,6 +23,7 @@ import bisect
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,12 +33,24 @@ from riskmart.session import checkpoint_table
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a Python worker remembers; beyond it, it forgets all and starts again.
-WORD_MEMORY = 400_000
+#: Words whose ids a Python worker remembers; beyond it, it keeps those that come again within as many new ones.
+WORD_MEMORY = 500_000
 #: Fixed value: a character that stands between words while unknown words are tokenised together.
 SEPARATOR = "|"
 
 
+class Known(dict):
+    """Ids by word, with the words of the time before: one of these that is used again comes over."""
+
+    def __init__(self, before: dict[str, bytes]):
+        super().__init__()
+        self.before = before
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.before[word]
+        return found
+
+
 class WordTokenizer:
     """Ids of texts as little-endian 32-bit bytes; the ids of a blank-separated word are looked up once.
 
@@ -48,14 +61,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Known({})
         self.separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
 
     def _learn(self, unknown: list[str]) -> None:
-        import numpy as np
-
-        if len(self.known) + len(unknown) > WORD_MEMORY:
-            self.known.clear()
         plain = [w for w in unknown if SEPARATOR not in w]
         odd = [w for w in unknown if SEPARATOR in w]
         groups = [plain[i:i + 512] for i in range(0, len(plain), 512)]
@@ -66,31 +75,29 @@ class WordTokenizer:
             if len(self.separator) != 1 or len(marks) != len(group) - 1:
                 odd += group
                 continue
-            raw, ends = ids.tobytes(), [*marks.tolist(), len(ids)]
-            at = 0
-            for word, end in zip(group, ends):
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(group, [*marks.tolist(), len(ids)]):
                 self.known[word] = raw[4 * at:4 * end]
                 at = end + 1
         for word, found in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            for blank in BLANKS[1:]:
-                text = text.replace(blank, " ")
-            words = text.split(" ")
-            distinct = set(words)
-            unknown = [w for w in distinct if w not in self.known]
+        for i in range(0, len(texts), 64):
+            split = []
+            for text in texts[i:i + 64]:
+                for blank in BLANKS[1:]:
+                    text = text.replace(blank, " ")
+                split.append(text.split(" "))
+            if len(self.known) > WORD_MEMORY:
+                self.known.before = {}
+                self.known = Known(self.known)
+            known, before = self.known, self.known.before
+            unknown = [w for w in set().union(*split) if w not in known and w not in before]
             if unknown:
-                if len(distinct) > WORD_MEMORY:
-                    import numpy as np
-
-                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-                    continue
                 self._learn(unknown)
-                if len(self.known) < len(distinct) or any(w not in self.known for w in distinct):
-                    self._learn([w for w in distinct if w not in self.known])
-            yield b"".join(map(self.known.__getitem__, words))
+            for words in split:
+                yield b"".join(map(known.__getitem__, words))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
