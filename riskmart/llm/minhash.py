@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import text_of
+from riskmart.llm.common import id_back, id_text, text_of
 from riskmart.llm.components import connected_components
 from riskmart.session import checkpoint_table
 
@@ -98,9 +98,9 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "node": node,
                                 "n": [len(s) for s in sets], "sketch": [s[:k] for s in sets]})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", row_key().alias("key"), text_of().alias("text")).mapInPandas(
-        make, f"doc_id {kind}, key long, node long, n long, sketch array<long>")
+    made = docs.select(id_text(), row_key().alias("key"), text_of().alias("text")).mapInPandas(
+        make, "doc_id string, key long, node long, n long, sketch array<long>")
+    return id_back(made, docs)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import BLANKS, text_of
+from riskmart.llm.common import BLANKS, id_back, id_text, text_of
 from riskmart.session import checkpoint_table
 
 CAPACITY = 2048
@@ -129,10 +129,10 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, k
             out["doc_id"] = batch["doc_id"].to_numpy()[out["nth"].to_numpy(dtype="int64")] if len(out) else []
             yield out[names]
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
-    return docs.select(F.col("doc_id"), text_of().alias("text")).mapInPandas(
-        cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids)
+    cut_rows = docs.select(id_text(), text_of().alias("text")).mapInPandas(
+        cut, "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids)
+    return id_back(cut_rows, docs)
 
 
 class Histogram:

@@ -117,3 +117,9 @@ def test_forgetting_words_changes_nothing(monkeypatch):
 @pytest.mark.parametrize("which", ["odd_docs", "no_docs"])
 def test_odd_rows(request, which):
     check(request.getfixturevalue(which), 64)
+
+
+def test_large_ids_beside_nulls(spark):
+    big = 2 ** 62 + 1
+    docs = spark.createDataFrame([(big, "a b"), (None, "c")], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in packing.pack(docs).collect()} == {big, None}
