@@ -29,18 +29,15 @@ from riskmart.session import checkpoint_table
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 512
-LEAF = 128
+LEAF = 256
 K = 10
 FACTOR = 1.0
 
 
 def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Euclidean distances; ``vectors`` is dims x n, squares are added component by component, in order."""
-    total = np.zeros(vectors.shape[1])
-    for row, x in zip(vectors, query):
-        diff = row - x
-        total += diff * diff
-    return np.sqrt(total)
+    diff = vectors - query[:, None]
+    return np.sqrt(np.add.accumulate(diff * diff, axis=0)[-1]) if len(query) else np.zeros(vectors.shape[1])
 
 
 class Tree:
@@ -55,6 +52,7 @@ class Tree:
         self._build(place, 0, len(place), leaf)
         self.ids, self.rows = ids[order][place], rows[order][place]
         self.vectors = np.ascontiguousarray(self.vectors[:, place])
+        self.squares = (self.vectors * self.vectors).sum(axis=0)
 
     def _build(self, place: np.ndarray, first: int, end: int, leaf: int) -> int:
         number = len(self.nodes)
@@ -76,7 +74,7 @@ class Tree:
     def search(self, query: np.ndarray, own_row: int, k: int, factor: float) -> list[tuple[float, int]]:
         """The k nearest (distance, id), without the query's own row; nodes in the order of their bounds."""
         found: list[tuple[float, int]] = []
-        limit, tie = np.inf, 0
+        limit, square = np.inf, float(query @ query)
         heap = [(0.0, 0)]
         while heap:
             bound, number = heapq.heappop(heap)
@@ -89,10 +87,12 @@ class Tree:
                 for child, near, far in children:
                     heapq.heappush(heap, (max(bound, d - far, near - d), child))
                 continue
-            d = distances(self.vectors[:, first:end], query)
-            some = np.flatnonzero((d <= limit) & (self.rows[first:end] != own_row))
+            # products tell, but for rounding, which vectors can be near enough; only these are measured
+            both = self.squares[first:end] + square
+            rough = both - 2 * (query @ self.vectors[:, first:end])
+            some = np.flatnonzero((rough <= limit * limit + 1e-9 * both) & (self.rows[first:end] != own_row)) + first
             if len(some):
-                found += zip(d[some].tolist(), self.ids[first:end][some].tolist())
+                found += zip(distances(self.vectors[:, some], query).tolist(), self.ids[some].tolist())
                 found = heapq.nsmallest(k, found)
                 if len(found) == k:
                     limit = found[-1][0]
