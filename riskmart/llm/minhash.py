@@ -14,8 +14,11 @@ lists: the most typical member, whose runs are shared most.  The links so found
 are still in several components, all pairs between components meet where there are at most ``small`` members; in longer
 ones the members outside meet the medoid of the largest component (of a text and its copies, as a rule, the text that
 the copies were made from) and one more hub.  Linked documents that both are far from a medoid differ from it in the
-same places, and runs through these places make shorter lists without it.  Candidates whose sizes allow the similarity are estimated on the bottom-k sketch of their union;
-those not far below the threshold are confirmed on the full sets.  Links make the components.
+same places, and runs through these places make shorter lists without it.  A second round does this for what is left.
+Long lists that still hold several components are then settled exactly: their members outside a list's largest component
+meet all members of other components with which they share one of their rarest shingles, as any two sets that reach the
+similarity do.  Candidates whose sizes allow the similarity are estimated on the bottom-k sketch of their union; those
+not far below the threshold are confirmed on the full sets.  Links make the components.
 
 Defined results: a null or blank text has the empty set: it is linked with nothing and kept; rows that repeat doc_id and
 text are one document; a null doc_id is larger than any other; an empty table gives no rows; other columns are ignored.
@@ -40,6 +43,10 @@ K = 48
 RUN = 4
 PERCENT = 85
 SMALL = 16
+#: Rounds of hubs and medoids before the exact join.
+ROUNDS = 2
+#: Members of open lists that hold a shingle, for each part into which its join is cut.
+SALT_ROWS = 2048
 #: Standard errors by which the estimate may fall short of the threshold before a candidate is dropped.
 SLACK = 5.0
 #: Hashes of words that a Python worker remembers; beyond it, it forgets all and starts again.
@@ -200,6 +207,45 @@ def open_candidates(lists: DataFrame, nodes: DataFrame, component: DataFrame, mi
     return _pairs(met.union(star), percent)
 
 
+def open_members(lists: DataFrame, component: DataFrame, small: int) -> DataFrame:
+    """(node, n, component, outside) of the members of long lists that hold several components; ``outside`` tells that
+    one of these lists has more members of another component."""
+    rows = lists.filter(F.col("members") > small).select("run", "node", "n").join(component, "node", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "node"))
+    parts = rows.groupBy("run", "component").agg(F.count(F.lit(1)).alias("part"))
+    largest = parts.groupBy("run").agg(F.count(F.lit(1)).alias("parts"),
+                                       F.max(F.struct("part", "component"))["component"].alias("largest"))
+    rows = rows.join(largest.filter("parts > 1"), "run")
+    return rows.groupBy("node", "n", "component").agg(F.max(F.col("component") != F.col("largest")).alias("outside"))
+
+
+def rest_candidates(members: DataFrame, sets: DataFrame, percent: int, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """Pairs of ``members`` of different components, at least one of them outside, that can reach the similarity.
+
+    Two sets that reach it share one of the first ``n - ceil(percent * n / 100) + 1`` shingles of each, in any order
+    that is the same for all; here the rarest come first.  At their first common shingle as many must follow in both
+    as the similarity needs.  A shingle that many members hold is joined in parts.
+    """
+    held = members.join(sets, "node").select("node", "n", "component", "outside", F.explode("shingles").alias("shingle"))
+    holders = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    rows = held.join(holders, "shingle").groupBy("node", "n", "component", "outside").agg(
+        F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("shared"))
+    rows = rows.withColumn("single", F.col("n") - F.size("shared"))  # shingles of no other member come before all
+    first = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1 - F.col("single")
+    rows = rows.withColumn("shared", F.slice("shared", F.lit(1), F.greatest(first, F.lit(0)).cast("int")))
+    rows = rows.select("node", "n", "component", "outside", "single", F.posexplode("shared").alias("at", "s")).select(
+        "node", "n", "component", "outside", (F.col("n") - F.col("single") - F.col("at")).alias("left"),
+        F.col("s.shingle").alias("shingle"), (1 + F.floor(F.col("s.holders") / salt_rows)).alias("salts"))
+    rows = checkpoint_table(rows, "near")
+    x = rows.filter("outside").select(
+        "shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
+        F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("left").alias("lx"))
+    y = rows.select("shingle", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), F.col("node").alias("y"),
+                    F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("left").alias("ly"))
+    enough = (100 + percent) * F.least("lx", "ly") >= percent * (F.col("nx") + F.col("ny"))
+    return _pairs(x.join(y, ["shingle", "salt"]).filter((F.col("cx") != F.col("cy")) & enough), percent)
+
+
 def similar_sketches(pairs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
     """The pairs whose similarity, estimated on the k smallest values of their union, is not far below the threshold."""
     a = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
@@ -239,10 +285,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K, small:
 
     by_hub = links(hub_candidates(lists, candidates, percent))
     component = checkpoint_table(connected_components(by_hub), "near")
-    middle = checkpoint_table(medoids(component, sets, small), "near")
-    more = links(open_candidates(lists, candidates, component, middle, percent, small))
-    star = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    component = connected_components(star.union(more))
+
+    def linked(more: DataFrame) -> DataFrame:
+        star = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return checkpoint_table(connected_components(star.union(more)), "near")
+
+    unmet = lists
+    for _ in range(ROUNDS):
+        middle = checkpoint_table(medoids(component, sets, small), "near")
+        more = links(open_candidates(unmet, candidates, component, middle, percent, small))
+        if more.isEmpty():
+            break
+        component = linked(more)
+        unmet = lists.filter(F.col("members") > small)  # all pairs of the others have met
+    members = checkpoint_table(open_members(lists, component, small), "near")
+    if not members.isEmpty():
+        component = linked(links(rest_candidates(members, sets, percent)))
     member = nodes.select("node", "first_id").join(component, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = member.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -87,6 +87,42 @@ def test_groups_chains_and_common_passages(spark, small, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == exacts
 
 
+@pytest.mark.parametrize("shared, own", [(1, 8), (6, 8)])
+def test_large_groups_of_edited_copies(spark, shared, own):
+    """500 copies with up to ``shared`` of ten common edits and up to ``own`` edits of their own."""
+    rng = random.Random(shared)
+    base = [f"b{i}" for i in range(404)]
+    common = [(rng.randrange(404), f"c{i}") for i in range(10)]
+    rows = []
+    for _ in range(500):
+        w = list(base)
+        for at, word in rng.sample(common, rng.randrange(shared + 1)):
+            w[at] = word
+        rows.append(edited(rng, w, rng.randrange(own + 1)))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    got = minhash.near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(exact(list(enumerate(rows))))
+
+
+@pytest.mark.parametrize("salt_rows", [3, 2048])
+def test_exact_join_finds_every_pair_across_components(spark, salt_rows):
+    rng = random.Random(9)
+    base = [rng.randrange(10**9) for _ in range(60)]
+    sets = {}
+    for i in range(80):
+        s = set(base)
+        for x in rng.sample(base, rng.randrange(8)):
+            s.remove(x)
+        sets[i] = s | {rng.randrange(10**9) for _ in range(rng.randrange(6))}
+    rows = [(i, len(s), i % 7, i % 7 != 0) for i, s in sets.items()]
+    members = spark.createDataFrame(rows, "node long, n long, component long, outside boolean")
+    held = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node long, shingles array<long>")
+    got = {(r["a"], r["b"]) for r in minhash.rest_candidates(members, held, 85, salt_rows).collect()}
+    want = {(a, b) for a in sets for b in sets
+            if a < b and a % 7 != b % 7 and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert want and want <= got
+
+
 def test_medoid_is_the_text_that_copies_come_from(spark):
     rng = random.Random(5)
     base = [rng.randrange(10**9) for _ in range(100)]
