@@ -7,7 +7,8 @@ smallest hashes of its set, in order.
 Inverted lists are kept for runs of four retained values that follow each other.  A set of two documents with a Jaccard
 similarity of 0.85 has, in the order of the hash, 85 of 100 values in both, so four in a row are in both almost surely
 (the share of such pairs without any is below one in a million for k = 48, and none for sets small enough to be
-retained whole); a passage that many otherwise different documents share hardly ever fills a run.
+retained whole); a passage that many otherwise different documents share hardly ever fills a run.  Below 85 % k is 64,
+which keeps that share below one in a million down to 80 %.  Small sets have shorter runs too, see ``run_lengths``.
 
 Lists give candidates without expanding a long list into its pairs.  First every node meets the hub of each of its
 lists: the most typical member, whose runs are shared most.  The links so found make components.  In lists whose members
@@ -40,6 +41,8 @@ from riskmart.session import checkpoint_table
 
 SHINGLE = 5
 K = 48
+#: Retained values for thresholds below PERCENT.
+LOW_K = 64
 RUN = 4
 PERCENT = 85
 SMALL = 16
@@ -124,25 +127,45 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.mapInPandas(make, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
-def run_keys(sketch: Column, n: Column) -> Column:
-    """Hashes of the runs; a similarity of 85 % between sets of up to 7 needs runs of three, below 6 equal sets."""
+def run_lengths(n: int, percent: int) -> set[int]:
+    """Lengths of the runs that a set of n shingles needs.
+
+    Of a union of u values at least ceil(percent * u / 100) are in both sets; the others cut these into one part more
+    than there are others, so the longest part has at least the mean length.  Both sets know the u that they can have.
+    """
+    lengths = set()
+    for u in range(n, 100 * n // percent + 1):
+        both = -(-percent * u // 100)
+        if both < u:  # otherwise only equal sets reach it
+            lengths.add(min(RUN, -(-both // (u - both + 1))))
+    return lengths
+
+
+def run_keys(sketch: Column, n: Column, percent: int = PERCENT, k: int = K) -> Column:
+    """Hashes of the runs; sets that are not retained whole have runs of four."""
 
     def runs(length: int) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(sketch) - length), lambda i: F.xxhash64(
             *[F.get(sketch, i + j) for j in range(length)]))
 
     none = F.array().cast("array<long>")
-    short = F.when((n >= RUN + 2) & (n <= RUN + 3), runs(RUN - 1)).otherwise(none)
-    return F.concat(short, F.when(n >= RUN + 3, runs(RUN)).otherwise(none))
+    needed = {m: run_lengths(m, percent) for m in range(1, k + 1)}
+    parts = []
+    for length in range(1, RUN + 1):
+        has = n.isin([m for m in needed if length in needed[m]])
+        if length == RUN:
+            has = has | (n > k)
+        parts.append(F.when(has, runs(length)).otherwise(none))
+    return F.concat(*parts)
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
+def inverted_lists(nodes: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """(run, node, n, members, typical, hub) for each member of a list with two nodes or more.
 
     ``typical`` adds up the members of all lists that hold the node: of the copies of a text, that with the fewest
     changes of its own has most.  A list's hub is its most typical member.
     """
-    runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("run"))
+    runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"), percent, k)).alias("run"))
     shared = runs.groupBy("run").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
     rows = checkpoint_table(runs.join(shared.select("run"), "run").distinct(), "near")
     rows = rows.join(rows.groupBy("run").agg(F.count(F.lit(1)).alias("members")), "run")
@@ -267,15 +290,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K, small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int | None = None, small: int = SMALL) -> DataFrame:
     """doc_id, key, n_shingles, component_id, kept for each row; ``percent`` must be at least 80."""
     if percent < 80:
         raise ValueError("runs of retained values find similarities of 80 % or more")
+    k = k or (K if percent >= PERCENT else LOW_K)
     rows = checkpoint_table(sketches(docs, k), "near")
     some = rows.filter("node is not null")
     first = some.groupBy("node").agg(F.min("key").alias("key"), F.min("doc_id").alias("first_id"))
     nodes = checkpoint_table(some.drop("doc_id").join(first, ["node", "key"]).dropDuplicates(["node"]), "near")
-    lists = inverted_lists(nodes)
+    lists = inverted_lists(nodes, percent, k)
     candidates = nodes.join(lists.select("node").distinct(), "node", "left_semi")
     candidates = checkpoint_table(candidates, "near")
     sets = checkpoint_table(full_sets(docs, candidates), "near")

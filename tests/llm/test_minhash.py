@@ -19,7 +19,7 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4))
 
 
-def exact(rows):
+def exact(rows, percent=85):
     """(smallest reachable doc_id) of each row, by comparing all pairs that share a shingle."""
     sets = [shingles(t) for _, t in rows]
     held = defaultdict(list)
@@ -39,7 +39,7 @@ def exact(rows):
         return i
 
     for (a, b), n in both.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             up[top(a)] = top(b)
     least = defaultdict(list)
     for i, (doc, _) in enumerate(rows):
@@ -123,6 +123,32 @@ def test_exact_join_finds_every_pair_across_components(spark, salt_rows):
     assert want and want <= got
 
 
+def test_similarities_from_80_to_85_percent(spark):
+    """Pairs of texts of 4 to 60 shingles with as few in common as 80 % allows, by edits in the middle and at the ends."""
+    import corpus_pipeline
+
+    rng, rows = random.Random(80), []
+    for n in range(4, 61):
+        for copy in range(4):
+            w = [f"n{n}c{copy}w{i}" for i in range(n + 4)]
+            rows.append(" ".join(w))
+            drop = rng.randrange(1, n // 5 + 2) if n > 4 else 1
+            if copy < 2:  # shorter by words at one end
+                rows.append(" ".join(w[:len(w) - drop] if copy else w[drop:]))
+            elif n >= 45 or copy == 2:  # a changed word inside, or an added word
+                at = rng.randrange(len(w))
+                rows.append(" ".join(w[:at] + ["x"] + w[at + 1:]))
+            else:
+                rows.append(" ".join(w + [f"y{n}{i}" for i in range(max(1, n // 4))]))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    want = sorted(exact(list(enumerate(rows)), 80))
+    assert want != sorted(exact(list(enumerate(rows)), 85))
+    got = minhash.near_duplicates(docs, percent=80).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert kept == {i for i, _, least in want if i == least}
+
+
 def test_medoid_is_the_text_that_copies_come_from(spark):
     rng = random.Random(5)
     base = [rng.randrange(10**9) for _ in range(100)]
