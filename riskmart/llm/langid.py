@@ -2,9 +2,9 @@
 
 For each language an interpolated Kneser-Ney model over letters (lower case; everything between letters is one blank)
 is counted from the labelled documents.  Spark counts the character n-grams and joins counts, contexts and lower orders
-to probabilities.  For scoring, the probabilities and context weights of each order are kept in arrays sorted by a
-``bits``-bit hash of the n-gram, one column per language; a directory of the hash values finds the row.  So a model has
-at most orders * 2**bits rows, whatever the corpus; n-grams that share a hash keep the larger value.
+to probabilities.  For scoring, the probabilities and context weights of each order are kept in arrays sorted by an
+invertible 64-bit hash of the n-gram, one column per language; a directory of the hash's first bits, at least four places
+for each n-gram, tells where to look.  So every n-gram has its own row, and the model grows with the distinct n-grams.
 
 A document gets the language of the lowest cross-entropy per character over its whole text.  ``score`` compares the
 languages, as the posterior after at most ``evidence`` characters; ``rejected`` tells that the cross-entropy is above
@@ -32,6 +32,7 @@ from riskmart.llm.common import id_back, id_text, text_of
 from riskmart.session import checkpoint_table
 
 ORDER = 4
+#: Least bits of a directory.
 BITS = 17
 DISCOUNT = 0.75
 #: Characters beyond those of the corpus share this many equal parts of the rest.
@@ -116,10 +117,9 @@ def count_grams(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def slots(gram: np.ndarray, bits: int) -> np.ndarray:
-    """Multiplicative hash of n-grams."""
-    mixed = (gram ^ (gram >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+def mixed(gram: np.ndarray) -> np.ndarray:
+    """Multiplicative hash of n-grams; different n-grams have different hashes."""
+    return (gram ^ (gram >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def probabilities(top: DataFrame) -> DataFrame:
@@ -157,24 +157,22 @@ def probabilities(top: DataFrame) -> DataFrame:
 
 
 def sorted_arrays(rows: DataFrame, bits: int = BITS) -> dict | None:
-    """The model as arrays: languages, and for each (kind, order) the sorted hash values and their rows of values."""
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(slot=slots(b["gram"].to_numpy().view(np.uint64), bits)).drop(columns="gram")
-
-    bounded = rows.mapInPandas(hashed, "lang string, kind string, ord int, value double, slot long").groupBy(
-        "kind", "ord", "slot", "lang").agg(F.max("value").alias("value")).toPandas()
-    if bounded.empty:
+    """The model as arrays: languages, and for each (kind, order) the sorted hashes of all n-grams and their rows of
+    values."""
+    rows = checkpoint_table(rows, "langid")
+    langs = sorted((r["lang"] for r in rows.select("lang").distinct().collect()), key=lambda x: x.encode())
+    if not langs:
         return None
-    langs = sorted(bounded["lang"].unique(), key=lambda x: x.encode())
-    column = {x: i for i, x in enumerate(langs)}
+    columns = rows.sparkSession.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, col int")
+    rows = rows.join(F.broadcast(columns), "lang")
     model: dict = {"langs": langs, "bits": bits}
-    for (kind, k), part in bounded.groupby(["kind", "ord"]):
-        keys, row = np.unique(part["slot"].to_numpy(), return_inverse=True)
+    for kind, k in [("p", k) for k in range(1, ORDER + 1)] + [("g", k) for k in range(ORDER)]:
+        part = rows.filter((F.col("kind") == kind) & (F.col("ord") == k)).select(
+            "gram", "col", F.col("value").cast("float").alias("value")).toPandas()
+        keys, row = np.unique(mixed(part["gram"].to_numpy().view(np.uint64)), return_inverse=True)
         values = np.full((len(keys), len(langs)), np.nan if kind == "p" else 0.0, np.float32)
-        values[row, part["lang"].map(column).to_numpy()] = part["value"].to_numpy()
-        model[kind, int(k)] = (keys.astype(np.uint32), values)
+        values[row, part["col"].to_numpy()] = part["value"].to_numpy()
+        model[kind, k] = (keys, values)
     return model
 
 
@@ -182,19 +180,31 @@ class Scorer:
     """Cross-entropies of texts under the models of all languages."""
 
     def __init__(self, model: dict):
-        self.langs, self.bits, self.tables = model["langs"], model["bits"], {}
+        self.langs, self.tables = model["langs"], {}
         for key, found in model.items():
             if isinstance(key, tuple):
                 keys, values = found
-                # the directory: where in the sorted array a hash value stands; the last row is for all others
-                directory = np.full(1 << self.bits, len(keys), np.int32)
-                directory[keys] = np.arange(len(keys), dtype=np.int32)
+                # the directory: where in the sorted array the hashes with these first bits begin
+                bits = max(model["bits"], (4 * len(keys)).bit_length())
+                count = np.bincount((keys >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                directory = (np.cumsum(count) - count).astype(np.int32)
+                # the last row is for all others; its key ends every search
+                keys = np.append(keys, np.uint64(2**64 - 1))
                 other = np.full((1, len(self.langs)), np.nan if key[0] == "p" else 0.0, np.float32)
-                self.tables[key] = directory, np.concatenate([values, other])
+                self.tables[key] = np.uint64(64 - bits), directory, keys, np.concatenate([values, other])
 
     def _look(self, kind: str, order: int, gram: np.ndarray) -> np.ndarray:
-        directory, values = self.tables[kind, order]
-        return values[directory[slots(gram, self.bits)]]
+        shift, directory, keys, values = self.tables[kind, order]
+        wanted = mixed(gram)
+        at = directory[(wanted >> shift).astype(np.int64)]
+        found = keys[at]
+        behind = np.flatnonzero(found < wanted)
+        while len(behind):
+            at[behind] += 1
+            found[behind] = keys[at[behind]]
+            behind = behind[found[behind] < wanted[behind]]
+        at[found != wanted] = len(keys) - 1
+        return values[at]
 
     def log_probabilities(self, u: np.ndarray) -> np.ndarray:
         """For each unit from PAD on and each language."""
@@ -240,7 +250,7 @@ def learn(docs: DataFrame, bits: int = BITS) -> dict | None:
 def predict(docs: DataFrame, model: dict, evidence: int = EVIDENCE) -> DataFrame:
     """doc_id, lang, fold, lang_pred, score, cross_entropy of each row of ``docs``."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most orders * 2**bits rows of one float per language, twice
+    shared = spark.sparkContext.broadcast(model)  # a row per distinct n-gram
     number = uuid.uuid4().hex
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -53,6 +53,24 @@ def test_probabilities_follow_the_definition(spark):
             assert np.allclose(scorer.cross_entropies([text, "x", text])[[0, 2], col], -np.mean(want), atol=1e-4)
 
 
+@pytest.mark.parametrize("bits", [4, 12])
+def test_more_ngrams_than_slots(spark, bits):
+    rng = np.random.default_rng(bits)
+    made = {"xx": ("abcdefghijklm", 40), "yy": ("aeiou\u4e00\u4e01\u4e02\u4e03xyz", 20)}
+    texts = {lang: ["".join(rng.choice(list(letters), 150)) for _ in range(n)] for lang, (letters, n) in made.items()}
+    rows = [(lang, t) for lang, ts in texts.items() for t in ts]
+    top = langid.count_grams(spark.createDataFrame(rows, "lang string, text string"))
+    assert top.count() > 1 << bits
+    scorer = langid.Scorer(langid.sorted_arrays(langid.probabilities(top), bits))
+    text = texts["xx"][0][:30] + " " + "aeioubcdqq" + texts["yy"][0][:30]
+    u, _ = langid.units([text])
+    padded = " " * langid.PAD + text + " "
+    for lang, ts in texts.items():
+        p = kneser_ney(ts)
+        want = [math.log(p(padded[i - langid.PAD:i + 1])) for i in range(langid.PAD, len(padded))]
+        assert np.allclose(scorer.log_probabilities(u)[:, scorer.langs.index(lang)], want, atol=1e-4)
+
+
 def test_held_out_accuracy_and_folds(spark):
     docs = table(spark, SF01, "documents")
     lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
