@@ -16,6 +16,7 @@ ignored.  A null vec_id takes no part.
 from __future__ import annotations
 
 import heapq
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -85,12 +86,15 @@ class Tree:
             if children:
                 d = float(distances(vantage[:, None], query)[0])
                 for child, near, far in children:
-                    heapq.heappush(heap, (max(bound, d - far, near - d), child))
+                    # squares of huge components overflow; an infinite distance bounds nothing
+                    least = [x for x in (d - far, near - d) if math.isfinite(x)]
+                    heapq.heappush(heap, (max(bound, *least), child) if least else (bound, child))
                 continue
             # products tell, but for rounding, which vectors can be near enough; only these are measured
             both = self.squares[first:end] + square
             rough = both - 2 * (query @ self.vectors[:, first:end])
-            some = np.flatnonzero((rough <= limit * limit + 1e-9 * both) & (self.rows[first:end] != own_row)) + first
+            # a product that is no number tells nothing, so its vector is measured
+            some = np.flatnonzero(~(rough > limit * limit + 1e-9 * both) & (self.rows[first:end] != own_row)) + first
             if len(some):
                 found += zip(distances(self.vectors[:, some], query).tolist(), self.ids[some].tolist())
                 found = heapq.nsmallest(k, found)

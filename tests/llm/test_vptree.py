@@ -59,3 +59,17 @@ def test_empty(spark):
     assert vptree.neighbours(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     one = spark.createDataFrame([(100, [1.0])], "vec_id long, embedding array<float>")
     assert vptree.neighbours(one).count() == 0
+
+
+def test_huge_components(spark):
+    """Squares of components above 1e154 overflow; candidates stay candidates."""
+    rng = np.random.default_rng(4)
+    vectors = [[float(x) for x in v] for v in rng.normal(size=(30, 3))]
+    vectors += [[float(x) for x in 1e155 + 1e150 * v] for v in rng.normal(size=(15, 3))]
+    vectors += [[float(x) for x in 1e200 * v] for v in rng.normal(size=(15, 3))]
+    rows = list(enumerate(vectors))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {q: n[0] for q, n in brute(rows, 1, 10).items()}
+    assert found(vptree.neighbours(df, 1, 10)) == want
+    tree = vptree.Tree(np.array(vectors), np.arange(60), np.arange(60), 4)
+    assert {i: sorted(tree.search(np.array(v), i, 10, 1.0)) for i, v in rows} == want
