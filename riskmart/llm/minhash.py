@@ -290,8 +290,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int | None = None, small: int = SMALL) -> DataFrame:
-    """doc_id, key, n_shingles, component_id, kept for each row; ``percent`` must be at least 80."""
+def grouped(docs: DataFrame, percent: int = PERCENT, k: int | None = None, small: int = SMALL) -> DataFrame:
+    """doc_id, key, n_shingles, component (null for an empty set), component_id for each row."""
     if percent < 80:
         raise ValueError("runs of retained values find similarities of 80 % or more")
     k = k or (K if percent >= PERCENT else LOW_K)
@@ -328,16 +328,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int | None = Non
     member = nodes.select("node", "first_id").join(component, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    member = member.join(smallest, "component").select("node", "component_id")
+    member = member.join(smallest, "component").select("node", "component", "component_id")
     out = rows.select("doc_id", "key", "node", "n").join(member, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), own.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component", own.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int | None = None, small: int = SMALL) -> DataFrame:
+    """doc_id, key, n_shingles, component_id, kept for each row; ``percent`` must be at least 80."""
+    return grouped(docs, percent, k, small).drop("component").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id; all columns stay."""
+    """``docs`` with one document of each component, the one with the smallest doc_id, of equal or only null ids the one
+    with the smallest key; all columns stay."""
     cols = docs.columns
-    found = near_duplicates(docs.select("doc_id", "text"), **options).filter("kept").select("key").distinct()
+    rows = checkpoint_table(grouped(docs.select("doc_id", "text"), **options), "near")
+    first = rows.filter("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))["key"].alias("key"))
+    found = first.select("key").union(rows.filter("component is null").select("key")).distinct()
     rows = docs.select(F.struct(*cols).alias("row"), row_key().alias("key")).join(found, "key", "left_semi")
     return rows.dropDuplicates(["key"]).select(*[F.col("row").getField(c).alias(c) for c in cols])

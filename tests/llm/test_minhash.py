@@ -179,3 +179,11 @@ def test_odd_rows(request, which):
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert len(ids) == len(set(ids)) or ids.count(None) > 1
+
+
+def test_one_document_of_a_group_with_null_or_repeated_ids(spark):
+    w = [f"w{i}" for i in range(100)]
+    texts = [" ".join(w[:100 - i]) for i in range(4)]
+    rows = [(None, t) for t in texts] + [(7, "x " + t.upper().replace("W", "v")) for t in texts] + [(None, ""), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["doc_id"] for r in minhash.keep(docs).collect()), key=str) == [7, 8, None, None]
