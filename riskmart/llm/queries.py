@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, minhash, mixing, packing, quality, secret_scan, sharding, suffix, vptree, warc
+from riskmart.llm import collocations, langid, minhash, mixing, packing, quality, secret_scan, sharding, suffix, vptree, warc
 from riskmart.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": op8_neighbours,
         "op9_repeats": op9_repeats,
         "op10_shards": op10_shards,
+        "op11_collocations": op11_collocations,
     }
 
 
@@ -142,5 +147,41 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM w, (SELECT unnest([1, 2, 3]) AS size))),
+c AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE size = 1 GROUP BY lang),
+k AS (
+  SELECT lang, size, phrase, f AS a, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS words
+  FROM c WHERE size > 1 AND f >= 10),
+s AS (
+  SELECT k.lang, k.size, k.phrase, a, l.f AS l, r.f AS r, k,
+         (a::HUGEINT * a * 1000000 // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM k JOIN c AS l ON l.lang = k.lang AND l.phrase = array_to_string(words[1:k], ' ')
+         JOIN c AS r ON r.lang = k.lang AND r.phrase = array_to_string(words[k + 1:], ' ')),
+m AS (
+  SELECT lang, size, phrase, a, arg_min(l, score * 10 + k) AS l, arg_min(r, score * 10 + k) AS r, min(score) AS score
+  FROM s GROUP BY lang, size, phrase, a),
+x AS (
+  SELECT DISTINCT b.lang, b.phrase
+  FROM (SELECT lang, a AS longer, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS part
+        FROM k WHERE size = 3 AND k = 1) AS q
+       JOIN m AS b ON b.size = 2 AND b.lang = q.lang AND b.phrase = part WHERE 100 * longer >= 50 * b.a),
+o AS (
+  SELECT m.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM m ANTI JOIN x USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op6_warc": OP6_SQL, "op8_neighbours": OP8_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op6_warc": OP6_SQL, "op8_neighbours": OP8_SQL, "op11_collocations": OP11_SQL}
