@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import collocations, langid, minhash, mixing, packing, quality, secret_scan, sharding, suffix, vptree, warc
+from riskmart.llm import collocations, hard_negatives, langid, minhash, mixing, packing, quality, secret_scan, sharding, suffix, vptree, warc
 from riskmart.llm.common import table
 
 
@@ -67,6 +67,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = hard_negatives.relabelled(F.col("label"), F.col("vec_id"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -80,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_repeats": op9_repeats,
         "op10_shards": op10_shards,
         "op11_collocations": op11_collocations,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -183,5 +190,30 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN t USING (lang) WHERE ra
 """
 
 
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.rid AS anchor, q.vec_id AS anchor_id, v.rid, v.vec_id, q.label = v.label AS same,
+         list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v AS q JOIN v ON q.rid <> v.rid AND len(q.e) = len(v.e) WHERE q.vec_id % 50 = 0),
+p AS (
+  SELECT anchor, anchor_id, rid AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, rid) <= 5)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id, rid)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op6_warc": OP6_SQL, "op8_neighbours": OP8_SQL, "op11_collocations": OP11_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op6_warc": OP6_SQL, "op8_neighbours": OP8_SQL, "op11_collocations": OP11_SQL,
+            "op12_hard_negatives": OP12_SQL}
