@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import collocations, hard_negatives, langid, minhash, mixing, packing, quality, secret_scan, sharding, suffix, vptree, warc
+from riskmart.llm import (collocations, fingerprints, hard_negatives, langid, minhash, mixing, packing, quality,
+                          secret_scan, sharding, suffix, vptree, warc)
 from riskmart.llm.common import table
 
 
@@ -73,6 +74,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors.withColumn("label", label))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -87,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_shards": op10_shards,
         "op11_collocations": op11_collocations,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_fingerprints": op13_fingerprints,
     }
 
 
