@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.operators.ranking import dist_row_number
+from riskmart.operators.selection import select_places
 from riskmart.session import checkpoint_table
 
 SEED = 42
@@ -36,26 +36,20 @@ def stratified_split(df: DataFrame, label_col: str, key: str = "customer_id", te
     """Adds ``split`` ('train'/'test'): within each class, the rows with the highest seeded hash
     of ``key`` — ceil(test_fraction * class size) of them — form the test set.
 
-    Exact per-class proportions without collecting a class into one task: (label, hash, key) is
-    numbered by the distributed ranking, and every row is compared with the last training row of
-    its class.  The hash is md5 of "key:seed", which other engines have as well.
+    Exact per-class proportions without sorting or collecting a class: the last training row of each class is found by
+    selection, and every row is compared with it.  The hash is md5 of "key:seed", which other engines have as well.
     """
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
     base = df.withColumn("_lbl", F.col(label_col).cast("int"))
-    # only (label, hash, key) is sorted; of each class one row reaches the driver, the last training row
-    order = base.select("_lbl", h.alias("_h"), F.col(key).cast("string").alias("_k"))
-    ranked = checkpoint_table(dist_row_number(order, [F.col("_lbl").asc(), F.col("_h").asc(), F.col("_k").asc()]),
-                              "riskmart-split")
-    sizes = {r["_lbl"]: r["n"] for r in ranked.groupBy("_lbl").agg(F.count(F.lit(1)).alias("n")).collect()}
-    start, cuts = 0, {}
-    for label in sorted(sizes, key=lambda x: (x is not None, x)):
-        cuts[label] = start + sizes[label] - math.ceil(sizes[label] * test_fraction)
-        start += sizes[label]
-    last = {r["_lbl"]: r for r in ranked.filter(F.col("_rn").isin(list(cuts.values()))).collect()}
+    # only (label, hash, key) is written for the passes of the selection
+    hashed = checkpoint_table(base.select("_lbl", h.alias("_h"), F.col(key).cast("string").alias("_k")), "riskmart-split")
+    sizes = {r["_lbl"]: r["n"] for r in hashed.groupBy("_lbl").agg(F.count(F.lit(1)).alias("n")).collect()}
     in_train = F.lit(False)
-    for label, row in last.items():
-        if row["_rn"] == cuts[label]:
-            in_train = in_train | (F.col("_lbl").eqNullSafe(F.lit(label)) & (
+    for label, n in sizes.items():
+        cut = n - math.ceil(n * test_fraction)
+        own = hashed.where(F.col("_lbl").eqNullSafe(F.lit(label).cast("int")))
+        for row in select_places(own, [cut], "_h", "_k").values():  # none, if the class has no training row
+            in_train = in_train | (F.col("_lbl").eqNullSafe(F.lit(label).cast("int")) & (
                 (F.col("_h") < row["_h"]) | ((F.col("_h") == row["_h"]) & (F.col(key).cast("string") <= row["_k"]))))
     return base.withColumn("_h", h).withColumn("split", F.when(in_train, "train").otherwise("test")).drop("_lbl", "_h")
 

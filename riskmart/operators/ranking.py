@@ -4,10 +4,10 @@
 
 * ``dist_row_number`` range-sorts the rows (AQE sizes the ranges), writes them to the checkpoint folder, so that the
   sampled bounds are fixed, and gives each partition its offset from a table with one row per partition.
-* ``percent_rank`` depends on the value alone: values are counted (a value that many rows share is combined before the
-  shuffle), the distinct values are numbered as above with their counts, and each row looks its value up.
-* ``ntile`` needs only the last row of each tile.  The counts of the values tell which value holds it; only the rows of
-  these few values are numbered; then every row finds its tile by comparing itself with the k - 1 last rows.
+* ``percent_rank`` is taken inside the ranges.  A value that many rows share is spread by a second key; a table with one
+  row per range tells where the value that a range begins with started.
+* ``ntile`` needs only the last row of each tile, which selection finds without a sort; then every row finds its tile by
+  comparing itself with the k - 1 last rows.
 
 Values order as in Spark: NaN is larger than any number, nulls come last in either direction.
 """
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskmart.operators.selection import select_places
 from riskmart.session import checkpoint_table, ensure_checkpoint_dir
 
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id = (partition << 33) + local index
@@ -52,23 +53,38 @@ def dist_row_number(df: DataFrame, order: Sequence[Column]) -> DataFrame:
             .drop("_pid", "_lrn", "_off"))
 
 
-def value_starts(df: DataFrame, value_col: str, ascending: bool = True) -> DataFrame:
-    """One row per distinct value: ``value_col``, ``_size`` (rows with it), ``_before`` (rows before them), ``_n``."""
-    v = F.col(value_col)
-    counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_size"))
-    ranked = _range_sorted(counts, [v.asc_nulls_last() if ascending else v.desc_nulls_last()])
-    inside = Window.partitionBy("_pid").orderBy("_lrn").rowsBetween(Window.unboundedPreceding, -1)
-    within = F.coalesce(F.sum("_size").over(inside), F.lit(0))
-    return (ranked.withColumn("_in", within).join(_offsets(ranked, F.col("_size")), "_pid")
-            .select(value_col, "_size", (F.col("_off") + F.col("_in")).alias("_before"), "_n"))
-
+def dist_percent_rank(df: DataFrame, value_col: str, out_col: str, ascending: bool = True,
+                      id_col: str | None = None) -> DataFrame:
+    """``percent_rank() OVER (ORDER BY value_col)`` with nulls last, as ``out_col`` (double).
 
-def dist_percent_rank(df: DataFrame, value_col: str, out_col: str, ascending: bool = True) -> DataFrame:
-    """``percent_rank() OVER (ORDER BY value_col)`` with nulls last, as ``out_col`` (double)."""
-    starts = value_starts(df, value_col, ascending)
-    rank = F.when(F.col("_n") > 1, F.col("_before").cast("double") / (F.col("_n") - 1).cast("double")).otherwise(0.0)
-    starts = starts.select(F.col(value_col).alias("_value"), rank.alias(out_col))
-    return df.join(starts, F.col(value_col).eqNullSafe(F.col("_value"))).drop("_value")
+    A value that many rows share is spread over ranges by ``id_col`` (default: a hash of the row).
+    """
+    v = F.col(value_col)
+    by_value = v.asc_nulls_last() if ascending else v.desc_nulls_last()
+    second = F.col(id_col) if id_col else F.xxhash64(*df.columns)
+    ranked = _range_sorted(df.withColumn("_second", second), [by_value, F.col("_second").asc()]).drop("_second")
+    # place in its range, from 0, of the first row with this value
+    ranked = ranked.withColumn("_start", F.rank().over(Window.partitionBy("_pid").orderBy(by_value)) - 1)
+    ranges = ranked.groupBy("_pid").agg(
+        F.count(F.lit(1)).alias("_cnt"), F.min_by(value_col, "_lrn").alias("_first"),
+        F.max_by(value_col, "_lrn").alias("_last"), F.max("_start").alias("_last_start"))
+    # one row per range from here on
+    w = Window.orderBy("_pid")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        "_pid", "_first", "_last", "_last_start",
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy()).cast("long").alias("_n"),
+        (F.lag(F.lit(1)).over(w).isNotNull() & F.col("_first").eqNullSafe(F.lag("_last").over(w))).alias("_goes_on"))
+    # first row of the value that a range ends with; unknown where the range is only a part of it
+    ends_with = (F.when(~F.col("_first").eqNullSafe(F.col("_last")), F.col("_off") + F.col("_last_start"))
+                 .when(~F.col("_goes_on"), F.col("_off")))
+    ranges = ranges.withColumn("_ends_with", ends_with)
+    begins_with = F.when(F.col("_goes_on"), F.last("_ends_with", ignorenulls=True).over(before)).otherwise(F.col("_off"))
+    ranges = ranges.select("_pid", "_off", "_n", begins_with.alias("_begins_with"))
+    smaller = F.when(F.col("_start") == 0, F.col("_begins_with")).otherwise(F.col("_off") + F.col("_start"))
+    rank = F.when(F.col("_n") > 1, smaller.cast("double") / (F.col("_n") - 1).cast("double")).otherwise(0.0)
+    return ranked.join(ranges, "_pid").withColumn(out_col, rank).select(*df.columns, out_col)
 
 
 def tile_ends(n: int, k: int) -> list[int]:
@@ -80,30 +96,17 @@ def tile_ends(n: int, k: int) -> list[int]:
 def dist_ntile(df: DataFrame, k: int, value_col: str, id_col: str, ascending: bool = True) -> Column:
     """``ntile(k) OVER (ORDER BY value_col, id_col)``, nulls last, as an expression over the rows of ``df``.
 
-    ``id_col`` must be unique.  Only the k - 1 last rows of the tiles reach the driver.
+    ``id_col`` must be unique.  The k - 1 last rows of the tiles are found by selection (no sort of the table); only they
+    reach the driver.
     """
     v, i = F.col(value_col), F.col(id_col)
-    starts = checkpoint_table(value_starts(df, value_col, ascending), "riskmart-rank")
-    first = starts.first()
-    if first is None:
-        return F.lit(1)
-    ends = tile_ends(first["_n"], k)
-    holds = F.lit(False)
-    for e in set(ends):
-        holds = holds | ((F.col("_before") < e) & (F.col("_before") + F.col("_size") >= e))
-    values = starts.filter(holds).withColumnRenamed(value_col, "_value")
-    # the rows of at most k - 1 values; a hot value is spread over ranges by its ids
-    rows = df.select(value_col, id_col).join(values, v.eqNullSafe(F.col("_value")))
-    numbered = dist_row_number(rows.drop("_n", "_value"), [F.col("_before").asc(), i.asc()])
-    # numbers run through the chosen values, so each value's first number is taken off again
-    base = Window.orderBy("_before").rowsBetween(Window.unboundedPreceding, -1)
-    skipped = values.select("_before", F.coalesce(F.sum("_size").over(base), F.lit(0)).alias("_skipped"))
-    place = F.col("_before") + F.col("_rn") - F.col("_skipped")
-    last = {r["_place"]: r for r in numbered.join(skipped, "_before").withColumn("_place", place).filter(
-        F.col("_place").isin(sorted(set(ends)))).select("_place", value_col, id_col).collect()}
+    ends = tile_ends(df.count(), k)
+    last = select_places(df, ends, value_col, id_col, ascending)
     kinds = df.select(value_col, id_col).schema
     tile = F.lit(1)
     for e in ends:
+        if e not in last:  # a table of fewer rows than tiles
+            continue
         r = last[e]
         at, key = (F.lit(r[c]).cast(kinds[c].dataType) for c in (value_col, id_col))
         if r[value_col] is None:

@@ -31,7 +31,8 @@ def latest_behavior(behavior: DataFrame) -> DataFrame:
 
 @model
 def fct_credit_score(profile: DataFrame, behavior: DataFrame, customers: DataFrame) -> DataFrame:
-    income = dist_percent_rank(customers.select("customer_id", "income_declared"), "income_declared", "_prank").select(
+    income = dist_percent_rank(customers.select("customer_id", "income_declared"), "income_declared", "_prank",
+                               id_col="customer_id").select(
         "customer_id", (F.col("_prank") * F.lit(100.0)).alias("income_pct"))
     # profile carries the customer's age_group already (it is built from the same customers)
     j = (profile.join(latest_behavior(behavior), "customer_id", "left")

@@ -69,3 +69,22 @@ def test_tile_is_assigned_without_a_join(spark):
     df = _data(spark, 200, 9, 0.1, seed=5)
     plan = df.withColumn("q", dist_ntile(df, 4, "v", "id"))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_percent_rank_of_hot_values_over_many_ranges(spark, ascending):
+    """Runs that fill whole ranges, begin or end inside of one; no exchange is keyed by the value."""
+    value = lambda i: None if i % 50 == 0 else 7.0 if i % 2 else 9.0 if i % 3 == 0 else float(i % 400)
+    df = spark.createDataFrame([(i, value(i)) for i in range(2000)], "id long, v double").repartition(16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = dist_percent_rank(df, "v", "pr", ascending, id_col="id")
+        exp = df.select("id", F.percent_rank().over(Window.orderBy(_order(ascending)[0])).alias("pr_exp"))
+        assert got.columns == ["id", "v", "pr"] and got.count() == 2000
+        assert got.join(exp, "id").where(F.col("pr") != F.col("pr_exp")).count() == 0
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(v#" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
