@@ -24,7 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from riskmart import pipeline  # noqa: E402
+from riskmart import pipeline, snapshots  # noqa: E402
 from riskmart.session import build_session  # noqa: E402
 from riskmart.sources import fixtures  # noqa: E402
 
@@ -49,8 +49,8 @@ def main() -> None:
 
     from riskmart.plans import reports
 
-    marts = {n: spark.read.parquet(f"{scratch}/out/marts/{n}") for n in pipeline.MARTS}
-    inter = {n: spark.read.parquet(f"{scratch}/out/intermediate/{n}") for n in pipeline.INTERMEDIATE}
+    marts = {n: snapshots.read_published(spark, f"{scratch}/out", "marts", n) for n in pipeline.MARTS}
+    inter = {n: snapshots.read_published(spark, f"{scratch}/out", "intermediate", n) for n in pipeline.INTERMEDIATE}
     stg = res.tables
     score, port, ltv = marts["fct_credit_score"], marts["fct_portfolio_health"], marts["fct_customer_ltv"]
     coll, seg = marts["fct_collection_efficiency"], marts["fct_risk_segments"]

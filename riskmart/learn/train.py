@@ -9,6 +9,7 @@ one mean/std per feature, the confusion counts and the fitted coefficients.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import math
 import uuid
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from riskmart.operators.selection import select_places
 from riskmart.session import checkpoint_table
+from riskmart.snapshots import claim_number, path_exists
 
 SEED = 42
 LABEL, WEIGHT, FEATURES = "label", "class_weight", "features"
@@ -90,7 +92,19 @@ def feature_names(model: PipelineModel, numeric: list[str], categorical: list[st
 
 def fit_with_prep(prep: PipelineModel, train_prepped: DataFrame, classifier) -> PipelineModel:
     """Fit ``classifier`` on already-transformed rows and return prep + classifier as one model."""
-    return PipelineModel(stages=list(prep.stages) + [classifier.fit(train_prepped)])
+    return PipelineModel(stages=list(prep.stages) + [without_summary(classifier.fit(train_prepped))])
+
+
+def without_summary(model):
+    """A fitted classifier (also as the last stage of a pipeline) without its training summary, which holds the session.
+
+    In Spark 4.1 a session that has an ``Observation`` (the data tests use them) cannot be serialised, and with it no
+    model that still has its summary.
+    """
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    if getattr(last, "hasSummary", False):
+        last._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
 
 
 # ---- L11/L12 models ------------------------------------------------------------------------
@@ -196,8 +210,8 @@ def train_default_models(features: DataFrame, numeric: list[str], categorical: l
     for r in list(results):
         if r.metrics["auc_roc"] > guard_auc:
             # noise goes on the raw numerics, so this candidate fits its own preprocessing
-            model = Pipeline(stages=preprocessing_stages(numeric, categorical) + [forest(50, 4)]).fit(
-                _noisy(train, numeric))
+            model = without_summary(Pipeline(stages=preprocessing_stages(numeric, categorical) + [forest(50, 4)]).fit(
+                _noisy(train, numeric)))
             results.append(Trained(r.name + "_reduced", model, evaluate(model.transform(test)),
                                    {"n_estimators": 50, "max_depth": 4, "noise": 0.05}))
     results.sort(key=lambda t: t.metrics["f1_score"], reverse=True)
@@ -215,7 +229,7 @@ def train_alert_model(features: DataFrame, numeric: list[str], categorical: list
     weights = balanced_weights(train, label_col)
     train = with_weights(train, label_col, weights).persist()
     test = with_weights(test, label_col, weights).persist()
-    model = Pipeline(stages=preprocessing_stages(numeric, categorical) + [forest(100, 8)]).fit(train)
+    model = without_summary(Pipeline(stages=preprocessing_stages(numeric, categorical) + [forest(100, 8)]).fit(train))
     params = {"n_estimators": 100, "max_depth": 8, "class_weight": "balanced", "random_state": SEED}
     out = Trained("RandomForest", model, evaluate(model.transform(test)), params)
     train.unpersist()
@@ -304,18 +318,18 @@ def log_run(spark: SparkSession, runs_path: str, run_name: str, params: dict, me
     return run_id
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def register_version(spark: SparkSession, versions_path: str, name: str, model_path: str, run_id: str) -> int:
-    """Append ``(name, max(version)+1, path, run_id)`` to ``ml_model_versions``."""
+    """Append ``(name, version, path, run_id)`` to ``ml_model_versions``.
+
+    The number is the next one above all recorded and claimed ones of ``name``; it is claimed by creating a file
+    exclusively, so that concurrent jobs get different numbers.
+    """
     prev = 0
     if path_exists(spark, versions_path):  # a table that cannot be read is an error, not a first version
         prev = (spark.read.parquet(versions_path).where(F.col("name") == name)
                 .agg(F.max("version")).first()[0]) or 0
-    version = int(prev) + 1
+    folder = hashlib.sha256(name.encode()).hexdigest()[:16]
+    version = claim_number(spark, f"{versions_path.rstrip('/')}_claims/{folder}", int(prev))
     spark.createDataFrame([(name, version, model_path, run_id)],
                           "name string, version int, model_path string, run_id string") \
         .write.mode("append").parquet(versions_path)

@@ -7,19 +7,25 @@ Failure counts follow the usual semantics of these four tests:
 * ``accepted_values`` — distinct non-null values outside the accepted list;
 * ``relationships``   — non-null child keys without a parent row.
 
-Per model, every ``not_null`` and ``accepted_values`` check runs in **one** aggregate pass
-(the accepted-value distincts are over low-cardinality columns, so partial aggregation keeps
-the shuffle tiny).  ``unique`` is a grouped count with map-side combine; ``relationships`` a
-left-anti join.  The result is a DataFrame ``(layer, model, column_name, test, failures)``.
-The checks are written as Spark SQL over temporary views: one statement per run.
+A model's ``not_null`` and ``accepted_values`` tests are metrics that are observed while its rows pass by (``watch``): of
+the write of a table, or, for a view, of the pass that looks for repeated keys.  They cost no scan of their own.
+
+``unique`` counts 64-bit hashes of the keys, so the shuffle carries 8 bytes a row whatever the key is.  Equal keys have
+equal hashes: without a repeated hash the test passes.  Otherwise the keys with repeated hashes, and only these, are
+counted themselves.  ``relationships`` counts the child's keys first and joins the distinct ones.
+
+Observed are plain row counts, which say for certain whether there are offending rows (a stage that is run again after a
+lost executor can count rows twice); only a column that has some is read again, for their exact number or their values.
+The result is a DataFrame ``(layer, model, column_name, test, failures)`` with one row per test.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.sources import schemas as S
@@ -140,85 +146,101 @@ def count_checks(catalogue: dict[str, ModelTests] = CATALOGUE) -> int:
                for t in catalogue.values())
 
 
-def _q(name: str) -> str:
-    return f"`{name}`"
-
-
-def _sql_list(values) -> str:
-    return ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
-
-
-def checks_sql(model: str, view: str, tests: ModelTests, parent_views: dict[str, str]) -> str:
-    """Spark SQL for one model's checks: one aggregate pass (not_null + accepted_values, unpivoted
-    with ``stack``), a grouped count per unique key, an anti-join per relationship.
-
-    The accepted-value columns are low-cardinality enums: the pass first groups by them (partial
-    aggregation leaves a few dozen rows per task) and counts distinct offending values on that
-    small table, so no ``Expand`` multiplies the fact rows."""
-    parts = []
-    items = []
-    head = f"'{tests.layer}' AS layer, '{model}' AS model"
-    av_cols = list(tests.accepted_values)
-    inner = [f"count_if({_q(col)} IS NULL) AS _nn{i}" for i, col in enumerate(tests.not_null)]
-    outer = [f"coalesce(sum(_nn{i}), 0) AS _nn{i}" for i in range(len(tests.not_null))]
-    items += [(col, "not_null", f"_nn{i}") for i, col in enumerate(tests.not_null)]
-    for i, (col, values) in enumerate(tests.accepted_values.items()):
-        c = _q(col)
-        outer.append(f"count(DISTINCT CASE WHEN {c} IS NOT NULL AND {c} NOT IN ({_sql_list(values)}) THEN {c} END)"
-                     f" AS _av{i}")
-        items.append((col, "accepted_values", f"_av{i}"))
-    if items:
-        if av_cols:
-            keys = ", ".join(_q(c) for c in av_cols)
-            source = f"(SELECT {keys}{''.join(', ' + a for a in inner)} FROM {view} GROUP BY {keys})"
-        else:
-            outer = [f"count_if({_q(col)} IS NULL) AS _nn{i}" for i, col in enumerate(tests.not_null)]
-            source = view
-        stack = ", ".join(f"'{col}', '{test}', CAST({alias} AS BIGINT)" for col, test, alias in items)
-        parts.append(f"SELECT {head}, column_name, test, failures FROM "
-                     f"(SELECT stack({len(items)}, {stack}) AS (column_name, test, failures) "
-                     f"FROM (SELECT {', '.join(outer)} FROM {source}))")
-    for col in tests.unique:
-        c = _q(col)
-        parts.append(f"SELECT {head}, '{col}' AS column_name, 'unique' AS test, count(*) AS failures FROM "
-                     f"(SELECT {c} FROM {view} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
-    for col, (parent, key) in tests.relationships.items():
-        if parent not in parent_views:
-            raise KeyError(f"relationships test on {model}.{col} needs model '{parent}'")
-        c = _q(col)
-        parts.append(f"SELECT {head}, '{col}' AS column_name, 'relationships' AS test, count(*) AS failures "
-                     f"FROM {view} ch LEFT ANTI JOIN {parent_views[parent]} pa ON ch.{c} = pa.{_q(key)} "
-                     f"WHERE ch.{c} IS NOT NULL")
-    return "\nUNION ALL\n".join(parts)
+def _offending(col: str, values: tuple[str, ...]) -> Column:
+    return F.col(col).isNotNull() & ~F.col(col).isin(list(values))
+
+
+def repeated_keys(df: DataFrame, col: str, hash_of: Callable[[Column], Column] = F.xxhash64) -> int:
+    """Number of distinct non-null values of ``col`` that occur more than once."""
+    keys = df.select(F.col(col).alias("_key"), hash_of(F.col(col)).alias("_hash")).where("_key IS NOT NULL")
+    twice = keys.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    # most often none; a few are enough to know that the keys themselves must be counted
+    if not twice.take(1):
+        return 0
+    return keys.join(twice, "_hash", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").count()
+
+
+def orphans(child: DataFrame, col: str, parent: DataFrame, key: str) -> int:
+    """Rows of ``child`` whose non-null ``col`` has no row in ``parent``."""
+    keys = child.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    lost = keys.join(parent.select(F.col(key).alias("_parent")), F.col("_key") == F.col("_parent"), "left_anti")
+    return lost.agg(F.sum("_n")).first()[0] or 0
+
+
+class Watch:
+    """The tests of one model, counted while ``frame`` is computed by an action."""
+
+    def __init__(self, model: str, df: DataFrame, tests: ModelTests):
+        self.model, self.tests, self._counts = model, tests, None
+        counts = [F.count_if(F.col(c).isNull()).alias(f"nn{i}") for i, c in enumerate(tests.not_null)]
+        counts += [F.count_if(_offending(c, v)).alias(f"av{i}") for i, (c, v) in enumerate(tests.accepted_values.items())]
+        self._observation = Observation() if counts else None
+        self.frame = df.observe(self._observation, *counts) if counts else df
+
+    def results(self, stored: DataFrame, parents: dict[str, DataFrame], passed: bool = True) -> list[tuple]:
+        """(layer, model, column_name, test, failures) of all tests.
+
+        ``stored`` holds the rows that the action on ``frame`` saw.  ``passed``: that action is over; otherwise the pass
+        for repeated keys is it (``stored`` is ``frame`` then).
+        """
+        t = self.tests
+        unique = {c: repeated_keys(self.frame if not passed and i == 0 else stored, c) for i, c in enumerate(t.unique)}
+        if not passed and not unique:
+            self.frame.agg(F.count(F.lit(1))).first()
+        counts = self._observation.get if self._observation else {}
+        rows = [(c, "not_null", counts[f"nn{i}"] and stored.where(F.col(c).isNull()).count())
+                for i, c in enumerate(t.not_null)]
+        for i, (c, values) in enumerate(t.accepted_values.items()):
+            n = counts[f"av{i}"] and stored.where(_offending(c, values)).select(c).distinct().count()
+            rows.append((c, "accepted_values", n))
+        rows += [(c, "unique", n) for c, n in unique.items()]
+        for c, (parent, key) in t.relationships.items():
+            if parent not in parents:
+                raise KeyError(f"relationships test on {self.model}.{c} needs model '{parent}'")
+            rows.append((c, "relationships", orphans(stored, c, parents[parent], key)))
+        return [(t.layer, self.model, c, test, int(n)) for c, test, n in rows]
+
+
+def watch(model: str, df: DataFrame, catalogue: dict[str, ModelTests] = CATALOGUE) -> Watch:
+    return Watch(model, df, catalogue[model])
+
+
+def _collected(spark: SparkSession, jobs: list[Callable[[], list[tuple]]], parallelism: int) -> DataFrame:
+    """The results of the models' tests, whose small jobs are submitted together."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = [row for found in pool.map(lambda job: job(), jobs) for row in found]
+    return spark.createDataFrame(rows, "layer string, model string, column_name string, test string, failures long")
+
+
+def check_watched(watches: dict[str, Watch], stored: dict[str, DataFrame], parents: dict[str, DataFrame] | None = None,
+                  parallelism: int = 6) -> DataFrame:
+    """The tests of tables that were written through their ``Watch``; ``stored`` are the written tables."""
+    if not watches:
+        raise ValueError("no model to check")
+    frames = {**(parents or {}), **stored}
+    jobs = [lambda n=n, w=w: w.results(stored[n], frames) for n, w in watches.items()]
+    return _collected(next(iter(stored.values())).sparkSession, jobs, parallelism)
 
 
 def run_checks(models: dict[str, DataFrame], catalogue: dict[str, ModelTests] = CATALOGUE,
-               parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All checks of the models present in ``models`` as one DataFrame
-    ``(layer, model, column_name, test, failures)``.
-
-    The checks are rendered as one Spark SQL statement over temporary views, so the whole
-    check plan is built and analysed once inside the JVM.
-    """
+               parents: dict[str, DataFrame] | None = None, parallelism: int = 6) -> DataFrame:
+    """All tests of the models present in ``models`` as one DataFrame; each model is read once, for its keys."""
     frames = {**(parents or {}), **models}
     present = [m for m in catalogue if m in models]
     if not present:
         raise ValueError("no model to check")
-    spark = models[present[0]].sparkSession
-    tag = uuid.uuid4().hex[:12]
-    views = {}
-    needed = set(present) | {p for m in present for p, _ in catalogue[m].relationships.values()}
-    for m in needed:
-        if m not in frames:
-            raise KeyError(f"relationships test needs model '{m}'")
-        views[m] = f"dq_{tag}_{m}"
-        frames[m].createOrReplaceTempView(views[m])
-    try:
-        sql = "\nUNION ALL\n".join(checks_sql(m, views[m], catalogue[m], views) for m in present)
-        return spark.sql(sql)
-    finally:
-        for v in views.values():
-            spark.catalog.dropTempView(v)
+    for m in present:
+        for parent, _ in catalogue[m].relationships.values():
+            if parent not in frames:
+                raise KeyError(f"relationships test needs model '{parent}'")
+
+    def job(m: str) -> list[tuple]:
+        tested = catalogue[m]
+        columns = dict.fromkeys([*tested.not_null, *tested.unique, *tested.accepted_values, *tested.relationships])
+        df = models[m].select(*columns)
+        return Watch(m, df, tested).results(df, frames, passed=False)
+
+    return _collected(models[present[0]].sparkSession, [lambda m=m: job(m) for m in present], parallelism)
 
 
 def gate(results: DataFrame, layer: str) -> None:

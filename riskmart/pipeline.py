@@ -1,10 +1,13 @@
 """The layered batch run.
 
 ``run`` = validate sources -> staging views (tested) -> intermediate tables (written, tested)
--> marts (written, tested) -> run summaries.  Each materialised layer is written as Parquet and
-read back, which both persists it and cuts the lineage, so the next layer starts from files
-and a lost executor only recomputes from the last written layer.  A layer whose data tests
+-> marts (written, tested) -> run summaries -> publication.  Each materialised layer is written as
+Parquet and read back, which both persists it and cuts the lineage, so the next layer starts from
+files and a lost executor only recomputes from the last written layer.  A layer whose data tests
 fail raises ``QualityGateError`` before anything downstream runs.
+
+A run writes a version of its own (``riskmart.snapshots``); readers see it only after all tests
+have passed, and the former version until then.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart import snapshots
 from riskmart.operators import quality
 from riskmart.plans import intermediate, marts, staging, summaries
 from riskmart.session import checkpoint_table
@@ -49,6 +53,8 @@ class RunResult:
     timings: dict[str, float] = field(default_factory=dict)
     checks: DataFrame | None = None
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    version: int | None = None
+    path: str | None = None  # the version's folder
 
 
 _LOCK = threading.Lock()
@@ -81,12 +87,15 @@ def _tested(checks: DataFrame, layer: str) -> DataFrame:
 def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None = None,
         src_dir: str | None = None, as_of: dt.date | None = None, gate: bool = True,
         retries: int = 1, parallelism: int = 5) -> RunResult:
-    """Build every layer under ``out_dir`` (``staging`` views, ``intermediate`` and ``marts`` tables).
+    """Build every layer (``staging`` views, ``intermediate`` and ``marts`` tables) as a new version in ``out_dir``.
 
-    Pass either native ``src_dir`` Parquet files or ready ``sources`` DataFrames.
+    Pass either native ``src_dir`` Parquet files or ready ``sources`` DataFrames.  Read the tables with
+    ``snapshots.read_published``.
     """
     res = RunResult()
-    out = out_dir.rstrip("/")
+    root = out_dir.rstrip("/")
+    res.version = snapshots.begin(spark, root)
+    out = res.path = snapshots.version_path(root, res.version)
     if sources is None:
         if src_dir is None:
             raise ValueError("give sources or src_dir")
@@ -107,7 +116,7 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
     stg_audited = {n: with_audit(df, f"{n[4:]}.parquet") for n, df in stg.items()}
     checks = []
     if gate:
-        stg_checks = attempt("test_staging", lambda: _tested(quality.run_checks(stg_audited).cache(), "staging"))
+        stg_checks = attempt("test_staging", lambda: _tested(quality.run_checks(stg_audited), "staging"))
         checks.append(stg_checks)
 
     # The credit profile and the acquisition model share one per-customer pass over contracts
@@ -160,22 +169,31 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
             stg["stg_payments"], stg["stg_contracts"], shared_months()),
         "int_acquisition_quality": acquisition,
     }
-    inter_schemas: dict = {}
+    schemas: dict = {}
+    watches: dict[str, quality.Watch] = {}
+
+    def build(layer, n, builder):
+        df = with_audit(builder())
+        schemas[n] = df.schema
+        watches[n] = quality.watch(n, df)  # most data tests are counted while the table is written
+        write_table(watches[n].frame, f"{out}/{layer}/{n}")
+
+    def read_back(layer, names):
+        return {n: spark.read.schema(schemas[n]).parquet(f"{out}/{layer}/{n}") for n in names}
 
-    def build_inter(n):
-        df = with_audit(inter_builders[n]())
-        inter_schemas[n] = df.schema
-        write_table(df, f"{out}/intermediate/{n}")
+    def tested(layer, tables):
+        checked = quality.check_watched({n: watches[n] for n in tables}, tables, {**stg, **tables})
+        return _tested(checked, layer)
 
     try:
-        _parallel({n: (lambda n=n: attempt(n, lambda: build_inter(n))) for n in INTERMEDIATE}, parallelism)
+        _parallel({n: (lambda n=n: attempt(n, lambda: build("intermediate", n, inter_builders[n])))
+                   for n in INTERMEDIATE}, parallelism)
     finally:
         for df in facts.values():
             df.unpersist()
-    inter = _timed(res, "read_intermediate", lambda: {
-        n: spark.read.schema(inter_schemas[n]).parquet(f"{out}/intermediate/{n}") for n in INTERMEDIATE})
+    inter = _timed(res, "read_intermediate", lambda: read_back("intermediate", INTERMEDIATE))
     if gate:
-        int_checks = attempt("test_intermediate", lambda: _tested(quality.run_checks(inter).cache(), "intermediate"))
+        int_checks = attempt("test_intermediate", lambda: tested("intermediate", inter))
         checks.append(int_checks)
 
     inter_clean = {n: df.drop("_loaded_at") for n, df in inter.items()}
@@ -190,18 +208,10 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
         "fct_collection_efficiency": lambda: marts.fct_collection_efficiency(stg["stg_collections"]),
         "fct_risk_segments": lambda: marts.fct_risk_segments(stg["stg_payments"], stg["stg_customers"], as_of),
     }
-    schemas: dict = {}
-
-    def build_mart(n):
-        df = with_audit(builders[n]())
-        schemas[n] = df.schema
-        write_table(df, f"{out}/marts/{n}")
-
-    _parallel({n: (lambda n=n: attempt(n, lambda: build_mart(n))) for n in MARTS}, parallelism)
-    mart_tables = _timed(res, "read_marts", lambda: {
-        n: spark.read.schema(schemas[n]).parquet(f"{out}/marts/{n}") for n in MARTS})
+    _parallel({n: (lambda n=n: attempt(n, lambda: build("marts", n, builders[n]))) for n in MARTS}, parallelism)
+    mart_tables = _timed(res, "read_marts", lambda: read_back("marts", MARTS))
     if gate:
-        mart_checks = attempt("test_marts", lambda: _tested(quality.run_checks(mart_tables).cache(), "marts"))
+        mart_checks = attempt("test_marts", lambda: tested("marts", mart_tables))
         checks.append(mart_checks)
 
     report = summaries.quality_report(stg["stg_customers"], stg["stg_payments"], stg["stg_contracts"])
@@ -213,4 +223,5 @@ def run(spark: SparkSession, out_dir: str, sources: dict[str, DataFrame] | None
             allc = allc.unionByName(c)
         res.checks = allc
     res.tables = {**stg, **inter, **mart_tables}
+    _timed(res, "publish", lambda: snapshots.publish(spark, root, res.version))
     return res

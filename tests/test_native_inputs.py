@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from riskmart import pipeline
+from riskmart.snapshots import read_published
 from riskmart.sources import fixtures
 from riskmart.sources.readers import WrongSourceError, read_sources
 from riskmart.sources.schemas import column_names
@@ -25,16 +26,16 @@ def test_pipeline_from_native_files_with_string_ids(spark):
     out = tempfile.mkdtemp(prefix="riskmart-native-out-")
     res = pipeline.run(spark, out, src_dir=src, as_of=fixtures.AS_OF)
     assert all(r["failures"] == 0 for r in res.checks.collect())
-    score = spark.read.parquet(f"{out}/marts/fct_credit_score")
+    score = read_published(spark, out, "marts", "fct_credit_score")
     assert dict(score.dtypes)["customer_id"] == "string"
     # scores do not depend on the id type (percentile ranks ignore the tie-break key)
     ref_out = tempfile.mkdtemp(prefix="riskmart-native-ref-")
     pipeline.run(spark, ref_out, sources=fixtures.fixture_sources(spark, SF001), as_of=fixtures.AS_OF, gate=False)
-    ref = spark.read.parquet(f"{ref_out}/marts/fct_credit_score").select(
+    ref = read_published(spark, ref_out, "marts", "fct_credit_score").select(
         F.concat(F.lit("c-"), F.col("customer_id").cast("string")).alias("customer_id"), "credit_score", "risk_tier")
     diff = score.select("customer_id", "credit_score", "risk_tier").exceptAll(ref)
     assert diff.count() == 0 and score.count() == ref.count()
-    segs = spark.read.parquet(f"{out}/marts/fct_risk_segments")
+    segs = read_published(spark, out, "marts", "fct_risk_segments")
     assert segs.select("r_score", "f_score", "m_score").agg(F.min("r_score"), F.max("m_score")).first() == (1, 4)
 
 
