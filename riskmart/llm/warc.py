@@ -1,15 +1,17 @@
 """Content-addressed WARC archive.
 
 An archive is two Parquet tables in a shared folder.  ``payloads`` holds the bytes of each distinct payload once, under
-its SHA-256; ``records`` holds the exact header text of every record (WARC header and, for responses, HTTP header) and
-the digest of its payload.  Records are restored by joining the two; a payload whose bytes do not give its digest again
+its SHA-256; ``records`` holds the exact header text of every record (WARC header and, for responses, HTTP header), the
+digest of its payload, and the ids of the page and of the one it refers to, which are never read out of the header.  Records are restored by joining the two; a payload whose bytes do not give its digest again
 makes the read fail.
 
 Of the records with equal payloads of at least ``min_bytes`` bytes that with the largest page_id is the response and the
 others are revisits that refer to it; below ``min_bytes`` every record is a response.
 
 Defined results: null html: an empty payload; null page_id: the smallest; among rows that repeat the largest page_id one
-is the response; null url: an empty target URI; an empty table gives an empty archive; other columns are ignored.
+is the response; null url: an empty target URI; a url with control characters (line breaks among them) is percent-encoded
+in the header, so that it cannot pose as another header line, and kept beside it as it was; texts of any length are stored
+whole; an empty table gives an empty archive; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +47,18 @@ def _lines(*pairs: tuple[str, Column]) -> Column:
     return F.concat(*[x for name, value in pairs for x in (F.lit(f"{name}: "), value, F.lit(CRLF))])
 
 
+#: Characters that have no place in a header line.
+CONTROLS = [chr(i) for i in (*range(32), 127)]
+
+
+def header_uri(url: Column) -> Column:
+    """``url`` with its control characters percent-encoded."""
+    coded = url
+    for c in CONTROLS:
+        coded = F.replace(coded, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.when(F.translate(url, "".join(CONTROLS), "") == url, url).otherwise(coded)
+
+
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
     """Write ``pages`` (page_id, url, html) as an archive below ``path``."""
     html = text_of("html")
@@ -57,13 +71,13 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
         base32_sha1(F.col("payload")).alias("sha1"), F.monotonically_increasing_id().alias("rid")), "warc")
     first = slim.groupBy("sha256").agg(
         F.max(F.struct("page_id", "rid")).alias("top"), F.count(F.lit(1)).alias("n"))
-    r = slim.join(first, "sha256")
+    r = slim.join(first, "sha256").withColumn("uri", header_uri(F.col("url")))
     is_revisit = (F.col("bytes") >= min_bytes) & (F.col("rid") != F.col("top.rid"))
     own, other = urn(F.col("page_id"), F.col("rid")), urn(F.col("top.page_id"), F.col("top.rid"))
     length = F.col("bytes").cast("string")
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
                     length, F.lit(CRLF * 2))
-    shared = [("WARC-Record-ID", own), ("WARC-Date", F.lit(date)), ("WARC-Target-URI", F.col("url")),
+    shared = [("WARC-Record-ID", own), ("WARC-Date", F.lit(date)), ("WARC-Target-URI", F.col("uri")),
               ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
               ("X-Page-ID", F.coalesce(F.col("page_id").cast("string"), F.lit("")))]
     response = F.concat(F.lit(f"WARC/1.1{CRLF}WARC-Type: response{CRLF}"), _lines(
@@ -74,8 +88,10 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
         ("WARC-Refers-To", other),
         ("X-Refers-To-Page-ID", F.coalesce(F.col("top.page_id").cast("string"), F.lit(""))),
         ("Content-Length", F.lit("0"))), F.lit(CRLF))
-    r.select(F.when(is_revisit, revisit).otherwise(response).alias("header"), "sha256") \
-        .write.parquet(f"{path}/records")
+    r.select(F.when(is_revisit, revisit).otherwise(response).alias("header"), "sha256",
+             F.col("page_id").cast("long").alias("page_id"),
+             F.when(is_revisit, F.col("top.page_id").cast("long")).alias("refers_to"),
+             F.when(F.col("url") != F.col("uri"), F.col("url")).alias("raw_url")).write.parquet(f"{path}/records")
 
 
 def _verified(payloads: DataFrame) -> DataFrame:
@@ -89,10 +105,6 @@ def _header(name: str) -> Column:
     return F.regexp_extract("header", rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
 
 
-def _number(text: Column) -> Column:
-    return F.when(text != "", text).cast("long")
-
-
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The index of an archive from its headers and verified payloads: page_id, url, record_id, record_type, refers_to,
     payload_bytes, payload_digest."""
@@ -105,9 +117,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     checked = F.when(same, F.col("payload_digest")).otherwise(
         F.raise_error(F.lit("a record's payload is missing or not the one in its header")))
     return r.select(
-        _number(_header("X-Page-ID")).alias("page_id"), _header("WARC-Target-URI").alias("url"),
-        _header("WARC-Record-ID").alias("record_id"), _header("WARC-Type").alias("record_type"),
-        _number(_header("X-Refers-To-Page-ID")).alias("refers_to"), "payload_bytes",
+        "page_id", F.coalesce(F.col("raw_url"), _header("WARC-Target-URI")).alias("url"),
+        _header("WARC-Record-ID").alias("record_id"), _header("WARC-Type").alias("record_type"), "refers_to", "payload_bytes",
         checked.alias("payload_digest"))
 
 
@@ -116,7 +127,7 @@ def restore(spark: SparkSession, path: str) -> DataFrame:
     records = spark.read.parquet(f"{path}/records")
     blobs = _verified(spark.read.parquet(f"{path}/payloads"))
     return records.join(blobs, "sha256").select(
-        _number(_header("X-Page-ID")).alias("page_id"), _header("WARC-Type").alias("record_type"), "header", "payload")
+        "page_id", _header("WARC-Type").alias("record_type"), "header", "payload")
 
 
 def export_warc(spark: SparkSession, path: str, out: str) -> None:

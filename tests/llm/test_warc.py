@@ -90,3 +90,24 @@ def test_repeated_rows_have_one_response(spark):
     rows = warc.archive(pages).collect()
     assert sorted(r["record_type"] for r in rows) == ["response", "response", "revisit", "revisit"]
     assert {r["refers_to"] for r in rows if r["record_type"] == "revisit"} == {1}
+
+
+def test_urls_cannot_pose_as_header_lines(spark, tmp_path):
+    urls = ["http://a\r\nX-Page-ID: 999\r\nb", "http://a\nb", "\r\n\r\n", "http://x/\x00\x7f\t", "http://plain/%0A", "",
+            "a\r\nWARC-Type: revisit\r\nWARC-Payload-Digest: sha1:AAAA\r\n"]
+    rows = [(i, u, f"<p>{i % 3}</p>") for i, u in enumerate(urls)] + [(50, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = f"file://{tmp_path}/spoof"
+    warc.write_archive(pages, path)
+    got = {r["page_id"]: r for r in warc.read_records(spark, path).collect()}
+    assert {i: r["url"] for i, r in got.items()} == {**dict(enumerate(urls)), 50: ""}
+    assert sorted(got) == [*range(len(urls)), 50]
+    want = {i: max(j for j in range(len(urls)) if j % 3 == i % 3) for i in range(len(urls))}
+    for i, top in want.items():
+        assert got[i]["record_type"] == ("response" if i == top else "revisit")
+        assert got[i]["refers_to"] == (None if i == top else top)
+    back = {r["page_id"]: r for r in warc.restore(spark, path).collect()}
+    assert {i: bytes(r["payload"]).decode() for i, r in back.items()} == {i: h or "" for i, _, h in rows}
+    for r in back.values():
+        head = r["header"].split("\r\n\r\n")[0].split("\r\n")
+        assert len([x for x in head if x.startswith("X-Page-ID: ")]) == 1 and not any("\n" in x for x in head)
