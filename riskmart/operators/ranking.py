@@ -25,7 +25,7 @@ from riskmart.session import checkpoint_table, ensure_checkpoint_dir
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id = (partition << 33) + local index
 
 
-def _range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """The globally sorted rows as a table, with ``_pid`` (range) and ``_lrn`` (place in it, from 0)."""
     ensure_checkpoint_dir(df.sparkSession)
     gid = F.monotonically_increasing_id()
@@ -47,7 +47,7 @@ def dist_row_number(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
     ``order`` must be a total order (end it with a unique key).
     """
-    ranked = _range_sorted(df, order)
+    ranked = range_sorted(df, order)
     return (ranked.join(_offsets(ranked, F.lit(1)), "_pid")
             .withColumn("_rn", F.col("_off") + F.col("_lrn") + 1)
             .drop("_pid", "_lrn", "_off"))
@@ -62,7 +62,7 @@ def dist_percent_rank(df: DataFrame, value_col: str, out_col: str, ascending: bo
     v = F.col(value_col)
     by_value = v.asc_nulls_last() if ascending else v.desc_nulls_last()
     second = F.col(id_col) if id_col else F.xxhash64(*df.columns)
-    ranked = _range_sorted(df.withColumn("_second", second), [by_value, F.col("_second").asc()]).drop("_second")
+    ranked = range_sorted(df.withColumn("_second", second), [by_value, F.col("_second").asc()]).drop("_second")
     # place in its range, from 0, of the first row with this value
     ranked = ranked.withColumn("_start", F.rank().over(Window.partitionBy("_pid").orderBy(by_value)) - 1)
     ranges = ranked.groupBy("_pid").agg(

@@ -187,8 +187,8 @@ def _report_queries() -> dict[str, Callable[[Layers], DataFrame]]:
 
 
 def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Training/scoring steps.  No SQL oracle exists for them (rows-only check)."""
-    from riskmart.learn import train
+    """Training/scoring steps.  Trained models have no SQL oracle (rows-only check)."""
+    from riskmart.learn import metrics, train
 
     num, cat = features.DEFAULT_NUMERIC, features.CATEGORICAL
     anum = features.ALERT_NUMERIC
@@ -202,6 +202,13 @@ def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         weights = train.balanced_weights(f, "target")
         return spark.createDataFrame([(k, float(v)) for k, v in sorted(weights.items())], "target int, weight double")
 
+    def feature_metrics(spark, sf_dir):
+        return metrics.feature_metrics(_default_features(layers(spark, sf_dir)), num, "target")
+
+    def scaler(spark, sf_dir):
+        f = train.stratified_split(_default_features(layers(spark, sf_dir)), "target").where("split = 'train'")
+        return metrics.scaler_statistics(f, num)
+
     def model_metrics(spark, sf_dir):
         results, _ = layers(spark, sf_dir).default_models
         return train.metrics_frame(spark, results)
@@ -224,7 +231,8 @@ def _ml_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trained, _ = l.alert_model
         return train.score(trained.model, _alert_features(l))
 
-    return {"ml_split": split, "ml_class_weights": class_weights, "model_metrics": model_metrics, "ml_linear_attribution": linear_attr,
+    return {"ml_split": split, "ml_class_weights": class_weights, "ml_feature_metrics": feature_metrics,
+            "ml_scaler_statistics": scaler, "model_metrics": model_metrics, "ml_linear_attribution": linear_attr,
             "ml_alert_metrics": alert_metrics, "feature_importance": importance, "ml_batch_scores": batch_scores}
 
 
