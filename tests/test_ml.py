@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from driver_data import SF001, SF01
 from riskmart.functions import dec_sum, register_sql_functions, wide_sum
 from riskmart.learn import jobs, train
 from riskmart.plans import features

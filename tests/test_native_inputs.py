@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from driver_data import SF001
 from riskmart import pipeline
 from riskmart.snapshots import read_published
 from riskmart.sources import fixtures

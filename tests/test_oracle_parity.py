@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF001
+from driver_data import SF001
 from riskmart import registry
 from riskmart.oracle import reports_sql
 

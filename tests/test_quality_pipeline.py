@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from driver_data import SF001
 from riskmart import pipeline, snapshots
 from riskmart.operators import quality
 from riskmart.plans import staging
