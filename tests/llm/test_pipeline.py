@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from llm_data import SF01, words
+from llm_data import SF001, words
 from riskmart.llm import mixing, packing, quality, secret_scan
 from riskmart.llm.common import table
 
@@ -14,11 +14,11 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
-    docs = table(spark, SF01, "documents")
+    docs = table(spark, SF001, "documents")
     out, folder = {"documents": docs}, tmp_path_factory.mktemp("stages")
     for name, stage in corpus_pipeline.STAGES:
         path = f"file://{folder}/{name}"
-        stage(spark, docs, SF01).write.parquet(path)
+        stage(spark, docs, SF001).write.parquet(path)
         docs = out[name] = spark.read.parquet(path)
     return out
 
@@ -55,8 +55,8 @@ def test_stages_in_order(stages):
 
 
 def test_decisions_take_effect(spark, stages):
-    judged = quality.judge(stages["documents"], table(spark, SF01, "labels"))
-    kept = {r["doc_id"] for r in judged.filter("kept").collect()}
+    judged = quality.judge(stages["documents"], table(spark, SF001, "labels"))
+    kept = {r["doc_id"] for r in judged.select("doc_id", "kept").collect() if r["kept"]}
     assert {r["doc_id"] for r in stages["quality_rules"].collect()} == kept
     texts = {r["doc_id"]: r["text"] for r in stages["quality_rules"].collect()}
     assert sorted(r["doc_id"] for r in stages["near_dedup"].collect()) == sorted(firsts_of_groups(texts, 80))
