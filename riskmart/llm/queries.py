@@ -55,7 +55,8 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return removed.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
 
 
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
