@@ -13,7 +13,7 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b: long); the component is its smallest node.
+    """(node, component) for every node of ``edges`` (a, b: of one orderable type); the component is its smallest node.
 
     Large-star and small-star steps in turn: every node hands its larger (then its smaller) neighbours over to the
     smallest one it knows, until the graph is a star around the smallest node of each component.  A step is an

@@ -89,12 +89,15 @@ class Shingler:
         return np.unique(_mixed(total).view(np.int64))
 
 
-def node_of(shingles: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
+def node_of(shingles: np.ndarray) -> str:
+    """128 bits: equal nodes are taken for equal sets."""
+    return xxhash.xxh3_128_hexdigest(shingles.tobytes())
 
 
 def row_key() -> Column:
-    return F.xxhash64("doc_id", text_of())
+    """128 bits of doc_id and text: equal keys are taken for equal rows."""
+    own = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("-" * 32))
+    return F.md5(F.concat(own, text_of()))
 
 
 def sketches(docs: DataFrame, k: int = K) -> DataFrame:
@@ -104,12 +107,12 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
         shingler = Shingler()
         for b in batches:
             sets = [shingler(t) for t in b["text"]]
-            node = pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64")
+            node = [node_of(s) if len(s) else None for s in sets]
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "node": node,
                                 "n": [len(s) for s in sets], "sketch": [s[:k] for s in sets]})
 
     made = docs.select(id_text(), row_key().alias("key"), text_of().alias("text")).mapInPandas(
-        make, "doc_id string, key long, node long, n long, sketch array<long>")
+        make, "doc_id string, key string, node string, n long, sketch array<long>")
     return id_back(made, docs)
 
 
@@ -124,7 +127,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     rows = docs.select(row_key().alias("key"), text_of().alias("text")).join(
         nodes.select("key").distinct(), "key", "left_semi")
-    return rows.mapInPandas(make, "node long, shingles array<long>").dropDuplicates(["node"])
+    return rows.mapInPandas(make, "node string, shingles array<long>").dropDuplicates(["node"])
 
 
 def run_lengths(n: int, percent: int) -> set[int]:

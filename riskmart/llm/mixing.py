@@ -104,10 +104,11 @@ def take(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row per copy, the text of the copy at the line cut to its words.
 
     All columns of ``docs`` stay; ``n_chars``, where there is one, follows the text.  Rows alike in every column are
-    interchangeable: one of them stands for all, and the copies find it by the hash of the row.
+    interchangeable: one of them stands for all, and the copies find it by the row's key: 128 bits of its text and 128 of
+    all columns.
     """
     cols = docs.columns
-    key = F.xxhash64(*cols)
+    key = F.concat_ws("-", F.md5(text_of()), F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols))
     mixed = mix(docs, key=key, **options).filter(~F.col("behind")).select(
         F.col("key").alias("_key"), F.col("size").alias("_size"), F.col("words").alias("_words"))
     rows = docs.select(key.alias("_key"), F.size(words(text_of())).cast("long").alias("_size"),
