@@ -20,84 +20,147 @@ table gives no rows; columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import BLANKS, id_back, id_text, text_of
+from riskmart.llm.common import BLANK_RUN, id_back, id_text, text_of
 from riskmart.session import checkpoint_table
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a Python worker remembers; beyond it, it keeps those that come again within as many new ones.
+BLANK = re.compile(BLANK_RUN)
+#: Words whose ids a Python worker remembers; beyond it, it keeps those that come again before as many others.
 WORD_MEMORY = 500_000
-#: Fixed value: a character that stands between words while unknown words are tokenised together.
-SEPARATOR = "|"
-
-
-class Known(dict):
-    """Ids by word, with the words of the time before: one of these that is used again comes over."""
-
-    def __init__(self, before: dict[str, bytes]):
-        super().__init__()
-        self.before = before
-
-    def __missing__(self, word: str) -> bytes:
-        found = self[word] = self.before[word]
-        return found
+#: Characters of text whose words are looked up together.
+CHUNK = 1 << 22
+#: Fixed value: how the tokenizer's vocabulary marks the ids that close a word.
+CLOSING = "</w>"
+#: Marks that end a word, and the letters after which the tokenizer always parts them from it.
+MARKS = ".,;:!?"
+LETTERS = frozenset(c for c in map(chr, range(0x100)) if c.isalpha() and (c < "\x80" or c >= "\xc0"))
+
+
+def chunks(texts: list[str]) -> Iterator[list[tuple[str, bool]]]:
+    """(part of a text, whether it is the last one) in lists of about CHUNK characters; texts are cut before blanks."""
+    held, size = [], 0
+    for text in texts:
+        at = 0
+        while at is not None:
+            blank = BLANK.search(text, at + CHUNK) if len(text) - at > CHUNK else None
+            end = blank.start() if blank else None
+            held.append((text[at:end], end is None))
+            size += len(held[-1][0])
+            at = end
+            if size >= CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 class WordTokenizer:
-    """Ids of texts as little-endian 32-bit bytes; the ids of a blank-separated word are looked up once.
+    """Ids of texts as little-endian 32-bit bytes.
 
-    The tokenizer splits at white space before anything else, so a text's ids are those of its words in turn.
+    The tokenizer splits at white space before anything else, and between a letter and the marks behind it, so a text's
+    ids are those of its words in turn, and a word's those of its stem and its closing marks.  The words of many texts
+    are numbered at once, each distinct word is looked up once, and the ids are put together by number.  Unknown stems
+    are tokenised many at a time.  In those of letters alone, each has exactly one id that closes a word; the others are
+    handed over apart, which costs more, and the tokenizer tells the stem of each id.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = Known({})
-        self.separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
-
-    def _learn(self, unknown: list[str]) -> None:
-        plain = [w for w in unknown if SEPARATOR not in w]
-        odd = [w for w in unknown if SEPARATOR in w]
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith(CLOSING)]] = True
+
+    def _batches(self, groups: list, inputs: list, **options) -> Iterator[tuple]:
+        for i in range(0, len(groups), 16):  # few at once: encodings are large
+            yield from zip(groups[i:i + 16], self.tokenizer.encode_batch(
+                inputs[i:i + 16], add_special_tokens=False, **options))
+
+    def _encode(self, stems: set[str]) -> dict[str, bytes]:
+        plain = [w for w in stems if w and LETTERS.issuperset(w)]
+        odd = list(stems.difference(plain))
+        out = {}
         groups = [plain[i:i + 512] for i in range(0, len(plain), 512)]
-        joined = self.tokenizer.encode_batch([f" {SEPARATOR} ".join(g) for g in groups], add_special_tokens=False)
-        for group, found in zip(groups, joined):
+        for group, found in self._batches(groups, list(map(" ".join, groups))):
             ids = np.array(found.ids, "<u4")
-            marks = np.flatnonzero(ids == self.separator[0])
-            if len(self.separator) != 1 or len(marks) != len(group) - 1:
+            ends = np.flatnonzero(self.closing[ids])
+            if len(ends) != len(group) or ends[-1] != len(ids) - 1:
                 odd += group
                 continue
             raw, at = ids.tobytes(), 0
-            for word, end in zip(group, [*marks.tolist(), len(ids)]):
-                self.known[word] = raw[4 * at:4 * end]
-                at = end + 1
-        for word, found in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+            for word, end in zip(group, (4 * ends + 4).tolist()):
+                out[word] = raw[at:end]
+                at = end
+        groups = [odd[i:i + 512] for i in range(0, len(odd), 512)]
+        for group, found in self._batches(groups, groups, is_pretokenized=True):
+            raw, at = np.array(found.ids, "<u4").tobytes(), 0
+            number = np.bincount(np.array(found.word_ids, np.int64), minlength=len(group))
+            for word, end in zip(group, (4 * np.cumsum(number)).tolist()):
+                out[word] = raw[at:end]
+                at = end
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        stems = [w.rstrip(MARKS) for w in words]
+        stems = [s if s[-1:] in LETTERS else w for w, s in zip(words, stems)]
+        # the tokenizer lower-cases; only plain words here, so that no special token is met
+        lower = [s.lower() if s.isascii() and s.isalpha() else s for s in stems]
+        ends = [w[len(s):] for w, s in zip(words, stems)]
+        ids = self._encode({*lower, *ends})
+        self.known.update(zip(words, [ids[s] + ids[e] if e else ids[s] for s, e in zip(lower, ends)]))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        if len(self.known) > WORD_MEMORY:
+            self.before, self.known = self.known, {}
+        known = self.known
+        found = list(map(known.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        again = {w: self.before[w] for w in (words[i] for i in new) if w in self.before}
+        known.update(again)
+        unknown = [w for w in (words[i] for i in new) if w not in again]
+        for i in range(0, len(unknown), 1 << 17):
+            self._learn(unknown[i:i + (1 << 17)])
+        for i in new:
+            found[i] = known[words[i]]
+        return found
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 64):
-            split = []
-            for text in texts[i:i + 64]:
-                for blank in BLANKS[1:]:
-                    text = text.replace(blank, " ")
-                split.append(text.split(" "))
-            if len(self.known) > WORD_MEMORY:
-                self.known.before = {}
-                self.known = Known(self.known)
-            known, before = self.known, self.known.before
-            unknown = [w for w in set().union(*split) if w not in known and w not in before]
-            if unknown:
-                self._learn(unknown)
-            for words in split:
-                yield b"".join(map(known.__getitem__, words))
+        held = []
+        for part in chunks(texts):
+            split = pc.ascii_split_whitespace(pa.array([t for t, _ in part], pa.large_string()))
+            coded = split.flatten().dictionary_encode()
+            found = self._words(coded.dictionary.to_pylist())
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            pool = np.frombuffer(b"".join(found), "<u4")
+            word = coded.indices.to_numpy()
+            after = np.cumsum(size[word])
+            total = int(after[-1]) if len(after) else 0
+            small = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+            n = size.astype(small)[word]
+            place = np.arange(total, dtype=small)
+            place += np.repeat((np.cumsum(size) - size).astype(small)[word] - (after.astype(small) - n), n)
+            ids = pool[place]
+            bounds = np.r_[0, after][split.offsets.to_numpy()]
+            for (_, last), a, b in zip(part, bounds[:-1].tolist(), bounds[1:].tolist()):
+                held.append(ids[a:b].tobytes())
+                if last:
+                    yield b"".join(held)
+                    held = []
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

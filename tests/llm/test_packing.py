@@ -114,6 +114,20 @@ def test_forgetting_words_changes_nothing(monkeypatch):
         assert np.frombuffer(raw, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_stems_marks_and_cut_texts_change_nothing(monkeypatch):
+    t = tokenizer()
+    rng = random.Random(2)
+    stems = ["Du", "été", "ß", "ŉ", "İ", "x1", "12", "it's", "a'", "", "|", "<|endoftext|>", "<|ENDOFTEXT|>", "ª", "e\u0301",
+             "中", "don't", "ÿ", "×", "µ"]
+    ends = ["", ".", ",,", "?!", "...", ";:", ".a", "'", "-"]
+    texts = [rng.choice(" \t\n").join(rng.choice(stems) + rng.choice(ends) for _ in range(40)) for _ in range(300)]
+    want = [t.encode(text, add_special_tokens=False).ids for text in texts]
+    for size in (packing.CHUNK, 50):  # 50: every text is cut
+        monkeypatch.setattr(packing, "CHUNK", size)
+        found = list(packing.WordTokenizer(packing.tokenizer_path())(texts))
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in found] == want
+
+
 @pytest.mark.parametrize("which", ["odd_docs", "no_docs"])
 def test_odd_rows(request, which):
     check(request.getfixturevalue(which), 64)
