@@ -2,16 +2,23 @@
 
 For each language an interpolated Kneser-Ney model over letters (lower case; everything between letters is one blank)
 is counted from the labelled documents.  Spark counts the character n-grams and joins counts, contexts and lower orders
-to probabilities.  For scoring, the probabilities and context weights of each order are kept in arrays sorted by an
-invertible 64-bit hash of the n-gram, one column per language; a directory of the hash's first bits, at least four places
-for each n-gram, tells where to look.  So every n-gram has its own row, and the model grows with the distinct n-grams.
+to probabilities; the model stays a set of tables and is never collected or broadcast.
+
+For scoring, documents are put into chunks of a bounded number of characters.  Each chunk asks for its distinct n-grams
+of the highest order; joins with the model tables give each distinct n-gram of the corpus the logarithms of its
+probability in all languages; and these go back to the chunks that asked.  There they stand in an array sorted by an
+invertible 64-bit hash of the n-gram, one column per language, with a directory of the hash's first bits that tells where
+to look.  A task holds one chunk: its texts and a row per distinct n-gram in them, whatever the size of the model.  A
+document longer than a chunk is a chunk of its own.
 
 A document gets the language of the lowest cross-entropy per character over its whole text.  ``score`` compares the
 languages, as the posterior after at most ``evidence`` characters; ``rejected`` tells that the cross-entropy is above
 what all but ``reject`` of the calibration documents of that language have.
 
-Models are counted on the remainders 0 and 1 of crc32(doc_id as text) mod 4, limits are calibrated on 3, and 2 is held
-out.  A prediction sees the text alone.
+Two models stand side by side.  The trial model is counted on the remainders 0 and 1 of crc32(doc_id as text) mod 4, and
+the limits are calibrated with it on 3; the final model, which predicts, is counted on 0, 1 and 3; 2 is held out.  So a
+language that only remainder 3 has can be predicted; it has no limit, and its documents count as rejected.  A prediction
+sees the text alone.
 
 Defined results: a null text and one without letters are ``und`` with score 0, and so is every text where no language
 could be learned; a null doc_id counts as the empty string; equal cross-entropies go to the first language by name;
@@ -20,11 +27,13 @@ repeated rows count and are predicted one by one; an empty table gives no rows.
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +41,6 @@ from riskmart.llm.common import id_back, id_text, text_of
 from riskmart.session import checkpoint_table
 
 ORDER = 4
-#: Least bits of a directory.
-BITS = 17
 DISCOUNT = 0.75
 #: Characters beyond those of the corpus share this many equal parts of the rest.
 ALPHABET = 1 << 16
@@ -41,6 +48,10 @@ EVIDENCE = 32
 REJECT = 0.005
 #: Units (UTF-16) counted or scored at once in a Python worker.
 CHUNK = 1 << 21
+#: Most values (n-grams x columns) that the texts of a chunk can ask for, unless a single document asks for more.
+VALUES = 1 << 25
+#: First characters of a column's name, before the language.
+TRIAL, FINAL = "0", "1"
 PAD = ORDER - 1
 
 
@@ -122,16 +133,16 @@ def mixed(gram: np.ndarray) -> np.ndarray:
     return (gram ^ (gram >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def probabilities(top: DataFrame) -> DataFrame:
-    """(lang, kind, ord, gram, value): logarithms of the interpolated probability of each n-gram of each order (kind p)
-    and of the weight that each context leaves to the lower order (kind g, ord of the context)."""
+def probabilities(top: DataFrame) -> dict[tuple[str, int], DataFrame]:
+    """(lang, gram, value): logarithms of the interpolated probability of each n-gram of order k (at key "p", k) and of
+    the weight that each context of order k leaves to the lower order (at "g", k)."""
     by_order = {ORDER: top}
     for k in range(ORDER - 1, 0, -1):
         # continuation counts: in how many n-grams of the next order it is the end
         mask = F.lit((1 << 16 * k) - 1)
         by_order[k] = checkpoint_table(by_order[k + 1].groupBy(
             "lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "langid")
-    out, lower = [], None
+    out, lower = {}, None
     for k in range(1, ORDER + 1):
         t = by_order[k].withColumn("ctx", F.shiftrightunsigned("gram", 16) if k > 1 else F.lit(0).cast("long"))
         ctx = t.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
@@ -146,157 +157,186 @@ def probabilities(top: DataFrame) -> DataFrame:
         lower = checkpoint_table(t.select("lang", "gram", (
             F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("rest") * F.col("below")).alias("p")),
             "langid")
-        out.append(lower.select("lang", F.lit("p").alias("kind"), F.lit(k).alias("ord"), "gram",
-                                F.log("p").alias("value")))
-        out.append(ctx.select("lang", F.lit("g").alias("kind"), F.lit(k - 1).alias("ord"),
-                              F.col("ctx").alias("gram"), F.log("rest").alias("value")))
-    rows = out[0]
-    for more in out[1:]:
-        rows = rows.unionAll(more)
-    return rows
-
-
-def sorted_arrays(rows: DataFrame, bits: int = BITS) -> dict | None:
-    """The model as arrays: languages, and for each (kind, order) the sorted hashes of all n-grams and their rows of
-    values."""
-    rows = checkpoint_table(rows, "langid")
-    langs = sorted((r["lang"] for r in rows.select("lang").distinct().collect()), key=lambda x: x.encode())
-    if not langs:
-        return None
-    columns = rows.sparkSession.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, col int")
-    rows = rows.join(F.broadcast(columns), "lang")
-    model: dict = {"langs": langs, "bits": bits}
-    for kind, k in [("p", k) for k in range(1, ORDER + 1)] + [("g", k) for k in range(ORDER)]:
-        part = rows.filter((F.col("kind") == kind) & (F.col("ord") == k)).select(
-            "gram", "col", F.col("value").cast("float").alias("value")).toPandas()
-        keys, row = np.unique(mixed(part["gram"].to_numpy().view(np.uint64)), return_inverse=True)
-        values = np.full((len(keys), len(langs)), np.nan if kind == "p" else 0.0, np.float32)
-        values[row, part["col"].to_numpy()] = part["value"].to_numpy()
-        model[kind, k] = (keys, values)
-    return model
+        out["p", k] = lower.select("lang", "gram", F.log("p").alias("value"))
+        out["g", k - 1] = ctx.select("lang", F.col("ctx").alias("gram"), F.log("rest").alias("value"))
+    return out
+
+
+def vectors(model: dict[tuple[str, int], DataFrame], langs: list[str], wanted: DataFrame) -> DataFrame:
+    """(gram, v) for the distinct n-grams ``wanted`` (gram): v has the logarithm of the probability in each of ``langs``.
+
+    From the lowest order up: the probability where the language has the n-gram, else the weight of its context (none: 1)
+    and the lower order's."""
+
+    def wide(kind: str, k: int, name: str) -> DataFrame:
+        one = model[kind, k].groupBy("gram").pivot("lang", langs).agg(F.first("value"))
+        one = one.toDF(name + "_gram", *[f"c{i}" for i in range(len(langs))])
+        return one.select(name + "_gram", F.array(*[f"c{i}" for i in range(len(langs))]).alias(name))
+
+    need = {ORDER: wanted}
+    for k in range(ORDER - 1, 0, -1):
+        mask = F.lit((1 << 16 * k) - 1)
+        need[k] = checkpoint_table(need[k + 1].select(F.col("gram").bitwiseAND(mask).alias("gram")).distinct(), "langid")
+    nothing = F.array_repeat(F.lit(0.0), len(langs))
+    lower = None
+    for k in range(1, ORDER + 1):
+        t = need[k].join(wide("p", k, "own"), F.col("gram") == F.col("own_gram"), "left")
+        ctx = F.shiftrightunsigned("gram", 16) if k > 1 else F.lit(0).cast("long")
+        t = t.withColumn("ctx", ctx).join(wide("g", k - 1, "rest"), F.col("ctx") == F.col("rest_gram"), "left")
+        if lower is None:
+            t = t.withColumn("below", F.array_repeat(F.lit(-math.log(ALPHABET)), len(langs)))
+        else:
+            suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1))
+            t = t.withColumn("suffix", suffix).join(
+                lower.select(F.col("gram").alias("suffix"), F.col("v").alias("below")), "suffix")
+        left = F.zip_with(F.coalesce("rest", nothing), "below", lambda a, b: F.coalesce(a, F.lit(0.0)) + b)
+        t = t.select("gram", "own", left.alias("left"))
+        lower = t.select("gram", F.coalesce(F.zip_with("own", "left", lambda a, b: F.coalesce(a, b)), "left").alias("v"))
+        if k < ORDER:
+            lower = checkpoint_table(lower, "langid")
+    return lower.select("gram", F.col("v").cast("array<float>").alias("v"))
 
 
 class Scorer:
-    """Cross-entropies of texts under the models of all languages."""
-
-    def __init__(self, model: dict):
-        self.langs, self.tables = model["langs"], {}
-        for key, found in model.items():
-            if isinstance(key, tuple):
-                keys, values = found
-                # the directory: where in the sorted array the hashes with these first bits begin
-                bits = max(model["bits"], (4 * len(keys)).bit_length())
-                count = np.bincount((keys >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-                directory = (np.cumsum(count) - count).astype(np.int32)
-                # the last row is for all others; its key ends every search
-                keys = np.append(keys, np.uint64(2**64 - 1))
-                other = np.full((1, len(self.langs)), np.nan if key[0] == "p" else 0.0, np.float32)
-                self.tables[key] = np.uint64(64 - bits), directory, keys, np.concatenate([values, other])
-
-    def _look(self, kind: str, order: int, gram: np.ndarray) -> np.ndarray:
-        shift, directory, keys, values = self.tables[kind, order]
+    """Cross-entropies of texts, from an array of all their n-grams, sorted by hash, with a column per language."""
+
+    def __init__(self, gram: np.ndarray, values: np.ndarray):
+        hashed = mixed(gram.view(np.uint64))
+        self.keys, row = np.unique(hashed, return_index=True)
+        self.values = values[row]
+        # the directory: where in the sorted array the hashes with these first bits begin
+        bits = (4 * len(self.keys)).bit_length()
+        self.shift = np.uint64(64 - bits)
+        count = np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.directory = (np.cumsum(count) - count).astype(np.int32)
+
+    def log_probabilities(self, gram: np.ndarray) -> np.ndarray:
+        """For each n-gram and each language; every n-gram must be in the array."""
         wanted = mixed(gram)
-        at = directory[(wanted >> shift).astype(np.int64)]
-        found = keys[at]
-        behind = np.flatnonzero(found < wanted)
+        at = self.directory[(wanted >> self.shift).astype(np.int64)]
+        behind = np.flatnonzero(self.keys[at] != wanted)
         while len(behind):
             at[behind] += 1
-            found[behind] = keys[at[behind]]
-            behind = behind[found[behind] < wanted[behind]]
-        at[found != wanted] = len(keys) - 1
-        return values[at]
-
-    def log_probabilities(self, u: np.ndarray) -> np.ndarray:
-        """For each unit from PAD on and each language."""
-        nothing = np.zeros(1, np.uint64)
-        found = None
-        for k in range(1, ORDER + 1):
-            own = self._look("p", k, grams(u, k))
-            if k == 1:
-                lower = self._look("g", 0, nothing) - np.float32(np.log(ALPHABET))
-                found = np.where(np.isnan(own), lower, own)
-            else:
-                context = grams(u, k) >> np.uint64(16)
-                found = np.where(np.isnan(own), self._look("g", k - 1, context) + found, own)
-        return found
+            behind = behind[self.keys[at[behind]] != wanted[behind]]
+        return self.values[at]
 
     def cross_entropies(self, texts: list[str]) -> np.ndarray:
         """(texts x languages); long texts are added up in parts."""
-        step = max(1 << 12, CHUNK // 4 // len(self.langs))
+        columns = self.values.shape[1]
+        step = max(1 << 12, CHUNK // 4 // columns)
         u, first = units(texts)
-        sums = np.zeros((len(texts), len(self.langs)))
+        sums = np.zeros((len(texts), columns))
         owner = np.repeat(np.arange(len(texts)), np.diff(first))[PAD:]
-        use = predicted(first)
+        use = np.flatnonzero(predicted(first))
         for at in range(0, len(use), step):
-            part = self.log_probabilities(u[at:at + step + PAD])
-            mask, who = use[at:at + step], owner[at:at + step]
-            part, who = part[mask], who[mask]
-            if len(who):
-                begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-                sums[who[begin]] += np.add.reduceat(part, begin, axis=0, dtype=np.float64)
+            who = use[at:at + step]
+            begin, end = int(who[0]), int(who[-1]) + 1
+            part = self.log_probabilities(grams(u[begin:end + PAD], ORDER)[who - begin])
+            who = owner[who]
+            begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+            sums[who[begin]] += np.add.reduceat(part, begin, axis=0, dtype=np.float64)
         return -sums / (np.diff(first) - PAD)[:, None]
 
 
-_SCORERS: dict[str, Scorer] = {}
+def columns_of(top: DataFrame) -> list[str]:
+    """The names of the columns: a short list, one or two for each language."""
+    return sorted((r["lang"] for r in top.select("lang").distinct().collect()), key=lambda x: x.encode())
 
 
-def learn(docs: DataFrame, bits: int = BITS) -> dict | None:
-    """The models from ``docs`` (doc_id, text, lang) of the remainders 0 and 1."""
-    rows = docs.filter(fold(F.col("doc_id")) < 2).filter("lang is not null and text is not null").select(
-        "lang", letters(F.col("text")).alias("text")).filter("text != ''")
-    return sorted_arrays(probabilities(checkpoint_table(count_grams(rows), "langid")), bits)
+def learn(docs: DataFrame) -> tuple[list[str], dict[tuple[str, int], DataFrame]]:
+    """The columns and tables of both models from ``docs`` (doc_id, text, lang)."""
+    at = fold(F.col("doc_id"))
+    rows = docs.filter("lang is not null and text is not null").filter(at != 2).select(
+        F.concat(F.when(at == 3, FINAL).otherwise(TRIAL), "lang").alias("lang"),
+        letters(F.col("text")).alias("text")).filter("text != ''")
+    final = F.concat(F.lit(FINAL), F.expr("substring(lang, 2)"))
+    both = F.when(F.col("lang").startswith(TRIAL), F.array(F.col("lang"), final)).otherwise(F.array(F.col("lang")))
+    top = checkpoint_table(count_grams(rows).select(F.explode(both).alias("lang"), "gram", "n").groupBy(
+        "lang", "gram").agg(F.sum("n").alias("n")), "langid")
+    langs = columns_of(top)
+    return langs, probabilities(top) if langs else {}
 
 
-def predict(docs: DataFrame, model: dict, evidence: int = EVIDENCE) -> DataFrame:
-    """doc_id, lang, fold, lang_pred, score, cross_entropy of each row of ``docs``."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # a row per distinct n-gram
-    number = uuid.uuid4().hex
+def chunked(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` (doc_id, lang, fold, text) with the number of a chunk of at most ``size`` units, or one document; written,
+    so that the numbers stay fixed."""
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _SCORERS.get(number)
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[number] = Scorer(shared.value)
-        names = np.array(scorer.langs, object)
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, n = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            texts = batch["text"].tolist()
-            n = len(texts)
-            best, share, entropy = np.full(n, "und", object), np.zeros(n), np.full(n, np.nan)
-            at = 0
-            for part in batched(iter(texts), CHUNK // 2):
-                ce = scorer.cross_entropies(part)
-                length = np.array([len(t) for t in part])
-                least = ce.min(axis=1)
-                weight = np.exp(-np.minimum(length, evidence)[:, None] * (ce - least[:, None])).sum(axis=1)
-                some = length > 0
-                where = slice(at, at + len(part))
-                best[where] = np.where(some, names[ce.argmin(axis=1)], "und")
-                share[where] = np.where(some, 1.0 / weight, 0.0)
-                entropy[where] = np.where(some, least, np.nan)
-                at += len(part)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "fold": batch["fold"],
-                                "lang_pred": best, "score": share, "cross_entropy": entropy})
-
-    rows = docs.select(id_text(), "lang", fold(F.col("doc_id")).cast("int").alias("fold"),
-                       letters(text_of()).alias("text"))
-    scored = rows.mapInPandas(
-        score, "doc_id string, lang string, fold int, lang_pred string, score double, cross_entropy double")
+            numbers = np.zeros(len(batch), np.int64)
+            for i, length in enumerate(batch["text"].str.len() + ORDER):
+                if n and n + length > size:
+                    number, n = number + 1, 0
+                numbers[i] = number
+                n += length
+            yield batch.assign(chunk=numbers)
+
+    return checkpoint_table(docs.mapInPandas(cut, "doc_id string, lang string, fold int, text string, chunk long"),
+                            "langid")
+
+
+def chunk_grams(rows: DataFrame) -> DataFrame:
+    """(chunk, gram): the distinct n-grams of each chunk; twice where a chunk lies in two batches."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for chunk, part in batch.groupby("chunk", sort=False):
+                u, first = units(part["text"].tolist())
+                gram = np.unique(grams(u, ORDER)[predicted(first)])
+                yield pd.DataFrame({"chunk": chunk, "gram": gram.view(np.int64)})
+
+    return rows.select("chunk", "text").mapInPandas(ask, "chunk long, gram long")
+
+
+def predict(docs: DataFrame, langs: list[str], model: dict[tuple[str, int], DataFrame], evidence: int = EVIDENCE,
+            size: int | None = None) -> DataFrame:
+    """doc_id, lang, fold, lang_pred, score, cross_entropy (final model), trial_pred, trial_entropy (trial model) of each
+    row of ``docs``."""
+    names = np.array([x[1:] for x in langs], object)
+    trials = sum(x.startswith(TRIAL) for x in langs)  # they come first
+    rows = chunked(docs.select(id_text(), "lang", fold(F.col("doc_id")).cast("int").alias("fold"),
+                               letters(text_of()).alias("text")),
+                   size or max(1 << 16, min(CHUNK, VALUES // len(langs))))
+    asked = checkpoint_table(chunk_grams(rows), "langid")
+    answers = asked.join(vectors(model, langs, asked.select("gram").distinct()), "gram")
+
+    def score(texts: pa.Table, found: pa.Table) -> pa.Table:
+        values = found["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))
+        scorer = Scorer(found["gram"].to_numpy(), values)
+        text = texts["text"].to_pylist()
+        entropy = scorer.cross_entropies(text)
+        length = np.array([len(t) for t in text])
+        some = length > 0
+        final, trial = entropy[:, trials:], entropy[:, :trials]
+        least = final.min(axis=1)
+        weight = np.exp(-np.minimum(length, evidence)[:, None] * (final - least[:, None])).sum(axis=1)
+        none = pa.nulls(len(text))
+        return texts.select(["doc_id", "lang", "fold"]).append_column(
+            "lang_pred", pa.array(np.where(some, names[trials:][final.argmin(axis=1)], "und"), pa.string())).append_column(
+            "score", pa.array(np.where(some, 1.0 / weight, 0.0))).append_column(
+            "cross_entropy", pa.array(least, pa.float64(), mask=~some)).append_column(
+            "trial_pred", pa.array(names[trial.argmin(axis=1)], pa.string(), mask=~some) if trials
+            else none.cast(pa.string())).append_column(
+            "trial_entropy", pa.array(trial.min(axis=1), pa.float64(), mask=~some) if trials
+            else none.cast(pa.float64()))
+
+    scored = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        score, "doc_id string, lang string, fold int, lang_pred string, score double, cross_entropy double, "
+               "trial_pred string, trial_entropy double")
     return id_back(scored, docs)
 
 
-def identify(docs: DataFrame, bits: int = BITS, evidence: int = EVIDENCE, reject: float = REJECT) -> DataFrame:
+def identify(docs: DataFrame, evidence: int = EVIDENCE, reject: float = REJECT) -> DataFrame:
     """doc_id, held_out, lang_pred, score, cross_entropy, rejected for each document."""
-    model = learn(docs, bits)
-    held_out = F.col("fold") == 2
-    if model is None:
+    langs, model = learn(docs)
+    if not langs:
         return docs.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.lit("und").alias("lang_pred"),
                            F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"),
                            F.lit(True).alias("rejected"))
-    found = checkpoint_table(predict(docs, model, evidence), "langid")
-    limits = found.filter("fold = 3 and lang = lang_pred").groupBy("lang_pred").agg(
-        F.percentile_approx("cross_entropy", 1 - reject, F.lit(10_000)).alias("most"))  # a row per language
+    found = checkpoint_table(predict(docs, langs, model, evidence), "langid")
+    limits = found.filter("fold = 3 and lang = trial_pred").groupBy(F.col("trial_pred").alias("lang_pred")).agg(
+        F.percentile_approx("trial_entropy", 1 - reject, F.lit(10_000)).alias("most"))  # a row per language
     return found.join(F.broadcast(limits), "lang_pred", "left").select(
-        "doc_id", held_out.alias("held_out"), "lang_pred", "score",
-        F.when(F.col("lang_pred") != "und", F.col("cross_entropy")).alias("cross_entropy"),
+        "doc_id", (F.col("fold") == 2).alias("held_out"), "lang_pred", "score", "cross_entropy",
         F.coalesce(F.col("cross_entropy") > F.col("most"), F.lit(True)).alias("rejected"))

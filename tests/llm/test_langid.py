@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from llm_data import SF01
+from llm_data import SF001, SF01
 from riskmart.llm import langid
 from riskmart.llm.common import table
 
@@ -37,38 +37,72 @@ def kneser_ney(texts):
     return p
 
 
-def test_probabilities_follow_the_definition(spark):
-    texts = {"xx": ["abra cadabra", "abacus", "bar"], "yy": ["zebra", "zz top"]}
+def scorer_of(spark, texts, asked):
+    """The columns, and the array for the n-grams of the texts ``asked``."""
     rows = [(lang, t) for lang, ts in texts.items() for t in ts]
     top = langid.count_grams(spark.createDataFrame(rows, "lang string, text string"))
-    scorer = langid.Scorer(langid.sorted_arrays(langid.probabilities(top), 20))
+    langs = langid.columns_of(top)
+    u, first = langid.units(asked)
+    wanted = np.unique(langid.grams(u, langid.ORDER)[langid.predicted(first)]).view(np.int64)
+    found = langid.vectors(langid.probabilities(top), langs, spark.createDataFrame(
+        [(int(g),) for g in wanted], "gram long")).collect()
+    assert len(found) == len(wanted)
+    return langs, langid.Scorer(np.array([r["gram"] for r in found]), np.array([r["v"] for r in found], np.float32))
+
+
+def test_probabilities_follow_the_definition(spark):
+    texts = {"xx": ["abra cadabra", "abacus", "bar"], "yy": ["zebra", "zz top"]}
+    asked = ["abra", "zebra top", "qqq", "a"]
+    langs, scorer = scorer_of(spark, texts, asked + ["x"])
     for lang, ts in texts.items():
-        p, col = kneser_ney(ts), scorer.langs.index(lang)
-        for text in ["abra", "zebra top", "qqq", "a"]:
+        p, col = kneser_ney(ts), langs.index(lang)
+        for text in asked:
             u, _ = langid.units([text])
-            got = scorer.log_probabilities(u)[:, col]
+            got = scorer.log_probabilities(langid.grams(u, langid.ORDER))[:, col]
             padded = " " * langid.PAD + text + " "
             want = [math.log(p(padded[i - langid.PAD:i + 1])) for i in range(langid.PAD, len(padded))]
             assert np.allclose(got, want, atol=1e-4)
             assert np.allclose(scorer.cross_entropies([text, "x", text])[[0, 2], col], -np.mean(want), atol=1e-4)
 
 
-@pytest.mark.parametrize("bits", [4, 12])
-def test_more_ngrams_than_slots(spark, bits):
-    rng = np.random.default_rng(bits)
+@pytest.mark.parametrize("seed", [4, 12])
+def test_many_ngrams_and_unknown_ones(spark, seed):
+    rng = np.random.default_rng(seed)
     made = {"xx": ("abcdefghijklm", 40), "yy": ("aeiou\u4e00\u4e01\u4e02\u4e03xyz", 20)}
     texts = {lang: ["".join(rng.choice(list(letters), 150)) for _ in range(n)] for lang, (letters, n) in made.items()}
-    rows = [(lang, t) for lang, ts in texts.items() for t in ts]
-    top = langid.count_grams(spark.createDataFrame(rows, "lang string, text string"))
-    assert top.count() > 1 << bits
-    scorer = langid.Scorer(langid.sorted_arrays(langid.probabilities(top), bits))
     text = texts["xx"][0][:30] + " " + "aeioubcdqq" + texts["yy"][0][:30]
+    langs, scorer = scorer_of(spark, texts, [text])
     u, _ = langid.units([text])
     padded = " " * langid.PAD + text + " "
     for lang, ts in texts.items():
         p = kneser_ney(ts)
         want = [math.log(p(padded[i - langid.PAD:i + 1])) for i in range(langid.PAD, len(padded))]
-        assert np.allclose(scorer.log_probabilities(u)[:, scorer.langs.index(lang)], want, atol=1e-4)
+        got = scorer.log_probabilities(langid.grams(u, langid.ORDER))[:, langs.index(lang)]
+        assert np.allclose(got, want, atol=1e-4)
+
+
+def test_chunks_do_not_change_results(spark):
+    docs = table(spark, SF001, "documents").select("doc_id", "text", "lang")
+    langs, model = langid.learn(docs)
+    whole = {r["doc_id"]: r for r in langid.predict(docs, langs, model).collect()}
+    small = langid.predict(docs, langs, model, size=3000).collect()
+    assert len(small) == len(whole)
+    for r in small:
+        assert r["lang_pred"] == whole[r["doc_id"]]["lang_pred"]
+        for col in ("score", "cross_entropy", "trial_entropy"):
+            want = whole[r["doc_id"]][col]
+            assert r[col] == want or math.isclose(r[col], want, rel_tol=1e-5)
+
+
+def test_language_of_remainder_three_only(spark):
+    fold = {k: [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == k] for k in range(4)}
+    rows = [(i, "the quick brown fox jumps over it " * 3, "en") for k in (0, 1, 3) for i in fold[k][:6]]
+    rows += [(i, "zwei sch\u00f6ne gr\u00fcne b\u00e4ume stehen dort " * 3, "de") for i in fold[3][6:12]]
+    rows += [(fold[2][0], "gr\u00fcne b\u00e4ume", None), (fold[2][1], "brown fox", None)]
+    got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string")).collect()}
+    assert got[fold[2][0]]["lang_pred"] == "de" and got[fold[2][0]]["rejected"]
+    assert got[fold[2][1]]["lang_pred"] == "en"
 
 
 def test_held_out_accuracy_and_folds(spark):
