@@ -4,12 +4,13 @@ For each language an interpolated Kneser-Ney model over letters (lower case; eve
 is counted from the labelled documents.  Spark counts the character n-grams and joins counts, contexts and lower orders
 to probabilities; the model stays a set of tables and is never collected or broadcast.
 
-For scoring, documents are put into chunks of a bounded number of characters.  Each chunk asks for its distinct n-grams
-of the highest order; joins with the model tables give each distinct n-gram of the corpus the logarithms of its
-probability in all languages; and these go back to the chunks that asked.  There they stand in an array sorted by an
-invertible 64-bit hash of the n-gram, one column per language, with a directory of the hash's first bits that tells where
-to look.  A task holds one chunk: its texts and a row per distinct n-gram in them, whatever the size of the model.  A
-document longer than a chunk is a chunk of its own.
+For scoring, joins with the model tables give an n-gram of the highest order the logarithms of its probability in all
+languages.  The most frequent n-grams (as many as have ``VALUES`` values together, whatever the corpus) go to every task,
+in an array sorted by an invertible 64-bit hash of the n-gram, one column per language, with a directory of the hash's
+first bits that tells where to look.  A text's other n-grams are left over and written with its sums; chunks of texts
+with a bounded number of leftovers ask for their distinct ones, the joins answer, and the chunk adds the answers up from
+such an array of its own.  So nothing but the bounded array is collected or broadcast, texts are read once and never
+shuffled, and a task holds one chunk.  A text with more leftovers than a chunk takes is a chunk of its own.
 
 A document gets the language of the lowest cross-entropy per character over its whole text.  ``score`` compares the
 languages, as the posterior after at most ``evidence`` characters; ``rejected`` tells that the cross-entropy is above
@@ -48,8 +49,10 @@ EVIDENCE = 32
 REJECT = 0.005
 #: Units (UTF-16) counted or scored at once in a Python worker.
 CHUNK = 1 << 21
-#: Most values (n-grams x columns) that the texts of a chunk can ask for, unless a single document asks for more.
-VALUES = 1 << 25
+#: Most values (n-grams x columns) in the array that every task has, and in the answers to a chunk of several texts.
+VALUES = 1 << 22
+#: Most texts of a chunk.
+TEXTS = 1 << 14
 #: First characters of a column's name, before the language.
 TRIAL, FINAL = "0", "1"
 PAD = ORDER - 1
@@ -198,44 +201,66 @@ def vectors(model: dict[tuple[str, int], DataFrame], langs: list[str], wanted: D
 
 
 class Scorer:
-    """Cross-entropies of texts, from an array of all their n-grams, sorted by hash, with a column per language."""
+    """Logarithms of probabilities by n-gram: an array sorted by hash, with a column per language."""
 
-    def __init__(self, gram: np.ndarray, values: np.ndarray):
-        hashed = mixed(gram.view(np.uint64))
-        self.keys, row = np.unique(hashed, return_index=True)
-        self.values = values[row]
+    def __init__(self, found: pa.Table, columns: int):
+        hashed = mixed(found["gram"].to_numpy().view(np.uint64))
+        values = found["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, columns)
+        keys, row = np.unique(hashed, return_index=True)
         # the directory: where in the sorted array the hashes with these first bits begin
-        bits = (4 * len(self.keys)).bit_length()
+        bits = max(1, (4 * len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
-        count = np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        count = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
         self.directory = (np.cumsum(count) - count).astype(np.int32)
+        # the last row is for all others; its key ends every search
+        self.others = len(keys)
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+        self.values = np.concatenate([values[row], np.zeros((1, columns), values.dtype)])
 
-    def log_probabilities(self, gram: np.ndarray) -> np.ndarray:
-        """For each n-gram and each language; every n-gram must be in the array."""
+    def rows(self, gram: np.ndarray) -> np.ndarray:
+        """Where the values of each n-gram are; ``others`` for one that is not in the array."""
         wanted = mixed(gram)
         at = self.directory[(wanted >> self.shift).astype(np.int64)]
-        behind = np.flatnonzero(self.keys[at] != wanted)
+        found = self.keys[at]
+        behind = np.flatnonzero(found < wanted)
         while len(behind):
             at[behind] += 1
-            behind = behind[self.keys[at[behind]] != wanted[behind]]
-        return self.values[at]
-
-    def cross_entropies(self, texts: list[str]) -> np.ndarray:
-        """(texts x languages); long texts are added up in parts."""
+            found[behind] = self.keys[at[behind]]
+            behind = behind[found[behind] < wanted[behind]]
+        at[found != wanted] = self.others
+        return at
+
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(texts x languages) sums over the n-grams in the array; and the owner, n-gram and number of all leftovers, by
+        owner.  Long texts are added up in parts."""
         columns = self.values.shape[1]
         step = max(1 << 12, CHUNK // 4 // columns)
         u, first = units(texts)
         sums = np.zeros((len(texts), columns))
         owner = np.repeat(np.arange(len(texts)), np.diff(first))[PAD:]
         use = np.flatnonzero(predicted(first))
+        left_owner, left_gram = [], []
         for at in range(0, len(use), step):
-            who = use[at:at + step]
-            begin, end = int(who[0]), int(who[-1]) + 1
-            part = self.log_probabilities(grams(u[begin:end + PAD], ORDER)[who - begin])
-            who = owner[who]
-            begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-            sums[who[begin]] += np.add.reduceat(part, begin, axis=0, dtype=np.float64)
-        return -sums / (np.diff(first) - PAD)[:, None]
+            places = use[at:at + step]
+            begin, end = int(places[0]), int(places[-1]) + 1
+            gram = grams(u[begin:end + PAD], ORDER)[places - begin]
+            who, row = owner[places], self.rows(gram)
+            add_up(sums, who, self.values[row])
+            left = np.flatnonzero(row == self.others)
+            left_owner.append(who[left])
+            left_gram.append(gram[left])
+        who, gram = np.concatenate(left_owner), np.concatenate(left_gram)
+        order = np.lexsort((gram, who))
+        who, gram = who[order], gram[order]
+        begin = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (gram[1:] != gram[:-1])][:len(who)])
+        return sums, who[begin], gram[begin], np.diff(np.append(begin, len(who)))
+
+
+def add_up(sums: np.ndarray, who: np.ndarray, values: np.ndarray) -> None:
+    """Add to the rows ``who`` (ascending) of ``sums``."""
+    if len(who):
+        begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+        sums[who[begin]] += np.add.reduceat(values, begin, axis=0, dtype=np.float64)
 
 
 def columns_of(top: DataFrame) -> list[str]:
@@ -243,8 +268,8 @@ def columns_of(top: DataFrame) -> list[str]:
     return sorted((r["lang"] for r in top.select("lang").distinct().collect()), key=lambda x: x.encode())
 
 
-def learn(docs: DataFrame) -> tuple[list[str], dict[tuple[str, int], DataFrame]]:
-    """The columns and tables of both models from ``docs`` (doc_id, text, lang)."""
+def learn(docs: DataFrame) -> tuple[list[str], DataFrame, dict[tuple[str, int], DataFrame]]:
+    """The columns, n-gram counts and tables of both models from ``docs`` (doc_id, text, lang)."""
     at = fold(F.col("doc_id"))
     rows = docs.filter("lang is not null and text is not null").filter(at != 2).select(
         F.concat(F.when(at == 3, FINAL).otherwise(TRIAL), "lang").alias("lang"),
@@ -254,72 +279,75 @@ def learn(docs: DataFrame) -> tuple[list[str], dict[tuple[str, int], DataFrame]]
     top = checkpoint_table(count_grams(rows).select(F.explode(both).alias("lang"), "gram", "n").groupBy(
         "lang", "gram").agg(F.sum("n").alias("n")), "langid")
     langs = columns_of(top)
-    return langs, probabilities(top) if langs else {}
-
-
-def chunked(docs: DataFrame, size: int) -> DataFrame:
-    """``docs`` (doc_id, lang, fold, text) with the number of a chunk of at most ``size`` units, or one document; written,
-    so that the numbers stay fixed."""
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, n = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            numbers = np.zeros(len(batch), np.int64)
-            for i, length in enumerate(batch["text"].str.len() + ORDER):
-                if n and n + length > size:
-                    number, n = number + 1, 0
-                numbers[i] = number
-                n += length
-            yield batch.assign(chunk=numbers)
-
-    return checkpoint_table(docs.mapInPandas(cut, "doc_id string, lang string, fold int, text string, chunk long"),
-                            "langid")
+    return langs, top, probabilities(top) if langs else {}
 
 
-def chunk_grams(rows: DataFrame) -> DataFrame:
-    """(chunk, gram): the distinct n-grams of each chunk; twice where a chunk lies in two batches."""
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for chunk, part in batch.groupby("chunk", sort=False):
-                u, first = units(part["text"].tolist())
-                gram = np.unique(grams(u, ORDER)[predicted(first)])
-                yield pd.DataFrame({"chunk": chunk, "gram": gram.view(np.int64)})
-
-    return rows.select("chunk", "text").mapInPandas(ask, "chunk long, gram long")
-
-
-def predict(docs: DataFrame, langs: list[str], model: dict[tuple[str, int], DataFrame], evidence: int = EVIDENCE,
-            size: int | None = None) -> DataFrame:
+def predict(docs: DataFrame, langs: list[str], top: DataFrame, model: dict[tuple[str, int], DataFrame],
+            evidence: int = EVIDENCE, values: int = VALUES) -> DataFrame:
     """doc_id, lang, fold, lang_pred, score, cross_entropy (final model), trial_pred, trial_entropy (trial model) of each
     row of ``docs``."""
+    columns = len(langs)
     names = np.array([x[1:] for x in langs], object)
     trials = sum(x.startswith(TRIAL) for x in langs)  # they come first
-    rows = chunked(docs.select(id_text(), "lang", fold(F.col("doc_id")).cast("int").alias("fold"),
-                               letters(text_of()).alias("text")),
-                   size or max(1 << 16, min(CHUNK, VALUES // len(langs))))
-    asked = checkpoint_table(chunk_grams(rows), "langid")
+    most = max(1, values // columns)
+    frequent = top.filter(F.col("lang").startswith(FINAL)).groupBy("gram").agg(F.sum("n").alias("n")).orderBy(
+        F.desc("n"), "gram").limit(most).select("gram")
+    shared = docs.sparkSession.sparkContext.broadcast(vectors(model, langs, frequent).toArrow())  # most rows
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value, columns)
+        number, size, texts = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            at = 0
+            for part in batched(iter(batch["text"].tolist()), CHUNK // 2):
+                sums, who, gram, n = scorer.sums(part)
+                border = np.searchsorted(who, np.arange(1, len(part)))
+                left = np.split(gram.view(np.int64), border)
+                numbers = np.zeros(len(part), np.int64)
+                for i, own in enumerate(left):
+                    if texts and (texts == TEXTS or size + len(own) > most):
+                        number, size, texts = number + 1, 0, 0
+                    numbers[i], size, texts = number, size + len(own), texts + 1
+                yield pd.DataFrame({
+                    "chunk": numbers, "units": [len(t.encode("utf-16-le")) // 2 for t in part], "sums": list(sums),
+                    "gram": left, "n": np.split(n, border),
+                    **{c: batch[c].iloc[at:at + len(part)].to_numpy() for c in ("doc_id", "lang", "fold")}})
+                at += len(part)
+
+    rows = docs.select(id_text(), "lang", fold(F.col("doc_id")).cast("int").alias("fold"),
+                       letters(text_of()).alias("text"))
+    # written, so that the numbers of the chunks stay fixed
+    rows = checkpoint_table(rows.mapInPandas(
+        read, "chunk long, units long, sums array<double>, gram array<long>, n array<long>, doc_id string, lang string, "
+              "fold int"), "langid")
+    asked = checkpoint_table(rows.select("chunk", F.explode("gram").alias("gram")).distinct(), "langid")
     answers = asked.join(vectors(model, langs, asked.select("gram").distinct()), "gram")
 
     def score(texts: pa.Table, found: pa.Table) -> pa.Table:
-        values = found["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))
-        scorer = Scorer(found["gram"].to_numpy(), values)
-        text = texts["text"].to_pylist()
-        entropy = scorer.cross_entropies(text)
-        length = np.array([len(t) for t in text])
+        sums = texts["sums"].combine_chunks().flatten().to_numpy().reshape(-1, columns).copy()
+        gram, n = (texts[c].combine_chunks() for c in ("gram", "n"))
+        who = np.repeat(np.arange(len(texts)), gram.value_lengths().to_numpy())
+        if len(who):
+            scorer = Scorer(found, columns)
+            step = max(1 << 12, CHUNK // 4 // columns)
+            gram, n = gram.flatten().to_numpy().view(np.uint64), n.flatten().to_numpy()
+            for at in range(0, len(who), step):
+                part = slice(at, at + step)
+                add_up(sums, who[part], scorer.values[scorer.rows(gram[part])] * n[part, None])
+        length = texts["units"].to_numpy()
         some = length > 0
+        entropy = -sums / (length + 1)[:, None]
         final, trial = entropy[:, trials:], entropy[:, :trials]
         least = final.min(axis=1)
         weight = np.exp(-np.minimum(length, evidence)[:, None] * (final - least[:, None])).sum(axis=1)
-        none = pa.nulls(len(text))
-        return texts.select(["doc_id", "lang", "fold"]).append_column(
-            "lang_pred", pa.array(np.where(some, names[trials:][final.argmin(axis=1)], "und"), pa.string())).append_column(
-            "score", pa.array(np.where(some, 1.0 / weight, 0.0))).append_column(
-            "cross_entropy", pa.array(least, pa.float64(), mask=~some)).append_column(
-            "trial_pred", pa.array(names[trial.argmin(axis=1)], pa.string(), mask=~some) if trials
-            else none.cast(pa.string())).append_column(
-            "trial_entropy", pa.array(trial.min(axis=1), pa.float64(), mask=~some) if trials
-            else none.cast(pa.float64()))
+        own = {"lang_pred": pa.array(np.where(some, names[trials:][final.argmin(axis=1)], "und"), pa.string()),
+               "score": pa.array(np.where(some, 1.0 / weight, 0.0)),
+               "cross_entropy": pa.array(least, pa.float64(), mask=~some),
+               "trial_pred": pa.nulls(len(texts), pa.string()), "trial_entropy": pa.nulls(len(texts), pa.float64())}
+        if trials:
+            own["trial_pred"] = pa.array(names[trial.argmin(axis=1)], pa.string(), mask=~some)
+            own["trial_entropy"] = pa.array(trial.min(axis=1), pa.float64(), mask=~some)
+        return pa.table({**{c: texts[c] for c in ("doc_id", "lang", "fold")}, **own})
 
     scored = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, "doc_id string, lang string, fold int, lang_pred string, score double, cross_entropy double, "
@@ -329,12 +357,12 @@ def predict(docs: DataFrame, langs: list[str], model: dict[tuple[str, int], Data
 
 def identify(docs: DataFrame, evidence: int = EVIDENCE, reject: float = REJECT) -> DataFrame:
     """doc_id, held_out, lang_pred, score, cross_entropy, rejected for each document."""
-    langs, model = learn(docs)
+    langs, top, model = learn(docs)
     if not langs:
         return docs.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.lit("und").alias("lang_pred"),
                            F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"),
                            F.lit(True).alias("rejected"))
-    found = checkpoint_table(predict(docs, langs, model, evidence), "langid")
+    found = checkpoint_table(predict(docs, langs, top, model, evidence), "langid")
     limits = found.filter("fold = 3 and lang = trial_pred").groupBy(F.col("trial_pred").alias("lang_pred")).agg(
         F.percentile_approx("trial_entropy", 1 - reject, F.lit(10_000)).alias("most"))  # a row per language
     return found.join(F.broadcast(limits), "lang_pred", "left").select(
