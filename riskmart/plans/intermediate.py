@@ -173,7 +173,7 @@ def contract_months(payments: DataFrame, contracts: DataFrame) -> DataFrame:
     }
     by_month = payments.groupBy("contract_id", "due_month", "due_year", "due_month_num").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[m for need, found in measures.items() if need in payments.columns for m in found]).repartition("contract_id")
+        *[m for need, found in measures.items() if need in payments.columns for m in found])
     c = contracts.select(F.col("contract_id").alias("known_contract"), "product_type", *[
         to_units(x).alias("principal_units") for x in ("principal_amount",) if x in contracts.columns])
     return by_month.join(c, by_month["contract_id"] == c["known_contract"], "left")

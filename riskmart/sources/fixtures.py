@@ -27,6 +27,9 @@ ML_EVENT_END = dt.date(2024, 5, 31)
 REPORT_SINCE = dt.date(2000, 1, 1)
 MIN_MONTH_CONTRACTS = 500
 
+#: Lineitem rows of one task where they meet their contract: the tasks grow in number with the table, not in size.
+TASK_ROWS = 500_000
+
 DRIVER_TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 
 
@@ -111,7 +114,11 @@ def contracts(t: dict[str, DataFrame]) -> DataFrame:
 def _payment_base(t: dict[str, DataFrame]) -> DataFrame:
     """lineitem joined to its contract; keeps the raw columns the derived tables need."""
     con = contracts(t).select("contract_id", "customer_id", F.col("status").alias("contract_status"))
+    # the count reads the files' footers; the models by contract keep this partitioning
+    tasks = -(-t["lineitem"].count() // TASK_ROWS)
     li = t["lineitem"]
+    if tasks > 1:
+        li, con = li.repartition(tasks, "l_orderkey"), con.repartition(tasks, "contract_id")
     rf, disc, pk = F.col("l_returnflag"), F.col("l_discount"), F.col("l_partkey")
     status = (F.when((rf == "R") & (disc >= 0.075), "defaulted")
               .when((rf == "A") & (disc >= 0.065), "paid_late")
@@ -140,12 +147,14 @@ def _payment_base(t: dict[str, DataFrame]) -> DataFrame:
             ))
 
 
-def payments(t: dict[str, DataFrame]) -> DataFrame:
-    return _payment_base(t).drop("contract_status", "_q")
+def payments(t: dict[str, DataFrame], base: DataFrame | None = None) -> DataFrame:
+    """``base`` may be the ready ``_payment_base`` table."""
+    return (_payment_base(t) if base is None else base).drop("contract_status", "_q")
 
 
-def collections(t: dict[str, DataFrame]) -> DataFrame:
-    base = _payment_base(t).where(F.col("contract_status") == "defaulted")
+def collections(t: dict[str, DataFrame], base: DataFrame | None = None) -> DataFrame:
+    """``base`` may be the ready ``_payment_base`` table."""
+    base = (_payment_base(t) if base is None else base).where(F.col("contract_status") == "defaulted")
     q = F.col("_q")
     d = (1 + (3 * q) % F.when(q % 4 == 0, 7).when(q % 4 == 1, 30).otherwise(179)).cast("int")
     base = base.withColumn("_d", d)
@@ -226,4 +235,5 @@ BUILDERS = {
 def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six native tables, mapped lazily from the driver tables in ``sf_dir``."""
     t = read_driver_tables(spark, sf_dir)
-    return {name: build(t) for name, build in BUILDERS.items()}
+    base = _payment_base(t)
+    return {name: build(t, base) if build in (payments, collections) else build(t) for name, build in BUILDERS.items()}
