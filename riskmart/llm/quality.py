@@ -7,7 +7,7 @@ less a language has of trusted text, the nearer are its scores to 0; and a docum
 half of the trusted documents that it is not in.  It is kept if no rule rejects it and its score is not below the cut of
 its language, which is set by how the trusted documents score.  The decision is the same in every run.  The model is two
 arrays of ``buckets`` floats a language (of at most ``LANGUAGES``), whatever the size of the corpus; the raw counts cover
-every document.
+every document, and target and cuts every trusted one.
 
 Defined results: a null text has no words, so a rule rejects it; a very long text is counted and scored whole; documents
 without a label or without doc_id count for the raw corpus only; several labels of a doc_id must all be good; repeated
@@ -35,8 +35,6 @@ FEW = 5
 LEAST_WORDS = 10
 #: Languages at most that have a model, those with the most trusted n-grams.
 LANGUAGES = 256
-#: Documents at most whose labels make the trusted target; the raw corpus is counted whole.
-TRUSTED = 200_000
 WINDOW = 5
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -60,11 +58,21 @@ def grams(buckets: int) -> Column:
     return F.concat(one, two)
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """The trusted documents; of more than ``most`` those with the smallest hash of doc_id."""
+def trusted_ids(labels: DataFrame, most: int | None = None) -> DataFrame:
+    """The ids of all trusted documents; with ``most``, which ``model`` does not use, those with the smallest hashes."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("x"))
-    good = good.filter("q = 1 and x = 0 and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return good.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_good"))
+    good = good.filter("q = 1 and x = 0 and doc_id is not null")
+    if most is not None:
+        good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return good.select(F.col("doc_id").alias("_id"))
+
+
+def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(_lang, _half, _text) of all trusted documents, written once: the target and the cuts both read them."""
+    # no hint: the ids grow with the labels
+    rows = docs.select(F.col("doc_id").alias("_id"), language(docs).alias("_lang"), text_of().alias("_text"))
+    rows = rows.join(trusted_ids(labels), "_id").select("_lang", half(F.col("_id")).alias("_half"), "_text")
+    return checkpoint_table(rows, "quality")
 
 
 def language(docs: DataFrame) -> Column:
@@ -80,15 +88,14 @@ def ratios(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS, prior: floa
            languages: int = LANGUAGES) -> DataFrame:
     """(_lang, _half, _llr): log(target share / raw share) of each bucket, for the documents of a language and half.
 
-    ``good`` are the trusted ids.  The target of a half is counted from the trusted documents of the other one, and
+    ``good`` are the ``trusted_docs``.  The target of a half is counted from the trusted documents of the other one, and
     shrunk toward the raw share by ``prior`` n-grams.  Only for the ``languages`` languages with the most trusted n-grams.
     """
-    rows = docs.select(F.col("doc_id").alias("_id"), language(docs).alias("_lang"), text_of().alias("_text"))
-    rows = rows.join(F.broadcast(good), "_id", "left")
-    other = F.when(F.col("_good") == 1, 1 - half(F.col("_id")))
-    each = hashed(rows).select("_lang", other.alias("to"), F.explode(grams(buckets)).alias("bucket"))
+    raw = docs.select(language(docs).alias("_lang"), F.lit(None).cast("int").alias("to"), text_of().alias("_text"))
+    rows = raw.unionByName(good.select("_lang", (1 - F.col("_half")).alias("to"), "_text"))
+    each = hashed(rows).select("_lang", "to", F.explode(grams(buckets)).alias("bucket"))
     counts = each.groupBy("_lang", "bucket").agg(
-        F.count(F.lit(1)).alias("raw"), *[F.count_if(F.col("to") == i).alias(f"g{i}") for i in (0, 1)])
+        F.count_if(F.col("to").isNull()).alias("raw"), *[F.count_if(F.col("to") == i).alias(f"g{i}") for i in (0, 1)])
     counts = checkpoint_table(counts, "quality")
     total = counts.groupBy("_lang").agg(*[F.sum(c).alias(f"all_{c}") for c in ("raw", "g0", "g1")])
     most = F.col("all_g0") + F.col("all_g1")
@@ -112,18 +119,16 @@ def scored(rows: DataFrame, models: DataFrame, buckets: int = BUCKETS) -> DataFr
     return rows.withColumn("_score", F.when(F.col("_llr").isNotNull() & (n > 0), total / n).otherwise(0.0)).drop("_llr")
 
 
-def model(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, spread: float = SPREAD,
-          trusted: int = TRUSTED) -> DataFrame:
+def model(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR,
+          spread: float = SPREAD) -> DataFrame:
     """(_lang, _half, _llr, _cut): the ratios, and the score under which a document of that language is rejected.
 
     Every document is scored with a target that it is no part of, so the trusted ones show how clean documents of a
     language score: the cut lies ``spread`` standard deviations below their mean, widened for small numbers.
     """
-    good = F.broadcast(trusted_ids(labels, trusted))  # at most ``trusted`` ids, so no text is shuffled
+    good = trusted_docs(docs, labels)
     models = checkpoint_table(ratios(docs, good, buckets, prior), "quality")
-    known = docs.select(F.col("doc_id").alias("_id"), language(docs).alias("_lang"), half(F.col("doc_id")).alias("_half"),
-                        text_of().alias("_text")).join(good, "_id")
-    found = scored(known, models, buckets).filter(F.size("_h") >= LEAST_WORDS).groupBy("_lang").agg(
+    found = scored(good, models, buckets).filter(F.size("_h") >= LEAST_WORDS).groupBy("_lang").agg(
         F.avg("_score").alias("mean"), F.var_pop("_score").alias("var"), F.count(F.lit(1)).alias("n"))
     wide = F.sqrt((F.col("var") * F.col("n") + MARGIN ** 2 * FEW) / (F.col("n") + FEW))
     cuts = found.select("_lang", (F.col("mean") - spread * wide).alias("_cut"))
@@ -151,11 +156,11 @@ def repeated_words(rows: DataFrame) -> DataFrame:
         F.aggregate(reach, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
 
 
-def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, spread: float = SPREAD,
-          trusted: int = TRUSTED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR,
+          spread: float = SPREAD) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr (the score), kept."""
     cols = [c for c in docs.columns if c not in (*MEASURES, "base_failed", "llr", "kept")]
-    models = model(docs, labels, buckets, prior, spread, trusted)
+    models = model(docs, labels, buckets, prior, spread)
     rows = scored(docs.select(F.struct(*cols).alias("_row"), text_of().alias("_text"), language(docs).alias("_lang"),
                               half(F.col("doc_id")).alias("_half")), models, buckets)
     text = F.col("_text")

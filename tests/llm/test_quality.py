@@ -94,6 +94,17 @@ def test_trusted_sample_is_bounded(spark):
     assert quality.trusted_ids(labels, 7).count() == 7
 
 
+def test_every_trusted_document_counts(spark):
+    """As many as ever: the plan of the trusted documents has neither a limit nor a forced broadcast."""
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('a b c d e f g h i ', id) as text", "'x' as lang")
+    labels = spark.range(300).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    plan = quality.trusted_ids(labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "Sort" not in plan
+    assert not hasattr(quality, "TRUSTED")
+    known = quality.trusted_docs(docs, labels)
+    assert known.count() == 300 and {r["_half"] for r in known.collect()} == {0, 1}
+
+
 @pytest.mark.parametrize("which", ["odd_docs", "no_docs"])
 @pytest.mark.parametrize("labelled", [True, False])
 def test_odd_rows(request, spark, which, labelled):
