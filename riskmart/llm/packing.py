@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -43,7 +44,8 @@ WORD_MEMORY = 500_000
 CHUNK = 1 << 22
 #: Fixed value: how the tokenizer's vocabulary marks the ids that close a word.
 CLOSING = "</w>"
-#: Marks that end a word, and the letters after which the tokenizer always parts them from it.
+#: Marks that end a word, and the letters after which the tokenizer always parts them from it; behind a
+#: word of these letters alone, it parts every run of ASCII punctuation.
 MARKS = ".,;:!?"
 LETTERS = frozenset(c for c in map(chr, range(0x100)) if c.isalpha() and (c < "\x80" or c >= "\xc0"))
 
@@ -86,17 +88,17 @@ class WordTokenizer:
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for token, i in vocabulary.items() if token.endswith(CLOSING)]] = True
 
-    def _batches(self, groups: list, inputs: list, **options) -> Iterator[tuple]:
+    def _batches(self, groups: list, inputs: list, encode, **options) -> Iterator[tuple]:
         for i in range(0, len(groups), 16):  # few at once: encodings are large
-            yield from zip(groups[i:i + 16], self.tokenizer.encode_batch(
-                inputs[i:i + 16], add_special_tokens=False, **options))
+            yield from zip(groups[i:i + 16], encode(inputs[i:i + 16], add_special_tokens=False, **options))
 
     def _encode(self, stems: set[str]) -> dict[str, bytes]:
         plain = [w for w in stems if w and LETTERS.issuperset(w)]
         odd = list(stems.difference(plain))
         out = {}
         groups = [plain[i:i + 512] for i in range(0, len(plain), 512)]
-        for group, found in self._batches(groups, list(map(" ".join, groups))):
+        for group, found in self._batches(
+                groups, list(map(" ".join, groups)), self.tokenizer.encode_batch_fast):  # ids only
             ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(self.closing[ids])
             if len(ends) != len(group) or ends[-1] != len(ids) - 1:
@@ -107,7 +109,7 @@ class WordTokenizer:
                 out[word] = raw[at:end]
                 at = end
         groups = [odd[i:i + 512] for i in range(0, len(odd), 512)]
-        for group, found in self._batches(groups, groups, is_pretokenized=True):
+        for group, found in self._batches(groups, groups, self.tokenizer.encode_batch, is_pretokenized=True):
             raw, at = np.array(found.ids, "<u4").tobytes(), 0
             number = np.bincount(np.array(found.word_ids, np.int64), minlength=len(group))
             for word, end in zip(group, (4 * np.cumsum(number)).tolist()):
@@ -115,28 +117,40 @@ class WordTokenizer:
                 at = end
         return out
 
-    def _learn(self, words: list[str]) -> None:
+    @staticmethod
+    def _stem(word: str) -> str:
+        stem = word.rstrip(string.punctuation)
+        return stem if stem and LETTERS.issuperset(stem) else word
+
+    def _learn(self, words: list[str]) -> list[bytes]:
         stems = [w.rstrip(MARKS) for w in words]
-        stems = [s if s[-1:] in LETTERS else w for w, s in zip(words, stems)]
+        stems = [s if s[-1:] in LETTERS else self._stem(w) for w, s in zip(words, stems)]
         # the tokenizer lower-cases; only plain words here, so that no special token is met
         lower = [s.lower() if s.isascii() and s.isalpha() else s for s in stems]
         ends = [w[len(s):] for w, s in zip(words, stems)]
-        ids = self._encode({*lower, *ends})
-        self.known.update(zip(words, [ids[s] + ids[e] if e else ids[s] for s, e in zip(lower, ends)]))
+        # a stem is often a word that was met before
+        distinct = list({*lower, *ends})
+        ids = {s: found for s, found in zip(distinct, self._met(distinct)) if found is not None}
+        ids |= self._encode({s for s in distinct if s not in ids})
+        return [ids[s] + ids[e] if e else ids[s] for s, e in zip(lower, ends)]
+
+    def _met(self, words: list[str]) -> list[bytes | None]:
+        found = list(map(self.known.get, words))
+        before = self.before.get
+        return [before(w) if ids is None else ids for w, ids in zip(words, found)] if self.before else found
 
     def _words(self, words: list[str]) -> list[bytes]:
         if len(self.known) > WORD_MEMORY:
             self.before, self.known = self.known, {}
-        known = self.known
-        found = list(map(known.get, words))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        again = {w: self.before[w] for w in (words[i] for i in new) if w in self.before}
-        known.update(again)
-        unknown = [w for w in (words[i] for i in new) if w not in again]
+        found = self._met(words)
+        unknown = [w for w, ids in zip(words, found) if ids is None]
+        learnt = []
         for i in range(0, len(unknown), 1 << 17):
-            self._learn(unknown[i:i + (1 << 17)])
-        for i in new:
-            found[i] = known[words[i]]
+            learnt += self._learn(unknown[i:i + (1 << 17)])
+        if unknown:
+            rest = iter(learnt)
+            found = [next(rest) if ids is None else ids for ids in found]
+        self.known.update(zip(words, found))
         return found
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
@@ -144,7 +158,7 @@ class WordTokenizer:
         for part in chunks(texts):
             split = pc.ascii_split_whitespace(pa.array([t for t, _ in part], pa.large_string()))
             coded = split.flatten().dictionary_encode()
-            found = self._words(coded.dictionary.to_pylist())
+            found = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             size = np.fromiter(map(len, found), np.int64, len(found)) // 4
             pool = np.frombuffer(b"".join(found), "<u4")
             word = coded.indices.to_numpy()

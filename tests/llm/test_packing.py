@@ -128,6 +128,16 @@ def test_stems_marks_and_cut_texts_change_nothing(monkeypatch):
         assert [np.frombuffer(raw, "<u4").tolist() for raw in found] == want
 
 
+def test_a_stem_is_tokenised_once(monkeypatch):
+    seen, encode = [], packing.WordTokenizer._encode
+    monkeypatch.setattr(packing.WordTokenizer, "_encode", lambda self, stems: seen.extend(stems) or encode(self, stems))
+    texts = ["abc abc### ABC", "abc*** abc, x### été$$$ ab'### a'###b", "<|endoftext|>### ABC### abc <|startoftext|>$ 1### _"]
+    t, tokens = tokenizer(), packing.WordTokenizer(packing.tokenizer_path())
+    for text in texts:
+        assert np.frombuffer(next(iter(tokens([text]))), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert seen.count("abc") == 1 and "abc###" not in seen and "été$$$" not in seen
+
+
 @pytest.mark.parametrize("which", ["odd_docs", "no_docs"])
 def test_odd_rows(request, which):
     check(request.getfixturevalue(which), 64)
