@@ -105,6 +105,32 @@ def test_every_trusted_document_counts(spark):
     assert known.count() == 300 and {r["_half"] for r in known.collect()} == {0, 1}
 
 
+def test_few_texts_are_joined_with_the_ids(spark):
+    """Most documents without a trusted id take no part in the join; where they do, nothing changes."""
+    docs = spark.range(600).selectExpr("if(id % 50 = 7, null, id div 2) as doc_id", "concat('a b c ', id % 9) as text",
+                                       "if(id % 3 = 0, null, 'x') as lang")
+    labels = spark.range(300).selectExpr("id * 20 as doc_id", "1 as quality", "0 as toxic")
+    rows = docs.collect()
+    good = {r["doc_id"] for r in labels.collect()}
+    trusted = sorted(r["text"] for r in rows if r["doc_id"] in good)
+    for size in (1, quality.BITMAP):
+        near, rest = quality.told_apart(docs, labels, size)
+        assert sorted(r["_text"] for r in near.union(rest).collect()) == sorted(r["text"] for r in rows)
+        assert sorted(r["_text"] for r in near.filter("_half is not null").collect()) == trusted
+        assert not rest.filter("_half is not null").take(1)
+    assert near.count() <= len(trusted) + 30
+    assert quality.trusted_docs(docs, labels).count() == len(trusted)
+
+
+def test_grams_in_rows_equal_those_in_arrays(spark):
+    texts = ["a b c a b", "a", "", " \n", "c  c\tc d", None, "é x"]
+    docs = spark.createDataFrame(list(zip(range(7), texts)), "doc_id long, t string").selectExpr(
+        "doc_id", "coalesce(t, '') as _text")
+    arrays = quality.hashed(docs).select("doc_id", quality.grams(64).alias("g")).collect()
+    got = Counter((r["doc_id"], r["bucket"]) for r in quality.each_gram(docs, 64).collect())
+    assert got == Counter((r["doc_id"], b) for r in arrays for b in r["g"])
+
+
 @pytest.mark.parametrize("which", ["odd_docs", "no_docs"])
 @pytest.mark.parametrize("labelled", [True, False])
 def test_odd_rows(request, spark, which, labelled):
