@@ -12,7 +12,8 @@ the write of a table, or, for a view, of the pass that looks for repeated keys.
 
 ``unique`` counts 64-bit hashes of the keys, so the shuffle carries 8 bytes a row whatever the key is.  Equal keys have
 equal hashes: without a repeated hash the test passes.  Otherwise the keys with repeated hashes, and only these, are
-counted themselves.  ``relationships`` counts the child's keys first and joins the distinct ones.
+counted themselves.  A model that is known to have many rows has its hashes dealt over tasks of bounded size (``KEY_ROWS``),
+however few shuffle partitions the session has.  ``relationships`` counts the child's keys first and joins the distinct ones.
 
 Observed are plain row counts, which say for certain whether there are offending rows (a stage that is run again after a
 lost executor can count rows twice); only a column that has some is read again, for their exact number or their values.
@@ -128,6 +129,9 @@ CATALOGUE: dict[str, ModelTests] = {
         accepted_values={"segment": _t(S.RFM_SEGMENTS)}),
 }
 
+#: Hashed keys of one task: the tasks grow in number with the model, not in size.
+KEY_ROWS = 2_000_000
+
 RESULT_COLUMNS = ["layer", "model", "column_name", "test", "failures"]
 
 
@@ -150,10 +154,20 @@ def _offending(col: str, values: tuple[str, ...]) -> Column:
     return F.col(col).isNotNull() & ~F.col(col).isin(list(values))
 
 
-def repeated_keys(df: DataFrame, col: str, hash_of: Callable[[Column], Column] = F.xxhash64) -> int:
-    """Number of distinct non-null values of ``col`` that occur more than once."""
+def _dealt(hashes: DataFrame, rows: int | None) -> DataFrame:
+    """``hashes`` in tasks of at most ``KEY_ROWS`` rows on average, if the session's shuffles would make larger ones."""
+    tasks = -(-(rows or 0) // KEY_ROWS)
+    if tasks <= int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return hashes
+    return hashes.repartition(tasks, "_hash")
+
+
+def repeated_keys(df: DataFrame, col: str, hash_of: Callable[[Column], Column] = F.xxhash64,
+                  rows: int | None = None) -> int:
+    """Number of distinct non-null values of ``col`` that occur more than once; ``df`` has about ``rows`` rows, if known."""
     keys = df.select(F.col(col).alias("_key"), hash_of(F.col(col)).alias("_hash")).where("_key IS NOT NULL")
-    twice = keys.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    hashes = _dealt(keys.select("_hash"), rows)
+    twice = hashes.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
     # most often none; a few are enough to know that the keys themselves must be counted
     if not twice.take(1):
         return 0
@@ -177,28 +191,30 @@ class Watch:
         self._observation = Observation() if counts else None
         self.frame = df.observe(self._observation, *counts) if counts else df
 
-    def results(self, stored: DataFrame, parents: dict[str, DataFrame], passed: bool = True) -> list[tuple]:
+    def results(self, stored: DataFrame, parents: dict[str, DataFrame], passed: bool = True,
+                rows: int | None = None) -> list[tuple]:
         """(layer, model, column_name, test, failures) of all tests.
 
         ``stored`` holds the rows that the action on ``frame`` saw.  ``passed``: that action is over; otherwise the pass
-        for repeated keys is it (``stored`` is ``frame`` then).
+        for repeated keys is it (``stored`` is ``frame`` then).  ``rows``: about how many rows the model has, if known.
         """
         t = self.tests
-        unique = {c: repeated_keys(self.frame if not passed and i == 0 else stored, c) for i, c in enumerate(t.unique)}
+        unique = {c: repeated_keys(self.frame if not passed and i == 0 else stored, c, rows=rows)
+                  for i, c in enumerate(t.unique)}
         if not passed and not unique:
             self.frame.agg(F.count(F.lit(1))).first()
         counts = self._observation.get if self._observation else {}
-        rows = [(c, "not_null", counts[f"nn{i}"] and stored.where(F.col(c).isNull()).count())
-                for i, c in enumerate(t.not_null)]
+        found = [(c, "not_null", counts[f"nn{i}"] and stored.where(F.col(c).isNull()).count())
+                 for i, c in enumerate(t.not_null)]
         for i, (c, values) in enumerate(t.accepted_values.items()):
             n = counts[f"av{i}"] and stored.where(_offending(c, values)).select(c).distinct().count()
-            rows.append((c, "accepted_values", n))
-        rows += [(c, "unique", n) for c, n in unique.items()]
+            found.append((c, "accepted_values", n))
+        found += [(c, "unique", n) for c, n in unique.items()]
         for c, (parent, key) in t.relationships.items():
             if parent not in parents:
                 raise KeyError(f"relationships test on {self.model}.{c} needs model '{parent}'")
-            rows.append((c, "relationships", orphans(stored, c, parents[parent], key)))
-        return [(t.layer, self.model, c, test, int(n)) for c, test, n in rows]
+            found.append((c, "relationships", orphans(stored, c, parents[parent], key)))
+        return [(t.layer, self.model, c, test, int(n)) for c, test, n in found]
 
 
 def watch(model: str, df: DataFrame, catalogue: dict[str, ModelTests] = CATALOGUE) -> Watch:
@@ -223,8 +239,10 @@ def check_watched(watches: dict[str, Watch], stored: dict[str, DataFrame], paren
 
 
 def run_checks(models: dict[str, DataFrame], catalogue: dict[str, ModelTests] = CATALOGUE,
-               parents: dict[str, DataFrame] | None = None, parallelism: int = 6) -> DataFrame:
-    """All tests of the models present in ``models`` as one DataFrame; each model is read once, for its keys."""
+               parents: dict[str, DataFrame] | None = None, parallelism: int = 6,
+               rows: dict[str, int] | None = None) -> DataFrame:
+    """All tests of the models present in ``models`` as one DataFrame; each model is read once, for its keys.
+    ``rows``: about how many rows a model has, where that is known."""
     frames = {**(parents or {}), **models}
     present = [m for m in catalogue if m in models]
     if not present:
@@ -238,7 +256,7 @@ def run_checks(models: dict[str, DataFrame], catalogue: dict[str, ModelTests] =
         tested = catalogue[m]
         columns = dict.fromkeys([*tested.not_null, *tested.unique, *tested.accepted_values, *tested.relationships])
         df = models[m].select(*columns)
-        return Watch(m, df, tested).results(df, frames, passed=False)
+        return Watch(m, df, tested).results(df, frames, passed=False, rows=(rows or {}).get(m))
 
     return _collected(models[present[0]].sparkSession, [lambda m=m: job(m) for m in present], parallelism)
 

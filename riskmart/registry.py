@@ -255,4 +255,4 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = {n: with_audit(df) for n, df in l.stg.items()}
     models.update({n: with_audit(df) for n, df in l.int.items()})
     models.update({n: with_audit(l.mart[n]) for n in MARTS})
-    return quality.run_checks(models)
+    return quality.run_checks(models, rows=fixtures.fixture_rows(spark, sf_dir))

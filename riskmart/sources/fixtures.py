@@ -27,7 +27,8 @@ ML_EVENT_END = dt.date(2024, 5, 31)
 REPORT_SINCE = dt.date(2000, 1, 1)
 MIN_MONTH_CONTRACTS = 500
 
-#: Lineitem rows of one task where they meet their contract: the tasks grow in number with the table, not in size.
+#: Lineitem (or, if there are more, orders) rows of one task where payments meet their contract: the tasks grow in number
+#: with the table, not in size.
 TASK_ROWS = 500_000
 
 DRIVER_TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
@@ -114,11 +115,12 @@ def contracts(t: dict[str, DataFrame]) -> DataFrame:
 def _payment_base(t: dict[str, DataFrame]) -> DataFrame:
     """lineitem joined to its contract; keeps the raw columns the derived tables need."""
     con = contracts(t).select("contract_id", "customer_id", F.col("status").alias("contract_status"))
-    # the count reads the files' footers; the models by contract keep this partitioning
-    tasks = -(-t["lineitem"].count() // TASK_ROWS)
+    # the counts read the files' footers; the models by contract keep this partitioning
+    tasks = -(-max(t["lineitem"].count(), t["orders"].count()) // TASK_ROWS)
     li = t["lineitem"]
     if tasks > 1:
-        li, con = li.repartition(tasks, "l_orderkey"), con.repartition(tasks, "contract_id")
+        # a task's contracts are few and narrow: they are hashed, and the wide payments are not sorted
+        li, con = li.repartition(tasks, "l_orderkey"), con.repartition(tasks, "contract_id").hint("shuffle_hash")
     rf, disc, pk = F.col("l_returnflag"), F.col("l_discount"), F.col("l_partkey")
     status = (F.when((rf == "R") & (disc >= 0.075), "defaulted")
               .when((rf == "A") & (disc >= 0.065), "paid_late")
@@ -237,3 +239,15 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = read_driver_tables(spark, sf_dir)
     base = _payment_base(t)
     return {name: build(t, base) if build in (payments, collections) else build(t) for name, build in BUILDERS.items()}
+
+
+#: The driver table that gives each staging model its rows (collections are some of the payments).
+ROWS_FROM = {"stg_customers": "customer", "stg_contracts": "orders", "stg_payments": "lineitem",
+             "stg_app_events": "events", "stg_proposals": "orders", "stg_collections": "lineitem"}
+
+
+def fixture_rows(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """About how many rows each staging model has at most, from the footers of the driver tables."""
+    t = read_driver_tables(spark, sf_dir)
+    counts = {name: t[name].count() for name in dict.fromkeys(ROWS_FROM.values())}
+    return {model: counts[name] for model, name in ROWS_FROM.items()}

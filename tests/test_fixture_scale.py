@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from driver_data import SF001
+from riskmart.operators import quality
 from riskmart.plans import intermediate, staging
 from riskmart.sources import fixtures
 
@@ -35,3 +37,43 @@ def test_payments_are_dealt_over_tasks_by_their_number(spark, monkeypatch):
     assert dealt.count() == 4 * N
     assert dealt.rdd.getNumPartitions() >= 4 * N // 100
     assert _performance(spark, t) == whole
+
+
+def test_many_payments_meet_their_contracts_without_a_sort(spark, monkeypatch):
+    t = _tables(spark)
+    t["orders"] = t["orders"].union(t["orders"].limit(3))  # keys may repeat
+    rows = sorted(map(str, fixtures.payments(t).collect()))
+    assert len(rows) == 4 * N + 3 * 4
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 100)
+    dealt = fixtures.payments(t)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
+    assert sorted(map(str, dealt.collect())) == rows
+
+
+def test_more_orders_than_payments_make_more_tasks(spark, monkeypatch):
+    t = _tables(spark)
+    t["lineitem"] = t["lineitem"].limit(90)
+    rows = sorted(map(str, fixtures.payments(t).collect()))
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 100)
+    dealt = fixtures.payments(t)
+    assert dealt.rdd.getNumPartitions() == N // 100
+    assert sorted(map(str, dealt.collect())) == rows
+
+
+def test_keys_of_large_models_are_counted_in_tasks_of_bounded_size(spark, monkeypatch):
+    keys = spark.range(1000).select((F.col("id") % 990).alias("k")).union(spark.range(5).select(F.lit(None).cast("long")))
+    hashes = keys.select(F.xxhash64("k").alias("_hash"))
+    assert quality.repeated_keys(keys, "k") == 10
+    monkeypatch.setattr(quality, "KEY_ROWS", 50)
+    assert quality._dealt(hashes, 1005).rdd.getNumPartitions() == 21
+    assert quality._dealt(hashes, None) is hashes
+    assert quality.repeated_keys(keys, "k", rows=1005) == 10
+    assert quality.repeated_keys(keys, "k", hash_of=lambda c: c % 7, rows=1005) == 10
+
+
+def test_every_staging_model_has_its_rows(spark):
+    counts = fixtures.fixture_rows(spark, SF001)
+    stg = staging.build_staging(fixtures.fixture_sources(spark, SF001), fixtures.AS_OF)
+    assert set(counts) == set(stg)
+    assert all(stg[m].count() <= n for m, n in counts.items())
