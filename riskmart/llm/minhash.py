@@ -1,8 +1,8 @@
 """Near-duplicate detection with bottom-k sketches from one hash function.
 
 A document's set are the 64-bit hashes of its distinct five-word shingles (words with A-Z in lower case; with fewer
-words, the whole sequence).  Documents with the same set are one node.  The retained values of a node are the ``k``
-smallest hashes of its set, in order.
+words, the whole sequence).  Documents with the same set are one node; nodes are numbered.  The retained values of a
+node are the ``k`` smallest hashes of its set, in order.
 
 Inverted lists are kept for runs of four retained values that follow each other.  A set of two documents with a Jaccard
 similarity of 0.85 has, in the order of the hash, 85 of 100 values in both, so four in a row are in both almost surely
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import id_back, id_text, text_of
+from riskmart.llm.common import bitmap, id_back, id_text, in_bitmap, text_of
 from riskmart.llm.components import connected_components
 from riskmart.session import checkpoint_table
 
@@ -89,8 +89,8 @@ class Shingler:
         return np.unique(_mixed(total).view(np.int64))
 
 
-def node_of(shingles: np.ndarray) -> str:
-    """128 bits: equal nodes are taken for equal sets."""
+def digest_of(shingles: np.ndarray) -> str:
+    """128 bits: equal digests are taken for equal sets."""
     return xxhash.xxh3_128_hexdigest(shingles.tobytes())
 
 
@@ -101,33 +101,43 @@ def row_key() -> Column:
 
 
 def sketches(docs: DataFrame, k: int = K) -> DataFrame:
-    """doc_id, key (of the row), node (null for an empty set), n (size of the set), sketch, for each row."""
+    """doc_id, key (of the row), digest (null for an empty set), n (size of the set), sketch, for each row."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for b in batches:
             sets = [shingler(t) for t in b["text"]]
-            node = [node_of(s) if len(s) else None for s in sets]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "node": node,
+            digest = [digest_of(s) if len(s) else None for s in sets]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "digest": digest,
                                 "n": [len(s) for s in sets], "sketch": [s[:k] for s in sets]})
 
     made = docs.select(id_text(), row_key().alias("key"), text_of().alias("text")).mapInPandas(
-        make, "doc_id string, key string, node string, n long, sketch array<long>")
+        make, "doc_id string, key string, digest string, n long, sketch array<long>")
     return id_back(made, docs)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """(node, digest, key, first_id, n, sketch) of the distinct sets of ``rows``: all that follows meets by the number
+    ``node``, a quarter of what 128 bits take as text.  The table is written, so that the numbers stay."""
+    made = rows.filter("digest is not null").groupBy("digest").agg(
+        F.min("key").alias("key"), F.min("doc_id").alias("first_id"), F.first("n").alias("n"),
+        F.first("sketch").alias("sketch"))  # of equal sets, n and sketch are equal
+    return checkpoint_table(made.select(F.monotonically_increasing_id().alias("node"), "*"), "near")
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the nodes (node, key of one of its rows), from the texts."""
+    """(node, shingles) of the nodes (node, key of one of its rows), from the texts; a bitmap of their keys keeps most
+    other texts out of the shuffle."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for b in batches:
-            sets = [shingler(t) for t in b["text"]]
-            yield pd.DataFrame({"node": [node_of(s) for s in sets], "shingles": sets})
+            yield pd.DataFrame({"node": b["node"], "shingles": [shingler(t) for t in b["text"]]})
 
-    rows = docs.select(row_key().alias("key"), text_of().alias("text")).join(
-        nodes.select("key").distinct(), "key", "left_semi")
-    return rows.mapInPandas(make, "node string, shingles array<long>").dropDuplicates(["node"])
+    bits = F.broadcast(bitmap(nodes.select(F.col("key").alias("_id"))))  # of fixed size
+    texts = docs.select(row_key().alias("key"), text_of().alias("text")).join(bits, in_bitmap(F.col("key")), "left_semi")
+    rows = texts.dropDuplicates(["key"]).join(nodes.select("key", "node"), "key")
+    return rows.select("node", "text").mapInPandas(make, "node long, shingles array<long>")
 
 
 def run_lengths(n: int, percent: int) -> set[int]:
@@ -168,10 +178,10 @@ def inverted_lists(nodes: DataFrame, percent: int = PERCENT, k: int = K) -> Data
     ``typical`` adds up the members of all lists that hold the node: of the copies of a text, that with the fewest
     changes of its own has most.  A list's hub is its most typical member.
     """
-    runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"), percent, k)).alias("run"))
-    shared = runs.groupBy("run").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    rows = checkpoint_table(runs.join(shared.select("run"), "run").distinct(), "near")
-    rows = rows.join(rows.groupBy("run").agg(F.count(F.lit(1)).alias("members")), "run")
+    keys = F.array_distinct(run_keys(F.col("sketch"), F.col("n"), percent, k))
+    runs = nodes.select("node", "n", F.explode(keys).alias("run"))
+    shared = runs.groupBy("run").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    rows = checkpoint_table(runs.join(shared, "run"), "near")
     rows = checkpoint_table(rows.join(rows.groupBy("node").agg(F.sum("members").alias("typical")), "node"), "near")
     hubs = rows.groupBy("run").agg(F.max(F.struct("typical", "node")).alias("hub"))
     return checkpoint_table(rows.join(hubs, "run").select(
@@ -211,12 +221,12 @@ def open_candidates(lists: DataFrame, nodes: DataFrame, component: DataFrame, mi
     """Pairs of members of different components of a list: all of them in lists of at most ``small`` members; in longer
     ones each member meets the medoid of the largest component in the list, and the most typical member outside the
     first hub's component."""
-    rows = lists.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = rows.join(middle, "component", "left")
+    placed = component.join(middle, "component", "left")
+    rows = lists.join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     bounds = rows.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.max(F.when(F.col("node") == F.col("hub"), F.col("component"))).alias("first"),
                                      F.max(F.struct("size", "component", "medoid")).alias("largest"))
-    rows = rows.join(bounds.filter("lo <> hi").select("run", "first", "largest"), "run")
+    rows = checkpoint_table(rows.join(bounds.filter("lo <> hi").select("run", "first", "largest"), "run"), "near")
     few = rows.filter(F.col("members") <= small)
     x = few.select("run", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
     y = few.select("run", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
@@ -289,7 +299,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    rows = pairs.join(a, "a").join(b, "b").select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("s"))
+    # b first, by which similar_sketches leaves the pairs dealt
+    rows = pairs.join(b, "b").join(a, "a").select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("s"))
     return rows.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
@@ -299,13 +310,12 @@ def grouped(docs: DataFrame, percent: int = PERCENT, k: int | None = None, small
         raise ValueError("runs of retained values find similarities of 80 % or more")
     k = k or (K if percent >= PERCENT else LOW_K)
     rows = checkpoint_table(sketches(docs, k), "near")
-    some = rows.filter("node is not null")
-    first = some.groupBy("node").agg(F.min("key").alias("key"), F.min("doc_id").alias("first_id"))
-    nodes = checkpoint_table(some.drop("doc_id").join(first, ["node", "key"]).dropDuplicates(["node"]), "near")
+    nodes = numbered(rows)
     lists = inverted_lists(nodes, percent, k)
-    candidates = nodes.join(lists.select("node").distinct(), "node", "left_semi")
-    candidates = checkpoint_table(candidates, "near")
-    sets = checkpoint_table(full_sets(docs, candidates), "near")
+    found = nodes.select("node", "key").join(lists.select("node").distinct(), "node", "left_semi")
+    sets = checkpoint_table(full_sets(docs, checkpoint_table(found, "near")), "near")
+    candidates = checkpoint_table(sets.select(
+        "node", F.size("shingles").cast("long").alias("n"), F.slice("shingles", 1, k).alias("sketch")), "near")
 
     def links(pairs: DataFrame) -> DataFrame:
         return checkpoint_table(confirmed(similar_sketches(pairs, candidates, percent, k), sets, percent), "near")
@@ -328,12 +338,12 @@ def grouped(docs: DataFrame, percent: int = PERCENT, k: int | None = None, small
     members = checkpoint_table(open_members(lists, component, small), "near")
     if not members.isEmpty():
         component = linked(links(rest_candidates(members, sets, percent)))
-    member = nodes.select("node", "first_id").join(component, "node", "left").withColumn(
+    member = nodes.select("node", "digest", "first_id").join(component, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    member = member.join(smallest, "component").select("node", "component", "component_id")
-    out = rows.select("doc_id", "key", "node", "n").join(member, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    member = member.join(smallest, "component").select("digest", "component", "component_id")
+    out = rows.select("doc_id", "key", "digest", "n").join(member, "digest", "left")
+    own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component", own.alias("component_id"))
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import BLANKS, text_of, words
+from riskmart.llm.common import BITMAP, BLANKS, bitmap, in_bitmap, text_of, words
 from riskmart.session import checkpoint_table
 
 BUCKETS = 1 << 14
@@ -40,8 +40,6 @@ LEAST_WORDS = 10
 #: Languages at most that have a model, those with the most trusted n-grams.
 LANGUAGES = 256
 WINDOW = 5
-#: Words of 64 bits of the bitmap of trusted ids.
-BITMAP = 1 << 18
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -93,30 +91,13 @@ def trusted_ids(labels: DataFrame, most: int | None = None) -> DataFrame:
     return good.select(F.col("doc_id").alias("_id"))
 
 
-def _place(doc_id: Column, size: int) -> tuple[Column, Column]:
-    """(word, bit) of an id in a bitmap of ``size`` words."""
-    h = F.xxhash64(doc_id.cast("string"))
-    return F.pmod(h, F.lit(size)).cast("int"), F.shiftrightunsigned(h, 58).cast("int")
-
-
-def bitmap(ids: DataFrame, size: int = BITMAP) -> DataFrame:
-    """One row, ``_bits``: ``size`` words of 64 bits, with a bit for the hash of each id."""
-    word, bit = _place(F.col("_id"), size)
-    found = ids.select(word.alias("at"), bit.alias("bit")).groupBy("at").agg(
-        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    every = ids.sparkSession.range(size).select(F.col("id").cast("int").alias("at")).join(found, "at", "left")
-    return every.agg(F.sort_array(F.collect_list(F.struct(
-        "at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))["bits"].alias("_bits"))
-
-
 def told_apart(docs: DataFrame, labels: DataFrame, size: int = BITMAP) -> tuple[DataFrame, DataFrame]:
     """(_lang, _half, _text) of all documents in two tables: ``near``, written once, holds all trusted ones, with their
     half, and those that share a bit with them; ``rest`` the others.  ``_half`` is null where a document is not trusted."""
     ids = checkpoint_table(trusted_ids(labels), "quality")
     rows = docs.select(F.col("doc_id").alias("_id"), language(docs).alias("_lang"), text_of().alias("_text"))
     bits = F.broadcast(bitmap(ids, size))  # ``size`` words, whatever the number of ids
-    word, bit = _place(F.col("_id"), size)
-    hit = F.get("_bits", word).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit)) != 0
+    hit = in_bitmap(F.col("_id"), size)
     rest = rows.join(bits, ~hit, "left_semi").select("_lang", F.lit(None).cast("int").alias("_half"), "_text")
     # no broadcast: the ids grow with the labels
     near = rows.join(bits, hit, "left_semi").join(ids.withColumn("_good", F.lit(True)).hint("merge"), "_id", "left")

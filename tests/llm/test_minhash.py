@@ -4,11 +4,13 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_data import SF01, words
-from riskmart.llm import minhash
+from riskmart.llm import components, minhash
 from riskmart.llm.common import table
 from riskmart.llm.components import connected_components
+from riskmart.session import checkpoint_table
 
 
 def shingles(text):
@@ -187,3 +189,31 @@ def test_one_document_of_a_group_with_null_or_repeated_ids(spark):
     rows = [(None, t) for t in texts] + [(7, "x " + t.upper().replace("W", "v")) for t in texts] + [(None, ""), (8, " ")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r["doc_id"] for r in minhash.keep(docs).collect()), key=str) == [7, 8, None, None]
+
+
+def test_sets_meet_by_number(spark):
+    """Nodes are numbers from the start, and only wanted texts are read again, each once."""
+    w = [f"w{i}" for i in range(100)]
+    texts = [" ".join(w[:100 - i]) for i in range(4)] + [" ".join(f"o{j}x{i}" for i in range(20)) for j in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts + [texts[0].upper(), None])) + [(0, texts[0])], "doc_id long, text string")
+    nodes = minhash.numbered(minhash.sketches(docs))
+    assert nodes.count() == nodes.select("node").distinct().count() == 34
+    lists = minhash.inverted_lists(nodes)
+    assert {dict(lists.dtypes)[c] for c in ("run", "node", "hub")} == {"bigint"}
+    assert lists.select("node").distinct().count() == 4
+    assert all(r["members"] == len(r["held"]) > 1 and r["hub"] in r["held"] for r in lists.groupBy("run", "members", "hub").agg(
+        F.collect_set("node").alias("held")).collect())
+    wanted = nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "key")
+    got = {r["node"]: r["shingles"] for r in minhash.full_sets(docs, wanted).collect()}
+    assert sorted(map(len, got.values())) == [93, 94, 95, 96]
+    assert all(r["sketch"] == got[r["node"]][:48] for r in nodes.collect() if r["node"] in got)
+
+
+def test_a_star_is_left_as_it_is(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "checkpoint_table",
+                        lambda df, prefix: written.append(prefix) or checkpoint_table(df, prefix))
+    edges = spark.createDataFrame([(1, i) for i in range(2, 50)] + [(70, 60), (60, 70)], "a long, b long")
+    got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
+    assert got == {i: 1 for i in range(1, 50)} | {60: 60, 70: 60}
+    assert len(written) == 1
